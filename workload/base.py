@@ -12,8 +12,9 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.functions.text import to_micros, to_millis
+from strataflow.functions.text import to_micros
 from strataflow.operators.fanout import FilterSpec
+from strataflow.operators.routing import Application
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -83,6 +84,12 @@ APPLICATION_TEMPLATES = {
 }""",
 }
 
+APPLICATIONS = [
+    Application(1, 1, 1, APPLICATION_TEMPLATES[1]),
+    Application(2, 2, 0, APPLICATION_TEMPLATES[2]),
+    Application(3, 3, 3, APPLICATION_TEMPLATES[3]),
+]
+
 VIEWS: dict[str, str] = {}
 
 VIEWS["communities"] = "SELECT r_regionkey AS community_id, r_name AS community_name FROM region"
@@ -161,10 +168,10 @@ SELECT event_id, user_id AS application_id, time, props AS response_data,
              WHEN value > 30 THEN 404 ELSE 200 END)::INT AS response_code
 FROM messages WHERE event_type IN ('error', 'purchase')"""
 
-# Management messages: an application per user, its filter by the payload.
+# Management messages of two channels: an application per user, a filter for several of them.
 VIEWS["management"] = """
-SELECT event_id, time, user_id AS application_id, (user_id % 40) AS filter_id,
-       CASE WHEN value < 6 THEN 'STOPPED' WHEN value < 12 THEN 'EDIT' ELSE 'ACTIVE' END AS action,
+SELECT event_id, event_type AS channel, time, user_id AS application_id, (user_id % 40) AS filter_id,
+       CASE WHEN value < 50 THEN 'STOPPED' WHEN value < 70 THEN 'EDIT' ELSE 'ACTIVE' END AS action,
        (user_id % 5)::INT AS community_id, props AS request_template
 FROM messages WHERE event_type IN ('signup', 'click')"""
 
@@ -330,13 +337,12 @@ class Tables:
         value = F.col("value")
         return self._identified("signup", "click").select(
             "event_id",
+            F.col("event_type").alias("channel"),
             "time",
             F.col("user_id").alias("application_id"),
             (F.col("user_id") % 40).alias("filter_id"),
-            F.when(value < 6, "STOPPED").when(value < 12, "EDIT").otherwise("ACTIVE").alias("action"),
+            F.when(value < 50, "STOPPED").when(value < 70, "EDIT").otherwise("ACTIVE").alias("action"),
             (F.col("user_id") % 5).cast("int").alias("community_id"),
             F.col("props").alias("request_template"),
         )
 
-
-__all__ = ["APPLICATION_TEMPLATES", "FILTERS", "ORACLES", "QUERIES", "Tables", "query", "to_millis", "with_views"]
