@@ -82,8 +82,8 @@ def parse_tabular(cell: Column) -> Column:
     r"""Choices, rows and kind of a table question, parted by ``\\``, items by bars."""
     part = F.split(cell, r"\\\\")
     return F.struct(
-        F.transform(F.split(F.get(part, F.lit(0)), r"\|"), F.trim).alias("choices"),
-        F.transform(F.split(F.get(part, F.lit(1)), r"\|"), F.trim).alias("rows"),
+        F.transform(F.split(F.get(part, F.lit(0)), r"\|"), lambda c: F.trim(c)).alias("choices"),
+        F.transform(F.split(F.get(part, F.lit(1)), r"\|"), lambda c: F.trim(c)).alias("rows"),
         F.trim(F.get(part, F.lit(2))).alias("kind"),
     )
 

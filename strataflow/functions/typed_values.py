@@ -62,7 +62,7 @@ def typed_columns(value: Column, question_type: Column, separator: str = CHOICE_
 
 def split_choices(value: Column, separator: str = CHOICE_SEPARATOR) -> Column:
     """Chosen values of a multiple choice answer."""
-    return F.filter(F.transform(F.split(value, "\\Q" + separator + "\\E"), F.trim), lambda c: c != "")
+    return F.filter(F.transform(F.split(value, "\\Q" + separator + "\\E"), lambda c: F.trim(c)), lambda c: c != "")
 
 
 def join_choices(choices: Column, separator: str = CHOICE_SEPARATOR) -> Column:

@@ -1,9 +1,9 @@
 """Ordered scans per key (lag, running totals, carry-down, offsets) that survive a hot key.
 
-A plain window sorts all rows of a key in one task. Here keys with more than
-``hot_rows`` rows are cut into ranges of their order position; each range is scanned on
-its own and the state at its start comes from a summary with one row per range. Keys
-below the limit keep a single range, so they cost one ordinary window.
+A plain window sorts all rows of a key in one task. When some keys have more than
+``limit`` rows, those keys are cut into ranges of their order position; each range is
+scanned on its own and the state at its start comes from a summary with one row per
+range. Without hot keys the scan is an ordinary window.
 """
 
 from __future__ import annotations
@@ -13,42 +13,24 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strataflow.operators.skew import hot_groups
 from strataflow.session import hot_rows as configured_hot_rows
 
 RANGE = "_range"
-CARRY = "_carry"
 COLD = -1
 
 
-def _with_ranges(df: DataFrame, keys: list[str], position: str, limit: int) -> DataFrame:
+def _with_ranges(df: DataFrame, keys: list[str], hot: DataFrame, position: str, limit: int) -> DataFrame:
     """Add the range number of each row: -1 for keys that need no split."""
-    sizes = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.min(position).alias("_lo"),
-        F.max(position).alias("_hi"),
-    )
-    pieces = F.ceil(F.col("_n") / F.lit(limit))
-    hot = sizes.where(F.col("_n") > limit).select(
+    pieces = F.ceil(F.col("group_rows") / F.lit(limit))
+    cuts = hot.select(
         *keys,
-        "_lo",
-        F.greatest(F.lit(1), F.ceil((F.col("_hi") - F.col("_lo") + 1) / pieces)).alias("_width"),
+        "_low",
+        F.greatest(F.lit(1), F.ceil((F.col("_high") - F.col("_low") + 1) / pieces)).alias("_width"),
     )
-    # At most (rows / limit) keys can be hot, so this side is small by construction.
-    tagged = df.join(F.broadcast(hot), keys, "left")
-    number = F.floor((F.col(position) - F.col("_lo")) / F.col("_width"))
-    return tagged.withColumn(RANGE, F.coalesce(number, F.lit(COLD)).cast("long")).drop("_lo", "_width")
-
-
-def _prepare(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
-    if keys:
-        return df, list(keys)
-    return df.withColumn("_all", F.lit(0)), ["_all"]
-
-
-def _attach(rows: DataFrame, keys: list[str], summary: list[Column], carried: list[Column]) -> DataFrame:
-    """Join the state before each range of a hot key; there are few such ranges."""
-    ranges = rows.where(F.col(RANGE) > COLD).groupBy(*keys, RANGE).agg(*summary)
-    return rows.join(F.broadcast(ranges.select(*keys, RANGE, *carried)), [*keys, RANGE], "left")
+    number = F.floor((F.col(position) - F.col("_low")) / F.col("_width"))
+    tagged = df.join(F.broadcast(cuts), keys, "left")
+    return tagged.withColumn(RANGE, F.coalesce(number, F.lit(COLD)).cast("long")).drop("_low", "_width")
 
 
 def with_previous(
@@ -63,23 +45,8 @@ def with_previous(
 
     ``position`` is an integer column that leads the order, ``ties`` follow it.
     """
-    limit = limit or configured_hot_rows(df.sparkSession)
-    df, keys = _prepare(df, keys)
-    order = [position, *ties]
-    rows = _with_ranges(df, keys, position, limit)
-    record = F.struct(*[F.col(source).alias(new) for new, source in columns.items()])
-    before = Window.partitionBy(*keys).orderBy(RANGE)
-    rows = _attach(
-        rows,
-        keys,
-        [F.max_by(record, F.struct(*order)).alias("_end")],
-        [F.lag("_end").over(before).alias(CARRY)],
-    )
-    local = F.lag(record).over(Window.partitionBy(*keys, RANGE).orderBy(*order))
-    rows = rows.withColumn("_before", F.coalesce(local, F.col(CARRY)))
-    for name in columns:
-        rows = rows.withColumn(name, F.col("_before").getField(name))
-    return rows.drop("_before", CARRY, RANGE, "_all")
+    steps = {name: ("previous", F.col(source)) for name, source in columns.items()}
+    return with_running(df, keys, position, steps, ties, limit)
 
 
 def with_running(
@@ -92,36 +59,90 @@ def with_running(
 ) -> DataFrame:
     """Add running values up to the current row: ``{name: (kind, column)}``.
 
-    Kinds: ``sum``, ``max`` and ``last`` (latest value that is not NULL).
+    Kinds: ``sum``, ``max``, ``last`` (latest value that is not NULL) and ``previous``
+    (value of the row before, NULL or not).
     """
     limit = limit or configured_hot_rows(df.sparkSession)
-    df, keys = _prepare(df, keys)
-    order = [position, *ties]
-    for name, (_, column) in columns.items():
-        df = df.withColumn(f"_in_{name}", column)
-    rows = _with_ranges(df, keys, position, limit)
-
-    so_far = Window.partitionBy(*keys, RANGE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    earlier = Window.partitionBy(*keys).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
-    summary, carried, combined = [], [], {}
-    for name, (kind, _) in columns.items():
-        value, end, carry = F.col(f"_in_{name}"), f"_end_{name}", f"_carry_{name}"
+    added = []
+    if not keys:
+        df, keys, added = df.withColumn("_all", F.lit(0)), ["_all"], ["_all"]
+    keys, order = list(keys), [position, *ties]
+    hot = hot_groups(df, keys, {"_low": F.min(position), "_high": F.max(position)}, limit)
+    if hot is None:
+        values = _local_values(Window.partitionBy(*keys).orderBy(*order), columns)
+        return df.withColumns({n: _unwrap(columns[n][0], v) for n, v in values.items()}).drop(*added)
+
+    df = df.withColumns({f"_in_{name}": column for name, (_, column) in columns.items()})
+    inputs = {name: (kind, F.col(f"_in_{name}")) for name, (kind, _) in columns.items()}
+    rows = _with_ranges(df, keys, hot, position, limit)
+    # One row per range of a hot key: its number is bounded like that of the hot keys.
+    ends = rows.where(F.col(RANGE) > COLD).groupBy(*keys, RANGE).agg(*_range_ends(inputs, order))
+    rows = rows.join(F.broadcast(ends.select(*keys, RANGE, *_carries(inputs, keys))), [*keys, RANGE], "left")
+    local = _local_values(Window.partitionBy(*keys, RANGE).orderBy(*order), inputs)
+    rows = rows.withColumns({name: _combined(inputs[name][0], value, F.col(f"_carry_{name}")) for name, value in local.items()})
+    return rows.drop(RANGE, *added, *[f"_in_{n}" for n in columns], *[f"_carry_{n}" for n in columns])
+
+
+def _local_values(window, columns: dict[str, tuple[str, Column]]) -> dict[str, Column]:
+    so_far = window.rowsBetween(Window.unboundedPreceding, 0)
+    values = {}
+    for name, (kind, column) in columns.items():
         if kind == "sum":
-            summary.append(F.sum(value).alias(end))
-            carried.append(F.sum(end).over(earlier).alias(carry))
-            combined[name] = F.coalesce(F.sum(value).over(so_far), F.lit(0)) + F.coalesce(F.col(carry), F.lit(0))
+            values[name] = F.coalesce(F.sum(column).over(so_far), F.lit(0))
         elif kind == "max":
-            summary.append(F.max(value).alias(end))
-            carried.append(F.max(end).over(earlier).alias(carry))
-            combined[name] = F.greatest(F.max(value).over(so_far), F.col(carry))
+            values[name] = F.max(column).over(so_far)
         elif kind == "last":
-            summary.append(F.max_by(value, F.when(value.isNotNull(), F.struct(*order))).alias(end))
-            carried.append(F.last(end, ignorenulls=True).over(earlier).alias(carry))
-            combined[name] = F.coalesce(F.last(value, ignorenulls=True).over(so_far), F.col(carry))
+            values[name] = F.last(column, ignorenulls=True).over(so_far)
+        elif kind == "previous":
+            values[name] = F.lag(F.struct(column.alias("value"))).over(window)
         else:
             raise ValueError(f"unknown running kind: {kind}")
-    rows = _attach(rows, keys, summary, carried).withColumns(combined)
-    return rows.drop(RANGE, "_all", *[f"_in_{n}" for n in columns], *[f"_carry_{n}" for n in columns])
+    return values
+
+
+def _unwrap(kind: str, value: Column) -> Column:
+    return value.getField("value") if kind == "previous" else value
+
+
+def _range_ends(columns: dict[str, tuple[str, Column]], order: list[str]) -> list[Column]:
+    ends = []
+    for name, (kind, column) in columns.items():
+        if kind == "sum":
+            end = F.sum(column)
+        elif kind == "max":
+            end = F.max(column)
+        elif kind == "last":
+            end = F.max_by(column, F.when(column.isNotNull(), F.struct(*order)))
+        else:
+            end = F.max_by(F.struct(column.alias("value")), F.struct(*order))
+        ends.append(end.alias(f"_end_{name}"))
+    return ends
+
+
+def _carries(columns: dict[str, tuple[str, Column]], keys: list[str]) -> list[Column]:
+    by_range = Window.partitionBy(*keys).orderBy(RANGE)
+    earlier = by_range.rowsBetween(Window.unboundedPreceding, -1)
+    carries = []
+    for name, (kind, _) in columns.items():
+        end = F.col(f"_end_{name}")
+        if kind == "sum":
+            carry = F.coalesce(F.sum(end).over(earlier), F.lit(0))
+        elif kind == "max":
+            carry = F.max(end).over(earlier)
+        elif kind == "last":
+            carry = F.last(end, ignorenulls=True).over(earlier)
+        else:
+            carry = F.lag(end).over(by_range)
+        carries.append(carry.alias(f"_carry_{name}"))
+    return carries
+
+
+def _combined(kind: str, local: Column, carry: Column) -> Column:
+    if kind == "sum":
+        return local + F.coalesce(carry, F.lit(0))
+    if kind == "max":
+        return F.greatest(local, carry)
+    return _unwrap(kind, F.coalesce(local, carry))
 
 
 def with_offset(

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strataflow.operators.skew import hot_groups
 from strataflow.schema import PERCENTILES
 from strataflow.session import hot_rows as configured_hot_rows
 
@@ -15,14 +16,14 @@ OCTAVES = 20
 STEPS = 512
 
 
-def _moments(value: Column) -> list[Column]:
-    return [
-        F.count(value).alias("count_value"),
-        F.min(value).alias("min_value"),
-        F.max(value).alias("max_value"),
-        F.avg(value).alias("avg_value"),
-        F.stddev_samp(value).alias("stdev_value"),
-    ]
+def _moments(value: Column) -> dict[str, Column]:
+    return {
+        "count_value": F.count(value),
+        "min_value": F.min(value),
+        "max_value": F.max(value),
+        "avg_value": F.avg(value),
+        "stdev_value": F.stddev_samp(value),
+    }
 
 
 def _cell(value: Column, low: Column, high: Column) -> Column:
@@ -88,15 +89,21 @@ def distribution(
     rows = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
     if approximate:
         sketches = [F.percentile_approx("_v", p, 10_000).alias(n) for n, p in fractions.items()]
-        return rows.groupBy(*keys).agg(*_moments(F.col("_v")), *sketches)
+        moments = [m.alias(c) for c, m in _moments(F.col("_v")).items()]
+        return rows.groupBy(*keys).agg(*moments, *sketches)
 
-    # At most (rows / limit) groups are hot, which bounds every broadcast below.
-    hot = rows.groupBy(*keys).agg(*_moments(F.col("_v"))).where(F.col("count_value") > limit)
     exact = [
         F.expr(f"percentile_disc({p}D) WITHIN GROUP (ORDER BY _v)").alias(n) for n, p in fractions.items()
     ]
+    value = F.col("_v")
+    hot = hot_groups(rows, keys, {c: m for c, m in _moments(value).items() if c != "count_value"}, limit)
+    if hot is None:
+        return rows.groupBy(*keys).agg(*[m.alias(c) for c, m in _moments(value).items()], *exact)
+
+    # The hot groups are few, which bounds every broadcast here and below.
+    hot = hot.withColumnRenamed("group_rows", "count_value")
     cold = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").groupBy(*keys).agg(
-        *_moments(F.col("_v")), *exact
+        *[m.alias(c) for c, m in _moments(value).items()], *exact
     )
     large = hot.join(_large_group_percentiles(rows, hot, keys, fractions), keys)
     return cold.unionByName(large)

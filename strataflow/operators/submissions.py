@@ -14,11 +14,9 @@ from strataflow.operators.stats import latest_record
 def open_submissions(saves: DataFrame, key: str = "fingerprint", position: str = "seq") -> DataFrame:
     """Number submissions: a save whose token is absent or differs from the current one opens a new one."""
     tagged = with_previous(saves, [key], position, {"_last_token": "token"})
-    opens = F.col("token").isNull() | ~F.coalesce(F.col("token") == F.col("_last_token"), F.lit(False))
-    numbered = with_running(
-        tagged.withColumn("_opens", opens.cast("long")), [key], position, {"submission": ("sum", F.col("_opens"))}
-    )
-    return numbered.drop("_last_token", "_opens")
+    opens = F.col("token").isNull() | ~F.col("token").eqNullSafe(F.col("_last_token"))
+    numbered = with_running(tagged, [key], position, {"submission": ("sum", opens.cast("long"))})
+    return numbered.drop("_last_token")
 
 
 def last_writes(saves: DataFrame, position: str = "seq") -> DataFrame:

@@ -7,7 +7,7 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 HOT_ROWS_CONF = "spark.strataflow.hotGroupRows"
-HOT_ROWS_DEFAULT = 500_000
+HOT_ROWS_DEFAULT = 1_000_000
 
 
 def build_session(app: str = "strataflow", cores: str = "*", partitions: int = 8) -> SparkSession:

@@ -1,6 +1,6 @@
 """Queries on the given tables, one module per part of the system."""
 
-from workload import filters, profiles, registry, traffic  # noqa: F401
+from workload import catalogue, filters, profiles, registry, sheets, traffic  # noqa: F401
 from workload.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -6,6 +6,7 @@ as a common table expression, so that both engines see the same input.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from functools import cached_property
 
@@ -40,7 +41,7 @@ def with_views(*names: str) -> str:
 
     def need(name: str) -> None:
         for other in VIEWS:
-            if other != name and other not in needed and other in VIEWS[name]:
+            if other not in needed and re.search(rf"\b(FROM|JOIN)\s+{other}\b", VIEWS[name]):
                 need(other)
         needed.add(name)
 
