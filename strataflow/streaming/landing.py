@@ -1,0 +1,27 @@
+"""Landing of files for the stream: a copy named after name and content."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def land_files(spark: SparkSession, files: DataFrame, landing: str) -> int:
+    """Copy files to ``landing/<database_identifier>/<upload_id>.csv``; returns how many were new.
+
+    The file source knows files by name alone and would miss a file that was overwritten.
+    Under a name that carries the content, new content is a new file and old content is
+    not read again.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    landed = 0
+    for row in files.select("file_path", "database_identifier", "upload_id").collect():
+        source = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(row.file_path))
+        target = jvm.org.apache.hadoop.fs.Path(f"{landing}/{row.database_identifier}/{row.upload_id}.csv")
+        target_system = target.getFileSystem(conf)
+        if target_system.exists(target):
+            continue
+        # A name that the source ignores while the copy is under way.
+        part = jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{target.getName()}.part")
+        jvm.org.apache.hadoop.fs.FileUtil.copy(source.getFileSystem(conf), source, target_system, part, False, conf)
+        landed += bool(target_system.rename(part, target))
+    return landed

@@ -1,0 +1,101 @@
+"""Streams of catalogue rows: continuous filters, uploads by micro-batch, several sinks."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+
+from strataflow.functions.predicates import compile_predicate
+from strataflow.operators.fanout import FilterSpec, specs_from_registry
+from strataflow.plans.filtering import run_filters
+from strataflow.schema import check_columns
+from strataflow.sources.delimited import good_rows, malformed_rows, stream_delimited
+from strataflow.sources.sinks import append_batch
+
+POLL = "10 seconds"
+
+
+def _triggered(writer: DataStreamWriter, poll: str | None) -> DataStreamWriter:
+    """Poll for new files, or take what is there and stop."""
+    return writer.trigger(processingTime=poll) if poll else writer.trigger(availableNow=True)
+
+
+def stream_since(spark: SparkSession, path: str, schema: T.StructType, since: str | None = None) -> DataFrame:
+    """Parquet files as a stream: all of them, or those changed after ``since``."""
+    rows = spark.readStream.schema(schema).parquet(path)
+    if since is None:
+        return rows
+    return rows.where(F.col("_metadata.file_modification_time") > F.lit(since).cast("timestamp"))
+
+
+def continuous_filter(
+    rows: DataFrame, spec: FilterSpec, path: str, checkpoint: str, keep: tuple[str, ...] = (), poll: str | None = None
+) -> StreamingQuery:
+    """Select and filter without state, from a stream to a table."""
+    picked = rows.where(compile_predicate(spec.text)).select(*keep, *check_columns(list(spec.selections)))
+    writer = picked.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+    return _triggered(writer, poll).format("parquet").start(path)
+
+
+def with_registered(rows: DataFrame, databases: DataFrame) -> DataFrame:
+    """Stream-static join: rows of registered databases with their community."""
+    return rows.join(databases.select("database_identifier", "community_id"), "database_identifier")
+
+
+def process_uploads(
+    spark: SparkSession,
+    landing: str,
+    lake: str,
+    checkpoint: str,
+    load_registry: Callable[[], tuple[DataFrame, DataFrame]],
+    poll: str | None = None,
+) -> StreamingQuery:
+    """Run the active filters over each batch of arriving files.
+
+    A file lies in one batch, so an upload is a group of the batch. ``load_registry``
+    returns the current ``databases`` and ``filters`` and is called per batch: filters
+    started, stopped or edited meanwhile take effect with the next files. Progress is
+    committed after all sinks are written, and each sink overwrites its own batch, so a
+    replayed batch changes nothing. Files must be landed under names that carry their
+    content identity, see :func:`land_files`.
+    """
+
+    def batch(rows: DataFrame, batch_id: int) -> None:
+        databases, filters = load_registry()
+        specs = specs_from_registry(filters)
+        rows = rows.withColumn("upload_id", F.xxhash64("file_path")).persist()
+        try:
+            good = good_rows(rows).drop("file_path", "file_time")
+            append_batch(good, f"{lake}/results", batch_id)
+            append_batch(malformed_rows(rows), f"{lake}/quarantine", batch_id)
+            announced = rows.groupBy("upload_id", "database_identifier").agg(F.count(F.lit(1)).alias("rows"))
+            append_batch(announced, f"{lake}/uploads", batch_id)
+            if specs:
+                filtered = run_filters(good, announced, databases, specs)
+                append_batch(filtered.output, f"{lake}/filtered", batch_id)
+                append_batch(filtered.checked, f"{lake}/counts", batch_id)
+                append_batch(filtered.ready, f"{lake}/data_ready", batch_id)
+        finally:
+            rows.unpersist()
+
+    writer = stream_delimited(spark, f"{landing}/*").writeStream.foreachBatch(batch)
+    return _triggered(writer.option("checkpointLocation", checkpoint), poll).start()
+
+
+def to_several(rows: DataFrame, sinks: dict[str, Callable[[DataFrame], DataFrame]], root: str, checkpoint: str, poll: str | None = None) -> StreamingQuery:
+    """Write several projections of one stream, reading it once."""
+
+    def batch(part: DataFrame, batch_id: int) -> None:
+        part = part.persist()
+        try:
+            for name, project in sinks.items():
+                append_batch(project(part), f"{root}/{name}", batch_id)
+        finally:
+            part.unpersist()
+
+    writer = rows.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+    return _triggered(writer, poll).start()
