@@ -36,23 +36,25 @@ def answer_kind(question_type: Column) -> Column:
     return F.try_element_at(mapping, question_type)
 
 
-def _parse_date(value: Column, pattern: Column) -> Column:
-    return F.try_to_timestamp(value, F.coalesce(pattern, F.lit(DATE_FORMAT))).cast("date")
+def parse_date(value: Column, pattern: Column) -> Column:
+    """Date in the given pattern; the usual pattern needs no formatter."""
+    usual = F.when(value.rlike(r"^\d{4}-\d{2}-\d{2}$"), value.try_cast("date"))
+    return F.when(F.coalesce(pattern, F.lit(DATE_FORMAT)) == DATE_FORMAT, usual).otherwise(
+        F.try_to_timestamp(value, pattern).cast("date")
+    )
 
 
-def typed_columns(value: Column, question_type: Column, separator: str = CHOICE_SEPARATOR) -> dict[str, Column]:
+def typed_columns(value: Column, kind: Column, separator: str = CHOICE_SEPARATOR) -> dict[str, Column]:
     """One typed column per kind of answer; all but one of them are NULL."""
-    kind = answer_kind(question_type)
 
     def when(name: str, column: Column) -> Column:
         return F.when(kind == name, column)
 
     return {
-        "answer_kind": kind,
         "text_value": when("text", value),
         "integer_value": when("integer", value.try_cast("long")),
         "numeric_value": when("numeric", value.try_cast("double")),
-        "date_value": when("date", _parse_date(value, F.lit(DATE_FORMAT))),
+        "date_value": when("date", parse_date(value, F.lit(DATE_FORMAT))),
         "choice_value": when("choice", value),
         "choices_value": when("choices", split_choices(value, separator)),
         "json_value": when("json", value),
@@ -69,53 +71,63 @@ def join_choices(choices: Column, separator: str = CHOICE_SEPARATOR) -> Column:
     return F.array_join(choices, separator)
 
 
-def check_columns(cell: Column) -> dict[str, Column]:
-    """Typed checks of a constraints cell, one column each; prepare these per question."""
+def checks_of(cell: Column, question_type: Column) -> Column:
+    """Checks of a question as an array of ``(code, argument, pattern)``: declared ones and those of its type."""
     parsed = parse_constraints(F.coalesce(cell, F.lit("")))
+    kind = answer_kind(question_type)
+    nothing = F.lit(None).cast("string")
 
-    def value(name: str) -> Column:
-        return constraint_value(parsed, name)
-
-    pattern = value("format")
-    return {
-        "check_required": F.coalesce(value("required") == "true", F.lit(False)),
-        "check_min_length": value("min_length").try_cast("long"),
-        "check_max_length": value("max_length").try_cast("long"),
-        "check_regex": value("regex"),
-        "check_min_value": value("min_value").try_cast("double"),
-        "check_max_value": value("max_value").try_cast("double"),
-        "check_min_date": _parse_date(value("min_date"), pattern),
-        "check_max_date": _parse_date(value("max_date"), pattern),
-        "check_format": pattern,
-    }
+    def check(code: str, applies: Column, argument: Column = nothing, pattern: Column = nothing) -> Column:
+        record = F.struct(F.lit(code).alias("code"), argument.alias("argument"), pattern.alias("pattern"))
+        return F.when(F.coalesce(applies, F.lit(False)), record)
 
+    def declared(name: str, applies: Column, pattern: Column = nothing) -> Column:
+        value = constraint_value(parsed, name)
+        return check(name, applies & value.isNotNull(), value, pattern)
 
-def error_codes(value: Column, question_type: Column) -> Column:
-    """Codes of the checks that an answer fails; needs the columns of :func:`check_columns`."""
-    kind = answer_kind(question_type)
-    empty = F.coalesce(F.trim(value) == "", F.lit(True))
     text, number, dated = kind == "text", kind.isin("integer", "numeric"), kind == "date"
-    as_number = value.try_cast("double")
-    as_date = _parse_date(value, F.col("check_format"))
-    whole = value.try_cast("long")
-
-    def failed(code: str, condition: Column) -> Column:
-        return F.when(F.coalesce(condition, F.lit(False)), F.lit(code))
-
+    pattern = F.coalesce(constraint_value(parsed, "format"), F.lit(DATE_FORMAT))
     return F.array_compact(
         F.array(
-            failed("required", empty & F.col("check_required")),
-            failed("min_length", ~empty & text & (F.length(value) < F.col("check_min_length"))),
-            failed("max_length", ~empty & text & (F.length(value) > F.col("check_max_length"))),
-            failed("regex", ~empty & text & ~F.rlike(value, F.col("check_regex"))),
-            failed("email", ~empty & (question_type == "email") & ~value.rlike(EMAIL)),
-            failed("url", ~empty & (question_type == "url") & ~value.rlike(URL)),
-            failed("not_integer", ~empty & (kind == "integer") & whole.isNull()),
-            failed("not_numeric", ~empty & (kind == "numeric") & as_number.isNull()),
-            failed("min_value", ~empty & number & (as_number < F.col("check_min_value"))),
-            failed("max_value", ~empty & number & (as_number > F.col("check_max_value"))),
-            failed("format", ~empty & dated & as_date.isNull()),
-            failed("min_date", ~empty & dated & (as_date < F.col("check_min_date"))),
-            failed("max_date", ~empty & dated & (as_date > F.col("check_max_date"))),
+            declared("min_length", text),
+            declared("max_length", text),
+            declared("regex", text),
+            check("email", question_type == "email"),
+            check("url", question_type == "url"),
+            check("not_integer", kind == "integer"),
+            check("not_numeric", kind == "numeric"),
+            declared("min_value", number),
+            declared("max_value", number),
+            check("format", dated, pattern, pattern),
+            declared("min_date", dated, pattern),
+            declared("max_date", dated, pattern),
         )
     )
+
+
+def is_required(cell: Column) -> Column:
+    return F.coalesce(constraint_value(parse_constraints(F.coalesce(cell, F.lit(""))), "required") == "true", F.lit(False))
+
+
+def fails_check(value: Column) -> Column:
+    """Whether an answer fails the check of columns ``code, number, text, date, pattern``."""
+    code, number, text, date = (F.col(c) for c in ("code", "number", "text", "date"))
+    failed = (
+        F.when(code == "min_length", F.length(value) < number)
+        .when(code == "max_length", F.length(value) > number)
+        .when(code == "min_value", value.try_cast("double") < number)
+        .when(code == "max_value", value.try_cast("double") > number)
+        .when(code == "regex", ~F.rlike(value, text))
+        .when(code == "email", ~value.rlike(EMAIL))
+        .when(code == "url", ~value.rlike(URL))
+        .when(code == "not_integer", value.try_cast("long").isNull())
+        .when(code == "not_numeric", value.try_cast("double").isNull())
+    )
+    parsed = parse_date(value, F.col("pattern"))
+    dated = (
+        F.when(code == "format", parsed.isNull())
+        .when(code == "min_date", parsed < date)
+        .when(code == "max_date", parsed > date)
+    )
+    # Dates apart: two small conditions compile better than a large one.
+    return F.when(F.col("pattern").isNull(), failed).otherwise(dated)

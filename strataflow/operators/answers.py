@@ -7,7 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.functions.typed_values import check_columns, error_codes, split_choices, typed_columns
+from strataflow.functions.typed_values import (
+    answer_kind,
+    checks_of,
+    fails_check,
+    is_required,
+    parse_date,
+    split_choices,
+    typed_columns,
+)
+from strataflow.operators.skew import small_side
 
 PERMISSIONS = ("visible", "indexable", "exportable")
 
@@ -29,34 +38,60 @@ def non_empty(answers: DataFrame) -> DataFrame:
 
 def expected_answers(fingerprints: DataFrame, questions: DataFrame, answers: DataFrame) -> DataFrame:
     """A row per fingerprint and question of its questionnaire; unanswered ones have a NULL value."""
-    expected = fingerprints.join(questions, "questionnaire")
+    expected = fingerprints.join(small_side(questions), "questionnaire")
     return expected.join(answers, ["fingerprint", "question"], "left")
 
 
 def type_answers(answers: DataFrame, questions: DataFrame) -> DataFrame:
     """Answers with one typed column per kind."""
-    typed = answers.join(questions.select("question", "type"), "question")
-    return typed.withColumns(typed_columns(F.col("value"), F.col("type")))
+    kinds = questions.select("question", "type", answer_kind(F.col("type")).alias("answer_kind"))
+    typed = answers.join(small_side(kinds), "question")
+    return typed.withColumns(typed_columns(F.col("value"), F.col("answer_kind")))
+
+
+def question_checks(questions: DataFrame) -> DataFrame:
+    """One row per question and check, its argument typed."""
+    listed = questions.select("question", F.inline(checks_of(F.col("constraints"), F.col("type"))))
+    return listed.select(
+        "question",
+        "code",
+        F.col("argument").try_cast("double").alias("number"),
+        F.col("argument").alias("text"),
+        F.when(F.col("pattern").isNotNull(), parse_date(F.col("argument"), F.col("pattern"))).alias("date"),
+        "pattern",
+    )
 
 
 def answer_errors(answers: DataFrame, questions: DataFrame) -> DataFrame:
-    """A row per answer and failed check; checks are parsed once per question."""
-    prepared = questions.select("question", "type", *[c.alias(n) for n, c in check_columns(F.col("constraints")).items()])
-    joined = answers.join(prepared, "question")
-    return joined.select("fingerprint", "question", F.explode(error_codes(F.col("value"), F.col("type"))).alias("code"))
+    """A row per given answer and failed check.
+
+    The checks of all questions are a small table, so answers are read once and their
+    texts stay where they are.
+    """
+    checked = non_empty(answers).join(small_side(question_checks(questions)), "question")
+    return checked.where(fails_check(F.col("value"))).select("fingerprint", "question", "code")
+
+
+def missing_answers(fingerprints: DataFrame, questions: DataFrame, answers: DataFrame) -> DataFrame:
+    """Required questions without an answer, from the keys of the answers alone."""
+    required = questions.where(is_required(F.col("constraints"))).select("questionnaire", "question")
+    expected = fingerprints.select("fingerprint", "questionnaire").join(small_side(required), "questionnaire")
+    given = non_empty(answers).join(small_side(required.select("question").distinct()), "question", "left_semi")
+    missing = expected.join(given.select("fingerprint", "question"), ["fingerprint", "question"], "left_anti")
+    return missing.select("fingerprint", "question", F.lit("required").alias("code"))
 
 
 def resolve_choices(answers: DataFrame, choices: DataFrame) -> DataFrame:
     """Chosen values as choice keys; ``known`` is false for values that are no choice."""
     chosen = answers.select("fingerprint", "question", F.explode(split_choices(F.col("value"))).alias("ident"))
     keyed = choices.select("question", "ident", "choice_key")
-    return chosen.join(keyed, ["question", "ident"], "left").withColumn("known", F.col("choice_key").isNotNull())
+    return chosen.join(small_side(keyed), ["question", "ident"], "left").withColumn("known", F.col("choice_key").isNotNull())
 
 
 def unknown_choices(answers: DataFrame, choices: DataFrame) -> DataFrame:
     """Chosen values to reject."""
     chosen = answers.select("fingerprint", "question", F.explode(split_choices(F.col("value"))).alias("ident"))
-    return chosen.join(choices.select("question", "ident"), ["question", "ident"], "left_anti")
+    return chosen.join(small_side(choices.select("question", "ident")), ["question", "ident"], "left_anti")
 
 
 def surplus_answers(answers: DataFrame, dependencies: DataFrame, selected: DataFrame) -> DataFrame:
@@ -71,7 +106,7 @@ def surplus_answers(answers: DataFrame, dependencies: DataFrame, selected: DataF
         F.col("choice").alias("requires_choice"),
         F.lit(True).alias("_met"),
     ).distinct()
-    dependent = answers.join(dependencies, "question")
+    dependent = answers.join(small_side(dependencies), "question")
     return (
         dependent.join(met, ["fingerprint", "requires_question", "requires_choice"], "left")
         .withColumn("surplus", F.col("_met").isNull())
@@ -88,11 +123,11 @@ def fill_percentage(fingerprints: DataFrame, questions: DataFrame, answers: Data
     totals = questions.groupBy("questionnaire", "question_set").agg(F.count(F.lit(1)).alias("questions"))
     answered = (
         non_empty(answers)
-        .join(questions.select("question", "question_set"), "question")
+        .join(small_side(questions.select("question", "question_set")), "question")
         .groupBy("fingerprint", "question_set")
         .agg(F.count_distinct("question").alias("answered"))
     )
-    expected = fingerprints.select("fingerprint", "questionnaire").join(totals, "questionnaire")
+    expected = fingerprints.select("fingerprint", "questionnaire").join(small_side(totals), "questionnaire")
     filled = expected.join(answered, ["fingerprint", "question_set"], "left")
     return filled.select(
         "fingerprint",
@@ -109,11 +144,11 @@ def publishable(fingerprints: DataFrame, questions: DataFrame, answers: DataFram
     needed = required.groupBy("questionnaire").agg(F.count(F.lit(1)).alias("_needed"))
     given = (
         non_empty(answers)
-        .join(required.select("question"), "question", "left_semi")
+        .join(small_side(required.select("question")), "question", "left_semi")
         .groupBy("fingerprint")
         .agg(F.count_distinct("question").alias("_given"))
     )
-    checked = fingerprints.join(needed, "questionnaire", "left").join(given, "fingerprint", "left")
+    checked = fingerprints.join(small_side(needed), "questionnaire", "left").join(given, "fingerprint", "left")
     missing = F.coalesce("_needed", F.lit(0)) - F.coalesce("_given", F.lit(0))
     return checked.withColumn("missing_required", missing).withColumn("complete", missing == 0).drop("_needed", "_given")
 

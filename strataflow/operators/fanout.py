@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from strataflow.functions.predicates import compile_predicate
 from strataflow.operators.ordered import with_running
 from strataflow.schema import ACTIVE, check_columns
+from strataflow.session import local_table
 
 
 @dataclass(frozen=True)
@@ -116,4 +117,4 @@ def data_ready(counts: DataFrame, upload: str, identifier: str) -> DataFrame:
 def selection_table(specs: Iterable[FilterSpec], spark) -> DataFrame:
     """Filter ids with their selected columns in order."""
     rows = [(s.filter_id, i, c) for s in specs for i, c in enumerate(check_columns(list(s.selections)))]
-    return spark.createDataFrame(rows, "filter_id long, place int, column string")
+    return local_table(spark, rows, "filter_id long, place int, column string")

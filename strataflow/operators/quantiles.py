@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,6 +33,29 @@ def _cell(value: Column, low: Column, high: Column) -> Column:
     return F.floor(F.log2(F.lit(1.0) + share * F.lit(float(2**OCTAVES))) * F.lit(float(STEPS)))
 
 
+def _rank(fraction: float, count: Column) -> Column:
+    """Rank of a discrete percentile, in whole numbers: a tenth of thirty rows is the third."""
+    part = Fraction(str(fraction))
+    scaled = count * F.lit(part.numerator) + F.lit(part.denominator - 1)
+    whole = (scaled - F.pmod(scaled, F.lit(part.denominator))) / F.lit(part.denominator)
+    return F.greatest(F.lit(1), whole.cast("long"))
+
+
+def _small_group_statistics(rows: DataFrame, keys: list[str], fractions: dict[str, float]) -> DataFrame:
+    """Statistics of groups that fit a task: one shuffle and one sort, which may spill."""
+    group = Window.partitionBy(*keys)
+    value, place, count = F.col("_v"), F.col("_place"), F.col("_n")
+    placed = rows.select(
+        *keys, "_v", F.row_number().over(group.orderBy("_v")).alias("_place"), F.count("_v").over(group).alias("_n")
+    )
+    return placed.groupBy(*keys).agg(
+        *[m.alias(c) for c, m in _moments(value).items()],
+        *[F.max(F.when(place == _rank(p, count), value)).alias(n) for n, p in fractions.items()],
+    )
+
+
+
+
 def _large_group_percentiles(rows: DataFrame, hot: DataFrame, keys: list[str], fractions: dict[str, float]) -> DataFrame:
     """Percentiles of groups too big for one task.
 
@@ -46,12 +70,10 @@ def _large_group_percentiles(rows: DataFrame, hot: DataFrame, keys: list[str], f
     cells = placed.groupBy(*keys, "_cell").agg(F.count(F.lit(1)).alias("_cell_n"))
     cells = cells.withColumn("_upto", F.sum("_cell_n").over(upto))
 
-    wanted = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.lit(p).alias("p")) for n, p in fractions.items()]))
-    ranks = hot.select(*keys, "count_value", wanted.alias("_w")).select(
-        *keys,
-        F.col("_w.name").alias("_name"),
-        F.greatest(F.lit(1), F.ceil(F.col("_w.p") * F.col("count_value"))).alias("_rank"),
-    )
+    wanted = [
+        F.struct(F.lit(n).alias("_name"), _rank(p, F.col("count_value")).alias("_rank")) for n, p in fractions.items()
+    ]
+    ranks = hot.select(*keys, F.inline(F.array(*wanted)))
     targets = cells.join(F.broadcast(ranks), keys).where(
         (F.col("_upto") >= F.col("_rank")) & (F.col("_upto") - F.col("_cell_n") < F.col("_rank"))
     ).select(*keys, "_cell", "_name", (F.col("_rank") - F.col("_upto") + F.col("_cell_n")).alias("_rank"))
@@ -92,18 +114,13 @@ def distribution(
         moments = [m.alias(c) for c, m in _moments(F.col("_v")).items()]
         return rows.groupBy(*keys).agg(*moments, *sketches)
 
-    exact = [
-        F.expr(f"percentile_disc({p}D) WITHIN GROUP (ORDER BY _v)").alias(n) for n, p in fractions.items()
-    ]
     value = F.col("_v")
     hot = hot_groups(rows, keys, {c: m for c, m in _moments(value).items() if c != "count_value"}, limit)
     if hot is None:
-        return rows.groupBy(*keys).agg(*[m.alias(c) for c, m in _moments(value).items()], *exact)
+        return _small_group_statistics(rows, keys, fractions)
 
     # The hot groups are few, which bounds every broadcast here and below.
     hot = hot.withColumnRenamed("group_rows", "count_value")
-    cold = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").groupBy(*keys).agg(
-        *[m.alias(c) for c, m in _moments(value).items()], *exact
-    )
+    cold = _small_group_statistics(rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti"), keys, fractions)
     large = hot.join(_large_group_percentiles(rows, hot, keys, fractions), keys)
     return cold.unionByName(large)

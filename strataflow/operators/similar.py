@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataflow.session import cut_lineage
+from strataflow.session import cut_lineage, local_table
 
 MOST_PIVOTS = 1024
 BLOCK_ROWS = 4096
@@ -88,6 +88,22 @@ def _nearest(k: int):
     return nearest
 
 
+def _cells(
+    queries: DataFrame, items: DataFrame, k: int, pivots: int
+) -> tuple[DataFrame, DataFrame, dict[int, int]]:
+    """Items in their cells, queries in the cells they need, and the size of each cell."""
+    picked = items.orderBy(F.xxhash64("id"), "id").limit(pivots).toPandas()
+    centres = _matrix(picked["vector"])
+    schema = f"{items.schema.simpleString()[7:-1]}, cell int"
+    placed = items.mapInPandas(_place(centres), schema + ", far double")
+    measured = placed.groupBy("cell").agg(F.max("far").alias("radius"), F.count(F.lit(1)).alias("n")).collect()
+    radius, size = np.zeros(len(centres)), np.zeros(len(centres), dtype=np.int64)
+    for c in measured:
+        radius[c.cell], size[c.cell] = c.radius, c.n
+    sent = queries.mapInPandas(_send(centres, radius, size, k), schema)
+    return placed.drop("far"), sent, {c.cell: c.n for c in measured}
+
+
 def top_neighbours(
     queries: DataFrame, items: DataFrame, k: int, vector: str = "vector", block: int = BLOCK_ROWS
 ) -> DataFrame:
@@ -95,28 +111,20 @@ def top_neighbours(
 
     Both sides need ``id`` and the vector column; ties go to the lower id.
     """
-    items = items.select("id", F.col(vector).alias("vector"))
-    queries = queries.select("id", F.col(vector).alias("vector"))
+    items = items.select(F.col("id").alias("id"), F.col(vector).alias("vector"))
+    queries = queries.select(F.col("id").alias("id"), F.col(vector).alias("vector"))
+    spark = items.sparkSession
     total = items.count()
-    # A single cell serves what fits one block anyway.
-    wanted = 1 if total <= block else min(MOST_PIVOTS, int(total**0.5))
-    picked = items.orderBy(F.xxhash64("id"), "id").limit(wanted).toPandas()
-    if not len(picked):
-        return items.sparkSession.createDataFrame([], "query_id long, item_id long, similarity double, place int")
-    pivots = _matrix(picked["vector"])
-
-    schema = f"{items.schema.simpleString()[7:-1]}, cell int"
-    placed = items.mapInPandas(_place(pivots), schema + ", far double")
-    cells = placed.groupBy("cell").agg(F.max("far").alias("radius"), F.count(F.lit(1)).alias("n")).collect()
-    radius, size = np.zeros(len(pivots)), np.zeros(len(pivots), dtype=np.int64)
-    for c in cells:
-        radius[c.cell], size[c.cell] = c.radius, c.n
-
-    sent = queries.mapInPandas(_send(pivots, radius, size, k), schema)
-    loads = {c.cell: c.n for c in sent.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if total <= block:  # one cell holds what fits one block
+        placed, sent = items.withColumn("cell", F.lit(0)), queries.withColumn("cell", F.lit(0))
+        size, loads = {0: total}, {0: queries.count()}
+    else:
+        placed, sent, size = _cells(queries, items, k, min(MOST_PIVOTS, int(total**0.5)))
+        loads = {c.cell: c.n for c in sent.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
     # One row per pivot: how many blocks each cell's items and queries are cut into.
-    cuts = items.sparkSession.createDataFrame(
-        [(c, int(-(-size[c] // block)) or 1, int(-(-loads.get(c, 0) // block)) or 1) for c in range(len(pivots))],
+    cuts = local_table(
+        spark,
+        [(c, -(-n // block) or 1, -(-loads.get(c, 0) // block) or 1) for c, n in size.items()],
         "cell int, item_blocks int, query_blocks int",
     )
     own = F.pmod(F.xxhash64("id"), F.col("item_blocks")).cast("int")
@@ -160,4 +168,4 @@ def similar_funnel(
         for place, condition in enumerate(filters, 1):
             kept = kept.where(condition)
             counts.append((number, f"filter_{place}", kept.count()))
-    return spark.createDataFrame(counts, "stage int, step string, items long")
+    return local_table(spark, counts, "stage int, step string, items long")

@@ -8,7 +8,6 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from strataflow.operators.profile import (
     as_catalogue_rows,
@@ -17,6 +16,7 @@ from strataflow.operators.profile import (
     permitted_analyses,
 )
 from strataflow.schema import RUN_ACCOUNTING_BASE
+from strataflow.session import local_table
 
 # Fixed value: the count of an accounting row.
 ACCOUNTING_COUNT = 6
@@ -61,7 +61,8 @@ def write_profile(
         analysis.rows(tables, by).write.mode("overwrite").parquet(f"{path}/rows/analysis={analysis.analysis_id}")
         elapsed[analysis.analysis_id] = time.monotonic() - started
     spark = next(iter(tables.values())).sparkSession
-    log = spark.createDataFrame(
+    log = local_table(
+        spark,
         [(RUN_ACCOUNTING_BASE + a, f"{s:.6f} secs", ACCOUNTING_COUNT) for a, s in elapsed.items()],
         "analysis_id long, elapsed string, count_value long",
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from strataflow.operators.answers import (
     answer_errors,
-    expected_answers,
+    missing_answers,
     resolve_choices,
     surplus_answers,
     type_answers,
@@ -36,14 +36,11 @@ def validate_answers(
     """``choices``: question, ident, choice_key; ``dependencies``: question, requires_question, requires_choice."""
     choice_questions = questions.where(F.col("type").isin("single choice", "multiple choice")).select("question")
     chosen = answers.join(choice_questions, "question", "left_semi")
-    expected = expected_answers(
-        fingerprints.select("fingerprint", "questionnaire"), questions.select("questionnaire", "question"), answers
-    )
     resolved = resolve_choices(chosen, choices)
     selected = resolved.where("known").select("fingerprint", "question", F.col("ident").alias("choice"))
     return Validated(
         typed=type_answers(answers, questions),
-        errors=answer_errors(expected.select("fingerprint", "question", "value"), questions),
+        errors=answer_errors(answers, questions).unionByName(missing_answers(fingerprints, questions, answers)),
         choices=resolved,
         rejected_choices=unknown_choices(chosen, choices),
         surplus=surplus_answers(answers, dependencies, selected).where("surplus"),

@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 HOT_ROWS_CONF = "spark.strataflow.hotGroupRows"
 HOT_ROWS_DEFAULT = 1_000_000
@@ -50,3 +54,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+def local_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """Few rows as a table whose size the optimizer knows, so that it can choose to broadcast it."""
+    fields = T.StructType.fromDDL(schema)
+    table = pa.Table.from_pylist([dict(zip(fields.names, r)) for r in rows], schema=to_arrow_schema(fields))
+    return spark.createDataFrame(table, fields)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from strataflow.functions import sheet_cells, text, typed_values
 from strataflow.functions.predicates import FilterTextError, compile_predicate
 from strataflow.functions.templates import TemplateError, parse_template
+from strataflow.operators.answers import answer_errors, missing_answers
 from strataflow.schema import UPLOAD_SCHEMA, check_columns
 from strataflow.sources.messages import decode_avro, decode_json, encode_json
 
@@ -146,17 +147,21 @@ def test_cells(spark):
     ],
 )
 def test_answer_checks(spark, kind, value, constraints, codes):
-    rows = spark.createDataFrame([(kind, value, constraints)], "type string, value string, constraints string")
-    checks = typed_values.check_columns(F.col("constraints"))
-    rows = rows.withColumns(checks)
-    assert rows.select(typed_values.error_codes(F.col("value"), F.col("type")).alias("e")).first().e == codes
+    questions = spark.createDataFrame(
+        [(1, "q", kind, constraints)], "questionnaire int, question string, type string, constraints string"
+    )
+    fingerprints = spark.createDataFrame([(5, 1)], "fingerprint int, questionnaire int")
+    given = spark.createDataFrame([(5, "q", value)], "fingerprint int, question string, value string")
+    errors = answer_errors(given, questions).unionByName(missing_answers(fingerprints, questions, given))
+    assert sorted(r.code for r in errors.collect()) == sorted(codes)
 
 
 def test_typed_columns(spark):
     rows = spark.createDataFrame(
         [("date", "2021-02-30"), ("integer", "12"), ("multiple choice", "a, b,,c"), ("publication", "{}"), ("image", "x")],
         "type string, value string",
-    ).withColumns(typed_values.typed_columns(F.col("value"), F.col("type")))
+    ).withColumn("answer_kind", typed_values.answer_kind(F.col("type")))
+    rows = rows.withColumns(typed_values.typed_columns(F.col("value"), F.col("answer_kind")))
     got = {r.type: r for r in rows.collect()}
     assert got["date"].date_value is None and got["date"].answer_kind == "date"
     assert got["integer"].integer_value == 12 and got["integer"].text_value is None

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from strataflow.functions.text import to_micros
 from strataflow.operators.fanout import FilterSpec
 from strataflow.operators.routing import Application
+from strataflow.session import local_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -188,7 +189,7 @@ class Tables:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
     def values(self, rows: list[tuple], schema: str) -> DataFrame:
-        return self.spark.createDataFrame(rows, schema)
+        return local_table(self.spark, rows, schema)
 
     @cached_property
     def communities(self) -> DataFrame:

@@ -247,12 +247,10 @@ UNION ALL SELECT fingerprint, question, 'url' FROM form_answers
   WHERE question = 'homepage' AND NOT regexp_matches(value, '{URL}')""",
 )
 def _answer_errors(t):
-    expected = answers.expected_answers(
-        fingerprints(t).select("fingerprint", "questionnaire"),
-        questions(t).select("questionnaire", "question"),
-        document_answers(t),
-    ).select("fingerprint", "question", "value")
-    return answers.answer_errors(expected.unionByName(form_answers(t)), questions(t))
+    given = document_answers(t)
+    failed = answers.answer_errors(given.unionByName(form_answers(t)), questions(t))
+    missing = answers.missing_answers(fingerprints(t), questions(t), given)
+    return failed.unionByName(missing)
 
 
 @query(
