@@ -14,23 +14,50 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataflow.operators.skew import hot_groups
+from strataflow.session import cut_lineage
 from strataflow.session import hot_rows as configured_hot_rows
 
 RANGE = "_range"
 COLD = -1
+SPANS = 32
+
+
+def _spans(df: DataFrame, keys: list[str], hot: DataFrame, position: str, limit: int) -> DataFrame:
+    """Stretches of each hot key with about as many rows each, as an array of cut instructions.
+
+    The borders are approximate quantiles, so that rows crowded in a short stretch of the
+    order are cut finely; they are stored, every task sees the same ones.
+    """
+    marks = [i / SPANS for i in range(1, SPANS)]
+    rows = df.join(F.broadcast(hot.select(*keys)), keys, "left_semi")
+    quantiles = rows.groupBy(*keys).agg(F.percentile_approx(position, marks, 1000).alias("_marks"))
+    starts = F.array_sort(F.array_distinct(F.concat(F.array("_low"), F.col("_marks"))))
+    bounds = hot.join(F.broadcast(quantiles), keys).withColumn("_starts", starts)
+    pieces = F.ceil(F.col("group_rows") / F.lit(limit) / F.size("_starts"))
+    ends = F.concat(F.slice("_starts", F.lit(2), F.size("_starts")), F.array(F.col("_high") + 1))
+    cut = bounds.withColumn("_pieces", pieces).withColumn(
+        "_spans",
+        F.transform(
+            F.arrays_zip(F.col("_starts").alias("low"), ends.alias("next")),
+            lambda span, place: F.struct(
+                span["low"].alias("low"),
+                F.greatest(F.lit(1), F.ceil((span["next"] - span["low"]) / F.col("_pieces"))).alias("width"),
+                (place * F.col("_pieces")).alias("first"),
+            ),
+        ),
+    )
+    return cut_lineage(cut.select(*keys, "_spans"))
 
 
 def _with_ranges(df: DataFrame, keys: list[str], hot: DataFrame, position: str, limit: int) -> DataFrame:
     """Add the range number of each row: -1 for keys that need no split."""
-    pieces = F.ceil(F.col("group_rows") / F.lit(limit))
-    cuts = hot.select(
-        *keys,
-        "_low",
-        F.greatest(F.lit(1), F.ceil((F.col("_high") - F.col("_low") + 1) / pieces)).alias("_width"),
-    )
-    number = F.floor((F.col(position) - F.col("_low")) / F.col("_width"))
-    tagged = df.join(F.broadcast(cuts), keys, "left")
-    return tagged.withColumn(RANGE, F.coalesce(number, F.lit(COLD)).cast("long")).drop("_low", "_width")
+    at = F.col(position)
+    span = F.element_at(F.filter("_spans", lambda s: s["low"] <= at), -1)
+    number = span["first"] + F.floor((at - span["low"]) / span["width"])
+    tagged = df.join(F.broadcast(_spans(df, keys, hot, position, limit)), keys, "left")
+    return tagged.withColumn(
+        RANGE, F.when(F.col("_spans").isNotNull(), number).otherwise(F.lit(COLD)).cast("long")
+    ).drop("_spans")
 
 
 def with_previous(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from strataflow.operators.skew import hot_groups
 from strataflow.schema import PERCENTILES
+from strataflow.session import cut_lineage
 from strataflow.session import hot_rows as configured_hot_rows
 
 # Log-linear histogram: twenty octaves between the extremes, this many steps in each.
@@ -56,39 +57,51 @@ def _small_group_statistics(rows: DataFrame, keys: list[str], fractions: dict[st
 
 
 
-def _large_group_percentiles(rows: DataFrame, hot: DataFrame, keys: list[str], fractions: dict[str, float]) -> DataFrame:
+def _large_group_percentiles(
+    rows: DataFrame, hot: DataFrame, keys: list[str], fractions: dict[str, float], limit: int
+) -> DataFrame:
     """Percentiles of groups too big for one task.
 
-    A histogram finds the cell that holds each wanted rank; only the rows of these cells
-    are then ordered. Cells depend on the group's extremes alone, so a recomputed task
-    places every row as before.
+    Each wanted rank is followed through histograms: the cell that holds it becomes the
+    next interval, until an interval has few rows; only those are ordered. A histogram is
+    an aggregation with map-side combine, a step narrows an interval by thousands of
+    cells, and the intervals, one per hot group and percentile, are stored between steps.
     """
-    placed = rows.join(F.broadcast(hot.select(*keys, "min_value", "max_value")), keys).select(
-        *keys, "_v", _cell(F.col("_v"), F.col("min_value"), F.col("max_value")).alias("_cell")
-    )
-    upto = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
-    cells = placed.groupBy(*keys, "_cell").agg(F.count(F.lit(1)).alias("_cell_n"))
-    cells = cells.withColumn("_upto", F.sum("_cell_n").over(upto))
-
     wanted = [
         F.struct(F.lit(n).alias("_name"), _rank(p, F.col("count_value")).alias("_rank")) for n, p in fractions.items()
     ]
-    ranks = hot.select(*keys, F.inline(F.array(*wanted)))
-    targets = cells.join(F.broadcast(ranks), keys).where(
-        (F.col("_upto") >= F.col("_rank")) & (F.col("_upto") - F.col("_cell_n") < F.col("_rank"))
-    ).select(*keys, "_cell", "_name", (F.col("_rank") - F.col("_upto") + F.col("_cell_n")).alias("_rank"))
-
-    # One target row per hot group and percentile.
-    wanted_cells = targets.select(*keys, "_cell").distinct()
-    values = placed.join(F.broadcast(wanted_cells), [*keys, "_cell"]).groupBy(*keys, "_cell", "_v").agg(
-        F.count(F.lit(1)).alias("_n")
-    )
-    within = Window.partitionBy(*keys, "_cell").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    values = values.withColumn("_within", F.sum("_n").over(within))
-    picked = values.join(F.broadcast(targets), [*keys, "_cell"]).where(
-        (F.col("_within") >= F.col("_rank")) & (F.col("_within") - F.col("_n") < F.col("_rank"))
+    sought = hot.select(
+        *keys,
+        F.col("min_value").alias("_low"),
+        F.col("max_value").alias("_high"),
+        F.col("count_value").alias("_n"),
+        F.inline(F.array(*wanted)),
     )
-    return picked.groupBy(*keys).pivot("_name", list(fractions)).agg(F.max("_v"))
+    span = [*keys, "_low", "_high"]
+
+    def within(intervals: DataFrame) -> DataFrame:
+        spans = F.broadcast(intervals.select(*span).distinct())
+        return rows.join(spans, keys).where(F.col("_v").between(F.col("_low"), F.col("_high")))
+
+    def follow(steps: DataFrame, order: str) -> DataFrame:
+        upto = Window.partitionBy(*span).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+        reached = steps.withColumn("_upto", F.sum("_step_n").over(upto)).join(F.broadcast(sought), span)
+        before = F.col("_upto") - F.col("_step_n")
+        return reached.where((F.col("_upto") >= F.col("_rank")) & (before < F.col("_rank"))).withColumn(
+            "_rank", F.col("_rank") - before
+        )
+
+    while not sought.where((F.col("_n") > limit) & (F.col("_low") < F.col("_high"))).isEmpty():
+        cells = within(sought).groupBy(*span, _cell(F.col("_v"), F.col("_low"), F.col("_high")).alias("_cell")).agg(
+            F.count(F.lit(1)).alias("_step_n"), F.min("_v").alias("_from"), F.max("_v").alias("_to")
+        )
+        sought = cut_lineage(
+            follow(cells, "_cell").select(
+                *keys, F.col("_from").alias("_low"), F.col("_to").alias("_high"), F.col("_step_n").alias("_n"), "_name", "_rank"
+            )
+        )
+    values = within(sought).groupBy(*span, "_v").agg(F.count(F.lit(1)).alias("_step_n"))
+    return follow(values, "_v").groupBy(*keys).pivot("_name", list(fractions)).agg(F.max("_v"))
 
 
 def distribution(
@@ -122,5 +135,5 @@ def distribution(
     # The hot groups are few, which bounds every broadcast here and below.
     hot = hot.withColumnRenamed("group_rows", "count_value")
     cold = _small_group_statistics(rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti"), keys, fractions)
-    large = hot.join(_large_group_percentiles(rows, hot, keys, fractions), keys)
+    large = hot.join(_large_group_percentiles(rows, hot, keys, fractions, limit), keys)
     return cold.unionByName(large)

@@ -103,4 +103,7 @@ def expand_many(parents: DataFrame, key: str, children: dict[str, tuple[DataFram
     for kind, (table, child) in children.items():
         part = table.select(F.col(key), F.lit(kind).alias("kind"), child.cast("string").alias("child"))
         listed = part if listed is None else listed.unionByName(part)
-    return parents.join(listed, key, "left")
+    childless = parents.join(listed.select(key).distinct(), key, "left_anti")
+    absent = F.lit(None).cast("string")
+    # An inner join, as a parent with very many children can be split there.
+    return parents.join(listed, key).unionByName(childless.withColumns({"kind": absent, "child": absent}))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from strataflow.operators.fanout import FilterSpec
 from strataflow.operators.registry import expand_reference
 from strataflow.operators.routing import Application, build_requests
+from strataflow.operators.skew import hot_groups
 from strataflow.sources.sinks import write_slices
 
 
@@ -35,7 +36,26 @@ def write_result_files(output: DataFrame, specs: Sequence[FilterSpec], file_root
 
 
 def with_pandas(
-    output: DataFrame, build: Callable[[pd.DataFrame], pd.DataFrame], schema: str, keys: Sequence[str]
+    output: DataFrame,
+    build: Callable[[pd.DataFrame], pd.DataFrame],
+    schema: str,
+    keys: Sequence[str],
+    most_rows: int = 1_000_000,
 ) -> DataFrame:
-    """Let user code see the rows of a slice as pandas; meant for the small results of selective filters."""
+    """Let user code see all rows of a slice as pandas, for results that fit a task.
+
+    Refuses when a slice is larger than ``most_rows``; see :func:`in_batches` for those.
+    """
+    if hot_groups(output, keys, {}, most_rows) is not None:
+        raise ValueError(f"a slice has more than {most_rows} rows")
     return output.groupBy(*keys).applyInPandas(build, schema)
+
+
+def in_batches(output: DataFrame, build: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
+    """Let user code see the rows as pandas, a batch at a time; for slices of any size."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield build(batch)
+
+    return output.mapInPandas(run, schema)

@@ -42,9 +42,7 @@ def shared_dir(spark: SparkSession) -> str:
         return root
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    root = tempfile.mkdtemp(prefix="strataflow-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return tempfile.mkdtemp(prefix="strataflow-")
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

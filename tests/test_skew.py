@@ -93,6 +93,24 @@ def test_percentiles(spark, limit):
     assert [[r[n] for n in names] for r in got] == [[r[n] for n in names] for r in want]
 
 
+@pytest.mark.parametrize("outlier", [-1e12, 1e12])
+def test_percentiles_of_crowded_values(spark, outlier):
+    values = [outlier] + [1.0 + i * 1e-7 for i in range(2000)]
+    rows = spark.createDataFrame([(v,) for v in values], "v double").repartition(4)
+    got = distribution(rows, [], "v", limit=20).first()
+    values.sort()
+    assert got.median_value == values[1000] and got.p10_value == values[200] and got.p90_value == values[1800]
+
+
+def test_crowded_positions(spark):
+    rows = spark.range(3000).select(
+        F.lit(1).alias("k"), F.when(F.col("id") < 5, F.col("id") * 10**12).otherwise(F.col("id")).alias("at"), "id"
+    )
+    got = with_offset(rows.repartition(5), ["k"], "at", "place", ["id"], 50).orderBy("place").collect()
+    assert [r.place for r in got] == list(range(3000))
+    assert [r["at"] for r in got] == sorted(r["at"] for r in got)
+
+
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.floats(-1e6, 1e6, allow_nan=False), min_size=1, max_size=30))
 def test_percentiles_of_any_values(spark, values):
