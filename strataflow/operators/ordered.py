@@ -83,18 +83,22 @@ def with_running(
     columns: dict[str, tuple[str, Column]],
     ties: Sequence[str] = (),
     limit: int | None = None,
+    measured: DataFrame | None = None,
 ) -> DataFrame:
     """Add running values up to the current row: ``{name: (kind, column)}``.
 
     Kinds: ``sum``, ``max``, ``last`` (latest value that is not NULL) and ``previous``
-    (value of the row before, NULL or not).
+    (value of the row before, NULL or not). ``measured`` is a table with the same keys and
+    positions that is cheaper to read, to look for hot keys there.
     """
     limit = limit or configured_hot_rows(df.sparkSession)
     added = []
+    measured = df if measured is None else measured
     if not keys:
-        df, keys, added = df.withColumn("_all", F.lit(0)), ["_all"], ["_all"]
+        df, measured = df.withColumn("_all", F.lit(0)), measured.withColumn("_all", F.lit(0))
+        keys, added = ["_all"], ["_all"]
     keys, order = list(keys), [position, *ties]
-    hot = hot_groups(df, keys, {"_low": F.min(position), "_high": F.max(position)}, limit)
+    hot = hot_groups(measured, keys, {"_low": F.min(position), "_high": F.max(position)}, limit)
     if hot is None:
         values = _local_values(Window.partitionBy(*keys).orderBy(*order), columns)
         return df.withColumns({n: _unwrap(columns[n][0], v) for n, v in values.items()}).drop(*added)

@@ -5,11 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataflow.functions.templates import Template, cell_name, parse_template
-from strataflow.operators.ordered import with_offset
 from strataflow.schema import ACTIVE
 
 
@@ -62,11 +61,14 @@ def _cells(output: DataFrame, keys: list[str], order: str, cells: set[tuple[str,
     if all(place == 0 for _, place in cells):
         picked = [F.min_by(c, F.col(order)).alias(cell_name(c, 0)) for c, _ in sorted(cells)]
         return output.groupBy(*keys).agg(*picked)
-    placed = with_offset(output, keys, order, "_place")
+    # The limit on the place applies before the shuffle: a task sends a few rows per slice.
+    first = Window.partitionBy(*keys).orderBy(order)
+    placed = output.select(*keys, order, *sorted({c for c, _ in cells})).withColumn("_place", F.row_number().over(first))
+    placed = placed.where(F.col("_place") <= 1 + max(place for _, place in cells))
     picked = [
-        F.max(F.when(F.col("_place") == place, F.col(c))).alias(cell_name(c, place)) for c, place in sorted(cells)
+        F.max(F.when(F.col("_place") == place + 1, F.col(c))).alias(cell_name(c, place)) for c, place in sorted(cells)
     ]
-    return placed.where(F.col("_place") <= max(p for _, p in cells)).groupBy(*keys).agg(*picked)
+    return placed.groupBy(*keys).agg(*picked)
 
 
 def build_requests(

@@ -15,7 +15,7 @@ def open_submissions(saves: DataFrame, key: str = "fingerprint", position: str =
     """Number submissions: a save whose token is absent or differs from the current one opens a new one."""
     tagged = with_previous(saves, [key], position, {"_last_token": "token"})
     opens = F.col("token").isNull() | ~F.col("token").eqNullSafe(F.col("_last_token"))
-    numbered = with_running(tagged, [key], position, {"submission": ("sum", opens.cast("long"))})
+    numbered = with_running(tagged, [key], position, {"submission": ("sum", opens.cast("long"))}, measured=saves)
     return numbered.drop("_last_token")
 
 

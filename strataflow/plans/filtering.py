@@ -17,13 +17,14 @@ from strataflow.operators.fanout import (
     data_ready,
     fan_out,
 )
+from strataflow.session import cut_lineage
 
 KEYS = ["upload_id", "database_identifier"]
 
 
 @dataclass(frozen=True)
 class Filtered:
-    """Lazy results of a run; each is computed only when used."""
+    """Results of a run. The counts are stored, as all but the output rest on them; the rest is lazy."""
 
     output: DataFrame
     counts: DataFrame
@@ -41,7 +42,7 @@ def run_filters(
     filter's communities hold the database's community.
     """
     specs = list(specs)
-    counts = count_matches(rows, KEYS, specs)
+    counts = cut_lineage(count_matches(rows, KEYS, specs))
     checked = completeness(counts, announced, KEYS)
     gate = community_gate(databases.select("database_identifier", "community_id"), specs)
     slices = data_ready(counts, "upload_id", "database_identifier")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strataflow.operators.access import exportable_answers
 from strataflow.operators.fanout import FilterSpec
 from strataflow.schema import check_columns
 
@@ -42,3 +43,9 @@ def write_by_database(rows: DataFrame, path: str) -> None:
     """Rows of every database in one table; a reader of one database prunes the others."""
     rows.write.mode("append").partitionBy("database_identifier").parquet(path)
 
+
+
+def export_answers(answers: DataFrame, questions: DataFrame, stored: DataFrame, path: str) -> None:
+    """Answers that may leave, as delimited files; ``stored`` holds the permissions that differ from the default."""
+    allowed = exportable_answers(answers, questions, stored).select("fingerprint", "question", "value")
+    allowed.write.mode("overwrite").option("header", True).option("escape", '"').option("nullValue", "").csv(path)

@@ -10,19 +10,19 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from strataflow.operators import registry, stats
+from strataflow.operators import registry, search, stats, uploads
 from strataflow.operators.submissions import upsert_answers
 from strataflow.plans.delivery import in_batches, with_pandas
 from strataflow.plans.history import submissions
 from strataflow.plans.profiling import Analysis, write_profile
 from strataflow.plans.questionnaires import import_questionnaires
+from strataflow.plans.searching import run_searches
 from strataflow.plans.recording import log_deliveries, record, report
 from strataflow.plans.registration import current_registry
 from strataflow.plans.validation import validate_answers
 from strataflow.operators.profile import run_log
 from strataflow.schema import CATALOGUE_COLUMNS, DELIVERY_SCHEMA, HEALTH_CHECK_SCHEMA
-from strataflow.sources.sinks import write_by_database
-from strataflow.operators.uploads import rows_of_database
+from strataflow.sources.sinks import export_answers, write_by_database
 
 
 def test_change_log_replays_to_current_answers(spark):
@@ -224,7 +224,49 @@ def test_profile_job_writes_rows_and_log(spark, tmp_path):
 def test_rows_of_one_database_prune_the_others(spark, tmp_path):
     rows = spark.range(20).select((F.col("id") % 4).cast("string").alias("database_identifier"), "id")
     write_by_database(rows, str(tmp_path / "t"))
-    one = rows_of_database(spark.read.parquet(str(tmp_path / "t")), "2", {"id": "row"})
+    one = uploads.rows_of_database(spark.read.parquet(str(tmp_path / "t")), "2", {"id": "row"})
     assert sorted(r.row for r in one.collect()) == [2, 6, 10, 14, 18]
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(database_identifier" in plan
+
+
+def test_export_honours_permissions(spark, tmp_path):
+    answers = spark.createDataFrame(
+        [(1, "a", 'say "hi",\nthere'), (1, "b", "x"), (2, "b", "y")], "fingerprint int, question string, value string"
+    )
+    questions = spark.createDataFrame([("a", 1), ("b", 2)], "question string, question_set int")
+    stored = spark.createDataFrame(
+        [(1, 2, True, True, False), (2, 2, False, True, None)],
+        "fingerprint int, question_set int, visible boolean, indexable boolean, exportable boolean",
+    )
+    export_answers(answers, questions, stored, str(tmp_path / "out"))
+    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+    got = sorted(map(tuple, reader.csv(str(tmp_path / "out")).collect()))
+    assert got == [("1", "a", 'say "hi",\nthere'), ("2", "b", "y")]
+
+
+def test_source_tags(spark):
+    tagged = uploads.with_source(spark.range(2), 7, "ident")
+    assert {tuple(r) for r in tagged.collect()} == {(0, 7, "ident"), (1, 7, "ident")}
+    both = uploads.union_sources(tagged, uploads.with_source(spark.range(1), 8, "other"))
+    assert both.count() == 3
+
+
+def test_searches(spark):
+    answers = spark.createDataFrame(
+        [(1, "city", "Aveiro"), (1, "size", "12"), (2, "city", "Porto"), (2, "size", "many"), (3, "note", "Aveiro")],
+        "fingerprint int, question string, value string",
+    )
+    questions = spark.createDataFrame(
+        [("city", 1, True), ("size", 1, True), ("note", 2, False)], "question string, question_set int, searchable boolean"
+    )
+    stored = spark.createDataFrame([(9, 1, True, False, True)], "fingerprint int, question_set int, visible boolean, indexable boolean, exportable boolean")
+    queries = {
+        1: search.Match("city", "contains", "AVEI"),
+        2: search.Not(search.Match("size", "at_least", 10)),
+        3: search.Any((search.Match("note", "equals", "aveiro"), search.All((search.Match("city", "equals", "porto"), search.Not(search.Match("size", "at_most", 3)))))),
+    }
+    fingerprints = spark.createDataFrame([(1,), (2,), (3,)], "fingerprint int")
+    found = run_searches(fingerprints, answers, questions, stored, queries)
+    assert {(r.search_id, r.fingerprint) for r in found.hits.collect()} == {(1, 1), (2, 2), (2, 3), (3, 2)}
+    assert {r.fingerprint: r.hits for r in found.counts.collect()} == {1: 1, 2: 2, 3: 1}

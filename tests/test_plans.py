@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from strataflow.operators import fanout, registry, stats, uploads
+from strataflow.operators import fanout, registry, routing, stats, uploads
 from strataflow.operators.answers import answer_errors
 from workload import catalogue
 from workload.base import FILTERS, Tables
@@ -71,3 +71,9 @@ def test_latest_row_needs_no_window(t):
 def test_pages_are_taken_without_a_full_sort(t):
     text = plan(stats.page(t.uploads, [F.desc("time"), F.desc("event_id")], 2, 20))
     assert "TakeOrderedAndProject" in text
+
+
+def test_cells_of_a_slice_are_limited_before_the_shuffle(t):
+    output = fanout.fan_out(t.uploaded, FILTERS)
+    text = plan(routing._cells(output, ["filter_id", "upload_id"], "offset", {("count_value", 0), ("analysis_id", 1)}))
+    assert "WindowGroupLimit" in text.split("Exchange")[1]

@@ -23,7 +23,7 @@ from strataflow.streaming.pipeline import (
     with_registered,
 )
 from strataflow.streaming.state import closed_uploads, liveness, upload_progress
-from tests.golden import CATALOGUE_CSV, HEADER, IDENTIFIER
+from tests.golden import CATALOGUE_CSV, IDENTIFIER
 
 
 def run(query):

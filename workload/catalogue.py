@@ -10,6 +10,8 @@ from strataflow.functions.text import html_escape
 from strataflow.functions.typed_values import EMAIL, URL, join_choices, split_choices
 from strataflow.operators import access, answers, search, submissions
 from strataflow.plans.publication import publish
+from strataflow.plans.searching import run_searches
+from strataflow.session import cut_lineage
 from workload.base import VIEWS, query, with_views
 
 QUESTIONS = [
@@ -405,7 +407,7 @@ def _current(t):
 
 @query("answer_changes", with_views("changes") + "SELECT * FROM changes")
 def _changes(t):
-    return submissions.answer_changes(writes(t))
+    return submissions.answer_changes(cut_lineage(writes(t)))
 
 
 @query(
@@ -446,7 +448,7 @@ def _notifications(t):
     subscribed = t.read("events").where(F.col("event_type") == "signup").select(
         "user_id", F.get_json_object("props", "$.k").cast("long").alias("fingerprint")
     )
-    return submissions.notifications(submissions.answer_changes(writes(t)), subscribed)
+    return submissions.notifications(submissions.answer_changes(cut_lineage(writes(t))), subscribed)
 
 
 @query(
@@ -497,14 +499,13 @@ WHERE (contains(source, 'src1') OR (contains(lower(text), 'the ') AND coalesce(p
 UNION ALL SELECT doc_id, 3 FROM documents WHERE n_chars <= 500"""
 
 
-def search_hits(t) -> DataFrame:
-    found = search.searchable_answers(document_answers(t), questions(t), stored_permissions(t))
-    return search.search(fingerprints(t), found, SEARCHES)
+def searches(t):
+    return run_searches(fingerprints(t), document_answers(t), questions(t), stored_permissions(t), SEARCHES)
 
 
 @query("search_boolean", with_views("stored_permissions", "search_hits") + "SELECT * FROM search_hits")
 def _search(t):
-    return search_hits(t)
+    return searches(t).hits
 
 
 @query(
@@ -513,7 +514,7 @@ def _search(t):
     + "SELECT fingerprint, count(*) AS hits FROM search_hits GROUP BY fingerprint",
 )
 def _hit_counts(t):
-    return search.hit_counts(search_hits(t))
+    return searches(t).counts
 
 
 @query(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from strataflow.functions.text import csv_line
 from strataflow.operators import fanout, uploads
 from strataflow.schema import CATALOGUE_COLUMNS
+from strataflow.session import cut_lineage
 from workload.base import FILTERS, VIEWS, query, with_views
 
 QUOTED = ", ".join(CATALOGUE_COLUMNS)
@@ -44,6 +45,11 @@ def counts(t):
     return fanout.count_matches(t.uploaded, ["upload_id", "database_identifier"], FILTERS)
 
 
+def slices(t):
+    """Slices of the filters' outputs, from counts that are stored as the filter job does."""
+    return fanout.data_ready(cut_lineage(counts(t)), "upload_id", "database_identifier")
+
+
 @query(
     "filter_select",
     with_views("uploaded") + 'SELECT upload_id, "offset", count_value FROM uploaded WHERE analysis_id = 0',
@@ -116,7 +122,7 @@ def _all_done(t):
     with_views("data_ready") + 'SELECT filter_id, database_identifier, upload_id, last_offset, "count" FROM data_ready',
 )
 def _data_ready(t):
-    return fanout.data_ready(counts(t), "upload_id", "database_identifier")
+    return slices(t)
 
 
 @query(

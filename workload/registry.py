@@ -10,7 +10,7 @@ from strataflow.plans.filtering import run_filters
 from strataflow.schema import CATALOGUE_COLUMNS
 from strataflow.session import cut_lineage
 from workload.base import APPLICATIONS, FILTERS, VIEWS, query, with_views
-from workload.filters import counts
+from workload.filters import slices
 from workload.profiles import profile_results
 
 HALF = 1_705_276_800_000_000  # microseconds of 2024-01-15, the middle of the events
@@ -234,8 +234,7 @@ _SELECTED = ", ".join(
 SELECT r.filter_id, r.upload_id, s.place, s."column" FROM data_ready r JOIN selections s ON r.filter_id = s.filter_id""",
 )
 def _ready_selections(t):
-    slices = fanout.data_ready(counts(t), "upload_id", "database_identifier").select("filter_id", "upload_id")
-    return slices.join(fanout.selection_table(FILTERS, t.spark), "filter_id")
+    return slices(t).select("filter_id", "upload_id").join(fanout.selection_table(FILTERS, t.spark), "filter_id")
 
 
 @query(

@@ -7,8 +7,9 @@ from pyspark.sql import types as T
 
 from strataflow.functions.text import from_millis, to_millis
 from strataflow.operators import fanout, stats, uploads
+from strataflow.operators.ordered import with_offset
 from workload.base import FILTERS, VIEWS, query, with_views
-from workload.filters import counts
+from workload.filters import slices
 
 DAY_MICROS = 86_400_000_000
 
@@ -80,10 +81,9 @@ FROM placed p JOIN data_ready r ON p.filter_id = r.filter_id
 )
 def _slice_range_join(t):
     output = fanout.fan_out(t.uploaded, FILTERS).select("filter_id", "upload_id", "offset", "analysis_id")
-    placed = uploads.with_offset(output, ["filter_id"], "upload_id", "place", ["offset"])
+    placed = with_offset(output, ["filter_id"], "upload_id", "place", ["offset"])
     placed = placed.select("filter_id", "place", F.col("upload_id").alias("source_upload"), "analysis_id")
-    slices = fanout.data_ready(counts(t), "upload_id", "database_identifier").drop("database_identifier")
-    return uploads.slice_join(placed, slices, ["filter_id"], "place")
+    return uploads.slice_join(placed, slices(t).drop("database_identifier"), ["filter_id"], "place")
 
 
 @query(
