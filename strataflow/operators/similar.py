@@ -4,7 +4,8 @@ Items are placed in cells around a bounded set of pivots. For a query, the dista
 the pivots, the radius and the size of each cell give a bound on the distance of its k-th
 neighbour; cells that lie wholly beyond it are skipped. A query is sent to the cells that
 remain, an item stays in its own. Cells with many items or queries are cut into blocks,
-each (item block, query block) is one small matrix product that keeps k rows per query.
+each (item block, query block) is one small matrix product that keeps k rows per query. Equal
+vectors are searched once, so a large group of copies costs what one item costs.
 """
 
 from __future__ import annotations
@@ -45,7 +46,7 @@ def _place(pivots: np.ndarray):
 
 
 def _send(pivots: np.ndarray, radius: np.ndarray, size: np.ndarray, k: int):
-    """Cells that can hold one of the k nearest items of each query, itself aside."""
+    """Cells that can hold one of the k nearest items of each query."""
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -55,7 +56,7 @@ def _send(pivots: np.ndarray, radius: np.ndarray, size: np.ndarray, k: int):
             reach = far + radius
             order = np.argsort(reach, axis=1)
             held = np.cumsum(size[order], axis=1)
-            enough = np.minimum((held < k + 1).sum(axis=1), len(size) - 1)
+            enough = np.minimum((held < k).sum(axis=1), len(size) - 1)
             bound = np.take_along_axis(reach, order, axis=1)[np.arange(len(pdf)), enough]
             row, cell = np.nonzero((far - radius <= bound[:, None] + SLACK) & (size > 0))
             sent = pdf.iloc[row].copy()
@@ -71,19 +72,18 @@ def _nearest(k: int):
         if not len(queries) or not len(items):
             return pd.DataFrame({"query_id": [], "item_id": [], "similarity": []}, columns=columns)
         items = items.sort_values("id", ignore_index=True)
-        likeness = _matrix(queries["vector"]) @ _matrix(items["vector"]).T
+        # Rounded, so that copies tie exactly wherever they are multiplied.
+        likeness = np.round(_matrix(queries["vector"]) @ _matrix(items["vector"]).T, 12)
         query, item = queries["id"].to_numpy(), items["id"].to_numpy()
-        likeness[query[:, None] == item[None, :]] = -np.inf
         keep = min(k, len(item))
         best = np.argsort(-likeness, axis=1, kind="stable")[:, :keep]
-        found = pd.DataFrame(
+        return pd.DataFrame(
             {
                 "query_id": np.repeat(query, keep),
                 "item_id": item[best].ravel(),
                 "similarity": np.take_along_axis(likeness, best, axis=1).ravel(),
             }
         )
-        return found[np.isfinite(found["similarity"])]
 
     return nearest
 
@@ -109,10 +109,31 @@ def top_neighbours(
 ) -> DataFrame:
     """The ``k`` most similar other items of each query as ``(query_id, item_id, similarity, place)``.
 
-    Both sides need ``id`` and the vector column; ties go to the lower id.
+    Both sides need ``id`` and the vector column; ties go to the lower id. Copies are
+    searched once: equal queries share their result, and of equal items only the k + 1
+    with the lowest ids can be in anybody's list.
     """
     items = items.select(F.col("id").alias("id"), F.col(vector).alias("vector"))
     queries = queries.select(F.col("id").alias("id"), F.col(vector).alias("vector"))
+    copy = F.row_number().over(Window.partitionBy("vector").orderBy("id"))
+    few = cut_lineage(items.withColumn("_copy", copy).where(F.col("_copy") <= k + 1).drop("_copy"))
+    asked = cut_lineage(queries.groupBy("vector").agg(F.min("id").alias("id")).select("id", "vector"))
+
+    found = _search(asked, few, k + 1, block)
+    near = F.sort_array(F.collect_list(F.struct((-F.col("similarity")).alias("less"), "item_id")))
+    listed = found.groupBy("query_id").agg(near.alias("_near")).withColumnRenamed("query_id", "id")
+    shared = asked.join(listed, "id").select("vector", "_near")
+    others = F.slice(F.filter("_near", lambda n: n["item_id"] != F.col("id")), 1, k)
+    return queries.join(shared, "vector").select(F.col("id").alias("query_id"), F.posexplode(others)).select(
+        "query_id",
+        F.col("col.item_id").alias("item_id"),
+        (-F.col("col.less")).alias("similarity"),
+        (F.col("pos") + 1).alias("place"),
+    )
+
+
+def _search(queries: DataFrame, items: DataFrame, k: int, block: int) -> DataFrame:
+    """The ``k`` nearest items of each query, which may be among them."""
     spark = items.sparkSession
     total = items.count()
     if total <= block:  # one cell holds what fits one block
@@ -146,7 +167,7 @@ def top_neighbours(
         _nearest(k), "query_id long, item_id long, similarity double"
     )
     best = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "item_id")
-    return found.withColumn("place", F.row_number().over(best)).where(F.col("place") <= k)
+    return found.withColumn("_place", F.row_number().over(best)).where(F.col("_place") <= k).drop("_place")
 
 
 def similar_funnel(

@@ -14,7 +14,7 @@ def vectors():
     centres = rng.normal(size=(9, 12))
     near = centres[rng.integers(0, 9, 260)] + rng.normal(scale=0.15, size=(260, 12))
     near[40:130] = near[40] + rng.normal(scale=0.01, size=(90, 12))  # a third in one place
-    near[200] = near[201]
+    near[200:245] = near[245]  # copies
     return near
 
 
@@ -34,3 +34,13 @@ def test_neighbours(spark, vectors, block, k):
         assert len(found) == min(k, 259)
         values = [found[p][1] for p in sorted(found)]
         assert np.allclose(values, [likeness[query, i] for i in best])
+
+
+def test_ties_go_to_lower_ids(spark):
+    rows = spark.createDataFrame([(i, [1.0, float(i % 2)]) for i in range(40)], "id long, vector array<double>")
+    got: dict = {}
+    for r in top_neighbours(rows.repartition(5), rows.repartition(3), 3, block=4).collect():
+        got.setdefault(r.query_id, {})[r.place] = r.item_id
+    for query, found in got.items():
+        want = [i for i in range(query % 2, 40, 2) if i != query][:3]
+        assert [found[p] for p in (1, 2, 3)] == want
