@@ -28,15 +28,17 @@ def ingest(
     databases: DataFrame,
     steps: Sequence[Callable[[DataFrame], DataFrame]] = (),
     cleanup: str | None = None,
+    most_files: int = 100_000,
 ) -> Ingested:
-    """Load every file of ``inbox/<database_identifier>/`` that was not loaded before.
+    """Load files of ``inbox/<database_identifier>/`` that were not loaded before, the oldest first.
 
-    Each table gets a folder per batch and the manifest is written last: a run that fails
+    A run takes up to ``most_files``, as their names pass through the driver; the others
+    are for the next run, see :func:`ingest_all`. Each table gets a folder per batch and the manifest is written last: a run that fails
     is repeated under the same batch and overwrites what it left behind.
     """
     manifest = read_manifest(spark, f"{lake}/{MANIFEST}")
     batch_id = (manifest.agg(F.max("batch_id")).first()[0] or 0) + 1
-    files = pending_files(list_files(spark, inbox), manifest).withColumn("batch_id", F.lit(batch_id).cast("long"))
+    files = pending_files(list_files(spark, inbox), manifest).orderBy("file_time", "file_path").limit(most_files)
     files.write.mode("overwrite").parquet(f"{lake}/pending/{batch_id}")
     files = spark.read.parquet(f"{lake}/pending/{batch_id}")
     paths = [r.file_path for r in files.select("file_path").collect()]
@@ -64,13 +66,21 @@ def ingest(
     known_uploads(counted, databases).write.mode("overwrite").parquet(folder(UPLOADS))
     unknown_uploads(counted, databases).write.mode("overwrite").parquet(folder(UNKNOWN))
 
-    files.drop("batch_id").write.mode("overwrite").parquet(folder(MANIFEST))
+    files.write.mode("overwrite").parquet(folder(MANIFEST))
     if cleanup:
         failed = counted.select("upload_id", ((F.col("loaded") == 0) & (F.col("rejected") > 0)).alias("failed"))
         clean_files(spark, files.join(failed, "upload_id"), cleanup)
     return Ingested(batch_id, len(paths))
 
 
+def ingest_all(spark: SparkSession, inbox: str, lake: str, databases: DataFrame, **options) -> int:
+    """Load batch after batch until no file is left; returns the number of files."""
+    total = 0
+    while (done := ingest(spark, inbox, lake, databases, **options)).files:
+        total += done.files
+    return total
+
+
 def read_table(spark: SparkSession, lake: str, table: str) -> DataFrame:
     """A table of the lake, its finished batches only."""
     finished = read_manifest(spark, f"{lake}/{MANIFEST}").select("batch_id").distinct()

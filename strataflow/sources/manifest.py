@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,13 +13,22 @@ MANIFEST_SCHEMA = (
     "file_time timestamp, batch_id long"
 )
 
+FILES_SCHEMA = (
+    "file_path string, file_time timestamp, content_id string, database_identifier string, name string, upload_id long"
+)
+
 # Files up to this size are hashed whole in one task; larger ones by their lines, in parallel.
 WHOLE_FILE_BYTES = 256 * 1024 * 1024
 
 
 def list_files(spark: SparkSession, inbox: str, whole_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
     """Files of every database folder below ``inbox`` with the identity of their content."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", GLOB).load(f"{inbox}/*")
+    try:
+        files = spark.read.format("binaryFile").option("pathGlobFilter", GLOB).load(f"{inbox}/*")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], FILES_SCHEMA)
     files = files.select(
         F.col("_metadata.file_path").alias("file_path"),
         F.col("modificationTime").alias("file_time"),
@@ -81,7 +91,7 @@ def clean_files(spark: SparkSession, files: DataFrame, policy: str = "move") ->
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     done = 0
-    for row in files.select("file_path", F.unix_millis("file_time").alias("millis"), "upload_id", "failed").collect():
+    for row in files.select("file_path", F.unix_millis("file_time").alias("millis"), "upload_id", "failed").toLocalIterator():
         source = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(row.file_path))
         file_system = source.getFileSystem(conf)
         if not file_system.exists(source) or file_system.getFileStatus(source).getModificationTime() != row.millis:

@@ -14,7 +14,7 @@ def land_files(spark: SparkSession, files: DataFrame, landing: str) -> int:
     """
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     landed = 0
-    for row in files.select("file_path", "database_identifier", "upload_id").collect():
+    for row in files.select("file_path", "database_identifier", "upload_id").toLocalIterator():
         source = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(row.file_path))
         target = jvm.org.apache.hadoop.fs.Path(f"{landing}/{row.database_identifier}/{row.upload_id}.csv")
         target_system = target.getFileSystem(conf)

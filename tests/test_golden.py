@@ -10,7 +10,7 @@ from strataflow.operators.profile import run_log, strata_consistency
 from strataflow.operators.routing import applications_from_registry
 from strataflow.plans.delivery import route, write_result_files
 from strataflow.plans.filtering import run_filters
-from strataflow.plans.ingest import QUARANTINE, RESULTS, UNKNOWN, UPLOADS, ingest, read_table
+from strataflow.plans.ingest import QUARANTINE, RESULTS, UNKNOWN, UPLOADS, ingest, ingest_all, read_table
 from strataflow.schema import CATALOGUE_COLUMNS, CATALOGUE_SCHEMA
 from strataflow.sources.delimited import good_rows, malformed_rows, read_delimited
 from strataflow.sources.manifest import MANIFEST_SCHEMA, list_files, pending_files
@@ -121,6 +121,26 @@ def test_ingest_then_replace_then_repeat(spark, inbox, tmp_path, registry):
     assert [u.database_identifier for u in read_table(spark, lake, UNKNOWN).collect()] == ["unregistered"]
     assert len(list((inbox / IDENTIFIER / "succeed").glob("*.csv"))) == 1
     assert not (inbox / IDENTIFIER / "results.csv").exists()
+    assert ingest(spark, str(inbox), lake, registry["databases"]).files == 0
+
+
+def test_nothing_to_ingest(spark, tmp_path, registry):
+    (tmp_path / "empty").mkdir()
+    assert ingest(spark, str(tmp_path / "empty"), str(tmp_path / "lake"), registry["databases"]).files == 0
+
+
+def test_delete_after_load(spark, inbox, tmp_path, registry):
+    assert ingest(spark, str(inbox), str(tmp_path / "lake"), registry["databases"], cleanup="delete").files == 1
+    assert not (inbox / IDENTIFIER / "results.csv").exists() and (inbox / IDENTIFIER / "notes.txt").exists()
+
+
+def test_ingest_in_several_batches(spark, inbox, tmp_path, registry):
+    for i in range(3):
+        (inbox / IDENTIFIER / f"more{i}.csv").write_text(HEADER + f"\n0,DEFAULT,,,,,{i},,,,,,,,,\n")
+    lake = str(tmp_path / "lake")
+    assert ingest_all(spark, str(inbox), lake, registry["databases"], most_files=3) == 4
+    assert read_table(spark, lake, RESULTS).count() == 11
+    assert read_table(spark, lake, UPLOADS).select("batch_id").distinct().count() == 2
 
 
 def test_file_to_requests(spark, rows, registry, tmp_path):

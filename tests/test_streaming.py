@@ -15,7 +15,7 @@ from strataflow.sources.manifest import list_files
 from strataflow.sources.messages import read_json, stream_json
 from strataflow.sources.sinks import append_batch
 from strataflow.streaming.landing import land_files
-from strataflow.streaming.pipeline import (
+from strataflow.streaming.uploads import (
     continuous_filter,
     process_uploads,
     stream_since,

@@ -129,17 +129,11 @@ def _data_ready(t):
     "csv_lines",
     with_views("uploaded")
     + 'SELECT upload_id, "offset", concat_ws(\',\', '
-    + ", ".join(
-        f"coalesce({c}, '')" if c.startswith("stratum") else f"coalesce(CAST({c}::BIGINT AS VARCHAR), '')"
-        for c in CATALOGUE_COLUMNS
-        if c not in ("max_value", "avg_value", "stdev_value")
-    )
+    + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in CATALOGUE_COLUMNS)
     + ") AS line FROM uploaded",
 )
 def _csv_lines(t):
-    whole = [c for c in CATALOGUE_COLUMNS if c not in ("max_value", "avg_value", "stdev_value")]
-    values = [F.col(c) if c.startswith("stratum") else F.col(c).cast("long") for c in whole]
-    return t.uploaded.select("upload_id", "offset", csv_line(values).alias("line"))
+    return t.uploaded.select("upload_id", "offset", csv_line([F.col(c) for c in CATALOGUE_COLUMNS]).alias("line"))
 
 
 @query(
