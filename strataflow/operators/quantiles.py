@@ -44,10 +44,11 @@ def _rank(fraction: float, count: Column) -> Column:
 
 def _small_group_statistics(rows: DataFrame, keys: list[str], fractions: dict[str, float]) -> DataFrame:
     """Statistics of groups that fit a task: one shuffle and one sort, which may spill."""
-    group = Window.partitionBy(*keys)
+    group = Window.partitionBy(*keys).orderBy("_v")
+    whole = group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     value, place, count = F.col("_v"), F.col("_place"), F.col("_n")
     placed = rows.select(
-        *keys, "_v", F.row_number().over(group.orderBy("_v")).alias("_place"), F.count("_v").over(group).alias("_n")
+        *keys, "_v", F.row_number().over(group).alias("_place"), F.count("_v").over(whole).alias("_n")
     )
     return placed.groupBy(*keys).agg(
         *[m.alias(c) for c, m in _moments(value).items()],

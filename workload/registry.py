@@ -111,7 +111,7 @@ _COLUMN_LIST = "[" + ", ".join(f"'{c}'" for c in CATALOGUE_COLUMNS) + "]"
 @query(
     "selection_diff",
     with_views("messages")
-    + f""", chosen AS (SELECT user_id % 40 AS filter_id, micros < {HALF} AS before,
+    + f""", chosen AS (SELECT user_id AS filter_id, micros < {HALF} AS before,
    ({_COLUMN_LIST})[CAST(json_extract(props, '$.k') AS BIGINT) % 16 + 1] AS "column" FROM messages)
 SELECT filter_id, "column", 'delete' AS change FROM (
   SELECT filter_id, "column" FROM chosen WHERE before EXCEPT SELECT filter_id, "column" FROM chosen WHERE NOT before)
@@ -121,7 +121,7 @@ UNION ALL SELECT filter_id, "column", 'create' FROM (
 def _selection_diff(t):
     key = F.get_json_object("props", "$.k").cast("int") % 16
     names = F.array(*[F.lit(c) for c in CATALOGUE_COLUMNS])
-    chosen = t.messages.select((F.col("user_id") % 40).alias("filter_id"), "micros", F.get(names, key).alias("column"))
+    chosen = t.messages.select(F.col("user_id").alias("filter_id"), "micros", F.get(names, key).alias("column"))
     before = F.col("micros") < HALF
     return registry.selection_changes(chosen.where(before), chosen.where(~before), ["filter_id", "column"])
 
