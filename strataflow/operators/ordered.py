@@ -103,6 +103,9 @@ def with_running(
         values = _local_values(Window.partitionBy(*keys).orderBy(*order), columns)
         return df.withColumns({n: _unwrap(columns[n][0], v) for n, v in values.items()}).drop(*added)
 
+    # The keys as one struct: a hot key with NULL in it joins like any other.
+    df, hot = df.withColumn("_key", F.struct(*keys)), hot.withColumn("_key", F.struct(*keys)).drop(*keys)
+    keys, added = ["_key"], [*added, "_key"]
     df = df.withColumns({f"_in_{name}": column for name, (_, column) in columns.items()})
     inputs = {name: (kind, F.col(f"_in_{name}")) for name, (kind, _) in columns.items()}
     rows = _with_ranges(df, keys, hot, position, limit)

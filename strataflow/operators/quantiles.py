@@ -8,7 +8,6 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataflow.operators.skew import hot_groups
 from strataflow.schema import PERCENTILES
 from strataflow.session import cut_lineage
 from strataflow.session import hot_rows as configured_hot_rows
@@ -42,20 +41,21 @@ def _rank(fraction: float, count: Column) -> Column:
     return F.greatest(F.lit(1), whole.cast("long"))
 
 
-def _small_group_statistics(rows: DataFrame, keys: list[str], fractions: dict[str, float]) -> DataFrame:
-    """Statistics of groups that fit a task: one shuffle and one sort, which may spill."""
+def _small_group_percentiles(rows: DataFrame, keys: list[str], fractions: dict[str, float]) -> DataFrame:
+    """Percentiles of groups that fit a task, from counts per value: equal values are combined before the shuffle."""
     group = Window.partitionBy(*keys).orderBy("_v")
     whole = group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    value, place, count = F.col("_v"), F.col("_place"), F.col("_n")
-    placed = rows.select(
-        *keys, "_v", F.row_number().over(group).alias("_place"), F.count("_v").over(whole).alias("_n")
-    )
-    return placed.groupBy(*keys).agg(
-        *[m.alias(c) for c, m in _moments(value).items()],
-        *[F.max(F.when(place == _rank(p, count), value)).alias(n) for n, p in fractions.items()],
+    upto = group.rowsBetween(Window.unboundedPreceding, 0)
+    values = rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    placed = values.select(
+        *keys, "_v", "_n", F.sum("_n").over(upto).alias("_upto"), F.sum("_n").over(whole).alias("_total")
     )
 
+    def holds(fraction: float) -> Column:
+        rank = _rank(fraction, F.col("_total"))
+        return (F.col("_upto") >= rank) & (F.col("_upto") - F.col("_n") < rank)
 
+    return placed.groupBy(*keys).agg(*[F.max(F.when(holds(p), F.col("_v"))).alias(n) for n, p in fractions.items()])
 
 
 def _large_group_percentiles(
@@ -117,24 +117,25 @@ def distribution(
 
     ``approximate`` swaps the exact percentiles for mergeable sketches.
     """
-    if not keys:
-        whole = distribution(df.withColumn("_all", F.lit(0)), ["_all"], value, fractions, limit, approximate)
-        return whole.drop("_all")
-    keys = list(keys)
     limit = limit or configured_hot_rows(df.sparkSession)
-    rows = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    # The keys as one struct: groups with NULL in a key join like any other.
+    key = F.struct(*keys) if keys else F.struct(F.lit(0).alias("_all"))
+    rows = df.select(key.alias("_key"), F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    moments = [m.alias(c) for c, m in _moments(F.col("_v")).items()]
     if approximate:
         sketches = [F.percentile_approx("_v", p, 10_000).alias(n) for n, p in fractions.items()]
-        moments = [m.alias(c) for c, m in _moments(F.col("_v")).items()]
-        return rows.groupBy(*keys).agg(*moments, *sketches)
-
-    value = F.col("_v")
-    hot = hot_groups(rows, keys, {c: m for c, m in _moments(value).items() if c != "count_value"}, limit)
-    if hot is None:
-        return _small_group_statistics(rows, keys, fractions)
-
-    # The hot groups are few, which bounds every broadcast here and below.
-    hot = hot.withColumnRenamed("group_rows", "count_value")
-    cold = _small_group_statistics(rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti"), keys, fractions)
-    large = hot.join(_large_group_percentiles(rows, hot, keys, fractions, limit), keys)
-    return cold.unionByName(large)
+        found = rows.groupBy("_key").agg(*moments, *sketches)
+    else:
+        groups = cut_lineage(rows.groupBy("_key").agg(*moments))
+        hot = groups.where(F.col("count_value") > limit)
+        if hot.isEmpty():
+            percentiles = _small_group_percentiles(rows, ["_key"], fractions)
+        else:
+            # At most (rows / limit) groups are hot, which bounds every broadcast here and below.
+            others = rows.join(F.broadcast(hot.select("_key")), "_key", "left_anti")
+            percentiles = _small_group_percentiles(others, ["_key"], fractions).unionByName(
+                _large_group_percentiles(rows, hot, ["_key"], fractions, limit)
+            )
+        found = groups.join(percentiles, "_key")
+    columns = [F.col(f"_key.{k}").alias(k) for k in keys]
+    return found.select(*columns, *_moments(F.col("_v")), *fractions)
