@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Sequence
 
 import pyarrow as pa
@@ -13,11 +14,19 @@ from pyspark.sql.pandas.types import to_arrow_schema
 HOT_ROWS_CONF = "spark.strataflow.hotGroupRows"
 HOT_ROWS_DEFAULT = 1_000_000
 
+# Folders of local runs that name none, by application.
+_LOCAL_DIRS: dict[str, str] = {}
 
-def build_session(app: str = "strataflow", cores: str = "*", partitions: int = 8) -> SparkSession:
+
+def build_session(
+    app: str = "strataflow", cores: str = "*", partitions: int = 8, shared: str | None = None
+) -> SparkSession:
     """Session for tests and local runs; a cluster brings its own."""
+    builder = SparkSession.builder
+    if shared is not None:
+        builder = builder.config("spark.checkpoint.dir", shared)
     return (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "16g")
@@ -36,22 +45,43 @@ def hot_rows(spark: SparkSession) -> int:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Shared folder named by the cluster; a local run without one gets its own."""
+    """Shared folder named by the cluster; a local run without one sets its own, once."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local["):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    return tempfile.mkdtemp(prefix="strataflow-")
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_DIRS:
+        _LOCAL_DIRS[application] = tempfile.mkdtemp(prefix="strataflow-")
+    return _LOCAL_DIRS[application]
+
+
+def stage_dir(spark: SparkSession) -> str:
+    """Folder of this application's intermediate tables."""
+    return f"{shared_dir(spark).rstrip('/')}/stages-{spark.sparkContext.applicationId}"
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """Write the rows to the shared folder and read them back.
+
+    Lineage ends here: a lost executor costs no recomputation, nondeterministic columns
+    are fixed, and the optimizer knows the size and columns of the rows.
+    """
+    path = f"{stage_dir(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_stages(spark: SparkSession) -> None:
+    """Remove the intermediate tables of this application, once its results are written."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(stage_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write the rows to the shared folder, so that a lost executor costs no recomputation."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    """Name of ``stage`` where only the cut matters."""
+    return stage(df)
 
 
 def local_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:

@@ -7,13 +7,13 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-from strataflow.session import build_session  # noqa: E402
+from strataflow.session import build_session, clear_stages  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = build_session("tests", "8", 8)
+    session = build_session("tests", "8", 8, str(tmp_path_factory.mktemp("shared")))
     session.sparkContext.setLogLevel("ERROR")
-    session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoints")))
     yield session
+    clear_stages(session)
     session.stop()
