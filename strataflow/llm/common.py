@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
+from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import Broadcast, cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strataflow.session import stage
@@ -87,6 +89,10 @@ def word_pieces(data: bytes, block: int = BLOCK_BYTES) -> Iterator[list[bytes]]:
         yield [rest]
 
 
-def bits(names: Iterable[str]) -> dict[str, int]:
-    """A bit for each name, in order."""
-    return {name: 1 << i for i, name in enumerate(names)}
+def shipped(spark: SparkSession, value: Any) -> Broadcast:
+    """A value of bounded size for all tasks; its classes travel with it."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def unpacked(sent: Broadcast) -> Any:
+    return cloudpickle.loads(sent.value)

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import BLOCK_BYTES
+from strataflow.llm.common import BLOCK_BYTES, fresh, shipped, unpacked
 
 ORDER = 4
 MOST_TEXTS, LONGEST_TEXT, SAMPLE_BYTES = 2000, 1 << 16, 1 << 21
@@ -94,13 +94,58 @@ def _find(table: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return at, table[at] == codes
 
 
+@dataclass(frozen=True)
+class Places:
+    """Place of each of many codes, by hash with linear probing; the number of codes if unknown."""
+
+    keys: np.ndarray
+    places: np.ndarray
+    shift: int
+
+    @classmethod
+    def of(cls, codes: np.ndarray) -> Places:
+        width = max(8, (4 * len(codes)).bit_length())
+        keys = np.full(1 << width, FREE)
+        places = np.full(1 << width, len(codes), dtype=np.int32)
+        slots, left = _slots(codes, 64 - width), np.arange(len(codes))
+        while len(left):
+            open_ = left[keys[slots[left]] == FREE]
+            taken, first = np.unique(slots[open_], return_index=True)
+            keys[taken], places[taken] = codes[open_[first]], open_[first]
+            left = left[keys[slots[left]] != codes[left]]
+            slots[left] = (slots[left] + 1) & ((1 << width) - 1)
+        return cls(keys, places, 64 - width)
+
+    def find(self, codes: np.ndarray) -> np.ndarray:
+        slots = _slots(codes, self.shift)
+        found = self.keys[slots]
+        answer = self.places[slots]
+        left = np.nonzero((found != codes) & (found != FREE))[0]
+        slots = slots[left]
+        while len(left):
+            slots = (slots + 1) & (len(self.keys) - 1)
+            found = self.keys[slots]
+            ended = (found == codes[left]) | (found == FREE)
+            answer[left[ended]] = self.places[slots[ended]]
+            left, slots = left[~ended], slots[~ended]
+        return answer
+
+
+# No code of five bytes; the multiplier spreads codes over the upper bits.
+FREE, SPREAD = np.uint64(1 << 63), np.uint64(0x9E3779B97F4A7C15)
+
+
+def _slots(codes: np.ndarray, shift: int) -> np.ndarray:
+    return (codes * SPREAD >> np.uint64(shift)).astype(np.int64)
+
+
 @dataclass(frozen=True)
 class Model:
     """Trees of all languages, and the code lengths of every code seen in any of them."""
 
     languages: list[str]
     trees: list[Tree]
-    known: np.ndarray
+    places: Places
     bits: np.ndarray
 
     @classmethod
@@ -110,29 +155,47 @@ class Model:
         for language in languages:
             own = counts[counts["lang"] == language]
             trees.append(Tree.grown(own["gram"].to_numpy(np.int64).view(np.uint64), own["times"].to_numpy(np.float64)))
-        known = np.unique(counts["gram"].to_numpy(np.int64).view(np.uint64)) if languages else np.zeros(0, np.uint64)
-        bits = np.column_stack([t.code_lengths(known) for t in trees]) if languages else np.zeros((0, 0))
-        return cls(languages, trees, known, bits)
-
-    def code_lengths(self, data: bytes) -> np.ndarray:
-        """Bits of the whole text under each language."""
-        total = np.zeros(len(self.languages))
-        for at in range(0, len(data), BLOCK_BYTES):
-            codes = byte_grams(data, at, BLOCK_BYTES)
-            place, seen = _find(self.known, codes)
-            total += self.bits[place[seen]].sum(axis=0)
-            if not seen.all():
-                rare, times = np.unique(codes[~seen], return_counts=True)
-                total += [(t.code_lengths(rare) * times).sum() for t in self.trees]
+        known = np.unique(counts["gram"].to_numpy(np.int64).view(np.uint64))
+        # The last row stands for codes that no tree has seen whole.
+        bits = [np.append(t.code_lengths(known), 0.0) for t in trees]
+        return cls(languages, trees, Places.of(known), np.column_stack(bits) if bits else np.zeros((1, 0)))
+
+    def code_lengths(self, texts: list[bytes]) -> np.ndarray:
+        """Bits of each whole text under each language."""
+        total = np.zeros((len(texts), len(self.languages)))
+        rare: list[tuple[int, np.ndarray]] = []
+        waiting = 0
+        for row, data in enumerate(texts):
+            for at in range(0, len(data), BLOCK_BYTES):
+                codes = byte_grams(data, at, BLOCK_BYTES)
+                place = self.places.find(codes)
+                total[row] += np.ones(len(codes)) @ self.bits.take(place, axis=0)
+                unseen = codes[place == len(self.bits) - 1]
+                if len(unseen):
+                    rare.append((row, unseen))
+                    waiting += len(unseen)
+                if waiting > BLOCK_BYTES:
+                    self._add_rare(total, rare)
+                    rare, waiting = [], 0
+        if rare:
+            self._add_rare(total, rare)
         return total
 
-    def predict(self, data: bytes) -> tuple[str, float]:
-        """Language with the shortest code, and its share of the probability of all."""
-        if not self.languages:
-            return UNDETERMINED, 0.0
-        bits = self.code_lengths(data)
-        best = int(bits.argmin())
-        return self.languages[best], float(1.0 / np.exp2(np.maximum(bits.min() - bits, -1000.0)).sum())
+    def _add_rare(self, total: np.ndarray, rare: list[tuple[int, np.ndarray]]) -> None:
+        codes, place = np.unique(np.concatenate([c for _, c in rare]), return_inverse=True)
+        bits = np.column_stack([t.code_lengths(codes) for t in self.trees])[place]
+        starts = np.cumsum([0, *(len(c) for _, c in rare[:-1])])
+        np.add.at(total, [row for row, _ in rare], np.add.reduceat(bits, starts, axis=0))
+
+    def predict(self, texts: list[bytes | None]) -> list[tuple[str, float]]:
+        """For each text the language with the shortest code, and its share of the probability of all."""
+        answers = [(UNDETERMINED, 0.0)] * len(texts)
+        asked = [i for i, t in enumerate(texts) if t is not None] if self.languages else []
+        lengths = self.code_lengths([texts[i] for i in asked])
+        for i, bits in zip(asked, lengths):
+            share = 1.0 / np.exp2(np.maximum(bits.min() - bits, -1000.0)).sum()
+            answers[i] = (self.languages[int(bits.argmin())], float(share))
+        return answers
 
 
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -156,15 +219,16 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str
 
 def identified(df: DataFrame, model: Model, text: str, predicted: str, score: str) -> DataFrame:
     """All rows with the predicted language and its score."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    sent = shipped(df.sparkSession, model)
 
     @F.pandas_udf("lang string, score double")
-    def predict(texts: pd.Series) -> pd.DataFrame:
-        found = [shared.value.predict(t) if t is not None else (UNDETERMINED, 0.0) for t in texts]
-        return pd.DataFrame(found, columns=["lang", "score"])
+    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        frozen = unpacked(sent)
+        for texts in batches:
+            yield pd.DataFrame(frozen.predict(list(texts)), columns=["lang", "score"])
 
     lettered = F.when(has_letter(F.col(text)), F.col(text).cast("binary"))
-    (answer,) = (f"_{predicted}_{score}",)
+    (answer,) = fresh(df, "answer")
     return (
         df.withColumn(answer, predict(lettered))
         .withColumn(predicted, F.col(answer)["lang"])
@@ -192,6 +256,6 @@ def predict_all(df: DataFrame, key: str = "doc_id", text: str = "text", lang: st
 def in_a_language(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """Rows in one of the learned languages, with the columns they had."""
     model = fit(df.where(~held_out(F.col(key))), key, text, lang)
-    names = [c for c in ("_pred", "_pred_score")]
-    kept = identified(df, model, text, *names).where(F.col(names[0]) != UNDETERMINED)
+    predicted, score = fresh(df, "predicted", "score")
+    kept = identified(df, model, text, predicted, score).where(F.col(predicted) != UNDETERMINED)
     return kept.select(*df.columns)
