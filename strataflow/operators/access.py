@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.operators.answers import PERMISSIONS
+from strataflow.operators.answers import PERMISSIONS, QUESTION
 from strataflow.operators.skew import small_side
 
 # Access levels of a community, from open to closed.
@@ -22,7 +22,7 @@ def with_permissions(question_sets: DataFrame, stored: DataFrame, defaults: dict
 
 def exportable_answers(answers: DataFrame, questions: DataFrame, stored: DataFrame) -> DataFrame:
     """Answers whose question set may be exported."""
-    placed = answers.join(small_side(questions.select("question", "question_set")), "question")
+    placed = answers.join(small_side(questions.select(*QUESTION, "question_set")), QUESTION)
     hidden = stored.where(~F.coalesce("exportable", F.lit(DEFAULTS["exportable"])))
     return placed.join(hidden.select("fingerprint", "question_set"), ["fingerprint", "question_set"], "left_anti")
 
@@ -38,7 +38,7 @@ def visible_fingerprints(
     mine = memberships.where(F.col("user_id") == viewer).select(
         "community", "role", F.col("accepted").alias("_accepted"), F.col("approved").alias("_approved")
     )
-    joined = fingerprints.join(small_side(communities), "community").join(small_side(mine), "community", "left")
+    joined = fingerprints.join(communities, "community").join(mine, "community", "left")
     manager = F.coalesce(F.col("role") == "manager", F.lit(False))
     owner = F.coalesce(F.col("owner") == viewer, F.lit(False))
     admitted = (

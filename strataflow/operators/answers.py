@@ -1,4 +1,8 @@
-"""Answers of fingerprints: typing, validation, completeness, export."""
+"""Answers of fingerprints: typing, validation, completeness, export.
+
+A question is known by its questionnaire and its slug: slugs repeat between questionnaires.
+Answers, questions, choices and dependencies all carry both.
+"""
 
 from __future__ import annotations
 
@@ -19,17 +23,18 @@ from strataflow.functions.typed_values import (
 from strataflow.operators.skew import small_side
 
 PERMISSIONS = ("visible", "indexable", "exportable")
+QUESTION = ["questionnaire", "question"]
 
 
-def unpivot_answers(rows: DataFrame, fingerprint: str, questions: dict[str, Column]) -> DataFrame:
-    """Answers as ``(fingerprint, question, value)``, from one scan of a wide table."""
+def unpivot_answers(rows: DataFrame, fingerprint: str, questionnaire: Column, questions: dict[str, Column]) -> DataFrame:
+    """Answers as ``(fingerprint, questionnaire, question, value)``, from one scan of a wide table."""
     pairs = F.array(
         *[
             F.struct(F.lit(slug).alias("question"), value.cast("string").alias("value"))
             for slug, value in questions.items()
         ]
     )
-    return rows.select(F.col(fingerprint).alias("fingerprint"), F.inline(pairs))
+    return rows.select(F.col(fingerprint).alias("fingerprint"), questionnaire.alias("questionnaire"), F.inline(pairs))
 
 
 def non_empty(answers: DataFrame) -> DataFrame:
@@ -39,21 +44,21 @@ def non_empty(answers: DataFrame) -> DataFrame:
 def expected_answers(fingerprints: DataFrame, questions: DataFrame, answers: DataFrame) -> DataFrame:
     """A row per fingerprint and question of its questionnaire; unanswered ones have a NULL value."""
     expected = fingerprints.join(small_side(questions), "questionnaire")
-    return expected.join(answers, ["fingerprint", "question"], "left")
+    return expected.join(answers, ["fingerprint", *QUESTION], "left")
 
 
 def type_answers(answers: DataFrame, questions: DataFrame) -> DataFrame:
     """Answers with one typed column per kind."""
-    kinds = questions.select("question", "type", answer_kind(F.col("type")).alias("answer_kind"))
-    typed = answers.join(small_side(kinds), "question")
+    kinds = questions.select(*QUESTION, "type", answer_kind(F.col("type")).alias("answer_kind"))
+    typed = answers.join(small_side(kinds), QUESTION)
     return typed.withColumns(typed_columns(F.col("value"), F.col("answer_kind")))
 
 
 def question_checks(questions: DataFrame) -> DataFrame:
     """One row per question and check, its argument typed."""
-    listed = questions.select("question", F.inline(checks_of(F.col("constraints"), F.col("type"))))
+    listed = questions.select(*QUESTION, F.inline(checks_of(F.col("constraints"), F.col("type"))))
     return listed.select(
-        "question",
+        *QUESTION,
         "code",
         F.col("argument").try_cast("double").alias("number"),
         F.col("argument").alias("text"),
@@ -68,47 +73,57 @@ def answer_errors(answers: DataFrame, questions: DataFrame) -> DataFrame:
     The checks of all questions are a small table, so answers are read once and their
     texts stay where they are.
     """
-    checked = non_empty(answers).join(small_side(question_checks(questions)), "question")
-    return checked.where(fails_check(F.col("value"))).select("fingerprint", "question", "code")
+    checked = non_empty(answers).join(small_side(question_checks(questions)), QUESTION)
+    return checked.where(fails_check(F.col("value"))).select("fingerprint", *QUESTION, "code")
+
+
+def required_questions(questions: DataFrame) -> DataFrame:
+    """Questions whose constraints say that they are required."""
+    return questions.where(is_required(F.col("constraints"))).select(*QUESTION)
+
+
+def _given(answers: DataFrame, questions: DataFrame) -> DataFrame:
+    """Keys of the answers to some questions; texts stay behind."""
+    return non_empty(answers).select("fingerprint", *QUESTION).join(small_side(questions), QUESTION, "left_semi")
 
 
 def missing_answers(fingerprints: DataFrame, questions: DataFrame, answers: DataFrame) -> DataFrame:
-    """Required questions without an answer, from the keys of the answers alone."""
-    required = questions.where(is_required(F.col("constraints"))).select("questionnaire", "question")
+    """Required questions of a fingerprint's questionnaire without an answer, from the keys of the answers alone."""
+    required = required_questions(questions)
     expected = fingerprints.select("fingerprint", "questionnaire").join(small_side(required), "questionnaire")
-    given = non_empty(answers).join(small_side(required.select("question").distinct()), "question", "left_semi")
-    missing = expected.join(given.select("fingerprint", "question"), ["fingerprint", "question"], "left_anti")
-    return missing.select("fingerprint", "question", F.lit("required").alias("code"))
+    missing = expected.join(_given(answers, required), ["fingerprint", *QUESTION], "left_anti")
+    return missing.select("fingerprint", *QUESTION, F.lit("required").alias("code"))
 
 
 def resolve_choices(answers: DataFrame, choices: DataFrame) -> DataFrame:
     """Chosen values as choice keys; ``known`` is false for values that are no choice."""
-    chosen = answers.select("fingerprint", "question", F.explode(split_choices(F.col("value"))).alias("ident"))
-    keyed = choices.select("question", "ident", "choice_key")
-    return chosen.join(small_side(keyed), ["question", "ident"], "left").withColumn("known", F.col("choice_key").isNotNull())
+    chosen = answers.select("fingerprint", *QUESTION, F.explode(split_choices(F.col("value"))).alias("ident"))
+    keyed = choices.select(*QUESTION, "ident", "choice_key")
+    return chosen.join(small_side(keyed), [*QUESTION, "ident"], "left").withColumn("known", F.col("choice_key").isNotNull())
 
 
 def unknown_choices(answers: DataFrame, choices: DataFrame) -> DataFrame:
     """Chosen values to reject."""
-    chosen = answers.select("fingerprint", "question", F.explode(split_choices(F.col("value"))).alias("ident"))
-    return chosen.join(small_side(choices.select("question", "ident")), ["question", "ident"], "left_anti")
+    chosen = answers.select("fingerprint", *QUESTION, F.explode(split_choices(F.col("value"))).alias("ident"))
+    return chosen.join(small_side(choices.select(*QUESTION, "ident")), [*QUESTION, "ident"], "left_anti")
 
 
 def surplus_answers(answers: DataFrame, dependencies: DataFrame, selected: DataFrame) -> DataFrame:
     """Answers of dependent questions, marked surplus when the required choice is not selected.
 
-    ``dependencies``: question, requires_question, requires_choice; ``selected``:
-    fingerprint, question, choice.
+    ``dependencies``: questionnaire, question, requires_question, requires_choice; ``selected``:
+    fingerprint, questionnaire, question, choice.
     """
     met = selected.select(
         "fingerprint",
+        "questionnaire",
         F.col("question").alias("requires_question"),
         F.col("choice").alias("requires_choice"),
         F.lit(True).alias("_met"),
     ).distinct()
-    dependent = answers.join(small_side(dependencies), "question")
+    dependent = answers.join(small_side(dependencies), QUESTION)
     return (
-        dependent.join(met, ["fingerprint", "requires_question", "requires_choice"], "left")
+        dependent.join(met, ["fingerprint", "questionnaire", "requires_question", "requires_choice"], "left")
         .withColumn("surplus", F.col("_met").isNull())
         .drop("_met")
     )
@@ -120,15 +135,16 @@ def fill_percentage(fingerprints: DataFrame, questions: DataFrame, answers: Data
     Answers are counted first, so texts are never shuffled and unanswered questions need
     no rows of their own.
     """
-    totals = questions.groupBy("questionnaire", "question_set").agg(F.count(F.lit(1)).alias("questions"))
+    sets = ["questionnaire", "question_set"]
+    totals = questions.groupBy(*sets).agg(F.count(F.lit(1)).alias("questions"))
     answered = (
         non_empty(answers)
-        .join(small_side(questions.select("question", "question_set")), "question")
-        .groupBy("fingerprint", "question_set")
+        .join(small_side(questions.select(*QUESTION, "question_set")), QUESTION)
+        .groupBy("fingerprint", *sets)
         .agg(F.count_distinct("question").alias("answered"))
     )
     expected = fingerprints.select("fingerprint", "questionnaire").join(small_side(totals), "questionnaire")
-    filled = expected.join(answered, ["fingerprint", "question_set"], "left")
+    filled = expected.join(answered, ["fingerprint", *sets], "left")
     return filled.select(
         "fingerprint",
         "question_set",
@@ -139,18 +155,12 @@ def fill_percentage(fingerprints: DataFrame, questions: DataFrame, answers: Data
 
 
 def publishable(fingerprints: DataFrame, questions: DataFrame, answers: DataFrame) -> DataFrame:
-    """Whether every required question of a fingerprint is answered."""
-    required = questions.where("required")
-    needed = required.groupBy("questionnaire").agg(F.count(F.lit(1)).alias("_needed"))
-    given = (
-        non_empty(answers)
-        .join(small_side(required.select("question")), "question", "left_semi")
-        .groupBy("fingerprint")
-        .agg(F.count_distinct("question").alias("_given"))
-    )
-    checked = fingerprints.join(small_side(needed), "questionnaire", "left").join(given, "fingerprint", "left")
-    missing = F.coalesce("_needed", F.lit(0)) - F.coalesce("_given", F.lit(0))
-    return checked.withColumn("missing_required", missing).withColumn("complete", missing == 0).drop("_needed", "_given")
+    """Whether every required question of a fingerprint's questionnaire is answered."""
+    missing = missing_answers(fingerprints, questions, answers)
+    counted = missing.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("missing_required"))
+    checked = fingerprints.join(counted, "fingerprint", "left")
+    checked = checked.withColumn("missing_required", F.coalesce("missing_required", F.lit(0).cast("long")))
+    return checked.withColumn("complete", F.col("missing_required") == 0)
 
 
 def summary_rows(fingerprints: DataFrame, questions: DataFrame, answers: DataFrame) -> DataFrame:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from itertools import batched
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,18 +27,24 @@ class FilterSpec:
     name: str = ""
 
 
-def specs_from_registry(filters: DataFrame, most: int = 10_000) -> list[FilterSpec]:
+# Filters evaluated in one plan; more are taken in groups, each with a scan of its own.
+FILTERS_PER_SCAN = 200
+
+
+def specs_from_registry(filters: DataFrame) -> list[FilterSpec]:
     """Active filters of a registry table; predicates are plan text, so they are needed here."""
     columns = ["filter_id", "name", "filter", "selections", "communities"]
-    rows = filters.where(F.col("status") == ACTIVE).select(*columns).orderBy("filter_id").limit(most + 1).collect()
-    if len(rows) > most:
-        raise ValueError(f"more than {most} active filters")
+    rows = filters.where(F.col("status") == ACTIVE).select(*columns).orderBy("filter_id").toLocalIterator()
     return [
         FilterSpec(r.filter_id, r.filter, tuple(r.selections or ()), tuple(r.communities or ()), r.name or "")
         for r in rows
     ]
 
 
+def _groups(specs: Iterable[FilterSpec]) -> Iterator[tuple[FilterSpec, ...]]:
+    return batched(specs, FILTERS_PER_SCAN)
+
+
 def filter_rows(rows: DataFrame, spec: FilterSpec, keep: Sequence[str] = ()) -> DataFrame:
     """Selected columns of the rows that match."""
     return rows.where(compile_predicate(spec.text)).select(*keep, *check_columns(list(spec.selections)))
@@ -48,7 +56,11 @@ def complement(rows: DataFrame, spec: FilterSpec, keep: Sequence[str] = ()) -> D
 
 
 def count_matches(rows: DataFrame, keys: Sequence[str], specs: Iterable[FilterSpec]) -> DataFrame:
-    """Matched, unmatched and unknown rows per key and filter, from a single scan."""
+    """Matched, unmatched and unknown rows per key and filter, from a single scan for each group of filters."""
+    return reduce(DataFrame.unionByName, [_count_group(rows, keys, group) for group in _groups(specs)])
+
+
+def _count_group(rows: DataFrame, keys: Sequence[str], specs: Iterable[FilterSpec]) -> DataFrame:
     aggregates, records = [], []
     for spec in specs:
         p, tag = compile_predicate(spec.text), f"_{spec.filter_id}"
@@ -69,8 +81,19 @@ def count_matches(rows: DataFrame, keys: Sequence[str], specs: Iterable[FilterSp
     return counted.select(*keys, F.inline(F.array(*records)))
 
 
+def with_empty_uploads(
+    counts: DataFrame, announced: DataFrame, keys: Sequence[str], specs: Iterable[FilterSpec]
+) -> DataFrame:
+    """Counts of every announced upload and filter; an upload without rows has zeros for all of them."""
+    filters = F.array(*[F.lit(s.filter_id).cast("long") for s in specs])
+    expected = announced.select(*keys).distinct().withColumn("filter_id", F.explode(filters))
+    zeros = {c: F.lit(0).cast("long") for c in ("matched", "unmatched", "unknown")}
+    missing = expected.join(counts, [*keys, "filter_id"], "left_anti").withColumns(zeros)
+    return counts.unionByName(missing)
+
+
 def completeness(counts: DataFrame, announced: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Compare the three counts with the announced rows; an upload without rows counts zero."""
+    """Compare the three counts with the announced rows; see ``with_empty_uploads`` for uploads without rows."""
     seen = F.col("matched") + F.col("unmatched") + F.col("unknown")
     joined = announced.select(*keys, F.col("rows").cast("long").alias("rows")).join(counts, list(keys), "left")
     return joined.withColumn("complete", F.coalesce(seen, F.lit(0)) == F.col("rows"))
@@ -85,10 +108,11 @@ def all_filters_done(checked: DataFrame, keys: Sequence[str], active: int) -> Da
 
 def fan_out(rows: DataFrame, specs: Iterable[FilterSpec]) -> DataFrame:
     """Each row once per filter it matches, with ``filter_id``."""
-    hits = F.array_compact(
-        F.array(*[F.when(compile_predicate(s.text), F.lit(s.filter_id).cast("long")) for s in specs])
-    )
-    return rows.withColumn("filter_id", F.explode(hits))
+    parts = []
+    for group in _groups(specs):
+        hits = [F.when(compile_predicate(s.text), F.lit(s.filter_id).cast("long")) for s in group]
+        parts.append(rows.withColumn("filter_id", F.explode(F.array_compact(F.array(*hits)))))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def community_gate(uploads: DataFrame, specs: Iterable[FilterSpec], community: str = "community_id") -> DataFrame:

@@ -1,9 +1,9 @@
 """Ordered scans per key (lag, running totals, carry-down, offsets) that survive a hot key.
 
 A plain window sorts all rows of a key in one task. When some keys have more than
-``limit`` rows, those keys are cut into ranges of their order position; each range is
-scanned on its own and the state at its start comes from a summary with one row per
-range. Without hot keys the scan is an ordinary window.
+``limit`` rows, their rows are dealt out by ranges of (key, order) and written; ties of the order are
+cut like any rows. Each range is scanned on its own, and the state at its start comes from a
+summary with one row per range. Without hot keys the scan is an ordinary window.
 """
 
 from __future__ import annotations
@@ -14,50 +14,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataflow.operators.skew import hot_groups
-from strataflow.session import cut_lineage
 from strataflow.session import hot_rows as configured_hot_rows
+from strataflow.session import stage
 
-RANGE = "_range"
-COLD = -1
-SPANS = 32
+RANGE, PLACE = "_range", "_place"
+# Places of written rows: the range above, the row within it below.
+ROW_BITS = 33
 
 
-def _spans(df: DataFrame, keys: list[str], hot: DataFrame, position: str, limit: int) -> DataFrame:
-    """Stretches of each hot key with about as many rows each, as an array of cut instructions.
+def in_ranges(df: DataFrame, order: Sequence[str], ranges: int) -> DataFrame:
+    """Rows in ranges of the order, with the number of the range and a place that follows the order.
 
-    The borders are approximate quantiles, so that rows crowded in a short stretch of the
-    order are cut finely; they are stored, every task sees the same ones.
+    Rows that are equal in the order are told apart by their place in the input.
     """
-    marks = [i / SPANS for i in range(1, SPANS)]
-    rows = df.join(F.broadcast(hot.select(*keys)), keys, "left_semi")
-    quantiles = rows.groupBy(*keys).agg(F.percentile_approx(position, marks, 1000).alias("_marks"))
-    starts = F.array_sort(F.array_distinct(F.concat(F.array("_low"), F.col("_marks"))))
-    bounds = hot.join(F.broadcast(quantiles), keys).withColumn("_starts", starts)
-    pieces = F.ceil(F.col("group_rows") / F.lit(limit) / F.size("_starts"))
-    ends = F.concat(F.slice("_starts", F.lit(2), F.size("_starts")), F.array(F.col("_high") + 1))
-    cut = bounds.withColumn("_pieces", pieces).withColumn(
-        "_spans",
-        F.transform(
-            F.arrays_zip(F.col("_starts").alias("low"), ends.alias("next")),
-            lambda span, place: F.struct(
-                span["low"].alias("low"),
-                F.greatest(F.lit(1), F.ceil((span["next"] - span["low"]) / F.col("_pieces"))).alias("width"),
-                (place * F.col("_pieces")).alias("first"),
-            ),
-        ),
-    )
-    return cut_lineage(cut.select(*keys, "_spans"))
-
-
-def _with_ranges(df: DataFrame, keys: list[str], hot: DataFrame, position: str, limit: int) -> DataFrame:
-    """Add the range number of each row: -1 for keys that need no split."""
-    at = F.col(position)
-    span = F.element_at(F.filter("_spans", lambda s: s["low"] <= at), -1)
-    number = span["first"] + F.floor((at - span["low"]) / span["width"])
-    tagged = df.join(F.broadcast(_spans(df, keys, hot, position, limit)), keys, "left")
-    return tagged.withColumn(
-        RANGE, F.when(F.col("_spans").isNotNull(), number).otherwise(F.lit(COLD)).cast("long")
-    ).drop("_spans")
+    tied = df.withColumn("_tie", F.monotonically_increasing_id())
+    sorted_rows = tied.repartitionByRange(ranges, *order, "_tie").sortWithinPartitions(*order, "_tie").drop("_tie")
+    placed = stage(sorted_rows.withColumn(PLACE, F.monotonically_increasing_id()))
+    return placed.withColumn(RANGE, F.shiftright(PLACE, ROW_BITS))
 
 
 def with_previous(
@@ -92,29 +65,31 @@ def with_running(
     positions that is cheaper to read, to look for hot keys there.
     """
     limit = limit or configured_hot_rows(df.sparkSession)
-    added = []
     measured = df if measured is None else measured
-    if not keys:
-        df, measured = df.withColumn("_all", F.lit(0)), measured.withColumn("_all", F.lit(0))
-        keys, added = ["_all"], ["_all"]
-    keys, order = list(keys), [position, *ties]
-    hot = hot_groups(measured, keys, {"_low": F.min(position), "_high": F.max(position)}, limit)
+    names = df.columns
+    df = df.withColumn("_key", F.struct(*keys) if keys else F.struct(F.lit(0).alias("all")))
+    measured = measured.withColumn("_key", F.struct(*keys) if keys else F.struct(F.lit(0).alias("all")))
+    order = [position, *ties]
+    hot = hot_groups(measured, ["_key"], {}, limit)
     if hot is None:
-        values = _local_values(Window.partitionBy(*keys).orderBy(*order), columns)
-        return df.withColumns({n: _unwrap(columns[n][0], v) for n, v in values.items()}).drop(*added)
+        values = _local_values(Window.partitionBy("_key").orderBy(*order), columns)
+        return df.withColumns({n: _unwrap(columns[n][0], v) for n, v in values.items()}).drop("_key")
 
-    # The keys as one struct: a hot key with NULL in it joins like any other.
-    df, hot = df.withColumn("_key", F.struct(*keys)), hot.withColumn("_key", F.struct(*keys)).drop(*keys)
-    keys, added = ["_key"], [*added, "_key"]
+    # The columns are taken before the split, as their texts may not know the columns added here.
     df = df.withColumns({f"_in_{name}": column for name, (_, column) in columns.items()})
     inputs = {name: (kind, F.col(f"_in_{name}")) for name, (kind, _) in columns.items()}
-    rows = _with_ranges(df, keys, hot, position, limit)
-    # One row per range of a hot key: its number is bounded like that of the hot keys.
-    ends = rows.where(F.col(RANGE) > COLD).groupBy(*keys, RANGE).agg(*_range_ends(inputs, order))
-    rows = rows.join(F.broadcast(ends.select(*keys, RANGE, *_carries(inputs, keys))), [*keys, RANGE], "left")
-    local = _local_values(Window.partitionBy(*keys, RANGE).orderBy(*order), inputs)
-    rows = rows.withColumns({name: _combined(inputs[name][0], value, F.col(f"_carry_{name}")) for name, value in local.items()})
-    return rows.drop(RANGE, *added, *[f"_in_{n}" for n in columns], *[f"_carry_{n}" for n in columns])
+    cold = df.join(hot.select("_key"), "_key", "left_anti")
+    plain = _local_values(Window.partitionBy("_key").orderBy(*order), inputs)
+    cold = cold.withColumns({n: _unwrap(inputs[n][0], v) for n, v in plain.items()}).select(*names, *columns)
+
+    ranges = -(-hot.agg(F.sum("group_rows")).first()[0] // limit)
+    rows = in_ranges(df.join(hot.select("_key"), "_key", "left_semi"), ["_key", *order], ranges)
+    # One row per range and key: both are bounded by rows / limit.
+    ends = rows.groupBy("_key", RANGE).agg(*_range_ends(inputs, [PLACE]))
+    rows = rows.join(ends.select("_key", RANGE, *_carries(inputs, ["_key"])), ["_key", RANGE])
+    local = _local_values(Window.partitionBy("_key", RANGE).orderBy(PLACE), inputs)
+    rows = rows.withColumns({n: _combined(inputs[n][0], value, F.col(f"_carry_{n}")) for n, value in local.items()})
+    return cold.unionByName(rows.select(*names, *columns))
 
 
 def _local_values(window, columns: dict[str, tuple[str, Column]]) -> dict[str, Column]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 from fractions import Fraction
 
@@ -27,10 +28,32 @@ def _moments(value: Column) -> dict[str, Column]:
     }
 
 
+LARGEST = sys.float_info.max
+
+
 def _cell(value: Column, low: Column, high: Column) -> Column:
-    """Histogram cell of a value; never falls as the value rises, so cells keep the order."""
-    share = F.coalesce(F.try_divide(value - low, high - low), F.lit(0.0))
-    return F.floor(F.log2(F.lit(1.0) + share * F.lit(float(2**OCTAVES))) * F.lit(float(STEPS)))
+    """Histogram cell of a value; never falls as the value rises, so cells keep the order.
+
+    Infinities and NaN have cells of their own beside the finite ones. The lowest and the
+    highest finite value never share a cell, so an interval shrinks with every step.
+    """
+    bottom, top = F.greatest(low, F.lit(-LARGEST)), F.least(high, F.lit(LARGEST))
+    width = top - bottom
+    # Half of each term where the width itself would overflow.
+    share = F.when(width <= F.lit(LARGEST), F.try_divide(value - bottom, width)).otherwise(
+        F.try_divide(value / 2 - bottom / 2, top / 2 - bottom / 2)
+    )
+    finite = F.floor(
+        F.log2(F.lit(1.0) + F.least(F.greatest(F.coalesce(share, F.lit(0.0)), F.lit(0.0)), F.lit(1.0)) * F.lit(float(2**OCTAVES)))
+        * F.lit(float(STEPS))
+    )
+    last = OCTAVES * STEPS + 1
+    return (
+        F.when(value < F.lit(-LARGEST), F.lit(-1).cast("long"))
+        .when(F.isnan(value), F.lit(last + 2).cast("long"))
+        .when(value > F.lit(LARGEST), F.lit(last + 1).cast("long"))
+        .otherwise(finite)
+    )
 
 
 def _rank(fraction: float, count: Column) -> Column:

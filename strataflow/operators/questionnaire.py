@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import batched
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,7 +25,8 @@ OWNERS = {
     "ColumnChoice": "Column",
 }
 
-DEEPEST_LEVEL = 9
+# Levels followed in one ordered pass; deeper sheets take several.
+LEVELS_PER_PASS = 16
 
 
 def number_sections(sheet: DataFrame) -> DataFrame:
@@ -47,29 +50,29 @@ def carry_owners(sheet: DataFrame) -> DataFrame:
     return carried.withColumn("owner_line", owner).drop(*[f"_last_{t}" for t in wanted])
 
 
-def nest_levels(sheet: DataFrame, deepest: int = DEEPEST_LEVEL) -> DataFrame:
-    """Parent of each group and question: the nearest row above it with a lower level.
+def nest_levels(sheet: DataFrame) -> DataFrame:
+    """Parent of each group and question: the nearest row above it with a lower level, of any depth.
 
     A row below a question needs a group without text, ``implicit_group`` marks it. The
     nearest row of each level is a running maximum, so no row looks at the rows above it.
     """
     rows = number_sections(sheet).where(F.col("type").isin("Group", "Question"))
     rows = rows.withColumn("level", F.col("level").try_cast("int"))
-    here = F.struct(F.col("line"), F.col("type"))
-    rows = with_running(
-        rows,
-        ["sheet_id", "section"],
-        "line",
-        {f"_level_{n}": ("max", F.when(F.col("level") == n, here)) for n in range(1, deepest + 1)},
-    )
-    above = [F.when(F.col("level") > n, F.col(f"_level_{n}")) for n in range(1, deepest + 1)]
-    rows = rows.withColumn("_parent", F.greatest(*above))
+    levels = [r["level"] for r in rows.where(F.col("level").isNotNull()).select("level").distinct().toLocalIterator()]
+    nothing = F.lit(None).cast("struct<line:long,type:string>")
+    here = F.struct(F.col("line").cast("long").alias("line"), F.col("type"))
+    rows = rows.withColumn("_parent", nothing)
+    for some in batched(sorted(levels)[:-1], LEVELS_PER_PASS):
+        nearest = {f"_nearest_{i}": ("max", F.when(F.col("level") == n, here)) for i, n in enumerate(some)}
+        above = [F.when(F.col("level") > n, F.col(f"_nearest_{i}")) for i, n in enumerate(some)]
+        rows = with_running(rows, ["sheet_id", "section"], "line", nearest)
+        rows = rows.withColumn("_parent", F.greatest("_parent", *above, nothing)).drop(*nearest)
     return rows.withColumns(
         {
             "parent_line": F.col("_parent.line"),
             "implicit_group": F.coalesce(F.col("_parent.type") == "Question", F.lit(False)),
         }
-    ).drop("_parent", *[f"_level_{n}" for n in range(1, deepest + 1)])
+    ).drop("_parent")
 
 
 def check_sheet(sheet: DataFrame) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
+from itertools import batched
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,18 +24,17 @@ class Application:
     template: str
 
 
-def applications_from_registry(applications: DataFrame, most: int = 10_000) -> list[Application]:
+# Applications written into one plan; more are taken in groups.
+APPLICATIONS_PER_PLAN = 200
+
+
+def applications_from_registry(applications: DataFrame) -> list[Application]:
     """Active applications; their templates become plan text."""
-    rows = (
-        applications.where(F.col("status") == ACTIVE)
-        .select("application_id", "filter_id", "community_id", "request_template")
-        .orderBy("application_id")
-        .limit(most + 1)
-        .collect()
-    )
-    if len(rows) > most:
-        raise ValueError(f"more than {most} active applications")
-    return [Application(r.application_id, r.filter_id, r.community_id, r.request_template) for r in rows]
+    columns = ["application_id", "filter_id", "community_id", "request_template"]
+    active = applications.where(F.col("status") == ACTIVE).select(*columns).orderBy("application_id")
+    return [
+        Application(r.application_id, r.filter_id, r.community_id, r.request_template) for r in active.toLocalIterator()
+    ]
 
 
 def ready_applications(ready: DataFrame, applications: DataFrame, strict_community: bool = True) -> DataFrame:
@@ -93,6 +94,21 @@ def build_requests(
         ready = ready.join(_cells(output, list(keys), order, cells), list(keys), "left")
 
     path = F.concat_ws("/", F.lit(file_root), *[F.concat(F.lit(f"{k}="), F.col(k).cast("string")) for k in keys])
+    parts = [
+        _requests(ready, group, templates, keys, path, strict_community)
+        for group in batched(applications, APPLICATIONS_PER_PLAN)
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _requests(
+    ready: DataFrame,
+    applications: Iterable[Application],
+    templates: dict[int, Template],
+    keys: tuple[str, str],
+    path: Column,
+    strict_community: bool,
+) -> DataFrame:
     requests = []
     for app in applications:
         template = templates[app.application_id]

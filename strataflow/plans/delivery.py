@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from strataflow.operators.fanout import FilterSpec
 from strataflow.operators.registry import expand_reference
 from strataflow.operators.routing import Application, build_requests
-from strataflow.operators.skew import hot_groups
 from strataflow.sources.sinks import write_slices
 
 
@@ -36,18 +35,9 @@ def write_result_files(output: DataFrame, specs: Sequence[FilterSpec], file_root
 
 
 def with_pandas(
-    output: DataFrame,
-    build: Callable[[pd.DataFrame], pd.DataFrame],
-    schema: str,
-    keys: Sequence[str],
-    most_rows: int = 1_000_000,
+    output: DataFrame, build: Callable[[pd.DataFrame], pd.DataFrame], schema: str, keys: Sequence[str]
 ) -> DataFrame:
-    """Let user code see all rows of a slice as pandas, for results that fit a task.
-
-    Refuses when a slice is larger than ``most_rows``; see :func:`in_batches` for those.
-    """
-    if hot_groups(output, keys, {}, most_rows) is not None:
-        raise ValueError(f"a slice has more than {most_rows} rows")
+    """Let user code see all rows of a slice as pandas; see :func:`in_batches` for slices beyond a task."""
     return output.groupBy(*keys).applyInPandas(build, schema)
 
 

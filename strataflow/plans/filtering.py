@@ -16,6 +16,7 @@ from strataflow.operators.fanout import (
     count_matches,
     data_ready,
     fan_out,
+    with_empty_uploads,
 )
 from strataflow.session import cut_lineage
 
@@ -42,7 +43,8 @@ def run_filters(
     filter's communities hold the database's community.
     """
     specs = list(specs)
-    counts = cut_lineage(count_matches(rows, KEYS, specs))
+    counted = count_matches(rows, KEYS, specs)
+    counts = cut_lineage(with_empty_uploads(counted, announced, KEYS, specs))
     checked = completeness(counts, announced, KEYS)
     gate = community_gate(databases.select("database_identifier", "community_id"), specs)
     slices = data_ready(counts, "upload_id", "database_identifier")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataflow.operators.answers import (
+    QUESTION,
     answer_errors,
     missing_answers,
     resolve_choices,
@@ -33,11 +34,13 @@ def validate_answers(
     choices: DataFrame,
     dependencies: DataFrame,
 ) -> Validated:
-    """``choices``: question, ident, choice_key; ``dependencies``: question, requires_question, requires_choice."""
-    choice_questions = questions.where(F.col("type").isin("single choice", "multiple choice")).select("question")
-    chosen = answers.join(choice_questions, "question", "left_semi")
+    """``choices``: questionnaire, question, ident, choice_key; ``dependencies``: questionnaire, question,
+    requires_question, requires_choice.
+    """
+    choice_questions = questions.where(F.col("type").isin("single choice", "multiple choice")).select(*QUESTION)
+    chosen = answers.join(choice_questions, QUESTION, "left_semi")
     resolved = resolve_choices(chosen, choices)
-    selected = resolved.where("known").select("fingerprint", "question", F.col("ident").alias("choice"))
+    selected = resolved.where("known").select("fingerprint", *QUESTION, F.col("ident").alias("choice"))
     return Validated(
         typed=type_answers(answers, questions),
         errors=answer_errors(answers, questions).unionByName(missing_answers(fingerprints, questions, answers)),

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +18,8 @@ HOT_ROWS_DEFAULT = 1_000_000
 
 # Folders of local runs that name none, by application.
 _LOCAL_DIRS: dict[str, str] = {}
+# Part of the folder of intermediate tables that new ones go to.
+_AREA: ContextVar[str] = ContextVar("area", default="common")
 
 
 def build_session(
@@ -57,9 +61,10 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL_DIRS[application]
 
 
-def stage_dir(spark: SparkSession) -> str:
-    """Folder of this application's intermediate tables."""
-    return f"{shared_dir(spark).rstrip('/')}/stages-{spark.sparkContext.applicationId}"
+def stage_dir(spark: SparkSession, area: str | None = None) -> str:
+    """Folder of this application's intermediate tables, or of one area of it."""
+    root = f"{shared_dir(spark).rstrip('/')}/stages-{spark.sparkContext.applicationId}"
+    return root if area is None else f"{root}/{area}"
 
 
 def stage(df: DataFrame) -> DataFrame:
@@ -68,14 +73,24 @@ def stage(df: DataFrame) -> DataFrame:
     Lineage ends here: a lost executor costs no recomputation, nondeterministic columns
     are fixed, and the optimizer knows the size and columns of the rows.
     """
-    path = f"{stage_dir(df.sparkSession)}/{uuid.uuid4().hex}"
+    path = f"{stage_dir(df.sparkSession, _AREA.get())}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def clear_stages(spark: SparkSession) -> None:
-    """Remove the intermediate tables of this application, once its results are written."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(stage_dir(spark))
+@contextmanager
+def stage_area(area: str) -> Iterator[None]:
+    """Intermediate tables made meanwhile go to an area that can be cleared by itself."""
+    token = _AREA.set(area)
+    try:
+        yield
+    finally:
+        _AREA.reset(token)
+
+
+def clear_stages(spark: SparkSession, area: str | None = None) -> None:
+    """Remove intermediate tables, all or those of an area, once the results that rest on them are written."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(stage_dir(spark, area))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 

@@ -155,9 +155,10 @@ def test_file_to_requests(spark, rows, registry, tmp_path):
         filtered.ready, filtered.output, registry["communities"], applications_from_registry(registry["applications"]), root
     )
     put, post = requests.orderBy("application_id").collect()
-    assert (put.method, put.body, put.options) == ("PUT", '{"data":"1171"}', '{"auth":["user","secret"]}')
-    assert put.url == f"http://portal.example/api/{IDENTIFIER}/answers/patient_count/" and put.file_path is None
-    assert (post.method, post.body, post.file_field) == ("POST", None, "results_file")
+    assert (put.method, put.body) == ("POST", '{"series":"people","points":["1171"]}')
+    assert put.options == '{"headers":{"X-Channel":"catalogue"}}'
+    assert put.url == f"http://counts.example/v2/series?source={IDENTIFIER}" and put.file_path is None
+    assert (post.method, post.body, post.file_field) == ("PATCH", None, "table")
     write_result_files(filtered.output, specs, root)
     sent = spark.read.option("header", True).csv(post.file_path)
     assert sent.columns == CATALOGUE_COLUMNS and sent.count() == 8

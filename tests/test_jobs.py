@@ -10,7 +10,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from strataflow.operators import registry, search, stats, uploads
+from strataflow.operators import answers, questionnaire, registry, search, stats, uploads
 from strataflow.operators.submissions import upsert_answers
 from strataflow.plans.delivery import in_batches, with_pandas
 from strataflow.plans.history import submissions
@@ -172,15 +172,19 @@ def test_validation(spark):
         "questionnaire int, question string, type string, constraints string",
     )
     fingerprints = spark.createDataFrame([(5, 1), (6, 1)], "fingerprint long, questionnaire int")
-    answers = spark.createDataFrame(
-        [(5, "blood", "no"), (5, "plasma", "2"), (5, "tags", "a,c"), (6, "plasma", "9")],
-        "fingerprint long, question string, value string",
+    given = spark.createDataFrame(
+        [(5, 1, "blood", "no"), (5, 1, "plasma", "2"), (5, 1, "tags", "a,c"), (6, 1, "plasma", "9"), (6, 2, "blood", "yes")],
+        "fingerprint long, questionnaire int, question string, value string",
     )
     choices = spark.createDataFrame(
-        [("blood", "yes", 1), ("blood", "no", 2), ("tags", "a", 3), ("tags", "b", 4)], "question string, ident string, choice_key int"
+        [(1, "blood", "yes", 1), (1, "blood", "no", 2), (1, "tags", "a", 3), (1, "tags", "b", 4)],
+        "questionnaire int, question string, ident string, choice_key int",
     )
-    needs = spark.createDataFrame([("plasma", "blood", "yes")], "question string, requires_question string, requires_choice string")
-    made = validate_answers(fingerprints, questions, answers, choices, needs)
+    needs = spark.createDataFrame(
+        [(1, "plasma", "blood", "yes")],
+        "questionnaire int, question string, requires_question string, requires_choice string",
+    )
+    made = validate_answers(fingerprints, questions, given, choices, needs)
     assert {(r.fingerprint, r.question, r.code) for r in made.errors.collect()} == {(5, "plasma", "min_value"), (6, "blood", "required")}
     assert [(r.question, r.ident) for r in made.rejected_choices.collect()] == [("tags", "c")]
     assert {r.choice_key for r in made.choices.collect()} == {2, 3, None}
@@ -204,8 +208,6 @@ def test_pandas_access(spark):
     schema = "filter_id long, upload_id long, count_value long"
     got = with_pandas(output, total, schema, ["filter_id", "upload_id"]).collect()
     assert sorted(map(tuple, got)) == [(1, 5, 7), (2, 5, 7)]
-    with pytest.raises(ValueError):
-        with_pandas(output, total, schema, ["filter_id", "upload_id"], most_rows=1)
     doubled = in_batches(output, lambda pdf: pdf.assign(count_value=pdf.count_value * 2), schema)
     assert sorted(r.count_value for r in doubled.collect()) == [6, 8, 14]
 
@@ -231,15 +233,18 @@ def test_rows_of_one_database_prune_the_others(spark, tmp_path):
 
 
 def test_export_honours_permissions(spark, tmp_path):
-    answers = spark.createDataFrame(
-        [(1, "a", 'say "hi",\nthere'), (1, "b", "x"), (2, "b", "y")], "fingerprint int, question string, value string"
+    given = spark.createDataFrame(
+        [(1, 1, "a", 'say "hi",\nthere'), (1, 1, "b", "x"), (2, 1, "b", "y")],
+        "fingerprint int, questionnaire int, question string, value string",
+    )
+    questions = spark.createDataFrame(
+        [(1, "a", 1), (1, "b", 2), (2, "b", 9)], "questionnaire int, question string, question_set int"
     )
-    questions = spark.createDataFrame([("a", 1), ("b", 2)], "question string, question_set int")
     stored = spark.createDataFrame(
         [(1, 2, True, True, False), (2, 2, False, True, None)],
         "fingerprint int, question_set int, visible boolean, indexable boolean, exportable boolean",
     )
-    export_answers(answers, questions, stored, str(tmp_path / "out"))
+    export_answers(given, questions, stored, str(tmp_path / "out"))
     reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
     got = sorted(map(tuple, reader.csv(str(tmp_path / "out")).collect()))
     assert got == [("1", "a", 'say "hi",\nthere'), ("2", "b", "y")]
@@ -253,12 +258,13 @@ def test_source_tags(spark):
 
 
 def test_searches(spark):
-    answers = spark.createDataFrame(
-        [(1, "city", "Aveiro"), (1, "size", "12"), (2, "city", "Porto"), (2, "size", "many"), (3, "note", "Aveiro")],
-        "fingerprint int, question string, value string",
+    given = spark.createDataFrame(
+        [(1, 1, "city", "Aveiro"), (1, 1, "size", "12"), (2, 1, "city", "Porto"), (2, 1, "size", "many"), (3, 1, "note", "Aveiro")],
+        "fingerprint int, questionnaire int, question string, value string",
     )
     questions = spark.createDataFrame(
-        [("city", 1, True), ("size", 1, True), ("note", 2, False)], "question string, question_set int, searchable boolean"
+        [(1, "city", 1, True), (1, "size", 1, True), (1, "note", 2, False)],
+        "questionnaire int, question string, question_set int, searchable boolean",
     )
     stored = spark.createDataFrame([(9, 1, True, False, True)], "fingerprint int, question_set int, visible boolean, indexable boolean, exportable boolean")
     queries = {
@@ -267,6 +273,40 @@ def test_searches(spark):
         3: search.Any((search.Match("note", "equals", "aveiro"), search.All((search.Match("city", "equals", "porto"), search.Not(search.Match("size", "at_most", 3)))))),
     }
     fingerprints = spark.createDataFrame([(1,), (2,), (3,)], "fingerprint int")
-    found = run_searches(fingerprints, answers, questions, stored, queries)
+    found = run_searches(fingerprints, given, questions, stored, queries)
     assert {(r.search_id, r.fingerprint) for r in found.hits.collect()} == {(1, 1), (2, 2), (2, 3), (3, 2)}
     assert {r.fingerprint: r.hits for r in found.counts.collect()} == {1: 1, 2: 2, 3: 1}
+
+
+def test_questions_are_known_by_questionnaire_and_slug(spark):
+    """Slugs repeat between questionnaires; answers to another one neither complete nor fill this one."""
+    questions = spark.createDataFrame(
+        [
+            (1, 1, "a", "short text", "required: true"),
+            (1, 1, "b", "short text", "required: true"),
+            (2, 1, "a", "integer", ""),
+            (2, 1, "c", "integer", "required: true"),
+        ],
+        "questionnaire int, question_set int, question string, type string, constraints string",
+    )
+    fingerprints = spark.createDataFrame([(7, 1), (8, 2)], "fingerprint long, questionnaire int")
+    given = spark.createDataFrame(
+        [(7, 1, "a", "x"), (7, 2, "c", "1"), (7, 2, "a", "2"), (8, 2, "c", "3"), (8, 2, "a", "4")],
+        "fingerprint long, questionnaire int, question string, value string",
+    )
+    gate = {r.fingerprint: (r.missing_required, r.complete) for r in answers.publishable(fingerprints, questions, given).collect()}
+    assert gate == {7: (1, False), 8: (0, True)}
+    filled = {(r.fingerprint, r.answered, r.questions) for r in answers.fill_percentage(fingerprints, questions, given).collect()}
+    assert filled == {(7, 1, 2), (8, 2, 2)}
+    assert answers.type_answers(given, questions).count() == given.count()
+
+
+def test_levels_of_any_depth(spark):
+    lines = [("Section", None), ("Question", 1), ("Question", 10), ("Question", 11), ("Question", 40), ("Question", 12)]
+    names = "text data_type description slug dependencies constraints tooltip search".split()
+    sheet = spark.createDataFrame(
+        [(1, i, kind, None if level is None else str(level), *[None] * len(names)) for i, (kind, level) in enumerate(lines, 1)],
+        "sheet_id long, line long, type string, level string, " + ", ".join(f"{n} string" for n in names),
+    )
+    parents = {r.line: r.parent_line for r in questionnaire.nest_levels(sheet).collect()}
+    assert parents == {2: None, 3: 2, 4: 3, 5: 4, 6: 4}

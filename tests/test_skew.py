@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 
 import pytest
@@ -10,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from strataflow.operators.ordered import with_offset, with_previous, with_running
+from strataflow.operators.ordered import in_ranges, with_offset, with_previous, with_running
 from strataflow.operators.quantiles import distribution
 from strataflow.operators.uploads import slice_join
 
@@ -137,3 +138,28 @@ def test_slice_join_by_blocks(spark, block):
     assert sorted(map(tuple, got.select("k", "offset", "name").collect())) == sorted(
         map(tuple, want.select("k", "offset", "name").collect())
     )
+
+
+def test_ties_are_split(spark):
+    """Rows crowded at one position are cut by what follows in the order."""
+    rows = spark.range(1000).select(F.lit(1).alias("k"), F.lit(5).alias("at"), "id")
+    assert in_ranges(rows, ["k", "at", "id"], 20).select("_range").distinct().count() >= 20
+    got = with_offset(rows.repartition(5), ["k"], "at", "place", ["id"], 50).orderBy("place").collect()
+    assert [(r.place, r.id) for r in got] == [(i, i) for i in range(1000)]
+
+
+@pytest.mark.parametrize(
+    "values",
+    [
+        [float(i) for i in range(8)] + [math.inf],
+        [-math.inf, math.nan, math.inf, 1.0, 2.0, math.nan, -math.inf, 3.0, 4.0],
+        [1e308, -1e308, 1.7e308, -1.7e308, 0.0, 5e-324, 1e-320, 2e-320, 1.0],
+        [10.0**-i for i in range(0, 300, 7)],
+        [math.nan] * 9,
+    ],
+)
+def test_percentiles_of_extreme_values(spark, values):
+    got = distribution(spark.createDataFrame([(v,) for v in values], "v double"), [], "v", limit=3).first()
+    want = sorted(values, key=lambda v: (math.isnan(v), v))
+    for name, (a, b) in {"median_value": (1, 2), "p10_value": (1, 10), "p90_value": (9, 10)}.items():
+        assert repr(got[name]) == repr(want[max(1, -(-len(want) * a // b)) - 1])

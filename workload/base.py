@@ -69,15 +69,16 @@ SEGMENT_CONCEPTS = [
 
 APPLICATION_TEMPLATES = {
     1: """{
-"method": "PUT",
-"url": "http://portal.example/api/profiles/{{ database_identifier }}/answers/patient_count/",
-"json": {"data": "{{ filtered_data["count_value"][0] }}"},
-"auth": ("user", "secret"),
+"method": "POST",
+"url": "http://counts.example/v2/series?source={{ database_identifier }}",
+"headers": {"X-Channel": "catalogue"},
+"json": {"series": "people", "points": ["{{ filtered_data["count_value"][0] }}"]},
 }""",
     2: """{
-"method": "POST",
-"url": "http://dashboards.example/uploader/{{ database_identifier }}/",
-"files": {"results_file": data_file},
+"method": "PATCH",
+"url": "http://archive.example/{{ community_identifier }}/deposits",
+"params": {"origin": "{{ database_identifier }}"},
+"files": {"table": data_file},
 }""",
     3: """{
 "method": "POST",

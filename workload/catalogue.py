@@ -26,19 +26,21 @@ QUESTIONS = [
     (2, 1, 3, "contact", "Contact", "email", False, True, ""),
     (2, 1, 4, "status", "Status", "single choice", False, True, ""),
     (3, 1, 1, "homepage", "Homepage", "url", False, True, ""),
+    # A slug of the first questionnaire, of another type and with other constraints.
+    (3, 1, 2, "source", "Path of the page", "url", True, True, "required: true"),
 ]
 QUESTION_SCHEMA = (
     "questionnaire int, question_set int, number int, question string, text string, type string, "
     "required boolean, searchable boolean, constraints string"
 )
-CHOICES = [("language", i + 1, v, 100 + i) for i, v in enumerate(["en", "de", "fr", "es"])] + [
-    ("quality", 1, "0", 201),
-    ("quality", 2, "1", 202),
+CHOICES = [(1, "language", i + 1, v, 100 + i) for i, v in enumerate(["en", "de", "fr", "es"])] + [
+    (1, "quality", 1, "0", 201),
+    (1, "quality", 2, "1", 202),
 ]
-LOOKS = [("look", w, 300 + i) for i, w in enumerate(
+LOOKS = [(4, "look", w, 300 + i) for i, w in enumerate(
     ["small", "large", "red", "blue", "hot", "cold", "ring", "bolt", "gear", "plate", "rod"]
 )]
-DEPENDENCIES = [("quality", "language|1"), ("toxic", "quality|2"), ("description", "language|de")]
+DEPENDENCIES = [(1, "quality", "language|1"), (1, "toxic", "quality|2"), (1, "description", "language|de")]
 COMMUNITIES = [("en", "open", True), ("de", "public", False), ("fr", "moderated", True), ("es", "invitation", False)]
 VIEWER = 7
 LANGUAGES = ["de", "en", "es", "fr"]
@@ -56,27 +58,34 @@ VIEWS["questions"] = (
     + ") AS q(questionnaire, question_set, number, question, text, type, required, searchable, constraints)"
 )
 
-VIEWS["fingerprints"] = """
-SELECT doc_id AS fingerprint, 1 AS questionnaire, lang AS community, doc_id % 50 AS owner, n_chars < 1000 AS draft
-FROM documents"""
-
-VIEWS["answers"] = """
-SELECT doc_id AS fingerprint, 'language' AS question, lang AS value FROM documents
-UNION ALL SELECT doc_id, 'source', source FROM documents
-UNION ALL SELECT doc_id, 'size', CAST(n_chars AS VARCHAR) FROM documents
-UNION ALL SELECT doc_id, 'description', text FROM documents
-UNION ALL SELECT doc_id, 'quality', CAST(quality AS VARCHAR) FROM labels
-UNION ALL SELECT doc_id, 'toxic', CASE WHEN toxic = 1 THEN 'yes' ELSE ' ' END FROM labels"""
+# Documents answer the first questionnaire, pages the third; their numbers are kept apart.
+PAGE = 1_000_000_000_000
 
-# A second questionnaire answered by every order, a third by every page.
+VIEWS["fingerprints"] = f"""
+SELECT doc_id AS fingerprint, 1 AS questionnaire, lang AS community, doc_id % 50 AS owner, n_chars < 1000 AS draft
+FROM documents
+UNION ALL SELECT page_id + {PAGE}, 3, ({LANGUAGES})[page_id % 4 + 1], page_id % 50, page_id % 3 <> 0 FROM pages"""
+
+# Every tenth page has answers to a questionnaire that is not its own, every third none to a required question.
+VIEWS["answers"] = f"""
+SELECT doc_id AS fingerprint, 1 AS questionnaire, 'language' AS question, lang AS value FROM documents
+UNION ALL SELECT doc_id, 1, 'source', source FROM documents
+UNION ALL SELECT doc_id, 1, 'size', CAST(n_chars AS VARCHAR) FROM documents
+UNION ALL SELECT doc_id, 1, 'description', text FROM documents
+UNION ALL SELECT doc_id, 1, 'quality', CAST(quality AS VARCHAR) FROM labels
+UNION ALL SELECT doc_id, 1, 'toxic', CASE WHEN toxic = 1 THEN 'yes' ELSE ' ' END FROM labels
+UNION ALL SELECT page_id + {PAGE}, 3, 'homepage', url FROM pages
+UNION ALL SELECT page_id + {PAGE}, 3, 'source', CASE WHEN page_id % 3 = 1 THEN ' ' ELSE url END FROM pages
+UNION ALL SELECT page_id + {PAGE}, 1, 'source', 'stray' FROM pages WHERE page_id % 10 = 0"""
+
+# A second questionnaire answered by every order.
 VIEWS["form_answers"] = """
-SELECT o_orderkey AS fingerprint, 'opened_on' AS question,
+SELECT o_orderkey AS fingerprint, 2 AS questionnaire, 'opened_on' AS question,
        CASE WHEN o_orderpriority = '5-LOW' THEN 'soon' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS value FROM orders
-UNION ALL SELECT o_orderkey, 'amount', CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS VARCHAR) FROM orders
-UNION ALL SELECT o_orderkey, 'contact', 'user' || o_custkey ||
+UNION ALL SELECT o_orderkey, 2, 'amount', CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS VARCHAR) FROM orders
+UNION ALL SELECT o_orderkey, 2, 'contact', 'user' || o_custkey ||
        CASE WHEN o_orderpriority = '1-URGENT' THEN '@mail' ELSE '@mail.example.org' END FROM orders
-UNION ALL SELECT o_orderkey, 'status', o_orderstatus FROM orders
-UNION ALL SELECT page_id, 'homepage', url FROM pages"""
+UNION ALL SELECT o_orderkey, 2, 'status', o_orderstatus FROM orders"""
 
 VIEWS["stored_permissions"] = """
 SELECT doc_id AS fingerprint, 2 AS question_set, quality = 1 AS visible, toxic = 0 AS indexable,
@@ -114,19 +123,30 @@ def questions(t) -> DataFrame:
 
 
 def fingerprints(t) -> DataFrame:
-    return t.read("documents").select(
+    documents = t.read("documents").select(
         F.col("doc_id").alias("fingerprint"),
         F.lit(1).alias("questionnaire"),
         F.col("lang").alias("community"),
         (F.col("doc_id") % 50).alias("owner"),
         (F.col("n_chars") < 1000).alias("draft"),
     )
+    page = F.col("page_id")
+    pages = t.read("pages").select(
+        (page + PAGE).alias("fingerprint"),
+        F.lit(3).alias("questionnaire"),
+        F.get(F.array(*[F.lit(c) for c in LANGUAGES]), (page % 4).cast("int")).alias("community"),
+        (page % 50).alias("owner"),
+        (page % 3 != 0).alias("draft"),
+    )
+    return documents.unionByName(pages)
 
 
 def document_answers(t) -> DataFrame:
+    own, other = F.lit(1), F.lit(3)
     written = answers.unpivot_answers(
         t.read("documents"),
         "doc_id",
+        own,
         {
             "language": F.col("lang"),
             "source": F.col("source"),
@@ -137,17 +157,23 @@ def document_answers(t) -> DataFrame:
     judged = answers.unpivot_answers(
         t.read("labels"),
         "doc_id",
+        own,
         {"quality": F.col("quality"), "toxic": F.when(F.col("toxic") == 1, "yes").otherwise(" ")},
     )
-    return written.unionByName(judged)
+    pages = t.read("pages").withColumn("fingerprint", F.col("page_id") + PAGE)
+    path = F.when(F.col("page_id") % 3 == 1, " ").otherwise(F.col("url"))
+    paged = answers.unpivot_answers(pages, "fingerprint", other, {"homepage": F.col("url"), "source": path})
+    stray = answers.unpivot_answers(pages.where(F.col("page_id") % 10 == 0), "fingerprint", own, {"source": F.lit("stray")})
+    return written.unionByName(judged).unionByName(paged).unionByName(stray)
 
 
 def form_answers(t) -> DataFrame:
     priority = F.col("o_orderpriority")
     host = F.when(priority == "1-URGENT", "@mail").otherwise("@mail.example.org")
-    ordered = answers.unpivot_answers(
+    return answers.unpivot_answers(
         t.read("orders"),
         "o_orderkey",
+        F.lit(2),
         {
             "opened_on": F.when(priority == "5-LOW", "soon").otherwise(F.col("o_orderdate").cast("date").cast("string")),
             "amount": F.col("o_totalprice").cast("decimal(18,2)"),
@@ -155,7 +181,6 @@ def form_answers(t) -> DataFrame:
             "status": F.col("o_orderstatus"),
         },
     )
-    return ordered.unionByName(answers.unpivot_answers(t.read("pages"), "page_id", {"homepage": F.col("url")}))
 
 
 def stored_permissions(t) -> DataFrame:
@@ -198,7 +223,7 @@ def writes(t) -> DataFrame:
     "typed_answers",
     with_views("answers", "form_answers", "questions")
     + """, everything AS (SELECT * FROM answers UNION ALL SELECT * FROM form_answers)
-SELECT a.fingerprint, a.question,
+SELECT a.fingerprint, a.questionnaire, a.question,
        CASE q.type WHEN 'single choice' THEN 'choice' WHEN 'integer' THEN 'integer' WHEN 'numeric' THEN 'numeric'
             WHEN 'date' THEN 'date' ELSE 'text' END AS answer_kind,
        CASE WHEN q.type IN ('short text', 'long text', 'email', 'url') THEN value END AS text_value,
@@ -206,12 +231,12 @@ SELECT a.fingerprint, a.question,
        CASE WHEN q.type = 'numeric' THEN TRY_CAST(value AS DOUBLE) END AS numeric_value,
        CASE WHEN q.type = 'date' THEN TRY_CAST(value AS DATE) END AS date_value,
        CASE WHEN q.type = 'single choice' THEN value END AS choice_value
-FROM everything a JOIN questions q ON a.question = q.question""",
+FROM everything a JOIN questions q ON a.questionnaire = q.questionnaire AND a.question = q.question""",
 )
 def _typed_answers(t):
     typed = answers.type_answers(document_answers(t).unionByName(form_answers(t)), questions(t))
     return typed.select(
-        "fingerprint", "question", "answer_kind", "text_value", "integer_value", "numeric_value", "date_value",
+        "fingerprint", "questionnaire", "question", "answer_kind", "text_value", "integer_value", "numeric_value", "date_value",
         "choice_value",
     )
 
@@ -219,34 +244,31 @@ def _typed_answers(t):
 @query(
     "answer_errors",
     with_views("fingerprints", "answers", "form_answers")
-    + f""", wide AS (SELECT f.fingerprint, l.value AS language, s.value AS source, z.value AS size,
-    d.value AS description, q.value AS quality FROM fingerprints f
-  LEFT JOIN answers l ON l.fingerprint = f.fingerprint AND l.question = 'language'
-  LEFT JOIN answers s ON s.fingerprint = f.fingerprint AND s.question = 'source'
-  LEFT JOIN answers z ON z.fingerprint = f.fingerprint AND z.question = 'size'
-  LEFT JOIN answers d ON d.fingerprint = f.fingerprint AND d.question = 'description'
-  LEFT JOIN answers q ON q.fingerprint = f.fingerprint AND q.question = 'quality')
-SELECT fingerprint, 'source' AS question, 'min_length' AS code FROM wide WHERE length(source) < 5
-UNION ALL SELECT fingerprint, 'source', 'regex' FROM wide WHERE NOT regexp_matches(source, '^src1')
-UNION ALL SELECT fingerprint, 'size', 'min_value' FROM wide WHERE CAST(size AS DOUBLE) < 100
-UNION ALL SELECT fingerprint, 'size', 'max_value' FROM wide WHERE CAST(size AS DOUBLE) > 20000
-UNION ALL SELECT fingerprint, 'description', 'max_length' FROM wide WHERE length(description) > 8000
-UNION ALL SELECT fingerprint, 'quality', 'required' FROM wide WHERE quality IS NULL
-UNION ALL SELECT fingerprint, 'quality', 'max_value' FROM wide WHERE CAST(quality AS DOUBLE) > 0.5
-UNION ALL SELECT fingerprint, question, 'format' FROM form_answers
+    + f""", own AS (SELECT fingerprint, question, value FROM answers WHERE questionnaire = 1 AND trim(value) <> ''),
+paged AS (SELECT fingerprint, question, value FROM answers WHERE questionnaire = 3 AND trim(value) <> ''),
+required(questionnaire, question) AS (VALUES (1, 'language'), (1, 'source'), (1, 'quality'), (3, 'source'))
+SELECT fingerprint, 1 AS questionnaire, question, 'min_length' AS code FROM own WHERE question = 'source' AND length(value) < 5
+UNION ALL SELECT fingerprint, 1, question, 'regex' FROM own WHERE question = 'source' AND NOT regexp_matches(value, '^src1')
+UNION ALL SELECT fingerprint, 1, question, 'min_value' FROM own WHERE question = 'size' AND TRY_CAST(value AS DOUBLE) < 100
+UNION ALL SELECT fingerprint, 1, question, 'max_value' FROM own WHERE question = 'size' AND TRY_CAST(value AS DOUBLE) > 20000
+UNION ALL SELECT fingerprint, 1, question, 'max_length' FROM own WHERE question = 'description' AND length(value) > 8000
+UNION ALL SELECT fingerprint, 1, question, 'max_value' FROM own WHERE question = 'quality' AND TRY_CAST(value AS DOUBLE) > 0.5
+UNION ALL SELECT f.fingerprint, f.questionnaire, r.question, 'required' FROM fingerprints f
+  JOIN required r ON f.questionnaire = r.questionnaire WHERE NOT EXISTS (SELECT 1 FROM answers a
+    WHERE a.fingerprint = f.fingerprint AND a.questionnaire = r.questionnaire AND a.question = r.question AND trim(a.value) <> '')
+UNION ALL SELECT fingerprint, 2, question, 'format' FROM form_answers
   WHERE question = 'opened_on' AND TRY_CAST(value AS DATE) IS NULL
-UNION ALL SELECT fingerprint, question, 'min_date' FROM form_answers
+UNION ALL SELECT fingerprint, 2, question, 'min_date' FROM form_answers
   WHERE question = 'opened_on' AND TRY_CAST(value AS DATE) < DATE '1995-06-01'
-UNION ALL SELECT fingerprint, question, 'max_date' FROM form_answers
+UNION ALL SELECT fingerprint, 2, question, 'max_date' FROM form_answers
   WHERE question = 'opened_on' AND TRY_CAST(value AS DATE) > DATE '2000-12-31'
-UNION ALL SELECT fingerprint, question, 'min_value' FROM form_answers
+UNION ALL SELECT fingerprint, 2, question, 'min_value' FROM form_answers
   WHERE question = 'amount' AND CAST(CASE WHEN question = 'amount' THEN value END AS DOUBLE) < 10000.5
-UNION ALL SELECT fingerprint, question, 'max_value' FROM form_answers
+UNION ALL SELECT fingerprint, 2, question, 'max_value' FROM form_answers
   WHERE question = 'amount' AND CAST(CASE WHEN question = 'amount' THEN value END AS DOUBLE) > 450000
-UNION ALL SELECT fingerprint, question, 'email' FROM form_answers
+UNION ALL SELECT fingerprint, 2, question, 'email' FROM form_answers
   WHERE question = 'contact' AND NOT regexp_matches(value, '{EMAIL}')
-UNION ALL SELECT fingerprint, question, 'url' FROM form_answers
-  WHERE question = 'homepage' AND NOT regexp_matches(value, '{URL}')""",
+UNION ALL SELECT fingerprint, 3, question, 'url' FROM paged WHERE NOT regexp_matches(value, '{URL}')""",
 )
 def _answer_errors(t):
     given = document_answers(t)
@@ -257,7 +279,7 @@ def _answer_errors(t):
 
 @query(
     "choice_resolution",
-    f"""WITH choices(question, ident, choice_key) AS (VALUES {_rows(LOOKS)}),
+    f"""WITH choices(questionnaire, question, ident, choice_key) AS (VALUES {_rows(LOOKS)}),
 chosen AS (SELECT p_partkey AS fingerprint, 'look' AS question, unnest(string_split(p_name, ' ')) AS ident FROM part)
 SELECT c.question, c.ident, c.fingerprint, k.choice_key::INT AS choice_key, k.choice_key IS NOT NULL AS known
 FROM chosen c LEFT JOIN choices k ON c.question = k.question AND c.ident = k.ident""",
@@ -265,25 +287,29 @@ FROM chosen c LEFT JOIN choices k ON c.question = k.question AND c.ident = k.ide
 def _choice_resolution(t):
     given = t.read("part").select(
         F.col("p_partkey").alias("fingerprint"),
+        F.lit(4).alias("questionnaire"),
         F.lit("look").alias("question"),
         F.replace("p_name", F.lit(" "), F.lit(", ")).alias("value"),
     )
-    return answers.resolve_choices(given, t.values(LOOKS, "question string, ident string, choice_key int"))
+    looks = t.values(LOOKS, "questionnaire int, question string, ident string, choice_key int")
+    return answers.resolve_choices(given, looks).drop("questionnaire")
 
 
 @query(
     "choice_rejects",
-    f"""WITH choices(question, ident, choice_key) AS (VALUES {_rows(LOOKS)}),
+    f"""WITH choices(questionnaire, question, ident, choice_key) AS (VALUES {_rows(LOOKS)}),
 chosen AS (SELECT p_partkey AS fingerprint, 'look' AS question, unnest(string_split(p_name, ' ')) AS ident FROM part)
 SELECT question, ident, fingerprint FROM chosen WHERE ident NOT IN (SELECT ident FROM choices)""",
 )
 def _choice_rejects(t):
     given = t.read("part").select(
         F.col("p_partkey").alias("fingerprint"),
+        F.lit(4).alias("questionnaire"),
         F.lit("look").alias("question"),
         F.replace("p_name", F.lit(" "), F.lit(", ")).alias("value"),
     )
-    return answers.unknown_choices(given, t.values(LOOKS, "question string, ident string, choice_key int"))
+    looks = t.values(LOOKS, "questionnaire int, question string, ident string, choice_key int")
+    return answers.unknown_choices(given, looks).drop("questionnaire")
 
 
 @query(
@@ -303,29 +329,34 @@ def _choices_joined(t):
     with_views("answers")
     + """, needs(question, requires_question, requires_choice) AS (VALUES
   ('quality', 'language', 'en'), ('toxic', 'quality', '1'), ('description', 'language', 'de'))
-SELECT a.fingerprint, a.question, n.requires_question, n.requires_choice,
-       NOT EXISTS (SELECT 1 FROM answers s WHERE s.fingerprint = a.fingerprint AND s.question = n.requires_question
-                   AND s.value = n.requires_choice) AS surplus
-FROM answers a JOIN needs n ON a.question = n.question""",
+SELECT a.fingerprint, a.questionnaire, a.question, n.requires_question, n.requires_choice,
+       NOT EXISTS (SELECT 1 FROM answers s WHERE s.fingerprint = a.fingerprint AND s.questionnaire = 1
+                   AND s.question = n.requires_question AND s.value = n.requires_choice) AS surplus
+FROM answers a JOIN needs n ON a.questionnaire = 1 AND a.question = n.question""",
 )
 def _dependency_surplus(t):
-    choices = t.values(CHOICES, "requires_question string, place int, ident string, choice_key int")
-    parsed = t.values(DEPENDENCIES, "question string, dependencies string").select(
-        "question", parse_dependency(F.col("dependencies")).alias("d")
+    choices = t.values(CHOICES, "questionnaire int, requires_question string, place int, ident string, choice_key int")
+    parsed = t.values(DEPENDENCIES, "questionnaire int, question string, dependencies string").select(
+        "questionnaire", "question", parse_dependency(F.col("dependencies")).alias("d")
     )
     needs = parsed.select(
-        "question", F.col("d.slug").alias("requires_question"), F.col("d.choice_index").alias("place"), "d.choice_ident"
-    ).join(choices, ["requires_question", "place"], "left")
-    needs = needs.select("question", "requires_question", F.coalesce("ident", "choice_ident").alias("requires_choice"))
+        "questionnaire",
+        "question",
+        F.col("d.slug").alias("requires_question"),
+        F.col("d.choice_index").alias("place"),
+        "d.choice_ident",
+    ).join(choices, ["questionnaire", "requires_question", "place"], "left")
+    chosen = F.coalesce("ident", "choice_ident").alias("requires_choice")
+    needs = needs.select("questionnaire", "question", "requires_question", chosen)
     given = document_answers(t)
     selected = given.where(F.col("question").isin("language", "quality")).withColumnRenamed("value", "choice")
-    return answers.surplus_answers(given.select("fingerprint", "question"), needs, selected)
+    return answers.surplus_answers(given.select("fingerprint", "questionnaire", "question"), needs, selected)
 
 
 VIEWS["filled"] = """
 SELECT f.fingerprint, q.question_set, count(CASE WHEN trim(a.value) <> '' THEN 1 END) AS answered, count(*) AS questions
 FROM fingerprints f JOIN questions q ON f.questionnaire = q.questionnaire
-LEFT JOIN answers a ON a.fingerprint = f.fingerprint AND a.question = q.question
+LEFT JOIN answers a ON a.fingerprint = f.fingerprint AND a.questionnaire = q.questionnaire AND a.question = q.question
 GROUP BY f.fingerprint, q.question_set"""
 
 
@@ -340,9 +371,10 @@ def _fill_percentage(t):
 
 VIEWS["publication"] = """
 SELECT f.fingerprint, f.community, f.draft,
-       count(*) FILTER (WHERE q.required AND coalesce(trim(a.value), '') = '') AS missing_required
+       count(*) FILTER (WHERE regexp_matches(q.constraints, 'required *: *true') AND coalesce(trim(a.value), '') = '')
+       AS missing_required
 FROM fingerprints f JOIN questions q ON f.questionnaire = q.questionnaire
-LEFT JOIN answers a ON a.fingerprint = f.fingerprint AND a.question = q.question
+LEFT JOIN answers a ON a.fingerprint = f.fingerprint AND a.questionnaire = q.questionnaire AND a.question = q.question
 GROUP BY f.fingerprint, f.community, f.draft"""
 
 
@@ -374,7 +406,7 @@ def _publish_outcome(t):
     with_views("fingerprints", "questions", "answers")
     + """SELECT f.fingerprint, q.question_set, q.number, q.text AS name, a.value
 FROM fingerprints f JOIN questions q ON f.questionnaire = q.questionnaire
-LEFT JOIN answers a ON a.fingerprint = f.fingerprint AND a.question = q.question""",
+LEFT JOIN answers a ON a.fingerprint = f.fingerprint AND a.questionnaire = q.questionnaire AND a.question = q.question""",
 )
 def _summary_rows(t):
     return answers.summary_rows(fingerprints(t), questions(t), document_answers(t))
@@ -387,7 +419,8 @@ def _summary_rows(t):
 )
 def _summary_wide(t):
     slugs = ["language", "source", "size", "quality"]
-    return answers.summary_wide(document_answers(t).where(F.col("question").isin(slugs)), slugs)
+    own = document_answers(t).where((F.col("questionnaire") == 1) & F.col("question").isin(slugs))
+    return answers.summary_wide(own.join(t.read("documents"), F.col("fingerprint") == F.col("doc_id"), "left_semi"), slugs)
 
 
 @query("submission_sessions", with_views("submitted") + "SELECT fingerprint, seq, question, submission FROM submitted")
@@ -419,10 +452,10 @@ UNION ALL SELECT doc_id, 'source', source FROM documents""",
 )
 def _upsert(t):
     given = answers.unpivot_answers(
-        t.read("documents"), "doc_id", {"language": F.col("lang"), "source": F.col("source")}
+        t.read("documents"), "doc_id", F.lit(1), {"language": F.col("lang"), "source": F.col("source")}
     )
     changed = answers.unpivot_answers(
-        t.read("labels"), "doc_id", {"language": F.when(F.col("quality") == 1, "reviewed").otherwise("")}
+        t.read("labels"), "doc_id", F.lit(1), {"language": F.when(F.col("quality") == 1, "reviewed").otherwise("")}
     )
     return submissions.upsert_answers(given, changed)
 
@@ -496,7 +529,8 @@ VIEWS["search_hits"] = """
 SELECT doc_id AS fingerprint, 1::INT AS search_id FROM documents WHERE lang = 'en' AND n_chars >= 3000
 UNION ALL SELECT d.doc_id, 2 FROM documents d LEFT JOIN stored_permissions p ON d.doc_id = p.fingerprint
 WHERE (contains(source, 'src1') OR (contains(lower(text), 'the ') AND coalesce(p.indexable, TRUE))) AND lang <> 'de'
-UNION ALL SELECT doc_id, 3 FROM documents WHERE n_chars <= 500"""
+UNION ALL SELECT doc_id, 3 FROM documents WHERE n_chars <= 500
+UNION ALL SELECT page_id + 1000000000000, 2 FROM pages WHERE contains(lower(url), 'src1') AND page_id % 3 <> 1"""
 
 
 def searches(t):
@@ -530,7 +564,7 @@ def _unique_views(t):
 
 
 VIEWS["exportable"] = """
-SELECT a.fingerprint, a.question, a.value FROM answers a JOIN questions q ON a.question = q.question
+SELECT a.fingerprint, a.question, a.value FROM answers a JOIN questions q ON a.questionnaire = q.questionnaire AND a.question = q.question
 WHERE NOT EXISTS (SELECT 1 FROM stored_permissions p WHERE p.fingerprint = a.fingerprint
   AND p.question_set = q.question_set AND p.exportable = FALSE)"""
 

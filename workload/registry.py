@@ -258,13 +258,15 @@ seconds AS (SELECT filter_id, upload_id, analysis_id AS analysis_1 FROM filter_o
 cells AS (SELECT r.*, f.count_0, f.p10_0, s.analysis_1 FROM ready r
    LEFT JOIN firsts f ON r.filter_id = f.filter_id AND r.upload_id = f.upload_id
    LEFT JOIN seconds s ON r.filter_id = s.filter_id AND r.upload_id = s.upload_id)
-SELECT filter_id, upload_id, 1::BIGINT AS application_id, 'PUT' AS method,
-       'http://portal.example/api/profiles/' || database_identifier || '/answers/patient_count/' AS url,
-       '{"data":"' || coalesce(count_0::VARCHAR, '') || '"}' AS body, '{"auth":["user","secret"]}' AS options,
+SELECT filter_id, upload_id, 1::BIGINT AS application_id, 'POST' AS method,
+       'http://counts.example/v2/series?source=' || database_identifier AS url,
+       '{"series":"people","points":["' || coalesce(count_0::VARCHAR, '') || '"]}' AS body,
+       '{"headers":{"X-Channel":"catalogue"}}' AS options,
        NULL::VARCHAR AS file_field, NULL::VARCHAR AS file_path FROM cells WHERE filter_id = 1 AND community_id = 1
 UNION ALL
-SELECT filter_id, upload_id, 2, 'POST', 'http://dashboards.example/uploader/' || database_identifier || '/',
-       NULL, NULL, 'results_file', 'results/filter_id=' || filter_id || '/upload_id=' || upload_id
+SELECT filter_id, upload_id, 2, 'PATCH', 'http://archive.example/' || community_id || '/deposits',
+       NULL, '{"params":{"origin":"' || database_identifier || '"}}', 'table',
+       'results/filter_id=' || filter_id || '/upload_id=' || upload_id
 FROM cells WHERE filter_id = 2 AND community_id = 0
 UNION ALL
 SELECT filter_id, upload_id, 3, 'POST', 'http://alerts.example/' || community_id || '/' || community_name,
@@ -278,21 +280,38 @@ def _request_payloads(t):
 
 @query(
     "request_from_profile",
-    with_views("results", "databases")
-    + """SELECT 1::BIGINT AS filter_id, r.database_id::BIGINT AS upload_id, 1::BIGINT AS application_id, 'PUT' AS method,
-       'http://portal.example/api/profiles/' || d.database_identifier || '/answers/patient_count/' AS url,
-       '{"data":"' || r.count_value || '"}' AS body, '{"auth":["user","secret"]}' AS options,
+    with_views("results", "databases", "communities")
+    + """, placed AS (SELECT r.*, analysis_id * 1000 + coalesce(ascii(stratum_1), 0) AS place FROM results r),
+served AS (SELECT d.*, c.community_name FROM databases d JOIN communities c ON d.community_id = c.community_id
+   WHERE d.database_id IN (SELECT database_id FROM results)),
+counts AS (SELECT database_id, arg_min(count_value, place) AS count_0 FROM placed WHERE analysis_id = 0 GROUP BY database_id),
+high AS (SELECT database_id, p10_value, analysis_id, row_number() OVER (PARTITION BY database_id ORDER BY place) AS n
+   FROM placed WHERE p10_value > 20000)
+SELECT 1::BIGINT AS filter_id, s.database_id::BIGINT AS upload_id, 1::BIGINT AS application_id, 'POST' AS method,
+       'http://counts.example/v2/series?source=' || database_identifier AS url,
+       '{"series":"people","points":["' || coalesce(count_0::VARCHAR, '') || '"]}' AS body,
+       '{"headers":{"X-Channel":"catalogue"}}' AS options,
        NULL::VARCHAR AS file_field, NULL::VARCHAR AS file_path
-FROM results r JOIN databases d ON r.database_id = d.database_id
-WHERE r.analysis_id = 0 AND d.community_id IN (0, 1, 2) AND d.community_id = 1""",
+FROM served s LEFT JOIN counts c ON s.database_id = c.database_id WHERE community_id = 1
+UNION ALL
+SELECT 2, database_id, 2, 'PATCH', 'http://archive.example/' || community_id || '/deposits',
+       NULL, '{"params":{"origin":"' || database_identifier || '"}}', 'table', 'results/filter_id=2/upload_id=' || database_id
+FROM served WHERE community_id = 0
+UNION ALL
+SELECT 3, s.database_id, 3, 'POST', 'http://alerts.example/' || community_id || '/' || community_name,
+       '{"first":"' || coalesce(f.p10_value::VARCHAR, '') || '","second":"' || coalesce(n.analysis_id::VARCHAR, '') || '"}',
+       NULL, NULL, NULL
+FROM served s LEFT JOIN high f ON s.database_id = f.database_id AND f.n = 1
+LEFT JOIN high n ON s.database_id = n.database_id AND n.n = 2 WHERE community_id = 3""",
 )
 def _request_from_profile(t):
-    """Profile every database, filter the person counts, build the requests."""
+    """Profile every database, run all filters over the catalogue rows, build all requests."""
     names = t.databases.select("database_id", "database_identifier")
+    place = F.col("analysis_id") * 1000 + F.coalesce(F.ascii("stratum_1"), F.lit(0))
     # The profile job writes its table once; filtering and routing read that.
     rows = cut_lineage(profile_results(t).join(names, "database_id")).withColumns(
-        {"upload_id": F.col("database_id").cast("long"), "offset": F.col("analysis_id")}
+        {"upload_id": F.col("database_id").cast("long"), "offset": place}
     )
     announced = rows.groupBy("upload_id", "database_identifier").agg(F.count(F.lit(1)).alias("rows"))
-    filtered = run_filters(rows, announced, t.databases, FILTERS[:1])
-    return route(filtered.ready, filtered.output, t.communities, APPLICATIONS[:1])
+    filtered = run_filters(rows, announced, t.databases, FILTERS)
+    return route(filtered.ready, filtered.output, t.communities, APPLICATIONS)

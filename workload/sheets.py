@@ -21,7 +21,7 @@ SELECT p_brand AS sheet_id, p_partkey AS line,
        CASE WHEN p_size <= 3 THEN 'Section' WHEN p_size <= 10 THEN 'Group' WHEN p_size <= 25 THEN 'Question'
             WHEN p_size <= 40 THEN 'Choice' WHEN p_size <= 48 THEN 'ChoiceInfo' ELSE 'Remark' END AS type,
        p_name AS text,
-       CASE WHEN p_size = 7 THEN 'x' ELSE CAST(p_partkey % 3 + 1 AS VARCHAR) END AS level,
+       CASE WHEN p_size = 7 THEN 'x' ELSE CAST(p_partkey % 14 + 1 AS VARCHAR) END AS level,
        ({_listed(NEW_TYPES)})[p_partkey % {len(NEW_TYPES)} + 1] AS data_type,
        CASE WHEN p_type = 'PROMO' THEN '' ELSE p_type END AS description,
        replace(p_name, ' ', '_') AS slug,
@@ -51,7 +51,7 @@ def sheet(t):
         .otherwise("Remark")
         .alias("type"),
         name.alias("text"),
-        F.when(size == 7, "x").otherwise((key % 3 + 1).cast("string")).alias("level"),
+        F.when(size == 7, "x").otherwise((key % 14 + 1).cast("string")).alias("level"),
         pick(NEW_TYPES).alias("data_type"),
         F.when(kind == "PROMO", "").otherwise(kind).alias("description"),
         F.replace(name, F.lit(" "), F.lit("_")).alias("slug"),
@@ -119,7 +119,7 @@ SELECT c.sheet_id, c.section, c.line, c.type, c.level, c.parent_line,
 FROM parents c LEFT JOIN placed p ON p.sheet_id = c.sheet_id AND p.line = c.parent_line""",
 )
 def _groups(t):
-    nested = questionnaire.nest_levels(sheet(t), deepest=3)
+    nested = questionnaire.nest_levels(sheet(t))
     return nested.select("sheet_id", "section", "line", "type", "level", "parent_line", "implicit_group")
 
 
