@@ -63,7 +63,8 @@ def unit_starts(placed: DataFrame, group: str, place: str, total: Column, names:
         F.min(place).alias(first), total.alias(start)
     )
     before = Window.partitionBy(group).orderBy(unit).rowsBetween(Window.unboundedPreceding, -1)
-    return units.withColumn(start, F.coalesce(F.sum(start).over(before), F.lit(0).cast("long")))
+    # Written, so that its size is known where the rows are joined to it: they need no shuffle.
+    return stage(units.withColumn(start, F.coalesce(F.sum(start).over(before), F.lit(0).cast("long"))))
 
 
 def join_units(placed: DataFrame, units: DataFrame, group: str, place: str, unit: str) -> DataFrame:
