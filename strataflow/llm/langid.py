@@ -26,9 +26,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataflow.llm.common import BLOCK_BYTES, fresh, shipped, unpacked
+from strataflow.session import stage
 
 ORDER = 4
-MOST_TEXTS, LONGEST_TEXT, SAMPLE_BYTES = 2000, 1 << 16, 1 << 21
+MOST_TEXTS, LONGEST_TEXT, SAMPLE_BYTES = 1000, 1 << 16, 1 << 21
 UNDETERMINED = "und"
 
 
@@ -205,16 +206,38 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"lang": language, "gram": grams.view(np.int64), "times": times.astype(np.int64)})
 
 
+def _smallest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Of the rows of a task, the ``MOST_TEXTS`` smallest hashes per language."""
+    held = None
+    for pdf in batches:
+        held = pdf if held is None else pd.concat([held, pdf])
+        held = held.drop_duplicates(["lang", "hash"]).sort_values("hash").groupby("lang", sort=False).head(MOST_TEXTS)
+    if held is not None:
+        yield held
+
+
+def sampled(labelled: DataFrame, key: str, text: str, lang: str) -> DataFrame:
+    """``lang`` and ``data`` of the sample: per language, the texts that come first by hash.
+
+    Hashes are ranked without their texts, and each task sends a bounded number of them; only the
+    texts chosen are read further.
+    """
+    data = F.col(text).cast("binary")
+    rows = labelled.select(F.xxhash64(F.col(key), data).alias("hash"), F.col(lang).alias("lang"), data.alias("data"))
+    rows = rows.where(F.col("lang").isNotNull() & F.octet_length("data").between(1, LONGEST_TEXT))
+    hashes = rows.select("lang", "hash", F.octet_length("data").alias("bytes"))
+    first = hashes.mapInPandas(_smallest, hashes.schema).groupBy("lang", "hash").agg(F.min("bytes").alias("bytes"))
+    by_hash = Window.partitionBy("lang").orderBy("hash")
+    # The limit on the rank applies in every task before the ranks of all are taken.
+    ranked = first.withColumn("rank", F.row_number().over(by_hash)).where(F.col("rank") <= MOST_TEXTS)
+    chosen = ranked.withColumn("upto", F.sum("bytes").over(by_hash)).where(F.col("upto") <= SAMPLE_BYTES)
+    return rows.join(stage(chosen.select("lang", "hash")), ["lang", "hash"]).select("lang", "data")
+
+
 def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
-    """Frozen statistics of a bounded sample: per language, the texts that come first by hash of their key."""
-    usable = labelled.select(F.col(key).alias("key"), F.col(text).cast("binary").alias("data"), F.col(lang).alias("lang"))
-    usable = usable.where(F.col("lang").isNotNull() & F.octet_length("data").between(1, LONGEST_TEXT))
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("key"), F.crc32("data"))
-    first = usable.withColumn("rank", F.row_number().over(by_hash)).where(F.col("rank") <= MOST_TEXTS)
-    sized = first.withColumn("bytes", F.sum(F.octet_length("data")).over(by_hash.rowsBetween(Window.unboundedPreceding, 0)))
-    sample = sized.where(F.col("bytes") <= SAMPLE_BYTES).select("lang", "data")
-    counts = sample.mapInPandas(_count, "lang string, gram long, times long").groupBy("lang", "gram")
-    return Model.of_counts(counts.agg(F.sum("times").alias("times")).toPandas())
+    """Frozen statistics of a bounded sample of the labelled texts."""
+    counts = sampled(labelled, key, text, lang).mapInPandas(_count, "lang string, gram long, times long")
+    return Model.of_counts(counts.groupBy("lang", "gram").agg(F.sum("times").alias("times")).toPandas())
 
 
 def identified(df: DataFrame, model: Model, text: str, predicted: str, score: str) -> DataFrame:
