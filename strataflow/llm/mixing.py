@@ -104,12 +104,13 @@ def mix(
 
     Columns: key, size, source_size, target, taken, source, copies.
     """
-    sized = df.select(
+    # Sizes are taken from the texts once; all that follows reads this narrow table.
+    sized = stage(df.select(
         F.col(key).alias("_key"),
         F.col(source).cast("string").alias("_source"),
         word_count(F.col(text)).alias("size"),
         F.crc32(F.col(text).cast("binary")).alias("_check"),
-    )
+    ))
     sizes = sized.groupBy("_source").agg(F.sum("size").alias("source_size"))
     targets = stage(source_targets(sizes, "_source", weights, share_percent, most))
     named = targets.withColumnRenamed("_source", "_other")
