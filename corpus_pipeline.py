@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from strataflow.llm import decontaminate, langid, mixing, sharding, simhash, workload
-from strataflow.session import stage
+from strataflow.session import clear_stages, stage, stage_area
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+# Where stages keep tables on their way, and where run() keeps their results.
+SCRATCH, RESULTS = "pipeline", "pipeline-results-{}"
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,12 +44,23 @@ def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 SHARD_COLUMNS = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
+def _with_scratch(apply: Stage) -> Stage:
+    """A stage that first removes what the stage before kept on its way: its result is written by now."""
+
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        clear_stages(spark, SCRATCH)
+        with stage_area(SCRATCH):
+            return apply(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("language", language),
-    ("near_duplicates", near_duplicates),
-    ("decontamination", decontamination),
-    ("mixture", mixture),
-    ("shards", shards),
+    ("language", _with_scratch(language)),
+    ("near_duplicates", _with_scratch(near_duplicates)),
+    ("decontamination", _with_scratch(decontamination)),
+    ("mixture", _with_scratch(mixture)),
+    ("shards", _with_scratch(shards)),
 ]
 
 # Code lengths under byte context trees and links between fingerprints are beyond SQL.
@@ -51,8 +68,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written before the next."""
+    """All stages over ``documents``, each written before the next; a result goes once the next one is written."""
     docs = workload.table(spark, sf_dir, "documents")
-    for _, apply in STAGES[:-1]:
-        docs = stage(apply(spark, docs, sf_dir))
+    for number, (_, apply) in enumerate(STAGES[:-1]):
+        made = apply(spark, docs, sf_dir)
+        area = RESULTS.format(number % 2)
+        clear_stages(spark, area)
+        with stage_area(area):
+            docs = stage(made)
     return STAGES[-1][1](spark, docs, sf_dir)
