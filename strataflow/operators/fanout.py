@@ -129,13 +129,19 @@ def community_gate(uploads: DataFrame, specs: Iterable[FilterSpec], community: s
     return uploads.select(*uploads.columns, F.inline(pairs))
 
 
-def data_ready(counts: DataFrame, upload: str, identifier: str) -> DataFrame:
-    """Slice of each filter's output that an upload produced; a slice without rows is valid."""
+def data_ready(counts: DataFrame, upload: str, identifier: str, before: DataFrame | None = None) -> DataFrame:
+    """Slice of each filter's output that an upload produced; a slice without rows is valid.
+
+    ``before`` (``filter_id, rows``) is the output of each filter so far: the slices of a
+    later run go on after it.
+    """
     ordered = counts.withColumn("count", F.col("matched"))
     ordered = with_running(ordered, ["filter_id"], upload, {"_end": ("sum", F.col("count"))})
-    return ordered.select(
-        "filter_id", identifier, upload, (F.col("_end") - 1).alias("last_offset"), F.col("count")
-    )
+    end = F.col("_end")
+    if before is not None:
+        ordered = ordered.join(before.select("filter_id", F.col("rows").alias("_before")), "filter_id", "left")
+        end = end + F.coalesce("_before", F.lit(0))
+    return ordered.select("filter_id", identifier, upload, (end - 1).alias("last_offset"), F.col("count"))
 
 
 def selection_table(specs: Iterable[FilterSpec], spark) -> DataFrame:

@@ -31,23 +31,29 @@ class Filtered:
     counts: DataFrame
     checked: DataFrame
     done: DataFrame
+    slices: DataFrame
     ready: DataFrame
 
 
 def run_filters(
-    rows: DataFrame, announced: DataFrame, databases: DataFrame, specs: Sequence[FilterSpec]
+    rows: DataFrame,
+    announced: DataFrame,
+    databases: DataFrame,
+    specs: Sequence[FilterSpec],
+    before: DataFrame | None = None,
 ) -> Filtered:
     """``rows`` carry ``upload_id``, ``database_identifier`` and the catalogue columns.
 
     Slices are ready for delivery when the upload is complete for the filter and the
-    filter's communities hold the database's community.
+    filter's communities hold the database's community. ``before`` is the output so far, see
+    :func:`data_ready`.
     """
     specs = list(specs)
     counted = count_matches(rows, KEYS, specs)
     counts = cut_lineage(with_empty_uploads(counted, announced, KEYS, specs))
     checked = completeness(counts, announced, KEYS)
     gate = community_gate(databases.select("database_identifier", "community_id"), specs)
-    slices = data_ready(counts, "upload_id", "database_identifier")
+    slices = data_ready(counts, "upload_id", "database_identifier", before)
     finished = checked.where(F.col("complete") & F.col("filter_id").isNotNull()).select("filter_id", "upload_id")
     ready = (
         slices.join(gate.where("belongs").drop("belongs"), ["database_identifier", "filter_id"])
@@ -58,5 +64,6 @@ def run_filters(
         counts=counts,
         checked=checked,
         done=all_filters_done(checked, KEYS, len(specs)),
+        slices=slices,
         ready=ready,
     )

@@ -8,9 +8,18 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strataflow.operators.ordered import with_offset
 from strataflow.operators.uploads import known_uploads, unknown_uploads
-from strataflow.sources.delimited import good_rows, malformed_rows, read_delimited, transformed
-from strataflow.sources.manifest import clean_files, list_files, pending_files, read_manifest
+from strataflow.session import stage
+from strataflow.sources.delimited import PLACE, good_rows, malformed_rows, read_delimited, transformed
+from strataflow.sources.manifest import (
+    clean_files,
+    identified,
+    list_files,
+    pending_files,
+    read_manifest,
+    unseen_files,
+)
 
 RESULTS, QUARANTINE, UPLOADS, UNKNOWN, MANIFEST = "results", "quarantine", "uploads", "unknown_uploads", "manifest"
 
@@ -28,57 +37,88 @@ def ingest(
     databases: DataFrame,
     steps: Sequence[Callable[[DataFrame], DataFrame]] = (),
     cleanup: str | None = None,
-    most_files: int = 100_000,
+    announced: DataFrame | None = None,
+    files_per_batch: int = 100_000,
 ) -> Ingested:
-    """Load files of ``inbox/<database_identifier>/`` that were not loaded before, the oldest first.
+    """Load all files of ``inbox/<database_identifier>/`` that were not loaded before, the oldest first.
 
-    A run takes up to ``most_files``, as their names pass through the driver; the others
-    are for the next run, see :func:`ingest_all`. Each table gets a folder per batch and the manifest is written last: a run that fails
-    is repeated under the same batch and overwrites what it left behind.
+    Rows get their ``offset`` in the upload. ``announced`` (``database_identifier, name, rows``) is what
+    the sources say they sent; without it an upload announces what its file holds. Files are
+    taken in batches, as their names pass through the driver. Each table gets a folder per batch and the manifest is
+    written last: a run that fails is repeated under the same batch and overwrites what it
+    left behind.
     """
+    total = 0
+    while True:
+        batch_id, taken, loaded = _ingest_batch(
+            spark, inbox, lake, databases, steps, cleanup, announced, files_per_batch
+        )
+        total += loaded
+        if taken < files_per_batch:
+            return Ingested(batch_id, total)
+
+
+def _ingest_batch(
+    spark: SparkSession,
+    inbox: str,
+    lake: str,
+    databases: DataFrame,
+    steps: Sequence[Callable[[DataFrame], DataFrame]],
+    cleanup: str | None,
+    announced: DataFrame | None,
+    most: int,
+) -> tuple[int, int, int]:
+    """Load the next files; returns the batch, the files taken and the files that were new."""
     manifest = read_manifest(spark, f"{lake}/{MANIFEST}")
     batch_id = (manifest.agg(F.max("batch_id")).first()[0] or 0) + 1
-    files = pending_files(list_files(spark, inbox), manifest).orderBy("file_time", "file_path").limit(most_files)
-    files.write.mode("overwrite").parquet(f"{lake}/pending/{batch_id}")
-    files = spark.read.parquet(f"{lake}/pending/{batch_id}")
+    listed = unseen_files(list_files(spark, inbox), manifest).orderBy("file_time", "file_path").limit(most)
+    named = identified(spark, stage(listed))
+    named.write.mode("overwrite").parquet(f"{lake}/pending/{batch_id}")
+    taken = spark.read.parquet(f"{lake}/pending/{batch_id}")
+    files = pending_files(taken, manifest)
     paths = [r.file_path for r in files.select("file_path").collect()]
-    if not paths:
-        return Ingested(batch_id - 1, 0)
+    count = taken.count()
 
     def folder(table: str) -> str:
         return f"{lake}/{table}/batch_id={batch_id}"
 
-    # A file replaced since it was listed has another time: its rows wait for the next run.
-    rows = read_delimited(spark, paths).join(files.select("file_path", "file_time", "upload_id"), ["file_path", "file_time"])
-    good = transformed(good_rows(rows), steps).drop("file_path", "file_time")
-    good.write.mode("overwrite").partitionBy("database_identifier").parquet(folder(RESULTS))
-    malformed_rows(rows).write.mode("overwrite").parquet(folder(QUARANTINE))
-
-    loaded = spark.read.parquet(folder(RESULTS)).groupBy("upload_id").agg(F.count(F.lit(1)).alias("loaded"))
-    rejected = spark.read.parquet(folder(QUARANTINE)).groupBy("upload_id").agg(F.count(F.lit(1)).alias("rejected"))
-    counted = files.join(loaded, "upload_id", "left").join(rejected, "upload_id", "left").select(
-        "database_identifier",
-        "upload_id",
-        F.col("file_time").alias("time"),
-        F.coalesce("loaded", F.lit(0)).alias("loaded"),
-        F.coalesce("rejected", F.lit(0)).alias("rejected"),
-    ).withColumn("rows", F.col("loaded") + F.col("rejected"))
-    known_uploads(counted, databases).write.mode("overwrite").parquet(folder(UPLOADS))
-    unknown_uploads(counted, databases).write.mode("overwrite").parquet(folder(UNKNOWN))
-
-    files.write.mode("overwrite").parquet(folder(MANIFEST))
-    if cleanup:
+    if paths:
+        # A file replaced since it was listed has another time: its rows wait for the next run.
+        origin = files.select("file_path", "file_time", "upload_id")
+        rows = stage(read_delimited(spark, paths).join(origin, ["file_path", "file_time"]))
+        good = with_offset(good_rows(rows), ["upload_id"], "file_block", "offset", ["file_row"])
+        good = transformed(good.drop("file_path", "file_time", *PLACE), steps)
+        good.write.mode("overwrite").partitionBy("database_identifier").parquet(folder(RESULTS))
+        malformed_rows(rows).write.mode("overwrite").parquet(folder(QUARANTINE))
+
+        loaded = spark.read.parquet(folder(RESULTS)).groupBy("upload_id").agg(F.count(F.lit(1)).alias("loaded"))
+        rejected = spark.read.parquet(folder(QUARANTINE)).groupBy("upload_id").agg(F.count(F.lit(1)).alias("rejected"))
+        counted = files.join(loaded, "upload_id", "left").join(rejected, "upload_id", "left").select(
+            "database_identifier",
+            "name",
+            "upload_id",
+            F.col("file_time").alias("time"),
+            F.coalesce("loaded", F.lit(0)).alias("loaded"),
+            F.coalesce("rejected", F.lit(0)).alias("rejected"),
+        )
+        counted = _announced(counted, announced)
+        known_uploads(counted, databases).write.mode("overwrite").parquet(folder(UPLOADS))
+        unknown_uploads(counted, databases).write.mode("overwrite").parquet(folder(UNKNOWN))
+    if count:
+        taken.write.mode("overwrite").parquet(folder(MANIFEST))
+    if cleanup and paths:
         failed = counted.select("upload_id", ((F.col("loaded") == 0) & (F.col("rejected") > 0)).alias("failed"))
-        clean_files(spark, files.join(failed, "upload_id"), cleanup)
-    return Ingested(batch_id, len(paths))
+        clean_files(spark, taken.join(failed, "upload_id", "left"), cleanup)
+    return (batch_id if count else batch_id - 1), count, len(paths)
 
 
-def ingest_all(spark: SparkSession, inbox: str, lake: str, databases: DataFrame, **options) -> int:
-    """Load batch after batch until no file is left; returns the number of files."""
-    total = 0
-    while (done := ingest(spark, inbox, lake, databases, **options)).files:
-        total += done.files
-    return total
+def _announced(counted: DataFrame, announced: DataFrame | None) -> DataFrame:
+    """Add ``rows``: what was announced for the file, else what it holds."""
+    held = F.col("loaded") + F.col("rejected")
+    if announced is None:
+        return counted.withColumn("rows", held)
+    told = announced.select("database_identifier", "name", F.col("rows").cast("long").alias("rows"))
+    return counted.join(told, ["database_identifier", "name"], "left").withColumn("rows", F.coalesce("rows", held))
 
 
 def read_table(spark: SparkSession, lake: str, table: str) -> DataFrame:

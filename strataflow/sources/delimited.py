@@ -13,6 +13,7 @@ from strataflow.schema import CATALOGUE_COLUMNS, CATALOGUE_SCHEMA
 
 CORRUPT = "malformed"
 GLOB = "*.csv"
+PLACE = ("file_block", "file_row")
 
 
 def scan_schema(schema: T.StructType = CATALOGUE_SCHEMA) -> T.StructType:
@@ -47,16 +48,25 @@ def database_of(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -2)
 
 
+def with_place(rows: DataFrame) -> DataFrame:
+    """Add ``file_block`` and ``file_row``, which order the rows of a file; for rows that are written next."""
+    return rows.select(
+        *rows.columns, F.col("_metadata.file_block_start").alias("file_block"), F.monotonically_increasing_id().alias("file_row")
+    )
+
+
 def read_delimited(spark: SparkSession, paths: str | Sequence[str], separator: str = ",") -> DataFrame:
-    """Rows of the files with their origin; malformed rows keep their text in ``malformed``."""
+    """Rows of the files with their origin and place; malformed rows keep their text in ``malformed``."""
     paths = [paths] if isinstance(paths, str) else list(paths)
-    return with_origin(_options(spark.read, separator).csv(paths))
+    return with_origin(with_place(_options(spark.read, separator).csv(paths)))
 
 
 def stream_delimited(spark: SparkSession, path: str, separator: str = ",", files_per_batch: int = 1000) -> DataFrame:
     """The same rows as a stream of arriving files; a file never spans two batches."""
     reader = _options(spark.readStream, separator).option("maxFilesPerTrigger", files_per_batch)
-    return with_origin(reader.csv(path))
+    rows = reader.csv(path)
+    # Rows are numbered in each batch, a stream has no numbers of its own.
+    return with_origin(rows.select(*rows.columns, F.col("_metadata.file_block_start").alias("file_block")))
 
 
 def _is_good() -> Column:
@@ -71,7 +81,7 @@ def good_rows(rows: DataFrame) -> DataFrame:
 def malformed_rows(rows: DataFrame) -> DataFrame:
     """Rows to quarantine: their file and their text."""
     text = F.coalesce(CORRUPT, F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in CATALOGUE_COLUMNS]))
-    origin = [c for c in rows.columns if c not in CATALOGUE_COLUMNS and c != CORRUPT]
+    origin = [c for c in rows.columns if c not in (*CATALOGUE_COLUMNS, CORRUPT, *PLACE)]
     return rows.where(~_is_good()).select(*origin, text.alias("line"))
 
 

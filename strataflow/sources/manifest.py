@@ -10,50 +10,43 @@ from strataflow.sources.delimited import GLOB, database_of
 
 MANIFEST_SCHEMA = (
     "database_identifier string, name string, content_id string, upload_id long, file_path string, "
-    "file_time timestamp, batch_id long"
+    "file_time timestamp, length long, batch_id long"
 )
 
-FILES_SCHEMA = (
-    "file_path string, file_time timestamp, content_id string, database_identifier string, name string, upload_id long"
-)
-
-# Files up to this size are hashed whole in one task; larger ones by their lines, in parallel.
-WHOLE_FILE_BYTES = 256 * 1024 * 1024
+LISTING_SCHEMA = "file_path string, file_time timestamp, length long, database_identifier string, name string"
+SEEN, IDENTITY = ["file_path", "file_time", "length"], ["database_identifier", "name", "content_id"]
 
 
-def list_files(spark: SparkSession, inbox: str, whole_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
-    """Files of every database folder below ``inbox`` with the identity of their content."""
+def list_files(spark: SparkSession, inbox: str) -> DataFrame:
+    """Files of every database folder below ``inbox``; contents are not read."""
     try:
         files = spark.read.format("binaryFile").option("pathGlobFilter", GLOB).load(f"{inbox}/*")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], FILES_SCHEMA)
-    files = files.select(
-        F.col("_metadata.file_path").alias("file_path"),
+        return spark.createDataFrame([], LISTING_SCHEMA)
+    path = F.col("_metadata.file_path")
+    return files.select(
+        path.alias("file_path"),
         F.col("modificationTime").alias("file_time"),
         "length",
-        "content",
-    )
-    small = files.where(F.col("length") <= whole_bytes).select(
-        "file_path", "file_time", F.concat(F.lit("sha256:"), F.sha2("content", 256)).alias("content_id")
-    )
-    large = files.where(F.col("length") > whole_bytes).select("file_path", "file_time")
-    if not large.isEmpty():
-        small = small.unionByName(_by_lines(spark, large))
-    named = small.withColumns(
-        {
-            "database_identifier": database_of(F.col("file_path")),
-            "name": F.element_at(F.split("file_path", "/"), -1),
-        }
+        database_of(path).alias("database_identifier"),
+        F.element_at(F.split(path, "/"), -1).alias("name"),
     )
-    return named.withColumn("upload_id", F.xxhash64("database_identifier", "name", "content_id"))
 
 
-def _by_lines(spark: SparkSession, large: DataFrame) -> DataFrame:
-    """Content identity that splits of a file can compute apart: count and two sums of line hashes."""
-    paths = [r.file_path for r in large.select("file_path").collect()]
-    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file_path"))
+def identified(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """Add the identity of each file's content and its ``upload_id``; for a bounded number of files.
+
+    The content is known by its lines: their number and two sums of their hashes, which the
+    splits of a file compute apart and combine. So a file of any size has one kind of
+    identity, and the same lines in another order are the same upload.
+    """
+    paths = [r.file_path for r in files.select("file_path").collect()]
+    path = F.col("_metadata.file_path")
+    lines = spark.read.text(paths).select("value", path.alias("file_path")) if paths else None
+    if lines is None:
+        return files.withColumns({"content_id": F.lit("lines:0"), "upload_id": F.lit(0).cast("long")})
     digest = lines.groupBy("file_path").agg(
         F.concat_ws(
             ":",
@@ -63,7 +56,8 @@ def _by_lines(spark: SparkSession, large: DataFrame) -> DataFrame:
             F.bit_xor(F.xxhash64(F.reverse("value"))).cast("string"),
         ).alias("content_id")
     )
-    return large.join(digest, "file_path")
+    named = files.join(digest, "file_path", "left").withColumn("content_id", F.coalesce("content_id", F.lit("lines:0")))
+    return named.withColumn("upload_id", F.xxhash64(*IDENTITY))
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
@@ -75,10 +69,14 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(MANIFEST_SCHEMA).parquet(path)
 
 
+def unseen_files(files: DataFrame, manifest: DataFrame) -> DataFrame:
+    """Files of another path, time or length than any loaded one: only these are worth reading."""
+    return files.join(manifest.select(*SEEN), SEEN, "left_anti")
+
+
 def pending_files(files: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Files whose name and content were not loaded before."""
-    identity = ["database_identifier", "name", "content_id"]
-    return files.join(manifest.select(*identity), identity, "left_anti")
+    """Identified files whose name and content were not loaded before."""
+    return files.join(manifest.select(*IDENTITY), IDENTITY, "left_anti")
 
 
 def clean_files(spark: SparkSession, files: DataFrame, policy: str = "move") -> int:

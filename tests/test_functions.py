@@ -154,11 +154,11 @@ def test_answer_checks(spark):
     )
     fingerprints = spark.createDataFrame([(i, i) for i in range(len(CHECKED))], "fingerprint int, questionnaire int")
     given = spark.createDataFrame(
-        [(i, f"q{i}", value) for i, (_, value, _, _) in enumerate(CHECKED)],
-        "fingerprint int, question string, value string",
+        [(i, i, f"q{i}", value) for i, (_, value, _, _) in enumerate(CHECKED)],
+        "fingerprint int, questionnaire int, question string, value string",
     )
     errors = answer_errors(given, questions).unionByName(missing_answers(fingerprints, questions, given))
-    want = {(i, f"q{i}", code) for i, (_, _, _, codes) in enumerate(CHECKED) for code in codes}
+    want = {(i, i, f"q{i}", code) for i, (_, _, _, codes) in enumerate(CHECKED) for code in codes}
     assert {tuple(r) for r in errors.collect()} == want
 
 
@@ -192,3 +192,32 @@ def test_avro_is_optional(spark):
     rows = spark.createDataFrame([(b"x",)], "value binary")
     with pytest.raises(RuntimeError, match="spark-avro"):
         decode_avro(rows, '{"type":"record","name":"r","fields":[{"name":"a","type":"long"}]}', header_bytes=5)
+
+
+FAILING = [
+    ("avg_value / min_value > 1", [None, False]),
+    ("avg_value % min_value = 1", [None, False]),
+    ("CAST(stratum_1 AS INT) > 5", [None, True]),
+    ("stratum_1 = -1", [False, False]),
+    ("stratum_1 IN (7, -8)", [False, True]),
+    ("stratum_1 > count_value", [None, True]),
+    ("stratum_1 + 1 > 7", [None, True]),
+    ("abs(stratum_1) = 7", [None, True]),
+    ("analysis_id * analysis_id * analysis_id > 3", [True, False]),
+    ("analysis_id + count_value > 3", [True, True]),
+    ("mod(count_value, 0) = 1", [None, None]),
+    ("(avg_value + 1) / CASE WHEN min_value > 0 THEN 2 ELSE 0 END = 0", [None, True]),
+    ("count_value BETWEEN -3 AND 4", [False, True]),
+    ("avg_value / -min_value < 3", [None, True]),
+]
+
+
+@pytest.mark.parametrize("filter_text, expected", FAILING)
+def test_filters_never_fail_on_a_row(spark, filter_text, expected):
+    """Rows hostile to a filter are unknown to it; the other rows are judged."""
+    rows = spark.createDataFrame(
+        [(1, 9223372036854775807, "abc", 5, 0.0, 1.0), (2, 1, "7", 3, 2.0, -1.0)],
+        "row int, analysis_id long, stratum_1 string, count_value long, min_value double, avg_value double",
+    )
+    got = rows.orderBy("row").select(compile_predicate(filter_text).alias("p")).collect()
+    assert [r.p for r in got] == expected

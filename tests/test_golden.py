@@ -10,10 +10,10 @@ from strataflow.operators.profile import run_log, strata_consistency
 from strataflow.operators.routing import applications_from_registry
 from strataflow.plans.delivery import route, write_result_files
 from strataflow.plans.filtering import run_filters
-from strataflow.plans.ingest import QUARANTINE, RESULTS, UNKNOWN, UPLOADS, ingest, ingest_all, read_table
+from strataflow.plans.ingest import QUARANTINE, RESULTS, UNKNOWN, UPLOADS, ingest, read_table
 from strataflow.schema import CATALOGUE_COLUMNS, CATALOGUE_SCHEMA
 from strataflow.sources.delimited import good_rows, malformed_rows, read_delimited
-from strataflow.sources.manifest import MANIFEST_SCHEMA, list_files, pending_files
+from strataflow.sources.manifest import MANIFEST_SCHEMA, identified, list_files, pending_files, unseen_files
 from strataflow.sources.registry_dump import read_dump
 from tests.golden import CATALOGUE_CSV, HEADER, IDENTIFIER, registry_dump
 
@@ -88,18 +88,20 @@ def test_malformed_rows_are_kept_apart(spark, tmp_path):
 
 def test_file_identity(spark, inbox):
     files = list_files(spark, str(inbox))
-    first = files.first()
-    assert files.count() == 1 and first.name == "results.csv" and first.content_id.startswith("sha256:")
+    first = identified(spark, files).first()
+    assert files.count() == 1 and first.name == "results.csv" and first.content_id.startswith("lines:9:")
     loaded = spark.createDataFrame(
-        [(IDENTIFIER, "results.csv", first.content_id, first.upload_id, first.file_path, first.file_time, 1)],
+        [(IDENTIFIER, "results.csv", first.content_id, first.upload_id, first.file_path, first.file_time, first.length, 1)],
         MANIFEST_SCHEMA,
     )
-    assert pending_files(files, loaded).isEmpty()
+    assert unseen_files(files, loaded).isEmpty()
+    # The same lines in another order are the same upload, whatever the size of the file.
+    header, *lines = CATALOGUE_CSV.splitlines()
+    (inbox / IDENTIFIER / "results.csv").write_text("\n".join([header, *reversed(lines)]) + "\n")
+    again = identified(spark, list_files(spark, str(inbox)))
+    assert pending_files(again, loaded).isEmpty() and again.first().upload_id == first.upload_id
     (inbox / IDENTIFIER / "results.csv").write_text(CATALOGUE_CSV + "1,,,,,,3,,,,,,,,,\n")
-    changed = list_files(spark, str(inbox))
-    assert pending_files(changed, loaded).count() == 1
-    by_lines = list_files(spark, str(inbox), whole_bytes=10).first()
-    assert by_lines.content_id.startswith("lines:10:")
+    assert pending_files(identified(spark, list_files(spark, str(inbox))), loaded).count() == 1
 
 
 def test_ingest_then_replace_then_repeat(spark, inbox, tmp_path, registry):
@@ -138,14 +140,17 @@ def test_ingest_in_several_batches(spark, inbox, tmp_path, registry):
     for i in range(3):
         (inbox / IDENTIFIER / f"more{i}.csv").write_text(HEADER + f"\n0,DEFAULT,,,,,{i},,,,,,,,,\n")
     lake = str(tmp_path / "lake")
-    assert ingest_all(spark, str(inbox), lake, registry["databases"], most_files=3) == 4
+    assert ingest(spark, str(inbox), lake, registry["databases"], files_per_batch=3).files == 4
     assert read_table(spark, lake, RESULTS).count() == 11
     assert read_table(spark, lake, UPLOADS).select("batch_id").distinct().count() == 2
 
 
-def test_file_to_requests(spark, rows, registry, tmp_path):
-    uploaded = rows.withColumns({"upload_id": F.lit(5).cast("long"), "offset": F.monotonically_increasing_id()})
-    announced = spark.createDataFrame([(5, IDENTIFIER, 8)], "upload_id long, database_identifier string, rows long")
+def test_file_to_requests(spark, inbox, registry, tmp_path):
+    lake = str(tmp_path / "lake")
+    ingest(spark, str(tmp_path / "inbox"), lake, registry["databases"])
+    uploaded, announced = read_table(spark, lake, RESULTS), read_table(spark, lake, UPLOADS)
+    assert [r.offset for r in uploaded.orderBy("offset").collect()] == list(range(8))
+    upload_id = announced.first().upload_id
     specs = specs_from_registry(registry["filters"])
     assert [(s.filter_id, s.text, s.selections) for s in specs] == [(1, "analysis_id = 0", ("count_value",)), (2, None, ())]
     filtered = run_filters(uploaded, announced, registry["databases"], specs)
@@ -162,7 +167,7 @@ def test_file_to_requests(spark, rows, registry, tmp_path):
     write_result_files(filtered.output, specs, root)
     sent = spark.read.option("header", True).csv(post.file_path)
     assert sent.columns == CATALOGUE_COLUMNS and sent.count() == 8
-    count_only = spark.read.option("header", True).csv(f"{root}/filter_id=1/upload_id=5")
+    count_only = spark.read.option("header", True).csv(f"{root}/filter_id=1/upload_id={upload_id}")
     assert [tuple(r) for r in count_only.collect()] == [("1171",)]
 
 
@@ -171,3 +176,24 @@ def test_upload_short_of_rows_is_not_delivered(spark, rows, registry):
     announced = spark.createDataFrame([(5, IDENTIFIER, 9)], "upload_id long, database_identifier string, rows long")
     filtered = run_filters(uploaded, announced, registry["databases"], specs_from_registry(registry["filters"]))
     assert filtered.ready.isEmpty() and not filtered.done.first().done
+
+
+def test_announced_rows_that_did_not_arrive(spark, inbox, tmp_path, registry):
+    lake = str(tmp_path / "lake")
+    told = spark.createDataFrame([(IDENTIFIER, "results.csv", 9)], "database_identifier string, name string, rows long")
+    ingest(spark, str(inbox), lake, registry["databases"], announced=told)
+    uploads = read_table(spark, lake, UPLOADS)
+    assert [(u.rows, u.loaded) for u in uploads.collect()] == [(9, 8)]
+    specs = specs_from_registry(registry["filters"])
+    assert run_filters(read_table(spark, lake, RESULTS), uploads, registry["databases"], specs).ready.isEmpty()
+
+
+def test_empty_upload_is_complete(spark, rows, registry):
+    """An announced upload without rows is done for every filter and ready as an empty slice."""
+    uploaded = rows.withColumns({"upload_id": F.lit(5).cast("long"), "offset": F.col("file_row")})
+    announced = spark.createDataFrame(
+        [(5, IDENTIFIER, 8), (6, IDENTIFIER, 0)], "upload_id long, database_identifier string, rows long"
+    )
+    filtered = run_filters(uploaded, announced, registry["databases"], specs_from_registry(registry["filters"]))
+    assert {(r.upload_id, r.filters_done, r.done) for r in filtered.done.collect()} == {(5, 2, True), (6, 2, True)}
+    assert {(r.filter_id, r.upload_id, r["count"]) for r in filtered.ready.collect()} == {(1, 5, 1), (2, 5, 8), (1, 6, 0), (2, 6, 0)}

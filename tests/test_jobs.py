@@ -76,10 +76,12 @@ def test_registry_job(spark):
         [(1, "ACTIVE", 1, 7, "North", "t"), (2, "ACTIVE", 2, 8, "North", "t"), (3, "STOPPED", 2, 8, None, None)],
         "seq long, action string, filter_id long, application_id long, community string, request_template string",
     )
-    now = current_registry(filters, apps)
+    communities = spark.createDataFrame([(4, "North")], "community_id long, community_name string")
+    now = current_registry(filters, apps, communities)
     assert [r.filter_id for r in now.active_filters.collect()] == [1]
     assert [r.filter_id for r in now.to_stop.collect()] == [2]
-    assert [r.application_id for r in now.active_applications.collect()] == [7]
+    served = now.active_applications.collect()
+    assert [(r.application_id, r.community_id, r.community_name) for r in served] == [(7, 4, "North")]
 
 
 def test_recording(spark, tmp_path):

@@ -28,4 +28,4 @@ def test_every_query_has_sql():
 
 
 def test_entry(spark):
-    assert __spark_entry__.entry(spark).count() == 5
+    assert __spark_entry__.entry(spark).count() == 15

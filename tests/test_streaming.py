@@ -11,7 +11,7 @@ from strataflow.operators.fanout import FilterSpec, fan_out
 from strataflow.schema import FILE_STATUS_SCHEMA
 from strataflow.operators.uploads import upload_notifications
 from strataflow.sources.delimited import good_rows, read_delimited
-from strataflow.sources.manifest import list_files
+from strataflow.sources.manifest import identified, list_files
 from strataflow.sources.messages import read_json, stream_json
 from strataflow.sources.sinks import append_batch
 from strataflow.streaming.landing import land_files
@@ -22,12 +22,12 @@ from strataflow.streaming.uploads import (
     to_several,
     with_registered,
 )
-from strataflow.streaming.state import closed_uploads, liveness, upload_progress
+from strataflow.streaming.state import closing_uploads, liveness
 from tests.golden import CATALOGUE_CSV, IDENTIFIER
 
 
 def run(query):
-    query.awaitTermination(120)
+    assert query.awaitTermination(60)
     assert query.exception() is None
 
 
@@ -53,7 +53,7 @@ def test_uploads_stream(spark, inbox, tmp_path):
     current = {"filters": [("analysis_id = 0", "ACTIVE"), ("p10_value > 1", "STOPPED")]}
 
     def step():
-        land_files(spark, list_files(spark, str(inbox)), landing)
+        land_files(spark, identified(spark, list_files(spark, str(inbox))), landing)
         run(process_uploads(spark, landing, lake, checkpoint, lambda: registry(spark, current["filters"])))
 
     step()
@@ -69,6 +69,9 @@ def test_uploads_stream(spark, inbox, tmp_path):
     assert [(c.matched, c.unmatched, c.unknown, c.complete) for c in counts] == [(1, 8, 0, True), (2, 3, 4, True)]
     ready = spark.read.parquet(f"{lake}/data_ready").where("batch_id = 1")
     assert {(r.filter_id, r["count"]) for r in ready.collect()} == {(1, 1), (2, 2)}
+    # Slices go on after those of the first batch, and rows know their place in the upload.
+    assert {(r.filter_id, r.last_offset) for r in ready.collect()} == {(1, 1), (2, 1)}
+    assert sorted(r.offset for r in spark.read.parquet(f"{lake}/results").where("batch_id = 1").collect()) == list(range(9))
 
     # Nothing new: nothing happens.
     step()
@@ -76,6 +79,14 @@ def test_uploads_stream(spark, inbox, tmp_path):
     batch = good_rows(read_delimited(spark, f"{landing}/*"))
     assert batch.count() == 17
 
+    # A database that nobody registered is listed, its rows go no further.
+    (inbox / "stranger").mkdir()
+    (inbox / "stranger" / "x.csv").write_text(CATALOGUE_CSV)
+    step()
+    assert spark.read.parquet(f"{lake}/results").count() == 17
+    unknown = spark.read.parquet(f"{lake}/unknown_uploads").collect()
+    assert [(r.database_identifier, r.held) for r in unknown] == [("stranger", 8)]
+
 
 def test_continuous_filter_equals_batch(spark, tmp_path):
     source = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
@@ -122,26 +133,38 @@ def test_replayed_batch_changes_nothing(spark, tmp_path):
 
 def test_uploads_close_at_their_count(spark, tmp_path):
     data, told = str(tmp_path / "rows"), str(tmp_path / "told")
-    spark.range(10).select((F.col("id") % 2).alias("upload_id")).write.parquet(data)
-    spark.createDataFrame([(0, 5), (1, 6)], "upload_id long, rows long").write.parquet(told)
     checkpoint, closed = str(tmp_path / "cp"), []
 
+    def arrive(path, schema, rows):
+        timed = [(*r[:-1], datetime.datetime(2024, 1, 1, r[-1])) for r in rows]
+        spark.createDataFrame(timed, f"{schema}, time timestamp").coalesce(1).write.mode("append").parquet(path)
+
     def step():
-        progress = upload_progress(
-            stream_since(spark, data, spark.read.parquet(data).schema), stream_since(spark, told, spark.read.parquet(told).schema)
+        changes = closing_uploads(
+            stream_since(spark, data, spark.read.parquet(data).schema),
+            stream_since(spark, told, spark.read.parquet(told).schema),
+            patience_hours=4,
         )
-        writer = progress.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+        writer = changes.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
         run(
-            writer.foreachBatch(lambda df, _: closed.extend(r.upload_id for r in closed_uploads(df).collect()))
+            writer.foreachBatch(lambda df, _: closed.extend((r.upload_id, r.seen, r.state) for r in df.collect()))
             .trigger(availableNow=True)
             .start()
         )
 
+    arrive(data, "upload_id long", [(i % 2, 0) for i in range(10)])
+    arrive(told, "upload_id long, rows long", [(0, 5, 0), (1, 6, 0), (3, 0, 0)])
+    step()
+    assert sorted(closed) == [(0, 5, "closed"), (3, 0, "closed")]
+    arrive(data, "upload_id long", [(1, 1), (2, 1)])
+    step()
+    assert closed[2:] == [(1, 6, "closed")]
+    # Nothing is told again, and what was never announced is forgotten in time.
+    arrive(told, "upload_id long, rows long", [(4, 1, 9)])
     step()
-    assert closed == [0]
-    spark.createDataFrame([(1,)], "upload_id long").write.mode("append").parquet(data)
+    arrive(told, "upload_id long, rows long", [(5, 1, 9)])
     step()
-    assert closed == [0, 1]
+    assert closed[3:] == [(2, 1, "expired")]
 
 
 def test_silent_databases_are_noticed(spark, tmp_path):

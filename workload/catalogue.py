@@ -583,7 +583,7 @@ def _export(t):
     "export_arrays",
     with_views("exportable")
     + """SELECT fingerprint, '[' || string_agg('{"question":"' || question || '","data":' ||
-       CAST(to_json(value) AS VARCHAR) || '}', ',' ORDER BY question) || ']' AS answers
+       CAST(to_json(value) AS VARCHAR) || '}', ',' ORDER BY question, value) || ']' AS answers
 FROM exportable GROUP BY fingerprint""",
 )
 def _export_arrays(t):
