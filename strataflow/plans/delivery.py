@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from strataflow.operators.fanout import FilterSpec
 from strataflow.operators.registry import expand_reference
 from strataflow.operators.routing import Application, build_requests
+from strataflow.schema import check_columns
 from strataflow.sources.sinks import write_slices
 
 
@@ -29,9 +30,15 @@ def route(
 
 
 def write_result_files(output: DataFrame, specs: Sequence[FilterSpec], file_root: str) -> None:
-    """Write the delimited file of each slice where the requests expect it."""
+    """Write the delimited file of each slice where the requests expect it.
+
+    Filters that select the same columns are written together, in one pass over the output.
+    """
+    by_columns: dict[tuple[str, ...], list[FilterSpec]] = {}
     for spec in specs:
-        write_slices(output, spec, file_root)
+        by_columns.setdefault(tuple(check_columns(list(spec.selections))), []).append(spec)
+    for group in by_columns.values():
+        write_slices(output, group, file_root)
 
 
 def with_pandas(

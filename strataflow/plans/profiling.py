@@ -8,12 +8,12 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from strataflow.operators.profile import (
     as_catalogue_rows,
     count_profile,
     distribution_profile,
-    permitted_analyses,
 )
 from strataflow.schema import RUN_ACCOUNTING_BASE
 from strataflow.session import local_table
@@ -46,9 +46,17 @@ def profile(
     allowed: DataFrame | None = None,
     approximate: bool = False,
 ) -> DataFrame:
-    """Catalogue rows of all analyses; ``allowed`` limits what is published."""
-    rows = reduce(DataFrame.unionByName, [a.rows(tables, by, approximate) for a in analyses])
-    return permitted_analyses(rows, allowed) if allowed is not None else rows
+    """Catalogue rows of all analyses; of those in ``allowed`` (``analysis_id``) where it is given.
+
+    What may not be published is not computed.
+    """
+    if allowed is not None:
+        wanted = allowed.where(F.col("analysis_id").isin([a.analysis_id for a in analyses])).select("analysis_id").distinct()
+        permitted = {r.analysis_id for r in wanted.collect()}
+        # At least one analysis gives the columns of an empty result.
+        rows = [a.rows(tables, by, approximate) for a in analyses if a.analysis_id in permitted]
+        return reduce(DataFrame.unionByName, rows) if rows else analyses[0].rows(tables, by, approximate).where("false")
+    return reduce(DataFrame.unionByName, [a.rows(tables, by, approximate) for a in analyses])
 
 
 def write_profile(

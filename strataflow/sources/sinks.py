@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ def write_delimited(rows: DataFrame, path: str, selections: list[str], partition
     (
         rows.select(*partition_by, *check_columns(selections))
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic" if partition_by else "static")
         .partitionBy(*partition_by)
         .option("header", True)
         .option("nullValue", "")
@@ -23,10 +26,10 @@ def write_delimited(rows: DataFrame, path: str, selections: list[str], partition
     )
 
 
-def write_slices(output: DataFrame, spec: FilterSpec, root: str) -> None:
-    """Files of one filter, one folder per upload."""
-    rows = output.where(F.col("filter_id") == spec.filter_id)
-    write_delimited(rows, f"{root}/filter_id={spec.filter_id}", list(spec.selections), ("upload_id",))
+def write_slices(output: DataFrame, specs: Sequence[FilterSpec], root: str) -> None:
+    """Files of filters that select the same columns, one folder per filter and upload."""
+    rows = output.where(F.col("filter_id").isin([s.filter_id for s in specs]))
+    write_delimited(rows, root, list(specs[0].selections), ("filter_id", "upload_id"))
 
 
 def append_batch(rows: DataFrame, path: str, batch_id: int) -> None:

@@ -48,7 +48,7 @@ def with_views(*names: str) -> str:
 
     for name in names:
         need(name)
-    return "WITH " + ",\n".join(f"{n} AS ({VIEWS[n]})" for n in VIEWS if n in needed)
+    return "WITH " + ",\n".join(f"{n} AS MATERIALIZED ({VIEWS[n]})" for n in VIEWS if n in needed)
 
 
 # Filters of the workload: the counts, everything, a predicate that is unknown on rows

@@ -9,17 +9,13 @@ from strataflow.schema import CATALOGUE_COLUMNS
 from workload.base import SEGMENT_CONCEPTS, VIEWS, query, with_views
 
 
-# A mean can lie exactly between two rounded values, where the last bit of a sum decides.
-# This shift, far below the precision shown, settles such ties upwards in both engines.
-TIE = 1e-7
-
-
-def _mean(column):
-    return F.round(F.col(column) + F.lit(TIE), 2).alias(column)
+def _mean(column, count):
+    """The mean of amounts in cents: their sum, which is whole cents, by their number."""
+    return (F.round(F.col(column) * F.col(count), 2) / F.col(count)).alias(column)
 
 
 def _rounded(df, keep):
-    shown = {"avg_value": _mean("avg_value"), "stdev_value": F.round("stdev_value", 2).alias("stdev_value")}
+    shown = {"avg_value": _mean("avg_value", "count_value"), "stdev_value": F.round("stdev_value", 2).alias("stdev_value")}
     return df.select(*keep, *[shown.get(c, F.col(c)) for c in CATALOGUE_COLUMNS])
 
 
@@ -42,7 +38,7 @@ def _distribution_row(analysis: str, keep: str, strata: str, value: str, source:
         }.items()
     )
     return f"""SELECT {keep}, {analysis}::BIGINT AS analysis_id, {strata}, count({value}) AS count_value,
-       min({value}) AS min_value, max({value}) AS max_value, round(avg({value}) + {TIE}, 2) AS avg_value,
+       min({value}) AS min_value, max({value}) AS max_value, round(avg({value}) * count({value}), 2) / count({value}) AS avg_value,
        round(stddev_samp({value}), 2) AS stdev_value, {quantiles}
 FROM {source} GROUP BY {group}"""
 
@@ -128,16 +124,16 @@ def _multi_strata(t):
 @query(
     "profile_consistency",
     with_views("persons")
-    + f""", totals AS (SELECT database_id, count(balance) AS n, avg(balance) AS a FROM persons GROUP BY database_id),
+    + """, totals AS (SELECT database_id, count(balance) AS n, avg(balance) AS a FROM persons GROUP BY database_id),
 parts AS (SELECT database_id, segment, count(balance) AS n, avg(balance) AS a FROM persons GROUP BY database_id, segment)
-SELECT t.database_id, t.n AS total_count, sum(p.n)::BIGINT AS strata_count, round(t.a + {TIE}, 2) AS total_avg,
-       round(sum(p.a * p.n) / sum(p.n) + {TIE}, 2) AS strata_avg, (t.n - sum(p.n))::BIGINT AS count_difference
+SELECT t.database_id, t.n AS total_count, sum(p.n)::BIGINT AS strata_count, round(t.a * t.n, 2) / t.n AS total_avg,
+       round(sum(p.a * p.n), 2) / sum(p.n) AS strata_avg, (t.n - sum(p.n))::BIGINT AS count_difference
 FROM totals t JOIN parts p ON t.database_id = p.database_id GROUP BY t.database_id, t.n, t.a""",
 )
 def _consistency(t):
     results = profile.multi_strata_profile(t.persons, ["database_id"], "balance", {103: [], 104: ["segment"]})
     checked = profile.strata_consistency(results, ["database_id"], 103, 104)
-    return checked.withColumns({c: _mean(c) for c in ("total_avg", "strata_avg")})
+    return checked.withColumns({"total_avg": _mean("total_avg", "total_count"), "strata_avg": _mean("strata_avg", "strata_count")})
 
 
 @query(
