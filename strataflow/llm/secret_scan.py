@@ -80,8 +80,11 @@ def triples(value: Column) -> Column:
 
 def fit_dictionary(df: DataFrame, key: str = "doc_id", text: str = "text") -> list[str]:
     """The most frequent letter triples of plain words in the first documents by hash."""
-    first = df.where(F.col(text).isNotNull()).orderBy(F.xxhash64(F.col(key)), F.crc32(F.col(text).cast("binary")))
-    each = first.limit(DICTIONARY_TEXTS).select(F.explode(words(F.col(text))).alias("word"))
+    data = F.col(text).cast("binary")
+    rows = df.where(data.isNotNull()).select(F.xxhash64(F.col(key), data).alias("hash"), F.col(text).alias("text"))
+    # Hashes are ranked without their texts.
+    first = stage(rows.select("hash").distinct().orderBy("hash").limit(DICTIONARY_TEXTS))
+    each = rows.join(first, "hash").select(F.explode(words(F.col("text"))).alias("word"))
     plain = each.where(F.col("word").rlike("^[A-Za-z]{3,15}$")).groupBy("word").count()
     counted = plain.select(F.explode(triples(F.col("word"))).alias("triple"), "count").groupBy("triple")
     top = counted.agg(F.sum("count").alias("count")).orderBy(F.desc("count"), "triple").limit(DICTIONARY_SIZE)
