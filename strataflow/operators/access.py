@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataflow.operators.answers import PERMISSIONS, QUESTION
-from strataflow.operators.skew import small_side
 
 # Access levels of a community, from open to closed.
 OPEN, PUBLIC, MODERATED, INVITATION = "open", "public", "moderated", "invitation"
@@ -22,7 +21,7 @@ def with_permissions(question_sets: DataFrame, stored: DataFrame, defaults: dict
 
 def exportable_answers(answers: DataFrame, questions: DataFrame, stored: DataFrame) -> DataFrame:
     """Answers whose question set may be exported."""
-    placed = answers.join(small_side(questions.select(*QUESTION, "question_set")), QUESTION)
+    placed = answers.join(questions.select(*QUESTION, "question_set"), QUESTION)
     hidden = stored.where(~F.coalesce("exportable", F.lit(DEFAULTS["exportable"])))
     return placed.join(hidden.select("fingerprint", "question_set"), ["fingerprint", "question_set"], "left_anti")
 

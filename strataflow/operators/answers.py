@@ -20,7 +20,6 @@ from strataflow.functions.typed_values import (
     split_choices,
     typed_columns,
 )
-from strataflow.operators.skew import small_side
 
 PERMISSIONS = ("visible", "indexable", "exportable")
 QUESTION = ["questionnaire", "question"]
@@ -43,14 +42,14 @@ def non_empty(answers: DataFrame) -> DataFrame:
 
 def expected_answers(fingerprints: DataFrame, questions: DataFrame, answers: DataFrame) -> DataFrame:
     """A row per fingerprint and question of its questionnaire; unanswered ones have a NULL value."""
-    expected = fingerprints.join(small_side(questions), "questionnaire")
+    expected = fingerprints.join(questions, "questionnaire")
     return expected.join(answers, ["fingerprint", *QUESTION], "left")
 
 
 def type_answers(answers: DataFrame, questions: DataFrame) -> DataFrame:
     """Answers with one typed column per kind."""
     kinds = questions.select(*QUESTION, "type", answer_kind(F.col("type")).alias("answer_kind"))
-    typed = answers.join(small_side(kinds), QUESTION)
+    typed = answers.join(kinds, QUESTION)
     return typed.withColumns(typed_columns(F.col("value"), F.col("answer_kind")))
 
 
@@ -73,7 +72,7 @@ def answer_errors(answers: DataFrame, questions: DataFrame) -> DataFrame:
     The checks of all questions are a small table, so answers are read once and their
     texts stay where they are.
     """
-    checked = non_empty(answers).join(small_side(question_checks(questions)), QUESTION)
+    checked = non_empty(answers).join(question_checks(questions), QUESTION)
     return checked.where(fails_check(F.col("value"))).select("fingerprint", *QUESTION, "code")
 
 
@@ -84,13 +83,13 @@ def required_questions(questions: DataFrame) -> DataFrame:
 
 def _given(answers: DataFrame, questions: DataFrame) -> DataFrame:
     """Keys of the answers to some questions; texts stay behind."""
-    return non_empty(answers).select("fingerprint", *QUESTION).join(small_side(questions), QUESTION, "left_semi")
+    return non_empty(answers).select("fingerprint", *QUESTION).join(questions, QUESTION, "left_semi")
 
 
 def missing_answers(fingerprints: DataFrame, questions: DataFrame, answers: DataFrame) -> DataFrame:
     """Required questions of a fingerprint's questionnaire without an answer, from the keys of the answers alone."""
     required = required_questions(questions)
-    expected = fingerprints.select("fingerprint", "questionnaire").join(small_side(required), "questionnaire")
+    expected = fingerprints.select("fingerprint", "questionnaire").join(required, "questionnaire")
     missing = expected.join(_given(answers, required), ["fingerprint", *QUESTION], "left_anti")
     return missing.select("fingerprint", *QUESTION, F.lit("required").alias("code"))
 
@@ -99,13 +98,13 @@ def resolve_choices(answers: DataFrame, choices: DataFrame) -> DataFrame:
     """Chosen values as choice keys; ``known`` is false for values that are no choice."""
     chosen = answers.select("fingerprint", *QUESTION, F.explode(split_choices(F.col("value"))).alias("ident"))
     keyed = choices.select(*QUESTION, "ident", "choice_key")
-    return chosen.join(small_side(keyed), [*QUESTION, "ident"], "left").withColumn("known", F.col("choice_key").isNotNull())
+    return chosen.join(keyed, [*QUESTION, "ident"], "left").withColumn("known", F.col("choice_key").isNotNull())
 
 
 def unknown_choices(answers: DataFrame, choices: DataFrame) -> DataFrame:
     """Chosen values to reject."""
     chosen = answers.select("fingerprint", *QUESTION, F.explode(split_choices(F.col("value"))).alias("ident"))
-    return chosen.join(small_side(choices.select(*QUESTION, "ident")), [*QUESTION, "ident"], "left_anti")
+    return chosen.join(choices.select(*QUESTION, "ident"), [*QUESTION, "ident"], "left_anti")
 
 
 def surplus_answers(answers: DataFrame, dependencies: DataFrame, selected: DataFrame) -> DataFrame:
@@ -121,7 +120,7 @@ def surplus_answers(answers: DataFrame, dependencies: DataFrame, selected: DataF
         F.col("choice").alias("requires_choice"),
         F.lit(True).alias("_met"),
     ).distinct()
-    dependent = answers.join(small_side(dependencies), QUESTION)
+    dependent = answers.join(dependencies, QUESTION)
     return (
         dependent.join(met, ["fingerprint", "questionnaire", "requires_question", "requires_choice"], "left")
         .withColumn("surplus", F.col("_met").isNull())
@@ -139,11 +138,11 @@ def fill_percentage(fingerprints: DataFrame, questions: DataFrame, answers: Data
     totals = questions.groupBy(*sets).agg(F.count(F.lit(1)).alias("questions"))
     answered = (
         non_empty(answers)
-        .join(small_side(questions.select(*QUESTION, "question_set")), QUESTION)
+        .join(questions.select(*QUESTION, "question_set"), QUESTION)
         .groupBy("fingerprint", *sets)
         .agg(F.count_distinct("question").alias("answered"))
     )
-    expected = fingerprints.select("fingerprint", "questionnaire").join(small_side(totals), "questionnaire")
+    expected = fingerprints.select("fingerprint", "questionnaire").join(totals, "questionnaire")
     filled = expected.join(answered, ["fingerprint", *sets], "left")
     return filled.select(
         "fingerprint",

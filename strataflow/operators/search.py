@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataflow.operators.answers import QUESTION
-from strataflow.operators.skew import small_side
 
 
 @dataclass(frozen=True)
@@ -69,7 +68,7 @@ def _combine(node, flags: dict[Match, Column]) -> Column:
 
 def searchable_answers(answers: DataFrame, questions: DataFrame, stored: DataFrame) -> DataFrame:
     """Answers that may be found: searchable questions in question sets open to indexing."""
-    placed = answers.join(small_side(questions.where("searchable").select(*QUESTION, "question_set")), QUESTION)
+    placed = answers.join(questions.where("searchable").select(*QUESTION, "question_set"), QUESTION)
     closed = stored.where(~F.coalesce("indexable", F.lit(True))).select("fingerprint", "question_set")
     return placed.join(closed, ["fingerprint", "question_set"], "left_anti")
 

@@ -1,5 +1,9 @@
 """Most similar items by cosine, exact, and the staged retrieval built on them.
 
+This is the exact form, for sets of items that may be compared with all others in blocks. The
+bound skips cells where vectors form groups; on vectors without groups it skips nothing, and the
+work grows with queries times items.
+
 Items are placed in cells around a bounded set of pivots. For a query, the distances to
 the pivots, the radius and the size of each cell give a bound on the distance of its k-th
 neighbour; cells that lie wholly beyond it are skipped. A query is sent to the cells that

@@ -1,4 +1,4 @@
-"""Checks of size: groups too big for one task, sides small enough to broadcast."""
+"""Checks of size: groups too big for one task."""
 
 from __future__ import annotations
 
@@ -24,12 +24,3 @@ def hot_groups(
     )
     hot = sizes.where(F.col("group_rows") > limit)
     return None if hot.isEmpty() else cut_lineage(hot)
-
-
-def small_side(df: DataFrame, most: int = 50_000) -> DataFrame:
-    """Hint to broadcast a dimension after counting that it is small; else the optimizer decides.
-
-    For tables whose size the optimizer cannot know, next to a side with long texts that
-    should not be shuffled by a key with few values.
-    """
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
