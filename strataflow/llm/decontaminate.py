@@ -4,9 +4,8 @@ Texts are read as lower-case tokens without ASCII punctuation. Each benchmark it
 at every position under fixed masks that ignore some token positions, so a hash meets its
 copy although a token at an ignored position was replaced. Documents are hashed in the same
 way; where a hash meets one of an item, both are laid side by side at that offset
-and the best run of equal tokens around it, replacements allowed, is verified: it must cover
-``MIN_OVERLAP`` tokens, or the whole of a shorter item, with a share ``MIN_SHARE`` of
-equal tokens.
+and the longest run with a share ``MIN_SHARE`` of equal tokens is verified: it must cover
+``MIN_OVERLAP`` tokens, or the whole of a shorter item.
 
 The benchmark is a stated query set: it is cut into blocks of at most ``BLOCK_TOKENS`` tokens,
 each block is sent to the tasks and meets all documents; a longer item is a block of its
@@ -37,8 +36,9 @@ SPAN = 12
 LEAST_TOKENS = 5
 MIN_OVERLAP, MIN_SHARE = 12, 0.8
 BLOCK_TOKENS = 1 << 21
-# A replaced token takes away as much as this many equal ones add.
-REPLACED = 3
+# A run has the share if its equal tokens are at least this many times the replaced ones.
+REPLACED = round(MIN_SHARE / (1 - MIN_SHARE))
+CELLS = 1 << 18
 FILTER_BITS = 24
 
 _PLAIN = bytes(
@@ -88,6 +88,9 @@ class Block:
 
     def __init__(self, ids: list, items: list[np.ndarray]):
         self.ids, self.items = ids, items
+        self.sizes = np.array([len(t) for t in items], np.int64)
+        self.starts = self.sizes.cumsum() - self.sizes
+        self.flat = np.concatenate([*items, np.zeros(0, np.uint64)])
         self.lengths = sorted({len(t) for t in items if LEAST_TOKENS <= len(t) < SPAN})
         hashes, owners, places = [], [], []
         for owner, item in enumerate(items):
@@ -131,11 +134,35 @@ class Block:
             rows.append(np.column_stack([self.owners[entry], np.repeat(spots, times) - self.places[entry]]))
         return np.unique(np.concatenate(rows), axis=0) if rows else np.zeros((0, 2), np.int64)
 
+    def passing(self, found: np.ndarray, meetings: np.ndarray) -> np.ndarray:
+        """The meetings at which some run is long enough, and maybe a few more, in order."""
+        owners, offsets = meetings.T
+        begin = np.maximum(0, -offsets)
+        width = np.minimum(self.sizes[owners], len(found) - offsets) - begin
+        least = np.minimum(MIN_OVERLAP, self.sizes[owners])
+        order = np.lexsort((width, least))
+        order = order[width[order] >= least[order]]
+        kept = []
+        while len(order):
+            shortest = least[order[0]]
+            rows = order[: max(1, CELLS // width[order[0]])]
+            rows = rows[(least[rows] == shortest) & (width[rows] <= 2 * width[rows[0]])]
+            order = order[len(rows) :]
+            place = np.arange(width[rows].max())
+            inside = place < width[rows, None]
+            place = np.where(inside, place + begin[rows, None], begin[rows, None])
+            equal = self.flat[place + self.starts[owners[rows], None]] == found[place + offsets[rows, None]]
+            gain = np.zeros((len(rows), place.shape[1] + 1), np.int64)
+            np.where(equal & inside, 1, -REPLACED).cumsum(axis=1, out=gain[:, 1:])
+            low = np.minimum.accumulate(gain, axis=1)
+            kept.append(rows[(low[:, :-shortest] <= gain[:, shortest:]).any(axis=1)])
+        return meetings[np.sort(np.concatenate(kept))] if kept else meetings[:0]
+
     def overlaps(self, data: bytes | None) -> Iterator[tuple]:
         """For each item that a text holds: id, first token in text and item, tokens, equal tokens."""
         found = tokens(data)
         best: dict[int, tuple] = {}
-        for owner, offset in self.meetings(found).tolist():
+        for owner, offset in self.passing(found, self.meetings(found)).tolist():
             run = overlap(found, self.items[owner], offset)
             if run is not None and (owner not in best or (run[3], -run[0]) > (best[owner][3], -best[owner][0])):
                 best[owner] = run
@@ -144,17 +171,31 @@ class Block:
 
 
 def overlap(found: np.ndarray, item: np.ndarray, offset: int) -> tuple[int, int, int, int] | None:
-    """Best run at an offset, if it passes: first token in text and item, tokens, equal tokens."""
+    """Longest run at an offset, if one passes: first token in text and item, tokens, equal tokens.
+
+    Of equal lengths the one with more equal tokens counts, then the first. Replaced tokens at its
+    ends go as far as the least length allows.
+    """
     begin, end = max(0, -offset), min(len(item), len(found) - offset)
+    least = min(MIN_OVERLAP, len(item))
+    if end - begin < least:
+        return None
     equal = item[begin:end] == found[begin + offset : end + offset]
     gain = np.concatenate([[0], np.where(equal, 1, -REPLACED).cumsum()])
-    low = np.minimum.accumulate(gain)
-    last = int((gain - low).argmax())
-    first = int(gain[:last].argmin()) if last else 0
-    count, matched = last - first, int(equal[first:last].sum())
-    if count < min(MIN_OVERLAP, len(item)) or matched < MIN_SHARE * count:
+    same = np.concatenate([[0], equal.cumsum()])
+    # For every end the first start from which the share is met: the minima up to a place only fall.
+    starts = np.searchsorted(-np.minimum.accumulate(gain), -gain, "left")
+    counts = np.arange(len(gain)) - starts
+    if counts.max() < least:
         return None
-    return begin + first + offset, begin + first, count, matched
+    longest = np.nonzero(counts == counts.max())[0]
+    last = int(longest[(same[longest] - same[starts[longest]]).argmax()])
+    first = int(starts[last])
+    while last - first > least and not equal[first]:
+        first += 1
+    while last - first > least and not equal[last - 1]:
+        last -= 1
+    return begin + first + offset, begin + first, last - first, int(same[last] - same[first])
 
 
 def blocks(benchmark: DataFrame, item: str, text: str, block_tokens: int) -> Iterator[Block]:

@@ -3,6 +3,8 @@ from __future__ import annotations
 import random
 import re
 
+import numpy as np
+
 from strataflow.llm import decontaminate, workload
 from tests.llm.helpers import LONG, PLAIN, SF_DIR, documents, odd_documents, with_clashes
 
@@ -77,3 +79,43 @@ def test_short_items_and_empty_tables(spark):
     assert decontaminate.contaminated(df, items.limit(0)).count() == 0
     assert decontaminate.contaminated(df.limit(0), items).count() == 0
     assert decontaminate.decontaminated(df, items.limit(0)).count() == 2
+
+
+def _longest_by_brute_force(found, item, offset):
+    """Length and most equal tokens of the longest run that passes, before replaced ends go."""
+    equal = [0 <= i + offset < len(found) and bool(found[i + offset] == t) for i, t in enumerate(item)]
+    inside = [i for i in range(len(item)) if 0 <= i + offset < len(found)]
+    runs = [
+        (j + 1 - i, sum(equal[i : j + 1]))
+        for i in inside
+        for j in inside
+        if j + 1 - i >= min(decontaminate.MIN_OVERLAP, len(item)) and 5 * sum(equal[i : j + 1]) >= 4 * (j + 1 - i)
+    ]
+    return max(runs, default=None)
+
+
+def test_runs_by_brute_force():
+    rng = np.random.default_rng(5)
+    for n in range(12, 61):
+        for share in (0.8, 0.85, 0.9, 0.95):
+            item = rng.integers(1, 1 << 60, n).astype(np.uint64)
+            copy = item.copy()
+            replaced = rng.choice(n, int(n * (1 - share) + 1e-9), replace=False)
+            copy[replaced] = 0
+            found = np.concatenate([np.full(3, 7, np.uint64), copy, np.full(5, 7, np.uint64)])
+            block = decontaminate.Block([1], [item])
+            assert decontaminate.overlap(found, item, 3)[3] == n - len(replaced)
+            for offset, text in ((3, found), (-2, copy[2:]), (0, copy[: n // 2])):
+                longest = _longest_by_brute_force(text, item, offset)
+                run = decontaminate.overlap(text, item, offset)
+                assert (run is None) == (longest is None)
+                passes = block.passing(text, np.array([[0, offset]]))
+                assert run is None or (len(passes) == 1 and run[3] == longest[1])
+
+
+def test_a_dense_stretch_does_not_hide_the_whole(spark):
+    words = [f"w{i}" for i in range(15)]
+    copy = ["other" if i in (2, 12) else w for i, w in enumerate(words)]
+    df = documents(spark, [(1, " ".join(["so", *copy, "and"]), "en", "s")])
+    (row,) = decontaminate.contaminated(df, _benchmark(spark, [(7, " ".join(words))])).collect()
+    assert (row.item_id, row.doc_start, row.n_tokens, row.n_equal) == (7, 1, 15, 13)
