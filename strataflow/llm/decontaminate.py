@@ -2,7 +2,10 @@
 
 Texts are read as lower-case tokens without ASCII punctuation. Each benchmark item is hashed
 at every position under fixed masks that ignore some token positions, so a hash meets its
-copy although a token at an ignored position was replaced. Documents are hashed in the same
+copy although a token at an ignored position was replaced. The masks go by the length of the
+item: whatever tokens of a run of that length are replaced within the share, one mask fits
+between them. A long run that has the share holds one of 12 to 23 tokens that has it too, so the masks
+of 12 tokens serve all longer items. Documents are hashed in the same
 way; where a hash meets one of an item, both are laid side by side at that offset
 and the longest run with a share ``MIN_SHARE`` of equal tokens is verified: it must cover
 ``MIN_OVERLAP`` tokens, or the whole of a shorter item.
@@ -11,8 +14,8 @@ The benchmark is a stated query set: it is cut into blocks of at most ``BLOCK_TO
 each block is sent to the tasks and meets all documents; a longer item is a block of its
 own. Documents are never shuffled.
 
-Defined cases: null and empty texts meet nothing; items shorter than a mask are hashed whole;
-items of fewer than ``LEAST_TOKENS`` tokens say too little and meet nothing; of equal overlaps
+Defined cases: null and empty texts meet nothing; items of exactly
+``LEAST_TOKENS`` tokens are met unbroken only; items of fewer than ``LEAST_TOKENS`` tokens say too little and meet nothing; of equal overlaps
 the one with the smallest document position counts; repeated rows are judged each; empty tables give
 no overlap and keep all documents.
 """
@@ -30,23 +33,27 @@ from pyspark.sql import functions as F
 from strataflow.llm.common import fresh, shipped, unpacked, word_pieces
 from strataflow.session import stage
 
-# The masks. A one is a compared position, a zero an ignored one.
-MASKS = ("110111010111", "111010011111", "111100111011")
-SPAN = 12
+# The masks, from this many tokens of an item on. A one is a compared position, a zero an ignored one.
+MASKS = {
+    5: ("11111",),
+    6: ("1111", "11011"),
+    7: ("11111", "111011", "110111", "11010011"),
+    12: ("1111011", "110010111", "1110100011", "1011111"),
+}
+SPAN = max(len(mask) for masks in MASKS.values() for mask in masks)
 LEAST_TOKENS = 5
 MIN_OVERLAP, MIN_SHARE = 12, 0.8
 BLOCK_TOKENS = 1 << 21
 # A run has the share if its equal tokens are at least this many times the replaced ones.
 REPLACED = round(MIN_SHARE / (1 - MIN_SHARE))
 CELLS = 1 << 18
+HITS = 1 << 17
 FILTER_BITS = 24
 
 _PLAIN = bytes(
     c if chr(c).isalnum() or c > 127 else 32 for c in (ord(chr(c).lower()) if c < 128 else c for c in range(256))
 )
-_FACTORS = np.array(
-    [xxhash.xxh64_intdigest(str(i).encode()) | 1 for i in range(SPAN * (len(MASKS) + 1))], dtype=np.uint64
-).reshape(len(MASKS) + 1, SPAN)
+_FACTORS = np.array([xxhash.xxh64_intdigest(str(i).encode()) | 1 for i in range(SPAN)], dtype=np.uint64)
 
 
 def tokens(data: bytes | None) -> np.ndarray:
@@ -60,26 +67,20 @@ def tokens(data: bytes | None) -> np.ndarray:
     return np.concatenate(pieces) if pieces else np.zeros(0, np.uint64)
 
 
-def seeds(found: np.ndarray, mask: int) -> np.ndarray:
-    """Hash at every position under a mask."""
-    n = len(found) - SPAN + 1
-    if n < 1:
-        return np.zeros(0, np.uint64)
-    total = np.full(n, np.uint64(mask + 1))
-    for i, compared in enumerate(MASKS[mask]):
-        if compared == "1":
-            total += found[i : i + n] * _FACTORS[mask, i]
-    return total ^ total >> np.uint64(29)
+def masks_of(length: int) -> tuple[str, ...]:
+    """The masks for items of a length."""
+    return MASKS[max(least for least in MASKS if least <= length)]
 
 
-def whole(found: np.ndarray, length: int) -> np.ndarray:
-    """Hash of every run of ``length`` tokens, for items shorter than a mask."""
-    n = len(found) - length + 1
+def seeds(found: np.ndarray, mask: str) -> np.ndarray:
+    """Hash at every position under a mask."""
+    n = len(found) - len(mask) + 1
     if n < 1:
         return np.zeros(0, np.uint64)
-    total = np.full(n, np.uint64(1000 + length))
-    for i in range(length):
-        total += found[i : i + n] * _FACTORS[-1, i]
+    total = np.full(n, np.uint64(xxhash.xxh64_intdigest(mask.encode())))
+    for i, compared in enumerate(mask):
+        if compared == "1":
+            total += found[i : i + n] * _FACTORS[i]
     return total ^ total >> np.uint64(29)
 
 
@@ -91,12 +92,13 @@ class Block:
         self.sizes = np.array([len(t) for t in items], np.int64)
         self.starts = self.sizes.cumsum() - self.sizes
         self.flat = np.concatenate([*items, np.zeros(0, np.uint64)])
-        self.lengths = sorted({len(t) for t in items if LEAST_TOKENS <= len(t) < SPAN})
+        self.masks = sorted({mask for t in items if len(t) >= LEAST_TOKENS for mask in masks_of(len(t))})
         hashes, owners, places = [], [], []
         for owner, item in enumerate(items):
             if len(item) < LEAST_TOKENS:
                 continue
-            for found in self.hashed(item, [len(item)] if len(item) < SPAN else []):
+            for mask in masks_of(len(item)):
+                found = seeds(item, mask)
                 hashes.append(found)
                 owners.append(np.full(len(found), owner))
                 places.append(np.arange(len(found)))
@@ -109,30 +111,37 @@ class Block:
         self.filter = np.zeros(1 << FILTER_BITS >> 3, dtype=np.uint8)
         np.bitwise_or.at(self.filter, *self._bits(self.hashes))
 
-    def hashed(self, found: np.ndarray, lengths: list[int]) -> Iterator[np.ndarray]:
-        for mask in range(len(MASKS)):
-            yield seeds(found, mask)
-        for length in lengths:
-            yield whole(found, length)
-
     @staticmethod
     def _bits(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = hashes >> np.uint64(64 - FILTER_BITS)
         return (at >> np.uint64(3)).astype(np.int64), (np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
 
-    def meetings(self, found: np.ndarray) -> np.ndarray:
-        """Distinct rows (item, offset of the item in the text) at which a hash is shared."""
-        rows = []
-        for hashes in self.hashed(found, self.lengths):
+    def meetings(self, found: np.ndarray) -> Iterator[np.ndarray]:
+        """Distinct rows (item, offset of the item in the text) at which a hash is shared, in bounded parts."""
+        rows, held = [], 0
+        for mask in self.masks:
+            hashes = seeds(found, mask)
             if not len(hashes):
                 continue
             at, bit = self._bits(hashes)
             spots = np.nonzero(self.filter[at] & bit)[0]
             first = np.searchsorted(self.hashes, hashes[spots], "left")
             times = np.searchsorted(self.hashes, hashes[spots], "right") - first
-            entry = np.repeat(first - np.cumsum(times) + times, times) + np.arange(times.sum())
-            rows.append(np.column_stack([self.owners[entry], np.repeat(spots, times) - self.places[entry]]))
-        return np.unique(np.concatenate(rows), axis=0) if rows else np.zeros((0, 2), np.int64)
+            spots, first, times = (values[times > 0] for values in (spots, first, times))
+            sums = times.cumsum()
+            low = 0
+            while low < len(spots):
+                before = sums[low] - times[low]
+                high = max(low + 1, int(np.searchsorted(sums, before + HITS, "right")))
+                n, f = times[low:high], first[low:high]
+                entry = np.repeat(f - np.cumsum(n) + n, n) + np.arange(n.sum())
+                rows.append(np.column_stack([self.owners[entry], np.repeat(spots[low:high], n) - self.places[entry]]))
+                held, low = held + len(entry), high
+                if held >= HITS:
+                    yield np.unique(np.concatenate(rows), axis=0)
+                    rows, held = [], 0
+        if rows:
+            yield np.unique(np.concatenate(rows), axis=0)
 
     def passing(self, found: np.ndarray, meetings: np.ndarray) -> np.ndarray:
         """The meetings at which some run is long enough, and maybe a few more, in order."""
@@ -158,13 +167,20 @@ class Block:
             kept.append(rows[(low[:, :-shortest] <= gain[:, shortest:]).any(axis=1)])
         return meetings[np.sort(np.concatenate(kept))] if kept else meetings[:0]
 
+    def runs(self, data: bytes | None) -> Iterator[tuple[int, tuple]]:
+        """Every item met with the run at an offset, if it passes."""
+        found = tokens(data)
+        for meetings in self.meetings(found):
+            for owner, offset in self.passing(found, meetings).tolist():
+                run = overlap(found, self.items[owner], offset)
+                if run is not None:
+                    yield owner, run
+
     def overlaps(self, data: bytes | None) -> Iterator[tuple]:
         """For each item that a text holds: id, first token in text and item, tokens, equal tokens."""
-        found = tokens(data)
         best: dict[int, tuple] = {}
-        for owner, offset in self.passing(found, self.meetings(found)).tolist():
-            run = overlap(found, self.items[owner], offset)
-            if run is not None and (owner not in best or (run[3], -run[0]) > (best[owner][3], -best[owner][0])):
+        for owner, run in self.runs(data):
+            if owner not in best or (run[3], -run[0]) > (best[owner][3], -best[owner][0]):
                 best[owner] = run
         for owner in sorted(best):
             yield (self.ids[owner], *best[owner])
@@ -282,6 +298,6 @@ def _holds(df: DataFrame, text: str, block: Block) -> Column:
     def holds(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         items = unpacked(sent)
         for texts in batches:
-            yield pd.Series([next(items.overlaps(t), None) is not None for t in texts], dtype=bool)
+            yield pd.Series([next(items.runs(t), None) is not None for t in texts], dtype=bool)
 
     return holds(F.col(text).cast("binary"))

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import itertools
 import random
 import re
 
@@ -119,3 +120,42 @@ def test_a_dense_stretch_does_not_hide_the_whole(spark):
     df = documents(spark, [(1, " ".join(["so", *copy, "and"]), "en", "s")])
     (row,) = decontaminate.contaminated(df, _benchmark(spark, [(7, " ".join(words))])).collect()
     assert (row.item_id, row.doc_start, row.n_tokens, row.n_equal) == (7, 1, 15, 13)
+
+
+def test_masks_fit_between_all_replacements():
+    for n in range(6, 26):
+        places = [int(m[::-1], 2) << at for m in decontaminate.masks_of(n) for at in range(n - len(m) + 1)]
+        for replaced in itertools.combinations(range(n), n // 5):
+            gaps = sum(1 << at for at in replaced)
+            assert any(not gaps & place for place in places), (n, replaced)
+
+
+def test_short_items_with_replaced_words(spark):
+    rng = random.Random(6)
+    items, rows = [], []
+    for n in range(6, 26):
+        words = [f"w{n}x{i}" for i in range(n)]
+        items.append((n, " ".join(words)))
+        for _ in range(10):
+            replaced = set(rng.sample(range(n), n // 5))
+            copy = ["other" if i in replaced else w for i, w in enumerate(words)]
+            rows.append((n, " ".join(["so", "it", *copy, "goes"]), "en", "s"))
+    # One replaced word too many.
+    clean = [(100 + n, " ".join(["other"] * (n // 5 + 1) + text.split()[n // 5 + 1 :]), "en", "s") for n, text in items if n < 12]
+    found = decontaminate.contaminated(documents(spark, rows + clean), _benchmark(spark, items)).collect()
+    assert sorted((r.doc_id, r.item_id) for r in found) == sorted((r[0], r[0]) for r in rows)
+    assert {(r.doc_start, r.item_start) for r in found if r.n_tokens == r.item_id} <= {(2, 0)}
+    kept = decontaminate.decontaminated(documents(spark, rows + clean), _benchmark(spark, items)).collect()
+    assert sorted(r.doc_id for r in kept) == [c[0] for c in clean]
+
+
+def test_hits_in_parts_give_the_same(monkeypatch):
+    rng = random.Random(8)
+    items = [np.array(rng.choices(range(1, 4), k=k), np.uint64) for k in (5, 6, 9, 14, 40)]
+    text = " ".join(rng.choices(["a", "b", "c"], k=400)).encode()
+    at = decontaminate.tokens(b"a b c")
+    block = decontaminate.Block(list(range(5)), [at[(i - np.uint64(1)).astype(int)] for i in items])
+    together = list(block.overlaps(text))
+    monkeypatch.setattr(decontaminate, "HITS", 7)
+    monkeypatch.setattr(decontaminate, "CELLS", 50)
+    assert together and list(block.overlaps(text)) == together
