@@ -1,7 +1,7 @@
 """License scans by sentences, with built-in functions only.
 
-A text is cut into sentences, each is normalised (lower case, letters and digits, single
-spaces) and looked up among known licence sentences. The identifiers found, in order, are
+A text is normalised (lower case, letters and digits, single spaces, signs for the ends of
+lines and sentences), and known licence sentences are looked for in it. The identifiers found, in order, are
 matched against ordered rules, longest first: a rule that fits takes its sentences away, so
 a short rule never claims a part of a longer licence. What no rule takes is reported.
 
@@ -86,29 +86,37 @@ RULES = (
     ("CC0-1.0", ("cc0-notice",)),
 )
 
-# A sentence ends after a mark followed by white space, or at an empty line.
-ENDS, MARK = r"([.!?;:])\s+|\n\s*\n", "\x1f"
-
 
 def normal(sentence: str) -> str:
     return re.sub("[^a-z0-9]+", " ", sentence.lower()).strip()
 
 
-def _normal(sentence: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
+def _signed(text: Column) -> Column:
+    """Normalised text in which E stands for the end of a sentence and L for that of a line."""
+    ends = F.regexp_replace(F.regexp_replace(F.lower(text), r"[.!?;:]\s+", "E"), "\n", "L")
+    return F.trim(F.regexp_replace(F.regexp_replace(ends, "[^a-z0-9EL]+", " "), " ?([EL]) ?", "$1"))
 
 
-def sentence_ids(text: Column) -> Column:
-    """Identifiers of the known sentences of a text, in order.
+def _pattern() -> str:
+    """Any known sentence, the longest first: it begins and ends with a line or sentence of the text.
 
-    A sentence may run over several lines; if it is unknown as a whole, its lines are
-    looked up one by one.
+    Its words may run over lines, and over an end of a sentence where it has one itself.
     """
+    by_first: dict[str, list[str]] = {}
+    for sentence in sorted(SENTENCES.values(), key=lambda s: -len(normal(s))):
+        parts = [normal(part) for part in re.split(r"(?<=[.!?;:])\s+", sentence)]
+        first, _, rest = "[ LE]+".join(part.replace(" ", "[ L]+") for part in parts).partition("[ L]+")
+        by_first.setdefault(first, []).append(rest)
+    known = "|".join(f"{first}[ L]+(?:{'|'.join(rest)})" for first, rest in by_first.items())
+    return f"(?<![a-z0-9 ])(?:{known})(?![a-z0-9 ])"
+
+
+def sentence_ids(text: Column) -> Column:
+    """Identifiers of the known sentences of a text, in order."""
     pairs = [F.lit(x) for name, sentence in SENTENCES.items() for x in (normal(sentence), name)]
     known = F.create_map(*pairs)
-    pieces = F.split(F.regexp_replace(text, ENDS, f"$1{MARK}"), MARK)
-    of_lines = F.transform(pieces, lambda p: F.when(known[_normal(p)].isNull() & p.contains("\n"), F.split(p, "\n")).otherwise(F.array(p)))
-    found = F.transform(F.flatten(of_lines), lambda s: known[_normal(s)])
+    spans = F.regexp_extract_all(_signed(text), F.lit(_pattern()), F.lit(0))
+    found = F.transform(spans, lambda s: known[F.regexp_replace(s, "[EL ]+", " ")])
     anchored = F.filter(found, lambda name: name.isNotNull())
     none = F.array().cast("array<string>")
     return F.when(F.coalesce(text, F.lit("")).rlike(f"(?i)({ANCHORS})"), anchored).otherwise(none)

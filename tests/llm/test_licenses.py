@@ -51,3 +51,17 @@ def test_odd_rows(spark):
     assert len(rows) == len(odd_rows())
     assert all((r.n_sentences, r.sentences, r.licenses, r.unmatched) == (0, None, None, None) for r in rows)
     assert licenses.scan(documents(spark, [])).count() == 0
+
+
+def _scanned(spark, texts):
+    rows = [(i, text, "en", "s") for i, text in enumerate(texts)]
+    found = {r.doc_id: r for r in licenses.scan(documents(spark, rows)).collect()}
+    return [found[i] for i in range(len(texts))]
+
+
+def test_every_sentence_and_rule_is_found_in_its_own_text(spark):
+    rows = _scanned(spark, [*licenses.SENTENCES.values(), *(_text(*order) for _, order in licenses.RULES)])
+    alone, together = rows[: len(licenses.SENTENCES)], rows[len(licenses.SENTENCES) :]
+    assert [r.sentences for r in alone] == list(licenses.SENTENCES)
+    found = [(r.licenses, r.sentences, r.unmatched) for r in together]
+    assert found == [(name, ",".join(order), None) for name, order in licenses.RULES]
