@@ -7,7 +7,7 @@ a short rule never claims a part of a longer licence. What no rule takes is repo
 
 Only texts with one of the anchor words are cut up; every known sentence has one.
 
-Defined cases: a null or empty text has no sentence and no licence; a licence named twice is
+Defined cases: a known sentence negated in its line is none; a null or empty text has no sentence and no licence; a licence named twice is
 reported once; repeated rows are judged each; other columns are left out; an empty
 table gives an empty table.
 """
@@ -86,6 +86,9 @@ RULES = (
     ("CC0-1.0", ("cc0-notice",)),
 )
 
+# Words that turn a known sentence after them, with at most eight words between, into another one.
+NEGATIONS = "not|[a-z]+n t|cannot|never|neither|nor|no longer|formerly|previously"
+
 
 def normal(sentence: str) -> str:
     return re.sub("[^a-z0-9]+", " ", sentence.lower()).strip()
@@ -98,9 +101,11 @@ def _signed(text: Column) -> Column:
 
 
 def _pattern() -> str:
-    """Any known sentence, the longest first: it begins and ends with a line or sentence of the text.
+    """Any known sentence, the longest first, or one that is negated before it in its line.
 
-    Its words may run over lines, and over an end of a sentence where it has one itself.
+    It may begin inside a line, but ends with a line or sentence of the text: what goes on, as
+    in "version 3 or later", says something else. Its words may run over lines, also empty ones and those of
+    comment marks, and over an end of a sentence where it has one itself.
     """
     by_first: dict[str, list[str]] = {}
     for sentence in sorted(SENTENCES.values(), key=lambda s: -len(normal(s))):
@@ -108,7 +113,7 @@ def _pattern() -> str:
         first, _, rest = "[ LE]+".join(part.replace(" ", "[ L]+") for part in parts).partition("[ L]+")
         by_first.setdefault(first, []).append(rest)
     known = "|".join(f"{first}[ L]+(?:{'|'.join(rest)})" for first, rest in by_first.items())
-    return f"(?<![a-z0-9 ])(?:{known})(?![a-z0-9 ])"
+    return f"(?<![a-z0-9])(?:(?:{NEGATIONS}) (?:[a-z0-9]+ ){{0,8}}?)?(?:{known})(?![a-z0-9 ])"
 
 
 def sentence_ids(text: Column) -> Column:

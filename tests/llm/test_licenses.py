@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+import textwrap
 
 import pytest
 
@@ -65,3 +66,31 @@ def test_every_sentence_and_rule_is_found_in_its_own_text(spark):
     assert [r.sentences for r in alone] == list(licenses.SENTENCES)
     found = [(r.licenses, r.sentences, r.unmatched) for r in together]
     assert found == [(name, ",".join(order), None) for name, order in licenses.RULES]
+
+
+def _wrapped(sentence, begin="", width=60):
+    return "\n".join(begin + line for line in textwrap.wrap(sentence, width))
+
+
+def test_sentences_over_lines_and_inside_them(spark):
+    mit = ["mit-grant", "mit-condition", "as-is-implied", "not-liable"]
+    apache = ["apache-grant", "apache-comply", "apache-copy", "apache-as-is", "apache-see"]
+    notice = "Copyright (c) 2020 A\n"
+    grant = "\n\n".join(_wrapped(licenses.SENTENCES[n]) for n in mit)
+    header = "\n *\n".join(_wrapped(licenses.SENTENCES[n], " * ") for n in mit)
+    usual = "\n#\n".join(_wrapped(licenses.SENTENCES[n], "# ") for n in apache).replace(" at http", " at\n#\n#     http")
+    cases = [
+        (notice + grant, "MIT", ",".join(mit)),
+        ("/*\n * " + notice + header + "\n */\nint main;", "MIT", ",".join(mit)),
+        ("# " + notice + usual + "\nimport os", "Apache-2.0", ",".join(apache)),
+        ("Title\n" + _wrapped(_text("isc-grant"), width=40), "ISC", "isc-grant"),
+        ("BSD License\n" + _wrapped(_text("bsd-grant"), "-- ") + "\n", None, "bsd-grant"),
+        ("this tool is Licensed under the MIT License.", "MIT", "mit-licensed"),
+        ("See here: the code, if any, is released under the\nMIT License. Bye", "MIT", "mit-notice"),
+        ("The code isn't, as some think, licensed under the MIT License.", None, None),
+        ("It is no longer released under the MIT License. Data is licensed under CC BY 4.0.", "CC-BY-4.0", "cc-by-notice"),
+        ("This work is licensed under the GNU General Public License, version 3 or later.", None, None),
+        ("Unlicensed under the MIT License.", None, None),
+    ]
+    for (text, names, sentences), row in zip(cases, _scanned(spark, [text for text, _, _ in cases])):
+        assert (row.licenses, row.sentences) == (names, sentences), text
