@@ -7,8 +7,9 @@ gives each candidate a probability. Extraction and features are built-in functio
 forest is Spark's own; nothing runs in Python.
 
 Fitting uses a bounded sample: the findings that come first by hash of their document, at most
-``MOST_FINDINGS`` of each label, and a dictionary of the ``DICTIONARY_SIZE`` most
-frequent letter triples in the plain words of ``DICTIONARY_TEXTS`` documents. Candidates
+``MOST_FINDINGS`` of each label. The dictionary holds the ``DICTIONARY_SIZE`` most
+frequent letter triples in the plain words of all documents; with languages given, a triple counts
+by its share in the language that has it most, so small languages are covered. Candidates
 are sought and judged in all documents.
 
 Defined cases: null and empty texts have no candidate; a candidate that stands twice is found
@@ -33,7 +34,9 @@ from strataflow.session import stage
 RUN = r"[A-Za-z0-9+/_\-]{16,}"
 # Up to a thousand, Spark limits ranks in every task before it deals the rows out by label.
 MOST_FINDINGS = 1000
-DICTIONARY_TEXTS, DICTIONARY_SIZE = 2000, 1500
+DICTIONARY_SIZE = 1500
+# Triples added to the count of each language, so that a few words under a stray name weigh little.
+LANGUAGE_LEAST = 1000
 TREES, DEPTH, SEED = 20, 6, 42
 # Words that name a credential.
 NAMING = "(?i)(token|secret|passw|pwd|api.?key|access.?key|auth|credential)"
@@ -79,17 +82,17 @@ def triples(value: Column) -> Column:
     return F.when(F.length(letters) >= 3, F.array_distinct(found)).otherwise(F.array().cast("array<string>"))
 
 
-def fit_dictionary(df: DataFrame, key: str = "doc_id", text: str = "text") -> list[str]:
-    """The most frequent letter triples of plain words in the first documents by hash."""
-    data = F.col(text).cast("binary")
-    rows = df.where(data.isNotNull()).select(F.xxhash64(F.col(key), data).alias("hash"), F.col(text).alias("text"))
-    # Hashes are ranked without their texts.
-    first = stage(rows.select("hash").distinct().orderBy("hash").limit(DICTIONARY_TEXTS))
-    each = rows.join(first, "hash").select(F.explode(words(F.col("text"))).alias("word"))
-    plain = each.where(F.col("word").rlike("^[A-Za-z]{3,15}$")).groupBy("word").count()
-    counted = plain.select(F.explode(triples(F.col("word"))).alias("triple"), "count").groupBy("triple")
-    top = counted.agg(F.sum("count").alias("count")).orderBy(F.desc("count"), "triple").limit(DICTIONARY_SIZE)
-    return [r["triple"] for r in top.collect()]
+def fit_dictionary(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str | None = None) -> list[str]:
+    """The most frequent letter triples of the plain words of all documents, by share of a language if ``lang`` names one."""
+    language = F.lit("") if lang is None else F.coalesce(F.col(lang), F.lit(""))
+    each = df.select(language.alias("language"), F.explode(words(F.col(text))).alias("word"))
+    plain = each.where(F.col("word").rlike("^[A-Za-z]{3,15}$")).groupBy("language", "word").count()
+    found = plain.select("language", F.explode(triples(F.col("word"))).alias("triple"), "count")
+    # At most 26 ** 3 triples of a language.
+    counted = stage(found.groupBy("language", "triple").agg(F.sum("count").alias("count")))
+    totals = counted.groupBy("language").agg((F.sum("count") + LANGUAGE_LEAST).alias("total"))
+    shares = counted.join(totals, "language").groupBy("triple").agg(F.max(F.col("count") / F.col("total")).alias("share"))
+    return [r["triple"] for r in shares.orderBy(F.desc("share"), "triple").limit(DICTIONARY_SIZE).collect()]
 
 
 def with_features(found: DataFrame, dictionary: list[str]) -> DataFrame:
@@ -160,12 +163,14 @@ def fit(labelled: DataFrame, dictionary: list[str], key: str = "doc_id") -> Scan
     return Scanner(dictionary, forest.fit(vectors))
 
 
-def scan(df: DataFrame, labelled: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def scan(
+    df: DataFrame, labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str | None = None
+) -> DataFrame:
     """Key, word_at, run_at, value_sha256, length, probability and secret of every candidate.
 
     The value itself is left out: a report of secrets must not spread them.
     """
-    scanner = fit(labelled, fit_dictionary(df, key, text), key)
+    scanner = fit(labelled, fit_dictionary(df, key, text, lang), key)
     judged = scanner.judge(candidates(df, key, text))
     return judged.select(
         key, "word_at", "run_at", F.sha2("value", 256).alias("value_sha256"), F.length("value").alias("length"), "probability", "secret"

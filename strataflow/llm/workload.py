@@ -95,7 +95,7 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_secrets")
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
-    return secret_scan.scan(documents, labelled_findings(documents))
+    return secret_scan.scan(documents, labelled_findings(documents), lang="lang")
 
 
 def labelled_findings(documents: DataFrame) -> DataFrame:

@@ -79,3 +79,24 @@ def test_redacted(spark):
         assert ("[secret]" in texts[i]) == bool(i % 2)
         if i % 2 == 0:
             assert texts[i] == before[i]
+
+
+def _triple_words(first, last):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    return [letters[i // 676] + letters[i // 26 % 26] + letters[i % 26] for i in range(first, last)]
+
+
+def test_dictionary_counts_all_documents(spark):
+    rare = _triple_words(0, 1000)
+    rows = [(i, rare[i] if i < 1000 else "zzz", "en", "s") for i in range(3000)]
+    assert set(secret_scan.fit_dictionary(documents(spark, rows))) == {*rare, "zzz"}
+
+
+def test_dictionary_covers_small_languages(spark):
+    large, small = _triple_words(0, 3000), _triple_words(17000, 17020)
+    rows = [(i, " ".join(large), "en", "s") for i in range(40)]
+    rows += [(100 + i, " ".join(small * 5), "de", "s") for i in range(3)] + [(200, "one", None, "s"), (201, None, "fr", "s")]
+    df = documents(spark, rows)
+    found = secret_scan.fit_dictionary(df, lang="lang")
+    assert len(found) == len(set(found)) == secret_scan.DICTIONARY_SIZE and set(small) <= set(found)
+    assert not set(small) & set(secret_scan.fit_dictionary(df))
