@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from typing import Any
 
+import numpy as np
 from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -97,3 +98,42 @@ def shipped(spark: SparkSession, value: Any) -> Broadcast:
 
 def unpacked(sent: Broadcast) -> Any:
     return cloudpickle.loads(sent.value)
+
+
+class Best:
+    """The k best rows of each query of a block so far, best first; equal scores by id, unknown ids last."""
+
+    NONE = -(1 << 62)
+
+    def __init__(self, n: int, k: int):
+        self.scores = np.full((n, k), self.NONE)
+        self.ids = np.zeros((n, k), dtype=np.int64)
+        self.known = np.zeros((n, k), dtype=bool)
+
+    def there(self) -> np.ndarray:
+        return self.scores != self.NONE
+
+    def least(self, query: int) -> float:
+        """The k-th best score."""
+        last = self.scores[query, -1]
+        return -np.inf if last == self.NONE else float(last)
+
+    def add(self, query: int, scores: np.ndarray, ids: np.ndarray, known: np.ndarray) -> None:
+        k = self.scores.shape[1]
+        scores = np.append(self.scores[query], scores)
+        ids, known = np.append(self.ids[query], ids), np.append(self.known[query], known)
+        first = np.lexsort((ids, ~known, -scores))[:k]
+        self.scores[query], self.ids[query], self.known[query] = scores[first], ids[first], known[first]
+
+
+def passes(blocks: DataFrame, number: str, size: Column, most: int) -> Iterator[list[int]]:
+    """Numbers of the blocks of each pass, a block beyond ``most`` bytes at most; read one after another."""
+    held, numbers = 0, []
+    for row in blocks.select(F.col(number).alias("number"), size.alias("size")).toLocalIterator():
+        numbers.append(row["number"])
+        held += row["size"]
+        if held >= most:
+            yield numbers
+            held, numbers = 0, []
+    if numbers:
+        yield numbers

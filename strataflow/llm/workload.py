@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataflow.llm import (
+    codes,
     decontaminate,
     langid,
+    lexical,
     licenses,
     mixing,
     quality,
@@ -17,6 +19,7 @@ from strataflow.llm import (
     sharding,
     simhash,
     token_counts,
+    topk,
     urls,
 )
 
@@ -184,3 +187,83 @@ SELECT doc_id, size, source_size, target, (copies * size)::BIGINT AS taken, sour
 )
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), WEIGHTS, SHARE_PERCENT, MOST_COPIES, SEED)
+
+
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_TERMS_SQL = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    f"'{TERM}')"
+)
+
+
+@query(
+    "op11_lexical",
+    f"""
+WITH docs AS (SELECT row_number() OVER () AS row, doc_id, {_TERMS_SQL} AS t FROM documents),
+terms AS (SELECT row, doc_id, len(t)::BIGINT AS n, unnest(t) AS term FROM docs),
+totals AS (SELECT count(*) FILTER (len(t) > 0)::BIGINT AS docs, sum(len(t))::BIGINT AS terms FROM docs),
+postings AS (SELECT row, any_value(doc_id) AS doc_id, any_value(n) AS n, term, count(*)::BIGINT AS tf FROM terms
+    GROUP BY row, term),
+weights AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+    FROM postings, totals GROUP BY term, docs),
+asked AS (SELECT DISTINCT item_row, item_id, unnest(t) AS term
+    FROM (SELECT row_number() OVER () AS item_row, item_id, {_TERMS_SQL} AS t FROM benchmark)),
+scored AS (SELECT item_row, item_id, row, doc_id,
+    sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // totals.terms))))::BIGINT AS score
+    FROM asked JOIN weights USING (term) JOIN postings USING (term), totals GROUP BY item_row, item_id, row, doc_id)
+SELECT item_id, row_number() OVER (PARTITION BY item_row ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank, doc_id, score
+    FROM scored WHERE score > 0 QUALIFY rank <= 10""",
+)
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+_FINITE_SQL = (
+    "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+)
+
+
+def _codes_sql(rounds: int = 4) -> str:
+    """Each round as two tables: the nearest entries (distance and index in one number), then the new codebooks."""
+    text = f"""
+WITH kept AS MATERIALIZED (SELECT vec_id, label, row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS row,
+    list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings WHERE {_FINITE_SQL}),
+parts AS MATERIALIZED (SELECT row, p, v[p * len(v) // 4 + 1:(p + 1) * len(v) // 4] AS x FROM kept, range(4) AS t(p)),
+book0 AS MATERIALIZED (SELECT p, row - 1 AS entry, x FROM parts WHERE row <= 256)"""
+    for i in range(rounds + 1):
+        text += f""",
+near{i} AS MATERIALIZED (SELECT row, p, any_value(parts.x) AS x, min((list_dot_product(parts.x, parts.x)
+    - 2 * list_dot_product(parts.x, b.x) + list_dot_product(b.x, b.x))::BIGINT * 256 + entry) AS best
+    FROM parts JOIN book{i} b USING (p) GROUP BY row, p)"""
+        if i < rounds:
+            text += f""",
+means{i} AS (SELECT p, entry, list(m ORDER BY place) AS x FROM (SELECT p, entry, place, floor(sum(c) / count(*)) AS m
+    FROM (SELECT p, best % 256 AS entry, unnest(x) AS c, generate_subscripts(x, 1) AS place FROM near{i})
+    GROUP BY p, entry, place) GROUP BY p, entry),
+book{i + 1} AS MATERIALIZED (SELECT p, entry, coalesce(m.x, b.x) AS x FROM book{i} b LEFT JOIN means{i} m USING (p, entry))"""
+    return text + f""",
+coded AS (SELECT row, string_agg(printf('%02x', best % 256), '' ORDER BY p) AS code, sum(best // 256)::BIGINT AS error
+    FROM near{rounds} GROUP BY row),
+whole AS (SELECT sha256(string_agg(c::BIGINT::VARCHAR, ',' ORDER BY p, entry, place)) AS codebooks_sha256
+    FROM (SELECT p, entry, unnest(x) AS c, generate_subscripts(x, 1) AS place FROM book{rounds}))
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+    FROM kept JOIN coded USING (row), whole"""
+
+
+@query("op12_codes", _codes_sql())
+def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compressed(table(spark, sf_dir, "embeddings"), parts=4, entries=256, rounds=4)
+
+
+@query(
+    "op13_topk",
+    f"""
+WITH kept AS (SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings WHERE {_FINITE_SQL})
+SELECT q.vec_id AS query_id, row_number() OVER (PARTITION BY q.row ORDER BY list_dot_product(q.v, c.v) DESC, c.vec_id
+    NULLS LAST)::INT AS rank, c.vec_id AS vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+    FROM kept q JOIN kept c ON c.vec_id IS DISTINCT FROM q.vec_id WHERE q.vec_id % 50 = 0 QUALIFY rank <= 5""",
+)
+def op13_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5, scale=256)
