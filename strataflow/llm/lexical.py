@@ -40,11 +40,13 @@ from strataflow.session import stage
 _FOLD = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256)
 )
-BLOCK_BYTES, BLOCK_DOCS = 12 << 20, 1 << 14
+BLOCK_BYTES, BLOCK_DOCS = 8 << 20, 1 << 14
 # Pairs of a range and a term whose bounds are found at once, and ranges split in the first steps.
 STEP_PAIRS, FIRST_RANGES, MOST_RANGES = 1 << 18, 32, 1024
+# Leaves are one row of 2^LEAF_LEVELS documents: above, quadrants have as many times fewer rows than columns.
+LEAF_LEVELS = 4
 # Postings of a quadrant that are looked at one by one; pairs that are kept between steps.
-FEW, KEPT_PAIRS = 4, 1 << 24
+FEW, KEPT_PAIRS = 1, 1 << 24
 ITEMS, PASS_BYTES = 512, 16 << 20
 
 INDEX = (
@@ -142,7 +144,7 @@ class Builder:
         by_kind = np.lexsort((lengths, leading))
         column = np.empty(len(lengths), dtype=np.int64)
         column[by_kind] = np.arange(len(lengths))
-        codes = spread(row[term]) << np.uint64(1) | spread(column[doc])
+        codes = spread(row[term] << LEAF_LEVELS) << np.uint64(1) | spread(column[doc])
         order = np.argsort(codes)
         codes, impacts = codes[order], impacts[order]
         sizes, starts, maxima = [], [], []
@@ -211,7 +213,7 @@ class Treap:
         # Term by term, ranges in order: neighbouring searches end near each other.
         term, place = np.nonzero(able)
         shift = level[place].astype(np.uint64)
-        own_row = spread(rows)[term] << np.uint64(1)
+        own_row = spread(rows << LEAF_LEVELS)[term] << np.uint64(1)
         cell = shift * np.uint64(2)
         low = ((own_row | spread(first)[place]) >> cell) << cell
         begin = np.searchsorted(self.codes, low)
