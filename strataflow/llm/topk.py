@@ -4,13 +4,15 @@ Items are stored in blocks. A block keeps, for each component, the list of (valu
 order of value; a query reads the lists of its components from the end that its sign favours,
 all to the same depth. What a row has shown so far, with the last value read from every list
 in which it has not been met, bounds its score from above; with the worst value of those
-lists, from below. Reading goes deeper, twice as deep each time, until few rows of the block can
-still reach the k-th best lower bound, or the k-th best score of the blocks before; the
-scores of these few are then resolved exactly.
+lists, from below. Reading goes deeper until at most a quarter of the block's rows can still reach the
+k-th best lower bound, or the k-th best score of the blocks before: on vectors of many like
+components, which lists tell apart late, resolving these is cheaper than reading on. Their scores are then
+resolved exactly.
 
 Queries are cut into blocks too. A pass takes queries of bounded bytes, and every task reads its
 item blocks against them; it keeps k rows for a query over all its blocks, so the k best
-of each task meet in the end. Nothing but blocks of queries is broadcast.
+of each task meet in the end. One block of items is read first, and the k-th scores found there are known to
+every task. Nothing but blocks of queries is broadcast.
 
 Defined cases: vectors that are null or hold null or non-finite components take no part;
 components are held within +-2^20, and scores are exact up to 8,192 components; shorter vectors count as ending
@@ -35,13 +37,14 @@ from strataflow.llm.vectors import finite, in_blocks, integers, matrix, one_row
 from strataflow.session import stage
 
 LIMIT = 1 << 20
-# Rows of a block that may be left to be resolved, as a share of the block, and the first depth.
-LEFT, FIRST_DEPTH = 32, 16
+# Shares of a block: rows that may be left to be resolved, and how far the lists are read at a time.
+LEFT, STEPS = 4, 8
 # Stored bytes of the queries of one pass over the items.
 PASS_BYTES = 16 << 20
 
 ITEM_BLOCK = "n int, width int, ids array<long>, ordered binary, rows binary, cells binary"
 QUERY_BLOCK = "n int, width int, ids array<long>, cells binary"
+LEAST = "array<struct<query_row:long,score:long>>"
 FOUND = "query_block long, query_row long, query_id long, vec_id long, score long"
 
 # Which of eight lists a mask has not met.
@@ -55,58 +58,66 @@ class Lists:
         self.n, self.dims = n, dims
         self.ids = np.array([0 if i is None else i for i in ids], dtype=np.int64)
         self.known = np.array([i is not None for i in ids], dtype=bool)
-        self.values = np.zeros((dims, n), dtype=np.int64)
+        # Whole numbers, held as the doubles that sums are taken in.
+        self.values = np.zeros((dims, n))
         self.values[:width] = np.frombuffer(ordered, dtype=np.int32).reshape(width, n)
         self.rows = np.tile(np.arange(n, dtype=np.int64), (dims, 1))
         self.rows[:width] = np.frombuffer(rows, dtype=np.uint16).reshape(width, n)
+        # Where in each list a row stands.
+        self.place = np.empty((n, dims), dtype=np.uint16)
+        np.put_along_axis(self.place, self.rows.T, np.arange(n, dtype=np.uint16)[:, None], axis=0)
         self.cells = matrix(cells, n, width, dims)
         self.groups = -(-dims // 8)
 
-    def read(self, query: np.ndarray, begin: int, end: int, used: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rows and parts of the score from ``begin`` to ``end`` of the used lists."""
-        depth = np.arange(begin, end)
-        place = np.where(query[used, None] > 0, self.n - 1 - depth, depth)
-        return self.rows[used[:, None], place], query[used, None] * self.values[used[:, None], place]
-
-    def at(self, query: np.ndarray, depth: int, used: np.ndarray) -> np.ndarray:
-        place = np.where(query[used] > 0, self.n - 1 - depth, depth)
-        return query[used] * self.values[used, place]
-
-    def unmet(self, seen: np.ndarray, used: np.ndarray, bound: np.ndarray) -> np.ndarray:
+    def read(self, query: np.ndarray, begin: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and parts of the score from depth ``begin`` to ``end``, list by list."""
+        up, down = np.nonzero(query > 0)[0], np.nonzero(query < 0)[0]
+        near, far = slice(self.n - end, self.n - begin), slice(begin, end)
+        rows = np.concatenate([self.rows[up, near], self.rows[down, far]])
+        parts = np.concatenate([self.values[up, near], self.values[down, far]])
+        return rows.ravel(), (parts * query[np.concatenate([up, down]), None]).ravel()
+
+    def seen(self, query: np.ndarray, end: int) -> np.ndarray:
+        """For each row, as bits, the lists in which it stands before a depth."""
+        # Places wrap below the first one read, to numbers beyond the depth.
+        first = np.where(query > 0, self.n - end, 0).astype(np.uint16)
+        return np.packbits(self.place - first < end, axis=1, bitorder="little")
+
+    def at(self, query: np.ndarray, depth: int) -> np.ndarray:
+        """What each list gives at a depth."""
+        return query * np.where(query > 0, self.values[:, self.n - 1 - depth], self.values[:, depth])
+
+    def unmet(self, seen: np.ndarray, bound: np.ndarray) -> np.ndarray:
         """For each row the sum of a bound over the lists in which it was not met."""
         of_list = np.zeros(self.groups * 8)
-        of_list[used] = bound
+        of_list[: self.dims] = bound
         table = of_list.reshape(-1, 8) @ _UNMET.T
-        return sum(table[g][seen[g]] for g in range(self.groups))
+        return sum(table[g].take(seen[:, g]) for g in range(self.groups))
 
     def candidates(self, query: np.ndarray, k: int, least: float, own: np.ndarray) -> np.ndarray:
         """Rows that may be among the k best and score ``least`` at least."""
-        used = np.nonzero(query)[0]
-        met, seen = np.zeros(self.n), np.zeros((self.groups, self.n), dtype=np.uint8)
-        if not len(used):
+        if not query.any():
             return np.nonzero(~own)[0]
-        worst = self.at(query, self.n - 1, used).astype(np.float64)
-        bits = (1 << (used % 8)).astype(np.float64)
-        begin, end = 0, max(1, self.n // FIRST_DEPTH)
+        met = np.zeros(self.n)
+        worst = self.at(query, self.n - 1)
+        step = max(1, self.n // STEPS)
+        begin, end = 0, step
         while True:
-            last = self.at(query, end - 1, used).astype(np.float64)
-            # Until the lists say that rows never met fall short, there is nothing to decide.
-            if least > -np.inf and last.sum() >= least and end < self.n // 4:
-                end = min(self.n, 2 * end)
+            last = self.at(query, end - 1)
+            # As long as rows that were never met can qualify, nothing is decided.
+            if end < self.n and last.sum() >= least > -np.inf:
+                end = min(self.n, end + step)
                 continue
-            rows, parts = self.read(query, begin, end, used)
-            met += np.bincount(rows.ravel(), parts.ravel(), self.n)
-            flat = rows + (used // 8 * self.n)[:, None]
-            marks = np.bincount(flat.ravel(), np.repeat(bits, end - begin), self.groups * self.n)
-            seen |= marks.astype(np.uint8).reshape(self.groups, self.n)
-            upper = met + self.unmet(seen, used, last)
-            lower = met + self.unmet(seen, used, worst)
-            lower[own] = -np.inf
-            bound = max(least, np.partition(lower, -k)[-k] if self.n >= k else -np.inf)
-            able = np.nonzero((upper >= bound) & ~own)[0]
+            met += np.bincount(*self.read(query, begin, end), self.n)
+            seen = self.seen(query, end)
+            upper = met + self.unmet(seen, last)
+            able = np.nonzero((upper >= least) & ~own)[0]
+            if len(able) > k:
+                lower = met[able] + self.unmet(seen[able], worst)
+                able = able[upper[able] >= np.partition(lower, -k)[-k]]
             if end == self.n or len(able) <= max(4 * k, self.n // LEFT):
                 return able
-            begin, end = end, min(self.n, 2 * end)
+            begin, end = end, min(self.n, end + step)
 
     def best(self, query: np.ndarray, k: int, least: float, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rows among the k best of the block that score ``least`` at least, and their scores."""
@@ -160,9 +171,10 @@ def _search(k: int):
                 block = Lists(row["n"], dims, row["width"], row["ids"], row["ordered"], row["rows"], row["cells"])
                 queries = matrix(row["query_cells"], row["query_n"], row["query_width"], dims)
                 own_ids, found = best.setdefault(row["query_block"], (row["query_ids"], Best(row["query_n"], k)))
+                least = {s["query_row"]: s["score"] for s in row["query_least"] or []}
                 for q, own_id in enumerate(own_ids):
                     own = block.known & (block.ids == own_id)
-                    rows, scores = block.best(queries[q], k, found.least(q), own)
+                    rows, scores = block.best(queries[q], k, max(least.get(q, -np.inf), found.least(q)), own)
                     if len(rows):
                         found.add(q, scores, block.ids[rows], block.known[rows])
         for number, (own_ids, found) in best.items():
@@ -196,12 +208,25 @@ def top_k(df: DataFrame, queries: DataFrame, k: int, scale: int, key: str = "vec
         .select("block", *[F.col(c).alias(f"query_{c}") for c in ("n", "width", "ids", "cells")])
     )
     found = items.sparkSession.createDataFrame([], FOUND)
-    size = F.octet_length("query_cells") + 16 * F.col("query_n")
+    # The k-th best score over one block of items: no query has to find that out in every task.
+    first = _met(blocks.limit(1), query_blocks.withColumn("query_least", F.lit(None).cast(LEAST)), k)
+    kth = first.groupBy("query_block", "query_row").agg(F.min("score").alias("score"), F.count("*").alias("n"))
+    kth = kth.where(F.col("n") == k).groupBy(F.col("query_block").alias("block"))
+    kth = kth.agg(F.collect_list(F.struct("query_row", "score")).alias("query_least"))
+    query_blocks = stage(query_blocks.join(kth, "block", "left"))
+    found = _met(blocks, query_blocks, k)
+    order = Window.partitionBy("query_block", "query_row").orderBy(F.col("score").desc(), F.col("vec_id").asc_nulls_last())
+    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", "score")
+
+
+def _met(blocks: DataFrame, query_blocks: DataFrame, k: int) -> DataFrame:
+    """The k best rows of each task for every query, in passes over the items."""
+    size = F.octet_length("query_cells") + 32 * F.col("query_n")
+    found = blocks.sparkSession.createDataFrame([], FOUND)
     for turn in passes(query_blocks, "block", size, PASS_BYTES):
         here = query_blocks.where(F.col("block").isin(turn)).withColumnRenamed("block", "query_block")
         met = blocks.withColumn("query_block", F.explode(F.array(*[F.lit(b).cast("long") for b in turn])))
         # PASS_BYTES and a block at most.
         found = found.unionAll(stage(met.join(F.broadcast(here), "query_block").mapInArrow(_search(k), FOUND)))
-    order = Window.partitionBy("query_block", "query_row").orderBy(F.col("score").desc(), F.col("vec_id").asc_nulls_last())
-    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    return found
