@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from typing import Any
 
 import numpy as np
@@ -137,3 +138,15 @@ def passes(blocks: DataFrame, number: str, size: Column, most: int) -> Iterator[
             held, numbers = 0, []
     if numbers:
         yield numbers
+
+
+@contextmanager
+def rows_per_batch(spark: SparkSession, most: int) -> Iterator[None]:
+    """Jobs started meanwhile send at most so many rows at once to Python: for rows that are large blocks."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

@@ -33,14 +33,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import Best, passes, word_pieces
+from strataflow.llm.common import Best, passes, rows_per_batch, word_pieces
 from strataflow.session import stage
 
 # Bytes: A-Z to lower case; what is no letter, digit or part of a character beyond ASCII to a space.
 _FOLD = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256)
 )
-BLOCK_BYTES, BLOCK_DOCS = 8 << 20, 1 << 14
+BLOCK_BYTES, BLOCK_DOCS = 6 << 20, 1 << 14
 # Pairs of a range and a term whose bounds are found at once, and ranges split in the first steps.
 STEP_PAIRS, FIRST_RANGES, MOST_RANGES = 1 << 18, 32, 1024
 # Leaves are one row of 2^LEAF_LEVELS documents: above, quadrants have as many times fewer rows than columns.
@@ -157,7 +157,7 @@ class Builder:
             maxima.append(np.maximum.reduceat(impacts, begin)[several])
         names = np.array(list(self.numbers), dtype=object)[by_count].tolist()
         width = width_of(codes[-1])
-        packed = [planes(np.concatenate(x) if x else np.zeros(0), 4) for x in (starts, maxima)]
+        packed = [planes(np.concatenate(x) if x else np.zeros(0), w) for x, w in ((starts, 4), (maxima, 3))]
         ids = [self.ids[i] for i in by_kind]
         return [len(ids), ids, names, counts[by_count], width, planes(codes, width), planes(impacts, 3), sizes, *packed]
 
@@ -192,13 +192,14 @@ class Treap:
         self.docs, self.terms = row["docs"], terms
         self.ids = np.array([0 if i is None else i for i in row["ids"]], dtype=np.int64)
         self.known = np.array([i is not None for i in row["ids"]], dtype=bool)
-        self.codes = from_planes(row["codes"], row["code_bytes"])
-        self.padded = np.append(self.codes, np.full(FEW + 1, ~np.uint64(0)))
+        codes = from_planes(row["codes"], row["code_bytes"])
+        self.padded = np.append(codes, np.full(FEW + 1, ~np.uint64(0)))
+        self.codes = self.padded[: len(codes)]
         self.impacts = from_planes(row["impacts"], 3).astype(np.int64)
         # Quadrants of all levels in one order: level above, first posting below.
         level = np.repeat(np.arange(1, len(row["level_sizes"]) + 1, dtype=np.int64), row["level_sizes"])
         self.places = (level << 40) | from_planes(row["starts"], 4).astype(np.int64)
-        self.maxima = from_planes(row["maxima"], 4).astype(np.int64)
+        self.maxima = from_planes(row["maxima"], 3).astype(np.int64)
         self.levels = levels_of(self.docs)
 
     def rows(self, terms: pa.Array) -> np.ndarray:
@@ -286,7 +287,7 @@ def _search(k: int):
         best: dict[int, tuple[list, Best]] = {}
         for batch in batches:
             names = [name for name in batch.schema.names if name not in ("terms", "items")]
-            for i in range(batch.num_rows):
+            for i in range(batch.num_rows):  # blocks are large: one to a batch
                 row = {name: batch.column(name)[i].as_py() for name in names}
                 treap = Treap(row, batch.column("terms")[i].values)
                 items = batch.column("items")[i].values
@@ -390,7 +391,8 @@ def ranked(
         # PASS_BYTES and a block at most.
         here = F.broadcast(asked.where(F.col("item_block").isin(numbers)).drop("bytes"))
         met = tree.withColumn("item_block", F.explode(F.array(*[F.lit(n).cast("long") for n in numbers])))
-        found = found.unionAll(stage(met.join(here, "item_block").mapInArrow(_search(k), FOUND)))
+        with rows_per_batch(df.sparkSession, 1):
+            found = found.unionAll(stage(met.join(here, "item_block").mapInArrow(_search(k), FOUND)))
     order = Window.partitionBy("item_block", "item_row").orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_last())
     best = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return best.select("item_id", "rank", "doc_id", "score")
