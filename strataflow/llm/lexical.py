@@ -47,7 +47,8 @@ STEP_PAIRS, FIRST_RANGES, MOST_RANGES = 1 << 18, 32, 1024
 LEAF_LEVELS = 4
 # Postings of a quadrant that are looked at one by one; pairs that are kept between steps.
 FEW, KEPT_PAIRS = 1, 1 << 24
-ITEMS, PASS_BYTES = 512, 16 << 20
+# Items of a block, bytes of a pass, and texts sent to a task at once.
+ITEMS, PASS_BYTES, TEXTS = 512, 16 << 20, 512
 
 INDEX = (
     "docs int, ids array<long>, terms array<binary>, counts array<long>, code_bytes int, codes binary, impacts binary, "
@@ -333,8 +334,9 @@ def index(df: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataF
     texts = df.select(F.col(key).cast("long").alias("id"), F.col(text).cast("binary").alias("text"))
     texts = texts.where(F.col("text").isNotNull())
     counted = texts.select("text").mapInArrow(_counts, "docs long, terms long")
-    sums = counted.agg(F.sum("docs").alias("docs"), F.sum("terms").alias("terms")).first()
-    return stage(texts.mapInArrow(_index(sums["docs"] or 0, sums["terms"] or 0), INDEX)), sums["docs"] or 0
+    with rows_per_batch(df.sparkSession, TEXTS):
+        sums = counted.agg(F.sum("docs").alias("docs"), F.sum("terms").alias("terms")).first()
+        return stage(texts.mapInArrow(_index(sums["docs"] or 0, sums["terms"] or 0), INDEX)), sums["docs"] or 0
 
 
 def _item_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
