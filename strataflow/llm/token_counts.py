@@ -11,7 +11,11 @@ interval inside the task, and a token that crosses a boundary is given by rule:
 
 The vocabulary file is a parameter; every node that runs tasks must have it at that path.
 
-Defined cases: a null text has no section; an empty text has one empty section without tokens;
+The tokenizer's pattern looks ahead in white space and overflows its stack on very long runs of it. Such runs
+are cut out first, where the pattern must cut anyway: a run without its last character is one piece if
+something follows, and the last character begins the next one.
+
+Defined cases: texts of any length are encoded whole, as are runs of one kind of character; a null text has no section; an empty text has one empty section without tokens;
 special tokens are plain text; repeated rows are counted each; other columns are left out;
 an empty table gives an empty table.
 """
@@ -19,6 +23,7 @@ an empty table gives an empty table.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Callable, Iterator
 from functools import cache
 from pathlib import Path
@@ -33,6 +38,9 @@ FIRST, MOST, SPLIT = "first", "most", "split"
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: how this vocabulary cuts a text into words before merging bytes.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# Fixed value: how patterns with such a cut treat white space, and the characters that are white space to them.
+SPACE_CUT = r"|\s+(?!\S)|\s+"
+LONG_SPACES = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{1024,}")
 SECTIONS = "array<struct<section:long,start_char:long,end_char:long,n_tokens:double,n_crossing:long>>"
 
 
@@ -49,10 +57,23 @@ class Encoder:
         for token, rank in ranks.items():
             self.lengths[rank] = len(token)
         self.encoding = tiktoken.Encoding("vocabulary", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.one_piece = None
+        if pattern.endswith(SPACE_CUT):
+            self.one_piece = tiktoken.Encoding("piece", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
+
+    def tokens(self, text: str) -> Iterator[list[int]]:
+        """Tokens of a text, in lists."""
+        at = 0
+        for run in LONG_SPACES.finditer(text) if self.one_piece else ():
+            yield self.encoding.encode_ordinary(text[at : run.start()])
+            at = run.end() - (run.end() < len(text))
+            yield self.one_piece.encode_ordinary(text[run.start() : at])
+        yield self.encoding.encode_ordinary(text[at:])
 
     def ends(self, text: str) -> np.ndarray:
         """Byte after each token."""
-        return self.lengths[np.array(self.encoding.encode_ordinary(text), dtype=np.int64)].cumsum()
+        found = [np.array(tokens, dtype=np.int64) for tokens in self.tokens(text)]
+        return self.lengths[np.concatenate(found)].cumsum()
 
 
 @cache

@@ -81,3 +81,26 @@ def test_fields_as_sections(spark):
     rows = token_counts.section_tokens(df, rule="split", starts_of=lambda data: np.array([0, title])).collect()
     assert [(r.start_char, r.end_char) for r in rows] == [(0, title), (title, 21)]
     assert np.isclose(sum(r.n_tokens for r in rows), len(_spans("Title wordsand a body")[0]))
+
+
+SPACES = [" ", "\n", "\t", "\u00a0", "\u3000", " \n", "\r\n", "\n "]
+
+
+@pytest.mark.parametrize("run", SPACES)
+@pytest.mark.parametrize("around", [("", ""), ("", "x"), ("a", ""), ("a b", "'ll 12"), ("x\n", "\u6587"), (".", "\x1cx")])
+def test_long_spaces_are_encoded_as_they_are(run, around):
+    """Runs near and far beyond the bound give the tokens of the whole text."""
+    encoder = token_counts.encoder(token_counts.VOCABULARY, token_counts.PATTERN)
+    for size in (1, 1023, 1024, 1025, 50_001):
+        text = around[0] + (run * size)[:size] + around[1] + " mid" + run * 1500 + "end"
+        assert [t for part in encoder.tokens(text) for t in part] == encoder.encoding.encode_ordinary(text)
+
+
+@pytest.mark.parametrize("unit", [" ", "\n", "a", "7"])
+def test_runs_of_ten_million(spark, unit):
+    size = 10_000_000
+    texts = [unit * size, unit * size + "x y\n"]
+    rows = token_counts.section_tokens(documents(spark, [(i, t, "en", "s") for i, t in enumerate(texts)]))
+    ends = rows.groupBy("doc_id").agg({"end_char": "max", "n_tokens": "sum"}).orderBy("doc_id").collect()
+    assert [r["max(end_char)"] for r in ends] == [len(t) for t in texts]
+    assert all(r["sum(n_tokens)"] > 0 for r in ends)
