@@ -11,14 +11,16 @@ from pyspark.sql import functions as F
 from strataflow.operators.ordered import with_offset
 from strataflow.operators.uploads import known_uploads, unknown_uploads
 from strataflow.session import stage
-from strataflow.sources.delimited import PLACE, good_rows, malformed_rows, read_delimited, transformed
+from strataflow.sources.delimited import PLACE, good_rows, malformed_rows, transformed, typed_lines
 from strataflow.sources.manifest import (
+    IDENTITY,
     clean_files,
-    identified,
+    lines_of,
     list_files,
     pending_files,
     read_manifest,
     unseen_files,
+    with_identity,
 )
 
 RESULTS, QUARANTINE, UPLOADS, UNKNOWN, MANIFEST = "results", "quarantine", "uploads", "unknown_uploads", "manifest"
@@ -44,14 +46,16 @@ def ingest(
 
     Rows get their ``offset`` in the upload. ``announced`` (``database_identifier, name, rows``) is what
     the sources say they sent; without it an upload announces what its file holds. Files are
-    taken in batches, as their names pass through the driver. Each table gets a folder per batch and the manifest is
+    listed once and taken in batches, and their lines are read once, for identity and rows. Each table gets a folder per batch and the manifest is
     written last: a run that fails is repeated under the same batch and overwrites what it
     left behind.
     """
     total = 0
+    # Listed once: later batches take what the earlier ones left.
+    listed = stage(unseen_files(list_files(spark, inbox), read_manifest(spark, f"{lake}/{MANIFEST}")))
     while True:
         batch_id, taken, loaded = _ingest_batch(
-            spark, inbox, lake, databases, steps, cleanup, announced, files_per_batch
+            spark, listed, lake, databases, steps, cleanup, announced, files_per_batch
         )
         total += loaded
         if taken < files_per_batch:
@@ -60,7 +64,7 @@ def ingest(
 
 def _ingest_batch(
     spark: SparkSession,
-    inbox: str,
+    listed: DataFrame,
     lake: str,
     databases: DataFrame,
     steps: Sequence[Callable[[DataFrame], DataFrame]],
@@ -71,22 +75,21 @@ def _ingest_batch(
     """Load the next files; returns the batch, the files taken and the files that were new."""
     manifest = read_manifest(spark, f"{lake}/{MANIFEST}")
     batch_id = (manifest.agg(F.max("batch_id")).first()[0] or 0) + 1
-    listed = unseen_files(list_files(spark, inbox), manifest).orderBy("file_time", "file_path").limit(most)
-    named = identified(spark, stage(listed))
+    next_files = stage(unseen_files(listed, manifest).orderBy("file_time", "file_path").limit(most))
+    lines = lines_of(spark, next_files)
+    named = with_identity(next_files, lines)
     named.write.mode("overwrite").parquet(f"{lake}/pending/{batch_id}")
     taken = spark.read.parquet(f"{lake}/pending/{batch_id}")
-    files = pending_files(taken, manifest)
-    paths = [r.file_path for r in files.select("file_path").collect()]
-    count = taken.count()
+    files = stage(pending_files(taken, manifest).dropDuplicates(IDENTITY))
+    count, new = taken.count(), files.count()
 
     def folder(table: str) -> str:
         return f"{lake}/{table}/batch_id={batch_id}"
 
-    if paths:
-        # A file replaced since it was listed has another time: its rows wait for the next run.
-        origin = files.select("file_path", "file_time", "upload_id")
-        rows = stage(read_delimited(spark, paths).join(origin, ["file_path", "file_time"]))
-        good = with_offset(good_rows(rows), ["upload_id"], "file_block", "offset", ["file_row"])
+    if new:
+        origin = files.select("file_path", "upload_id")
+        rows = stage(typed_lines(lines.drop("upload_id")).join(origin, "file_path"))
+        good = with_offset(good_rows(rows), ["upload_id"], "byte")
         good = transformed(good.drop("file_path", "file_time", *PLACE), steps)
         good.write.mode("overwrite").partitionBy("database_identifier").parquet(folder(RESULTS))
         malformed_rows(rows).write.mode("overwrite").parquet(folder(QUARANTINE))
@@ -106,10 +109,14 @@ def _ingest_batch(
         unknown_uploads(counted, databases).write.mode("overwrite").parquet(folder(UNKNOWN))
     if count:
         taken.write.mode("overwrite").parquet(folder(MANIFEST))
-    if cleanup and paths:
-        failed = counted.select("upload_id", ((F.col("loaded") == 0) & (F.col("rejected") > 0)).alias("failed"))
-        clean_files(spark, taken.join(failed, "upload_id", "left"), cleanup)
-    return (batch_id if count else batch_id - 1), count, len(paths)
+    if cleanup and count:
+        # Files whose content was loaded before go as well.
+        gone = taken.withColumn("failed", F.lit(False))
+        if new:
+            failed = counted.select("upload_id", ((F.col("loaded") == 0) & (F.col("rejected") > 0)).alias("failed"))
+            gone = taken.join(failed, "upload_id", "left")
+        clean_files(spark, gone, cleanup)
+    return (batch_id if count else batch_id - 1), count, new
 
 
 def _announced(counted: DataFrame, announced: DataFrame | None) -> DataFrame:

@@ -73,9 +73,14 @@ def stage(df: DataFrame) -> DataFrame:
     Lineage ends here: a lost executor costs no recomputation, nondeterministic columns
     are fixed, and the optimizer knows the size and columns of the rows.
     """
+    return df.sparkSession.read.schema(df.schema).parquet(stage_path(df))
+
+
+def stage_path(df: DataFrame) -> str:
+    """Write the rows to the shared folder; returns where they are."""
     path = f"{stage_dir(df.sparkSession, _AREA.get())}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return path
 
 
 @contextmanager

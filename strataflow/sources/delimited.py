@@ -13,7 +13,7 @@ from strataflow.schema import CATALOGUE_COLUMNS, CATALOGUE_SCHEMA
 
 CORRUPT = "malformed"
 GLOB = "*.csv"
-PLACE = ("file_block", "file_row")
+PLACE = ("file_block", "file_row", "byte")
 
 
 def scan_schema(schema: T.StructType = CATALOGUE_SCHEMA) -> T.StructType:
@@ -35,6 +35,21 @@ def _options(reader, separator: str):
     )
 
 
+def typed_lines(lines: DataFrame, header: bool = True, separator: str = ",") -> DataFrame:
+    """Typed rows of lines that were read with their place; malformed rows keep their text in ``malformed``."""
+    text = F.col("value").cast("string")
+    own = lines.where(F.trim(text) != "")
+    if header:
+        own = own.where(F.col("byte") > 0)
+    options = {
+        "sep": separator, "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true",
+        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT,
+    }
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in scan_schema())
+    cells = F.from_csv(text, ddl, options)
+    return own.withColumn("value", cells).select("value.*", *[c for c in lines.columns if c != "value"])
+
+
 def with_origin(rows: DataFrame) -> DataFrame:
     """Add the file, its time and the database, which is the folder the file lies in."""
     return rows.select(

@@ -2,17 +2,28 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strataflow.session import stage, stage_path
 from strataflow.sources.delimited import GLOB, database_of
+from strataflow.sources.identity import content_digests
+from strataflow.sources.lines import LATEST, byte_ranges, read_lines
 
 MANIFEST_SCHEMA = (
     "database_identifier string, name string, content_id string, upload_id long, file_path string, "
     "file_time timestamp, length long, batch_id long"
 )
 
+RANGES_SCHEMA = (
+    "file_path string, file_time timestamp, length long, database_identifier string, name string, upload_id long, "
+    "start long, stop long, content_id string, batch_id long"
+)
 LISTING_SCHEMA = "file_path string, file_time timestamp, length long, database_identifier string, name string"
 SEEN, IDENTITY = ["file_path", "file_time", "length"], ["database_identifier", "name", "content_id"]
 
@@ -35,38 +46,67 @@ def list_files(spark: SparkSession, inbox: str) -> DataFrame:
     )
 
 
+def lines_of(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """Lines of listed files, stored: identity and rows come from this one read."""
+    return stage(read_lines(spark, stage_path(byte_ranges(files))))
+
+
+def with_identity(files: DataFrame, lines: DataFrame) -> DataFrame:
+    """Add ``content_id`` and ``upload_id``; files that changed while they were read are left for the next listing."""
+    named = files.drop("upload_id").join(content_digests(lines), "file_path", "left")
+    named = named.where(F.col("content_id").isNotNull() | (F.col("length") == 0))
+    named = named.withColumn("content_id", F.coalesce("content_id", F.lit("lines:0")))
+    return named.withColumn("upload_id", F.xxhash64(*IDENTITY))
+
+
 def identified(spark: SparkSession, files: DataFrame) -> DataFrame:
-    """Add the identity of each file's content and its ``upload_id``; for a bounded number of files.
+    """Add the identity of each file's content and its ``upload_id``."""
+    return with_identity(files, lines_of(spark, files))
+
 
-    The content is known by its lines: their number and two sums of their hashes, which the
-    splits of a file compute apart and combine. So a file of any size has one kind of
-    identity, and the same lines in another order are the same upload.
+def register_files(spark: SparkSession, files: DataFrame, manifest: str) -> int:
+    """Append identified files that are new to a manifest as its next batch, for a stream; returns how many.
+
+    An entry is a range of bytes of a file. Names and contents stay in the tasks.
     """
-    paths = [r.file_path for r in files.select("file_path").collect()]
-    path = F.col("_metadata.file_path")
-    lines = spark.read.text(paths).select("value", path.alias("file_path")) if paths else None
-    if lines is None:
-        return files.withColumns({"content_id": F.lit("lines:0"), "upload_id": F.lit(0).cast("long")})
-    digest = lines.groupBy("file_path").agg(
-        F.concat_ws(
-            ":",
-            F.lit("lines"),
-            F.count(F.lit(1)).cast("string"),
-            F.sum(F.xxhash64("value").cast("decimal(38,0)")).cast("string"),
-            F.bit_xor(F.xxhash64(F.reverse("value"))).cast("string"),
-        ).alias("content_id")
-    )
-    named = files.join(digest, "file_path", "left").withColumn("content_id", F.coalesce("content_id", F.lit("lines:0")))
-    return named.withColumn("upload_id", F.xxhash64(*IDENTITY))
+    known = read_ranges(spark, manifest)
+    batch_id = (known.agg(F.max("batch_id")).first()[0] or 0) + 1
+    new = stage(files.dropDuplicates(IDENTITY).join(known.select(*IDENTITY), IDENTITY, "left_anti"))
+    count = new.count()
+    if count:
+        ranges = byte_ranges(new).join(new.select("file_path", "content_id"), "file_path")
+        ranges.write.mode("overwrite").parquet(f"{manifest}/batch_id={batch_id}")
+    return count
+
+
+def start_of(spark: SparkSession, manifest: str, progress: str, since: str | int) -> str | int:
+    """Where a query starts. ``latest`` is looked up once and kept: a query that found nothing yet starts there again."""
+    if since != LATEST:
+        return since
+    kept = _stored(spark, progress, "batch long")
+    if kept.isEmpty():
+        newest = read_ranges(spark, manifest).agg(F.coalesce(F.max("batch_id"), F.lit(0)).cast("long").alias("batch"))
+        newest.write.mode("overwrite").parquet(progress)
+        kept = _stored(spark, progress, "batch long")
+    return kept.first()["batch"]
+
+
+def read_ranges(spark: SparkSession, manifest: str) -> DataFrame:
+    """Entries of the batches registered so far."""
+    return _stored(spark, manifest, RANGES_SCHEMA)
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """Files loaded so far; empty before the first load."""
+    return _stored(spark, path, MANIFEST_SCHEMA)
+
+
+def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     file_system = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not file_system.exists(hadoop_path):
-        return spark.createDataFrame([], MANIFEST_SCHEMA)
-    return spark.read.schema(MANIFEST_SCHEMA).parquet(path)
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 def unseen_files(files: DataFrame, manifest: DataFrame) -> DataFrame:
@@ -80,25 +120,33 @@ def pending_files(files: DataFrame, manifest: DataFrame) -> DataFrame:
 
 
 def clean_files(spark: SparkSession, files: DataFrame, policy: str = "move") -> int:
-    """Move loaded files to ``succeed`` beside them, or delete them; returns how many.
+    """Move loaded files to ``succeed`` or ``failed`` beside them, or delete them, in the tasks; returns how many.
 
-    A file that changed since it was read stays: it is a new upload.
+    A file that changed since it was read stays: it is a new upload. A repeated task finds the file gone.
     """
     if policy not in ("move", "delete"):
         raise ValueError(f"unknown cleanup policy: {policy}")
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    done = 0
-    for row in files.select("file_path", F.unix_millis("file_time").alias("millis"), "upload_id", "failed").toLocalIterator():
-        source = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(row.file_path))
-        file_system = source.getFileSystem(conf)
-        if not file_system.exists(source) or file_system.getFileStatus(source).getModificationTime() != row.millis:
-            continue
-        if policy == "delete":
-            done += bool(file_system.delete(source, False))
-            continue
-        folder = jvm.org.apache.hadoop.fs.Path(source.getParent(), "failed" if row.failed else "succeed")
-        file_system.mkdirs(folder)
-        target = jvm.org.apache.hadoop.fs.Path(folder, f"{row.upload_id}-{source.getName()}")
-        done += bool(file_system.rename(source, target))
-    return done
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done = 0
+        for batch in batches:
+            for row in batch.to_pylist():
+                done += _clean(row, policy)
+        yield pa.RecordBatch.from_pydict({"done": pa.array([done])})
+
+    listed = files.select("file_path", F.unix_millis("file_time").alias("millis"), "upload_id", "failed")
+    return listed.mapInArrow(clean, "done long").agg(F.sum("done")).first()[0] or 0
+
+
+def _clean(row: dict, policy: str) -> bool:
+    system, path = fs.FileSystem.from_uri(row["file_path"])
+    info = system.get_file_info(path)
+    if info.type != fs.FileType.File or abs(info.mtime_ns / 1e6 - row["millis"]) >= 1000:
+        return False
+    if policy == "delete":
+        system.delete_file(path)
+        return True
+    folder = f"{path.rpartition('/')[0]}/{'failed' if row['failed'] else 'succeed'}"
+    system.create_dir(folder)
+    system.move(path, f"{folder}/{row['upload_id']}-{info.base_name}")
+    return True

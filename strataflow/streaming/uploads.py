@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -17,7 +17,9 @@ from strataflow.operators.uploads import unknown_uploads
 from strataflow.plans.filtering import run_filters
 from strataflow.schema import check_columns
 from strataflow.session import stage
-from strataflow.sources.delimited import PLACE, good_rows, malformed_rows, stream_delimited
+from strataflow.sources.delimited import PLACE, good_rows, malformed_rows, typed_lines
+from strataflow.sources.lines import EARLIEST, stream_lines
+from strataflow.sources.manifest import start_of
 from strataflow.sources.sinks import append_batch
 
 
@@ -50,17 +52,19 @@ def with_registered(rows: DataFrame, databases: DataFrame) -> DataFrame:
 
 def process_uploads(
     spark: SparkSession,
-    landing: str,
+    manifest: str,
     lake: str,
     checkpoint: str,
     load_registry: Callable[[], tuple[DataFrame, DataFrame]],
     poll: str | None = None,
     load_announced: Callable[[], DataFrame] | None = None,
+    since: str | int = EARLIEST,
 ) -> StreamingQuery:
     """Run the active filters over each batch of arriving files.
 
-    A file lies in one batch, so an upload is a group of the batch; files must be landed
-    under names that carry their content identity, see :func:`land_files`. ``load_registry``
+    Files arrive as batches of a manifest, see :func:`register_files`; a file lies in one batch, so an
+    upload is a group of the batch. ``since`` is where a new query starts: ``earliest``, ``latest`` or after a batch of
+    the manifest. ``load_registry``
     returns the current ``databases`` and ``filters`` and is called per batch: filters
     started, stopped or edited meanwhile take effect with the next files. ``load_announced``
     returns ``upload_id, rows`` as the sources told them; other uploads announce what they
@@ -73,12 +77,11 @@ def process_uploads(
     def batch(rows: DataFrame, batch_id: int) -> None:
         databases, filters = load_registry()
         specs = specs_from_registry(filters)
-        rows = rows.withColumn("file_row", F.monotonically_increasing_id())
-        rows = stage(rows.withColumn("upload_id", upload_of(F.col("file_path"))))
+        rows = stage(typed_lines(rows))
         held = rows.groupBy("upload_id", "database_identifier").agg(F.count(F.lit(1)).alias("held"))
         append_batch(unknown_uploads(held, databases), f"{lake}/unknown_uploads", batch_id)
         rows = unknown_uploads_out(rows, databases)
-        good = with_offset(good_rows(rows), ["upload_id"], "file_block", "offset", ["file_row"])
+        good = with_offset(good_rows(rows), ["upload_id"], "byte")
         good = stage(good.drop("file_path", "file_time", *PLACE))
         append_batch(good, f"{lake}/results", batch_id)
         append_batch(malformed_rows(rows), f"{lake}/quarantine", batch_id)
@@ -91,15 +94,11 @@ def process_uploads(
             append_batch(filtered.slices, f"{lake}/slices", batch_id)
             append_batch(filtered.ready, f"{lake}/data_ready", batch_id)
 
-    writer = stream_delimited(spark, f"{landing}/*").writeStream.foreachBatch(batch)
+    start = start_of(spark, manifest, f"{checkpoint.rstrip('/')}-start", since)
+    writer = stream_lines(spark, manifest, start).writeStream.foreachBatch(batch)
     return _triggered(writer.option("checkpointLocation", checkpoint), poll).start()
 
 
-def upload_of(path: Column) -> Column:
-    """The number in the name of a landed file; a hash of the path for other files."""
-    return F.coalesce(F.regexp_extract(path, r"/(-?\d+)\.csv$", 1).try_cast("long"), F.xxhash64(path))
-
-
 def unknown_uploads_out(rows: DataFrame, databases: DataFrame) -> DataFrame:
     """Rows of registered databases."""
     return rows.join(databases.select("database_identifier"), "database_identifier", "left_semi")

@@ -95,11 +95,13 @@ def test_file_identity(spark, inbox):
         MANIFEST_SCHEMA,
     )
     assert unseen_files(files, loaded).isEmpty()
-    # The same lines in another order are the same upload, whatever the size of the file.
+    # The same lines in another order are another upload, as rows have their place in it.
     header, *lines = CATALOGUE_CSV.splitlines()
     (inbox / IDENTIFIER / "results.csv").write_text("\n".join([header, *reversed(lines)]) + "\n")
     again = identified(spark, list_files(spark, str(inbox)))
-    assert pending_files(again, loaded).isEmpty() and again.first().upload_id == first.upload_id
+    assert pending_files(again, loaded).count() == 1 and again.first().upload_id != first.upload_id
+    (inbox / IDENTIFIER / "results.csv").write_text(CATALOGUE_CSV)
+    assert pending_files(identified(spark, list_files(spark, str(inbox))), loaded).isEmpty()
     (inbox / IDENTIFIER / "results.csv").write_text(CATALOGUE_CSV + "1,,,,,,3,,,,,,,,,\n")
     assert pending_files(identified(spark, list_files(spark, str(inbox))), loaded).count() == 1
 

@@ -11,10 +11,9 @@ from strataflow.operators.fanout import FilterSpec, fan_out
 from strataflow.schema import FILE_STATUS_SCHEMA
 from strataflow.operators.uploads import upload_notifications
 from strataflow.sources.delimited import good_rows, read_delimited
-from strataflow.sources.manifest import identified, list_files
+from strataflow.sources.manifest import identified, list_files, register_files
 from strataflow.sources.messages import read_json, stream_json
 from strataflow.sources.sinks import append_batch
-from strataflow.streaming.landing import land_files
 from strataflow.streaming.uploads import (
     continuous_filter,
     process_uploads,
@@ -49,12 +48,12 @@ def registry(spark, statuses):
 
 
 def test_uploads_stream(spark, inbox, tmp_path):
-    landing, lake, checkpoint = (str(tmp_path / n) for n in ("landing", "lake", "checkpoint"))
+    manifest, lake, checkpoint = (str(tmp_path / n) for n in ("manifest", "lake", "checkpoint"))
     current = {"filters": [("analysis_id = 0", "ACTIVE"), ("p10_value > 1", "STOPPED")]}
 
     def step():
-        land_files(spark, identified(spark, list_files(spark, str(inbox))), landing)
-        run(process_uploads(spark, landing, lake, checkpoint, lambda: registry(spark, current["filters"])))
+        register_files(spark, identified(spark, list_files(spark, str(inbox))), manifest)
+        run(process_uploads(spark, manifest, lake, checkpoint, lambda: registry(spark, current["filters"])))
 
     step()
     assert spark.read.parquet(f"{lake}/results").count() == 8
@@ -76,8 +75,7 @@ def test_uploads_stream(spark, inbox, tmp_path):
     # Nothing new: nothing happens.
     step()
     assert spark.read.parquet(f"{lake}/results").count() == 17
-    batch = good_rows(read_delimited(spark, f"{landing}/*"))
-    assert batch.count() == 17
+    assert good_rows(read_delimited(spark, f"{inbox}/*")).count() == 9
 
     # A database that nobody registered is listed, its rows go no further.
     (inbox / "stranger").mkdir()

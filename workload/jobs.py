@@ -5,14 +5,14 @@ from __future__ import annotations
 import uuid
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strataflow.operators import registry, stats, uploads
 from strataflow.operators.fanout import FilterSpec, fan_out, specs_from_registry
 from strataflow.operators.routing import applications_from_registry
-from strataflow.plans.delivery import in_batches, route, with_pandas, write_result_files
+from strataflow.plans.delivery import in_batches, route, write_result_files
 from strataflow.plans.filtering import run_filters
 from strataflow.plans.history import submissions
 from strataflow.plans.ingest import RESULTS, UPLOADS, ingest, read_table
@@ -23,11 +23,10 @@ from strataflow.plans.validation import validate_answers
 from strataflow.schema import CATALOGUE_COLUMNS, DELIVERY_SCHEMA, FILE_STATUS_SCHEMA
 from strataflow.session import stage_dir
 from strataflow.sources.delimited import good_rows, malformed_rows, read_delimited, transformed
-from strataflow.sources.manifest import identified, list_files
+from strataflow.sources.manifest import identified, list_files, register_files
 from strataflow.sources.messages import decode_json, encode_json, read_json, reencode
 from strataflow.sources.registry_dump import read_dump
 from strataflow.sources.sinks import append_batch, write_by_database
-from strataflow.streaming.landing import land_files
 from strataflow.streaming.state import closing_uploads, liveness
 from strataflow.streaming.uploads import continuous_filter, process_uploads, stream_since, to_several, with_registered
 from workload.base import APPLICATIONS, FILTERS, query, with_views
@@ -48,9 +47,10 @@ def finished(streaming) -> None:
         raise streaming.exception()
 
 
-def write_inbox(t, inbox: str) -> None:
+def write_inbox(t, inbox: str, rows: DataFrame | None = None, order: Column | None = None) -> None:
     """The uploaded rows as the sources would leave them: a folder per database, one delimited file in each."""
-    rows = t.uploaded.repartition("database_identifier").sortWithinPartitions("database_identifier", "offset")
+    rows = (t.uploaded if rows is None else rows).repartition("database_identifier")
+    rows = rows.sortWithinPartitions("database_identifier", F.col("offset") if order is None else order)
     rows.select("database_identifier", *CATALOGUE_COLUMNS).write.partitionBy("database_identifier").option(
         "header", True
     ).option("nullValue", "").csv(inbox)
@@ -133,13 +133,13 @@ def _files_to_requests(t):
 
 @query("job_stream_to_requests", FILE_REQUESTS)
 def _stream_to_requests(t):
-    """The same requests from a stream of landed files."""
-    inbox, landing, lake = folder(t, "inbox"), folder(t, "landing"), folder(t, "lake")
+    """The same requests from a stream of registered files."""
+    inbox, manifest, lake = folder(t, "inbox"), folder(t, "manifest"), folder(t, "lake")
     write_inbox(t, inbox)
-    land_files(t.spark, identified(t.spark, list_files(t.spark, inbox)), landing)
+    register_files(t.spark, identified(t.spark, list_files(t.spark, inbox)), manifest)
     now = current(t)
     finished(
-        process_uploads(t.spark, landing, lake, folder(t, "progress"), lambda: (t.databases, now.active_filters))
+        process_uploads(t.spark, manifest, lake, folder(t, "progress"), lambda: (t.databases, now.active_filters))
     )
     ready, output = (t.spark.read.parquet(f"{lake}/{name}").drop("batch_id") for name in ("data_ready", "filtered"))
     requests = route(ready, output, t.communities, applications_from_registry(now.active_applications))
@@ -405,16 +405,18 @@ def _stream_liveness(t):
 UNION ALL SELECT filter_id, -1, sum(count_value)::BIGINT FROM filter_output GROUP BY 1""",
 )
 def _in_pandas(t):
-    """User code that sees a slice as pandas, whole or a batch at a time."""
+    """User code that sees slices of any size as pandas, a batch at a time."""
     output = fan_out(t.uploaded, FILTERS).select("filter_id", "upload_id", "count_value")
     schema = "filter_id long, upload_id long, total long"
 
     def total(pdf: pd.DataFrame) -> pd.DataFrame:
         return pdf.groupby(["filter_id", "upload_id"], as_index=False).agg(total=("count_value", "sum"))
 
-    whole = with_pandas(output, total, schema, ["filter_id", "upload_id"])
-    parts = in_batches(output, total, schema).groupBy("filter_id").agg(F.sum("total").alias("total"))
-    return whole.unionByName(parts.select("filter_id", F.lit(-1).cast("long").alias("upload_id"), "total"))
+    # A batch holds a part of a slice: the totals of the parts are added up.
+    parts = in_batches(output, total, schema)
+    whole = parts.groupBy("filter_id", "upload_id").agg(F.sum("total").alias("total"))
+    every = parts.groupBy("filter_id").agg(F.sum("total").alias("total"))
+    return whole.unionByName(every.select("filter_id", F.lit(-1).cast("long").alias("upload_id"), "total"))
 
 
 @query(
