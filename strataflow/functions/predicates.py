@@ -173,11 +173,15 @@ def _safe_values(tokens: list[tuple[str, str]], columns: set[str]) -> list[str]:
     return out
 
 
+def tokens_of(text: str, columns: list[str] = CATALOGUE_COLUMNS) -> list[tuple[str, str]]:
+    """Kinds and texts of the tokens of an admitted filter text."""
+    tokens = _join_signs(_tokens(text))
+    _check(tokens, {c.lower() for c in columns})
+    return tokens
+
+
 def compile_predicate(text: str | None, columns: list[str] = CATALOGUE_COLUMNS) -> Column:
     """Boolean column of a filter text; an empty text lets every row pass."""
     if text is None or not text.strip():
         return F.lit(True)
-    known = {c.lower() for c in columns}
-    tokens = _join_signs(_tokens(text))
-    _check(tokens, known)
-    return F.expr(" ".join(_safe_values(tokens, known)))
+    return F.expr(" ".join(_safe_values(tokens_of(text, columns), {c.lower() for c in columns})))

@@ -7,13 +7,15 @@ from dataclasses import dataclass
 from functools import reduce
 from itertools import batched
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strataflow.functions.atoms import conjunction
 from strataflow.functions.predicates import compile_predicate
+from strataflow.operators.filterindex import FilterIndex, indexed_counts, matching
 from strataflow.operators.ordered import with_running
 from strataflow.schema import ACTIVE, check_columns
-from strataflow.session import local_table
+from strataflow.session import local_table, stage
 
 
 @dataclass(frozen=True)
@@ -27,7 +29,7 @@ class FilterSpec:
     name: str = ""
 
 
-# Filters evaluated in one plan; more are taken in groups, each with a scan of its own.
+# Filters evaluated in one plan; more are taken through an index, what it can't hold in groups.
 FILTERS_PER_SCAN = 200
 
 
@@ -56,8 +58,48 @@ def complement(rows: DataFrame, spec: FilterSpec, keep: Sequence[str] = ()) -> D
 
 
 def count_matches(rows: DataFrame, keys: Sequence[str], specs: Iterable[FilterSpec]) -> DataFrame:
-    """Matched, unmatched and unknown rows per key and filter, from a single scan for each group of filters."""
-    return reduce(DataFrame.unionByName, [_count_group(rows, keys, group) for group in _groups(specs)])
+    """Matched, unmatched and unknown rows per key and filter, from a single scan.
+
+    Filters beyond ``FILTERS_PER_SCAN`` are taken through an index over their conditions; those of another form
+    are evaluated one by one, in groups with a scan each.
+    """
+    index, rest = split_specs(specs)
+    parts = [_count_group(rows, keys, group) for group in _groups(rest)]
+    if index is not None:
+        parts.append(_count_indexed(rows, keys, index))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def split_specs(specs: Iterable[FilterSpec]) -> tuple[FilterIndex | None, list[FilterSpec]]:
+    """An index over the filters it can hold, if there are many, and the others."""
+    specs = list(specs)
+    if len(specs) <= FILTERS_PER_SCAN:
+        return None, specs
+    found = [(s, conjunction(s.text)) for s in specs]
+    held = [(s.filter_id, atoms) for s, atoms in found if atoms is not None]
+    rest = [s for s, atoms in found if atoms is None]
+    return (FilterIndex(*zip(*held)) if held else None), rest
+
+
+def id_array(ids: Iterable[int]) -> Column:
+    """Many whole numbers as one constant."""
+    return F.split(F.lit(",".join(map(str, ids))), ",").cast("array<long>")
+
+
+def _count_indexed(rows: DataFrame, keys: Sequence[str], index: FilterIndex) -> DataFrame:
+    # Written: every row of a key with every filter is counted against this small table.
+    told = stage(indexed_counts(rows, keys, index))
+    total = stage(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")))
+    every = total.withColumn("filter_id", F.explode(id_array(index.ids.tolist())))
+    renamed = told.select(*[F.col(k).alias(f"_of_{k}") for k in keys], F.col("filter_id").alias("_of_filter"), "matched", "unknown")
+    on = reduce(
+        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys], F.col("filter_id") == F.col("_of_filter")
+    )
+    counted = every.join(renamed, on, "left")
+    matched, unknown = F.coalesce("matched", F.lit(0)), F.coalesce("unknown", F.lit(0))
+    return counted.select(
+        *keys, "filter_id", matched.alias("matched"), (F.col("_rows") - matched - unknown).alias("unmatched"), unknown.alias("unknown")
+    )
 
 
 def _count_group(rows: DataFrame, keys: Sequence[str], specs: Iterable[FilterSpec]) -> DataFrame:
@@ -85,7 +127,7 @@ def with_empty_uploads(
     counts: DataFrame, announced: DataFrame, keys: Sequence[str], specs: Iterable[FilterSpec]
 ) -> DataFrame:
     """Counts of every announced upload and filter; an upload without rows has zeros for all of them."""
-    filters = F.array(*[F.lit(s.filter_id).cast("long") for s in specs])
+    filters = id_array(s.filter_id for s in specs)
     expected = announced.select(*keys).distinct().withColumn("filter_id", F.explode(filters))
     zeros = {c: F.lit(0).cast("long") for c in ("matched", "unmatched", "unknown")}
     missing = expected.join(counts, [*keys, "filter_id"], "left_anti").withColumns(zeros)
@@ -107,11 +149,15 @@ def all_filters_done(checked: DataFrame, keys: Sequence[str], active: int) -> Da
 
 
 def fan_out(rows: DataFrame, specs: Iterable[FilterSpec]) -> DataFrame:
-    """Each row once per filter it matches, with ``filter_id``."""
+    """Each row once per filter it matches, with ``filter_id``; see :func:`count_matches` for many filters."""
+    index, rest = split_specs(specs)
     parts = []
-    for group in _groups(specs):
+    for group in _groups(rest) if rest else ((),):
         hits = [F.when(compile_predicate(s.text), F.lit(s.filter_id).cast("long")) for s in group]
-        parts.append(rows.withColumn("filter_id", F.explode(F.array_compact(F.array(*hits)))))
+        found = [F.array_compact(F.array(*hits))] if hits else []
+        if index is not None and not parts:
+            found.append(matching(index))
+        parts.append(rows.withColumn("filter_id", F.explode(F.concat(*found))))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -129,6 +175,13 @@ def community_gate(uploads: DataFrame, specs: Iterable[FilterSpec], community: s
     return uploads.select(*uploads.columns, F.inline(pairs))
 
 
+def belonging(uploads: DataFrame, specs: Iterable[FilterSpec], community: str = "community_id") -> DataFrame:
+    """Each upload with the filters whose communities hold its own."""
+    pairs = sorted({(s.filter_id, c) for s in specs for c in s.communities})
+    table = local_table(uploads.sparkSession, pairs, "filter_id long, _community long")
+    return uploads.join(table, F.col(community) == F.col("_community")).drop("_community")
+
+
 def data_ready(counts: DataFrame, upload: str, identifier: str, before: DataFrame | None = None) -> DataFrame:
     """Slice of each filter's output that an upload produced; a slice without rows is valid.
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from strataflow.operators.fanout import (
     FilterSpec,
     all_filters_done,
-    community_gate,
+    belonging,
     completeness,
     count_matches,
     data_ready,
@@ -52,11 +52,11 @@ def run_filters(
     counted = count_matches(rows, KEYS, specs)
     counts = cut_lineage(with_empty_uploads(counted, announced, KEYS, specs))
     checked = completeness(counts, announced, KEYS)
-    gate = community_gate(databases.select("database_identifier", "community_id"), specs)
+    gate = belonging(databases.select("database_identifier", "community_id"), specs)
     slices = data_ready(counts, "upload_id", "database_identifier", before)
     finished = checked.where(F.col("complete") & F.col("filter_id").isNotNull()).select("filter_id", "upload_id")
     ready = (
-        slices.join(gate.where("belongs").drop("belongs"), ["database_identifier", "filter_id"])
+        slices.join(gate, ["database_identifier", "filter_id"])
         .join(finished, ["filter_id", "upload_id"], "left_semi")
     )
     return Filtered(

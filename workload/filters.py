@@ -146,3 +146,52 @@ def _slice_read(t):
     output = fanout.fan_out(t.uploaded, FILTERS)
     picked = uploads.slice_rows(output, 3, 71997)
     return picked.select("upload_id", "offset", "analysis_id", "p10_value")
+
+
+MANY = 2000
+# Kinds of filters, by number: the condition as text, and in SQL over a column ``i`` that holds the number.
+MANY_KINDS = [
+    (lambda i: f"analysis_id = {(0, 103, 104, 105)[i // 6 % 4]} AND count_value >= {150 * i}",
+     "analysis_id = [0, 103, 104, 105][i // 6 % 4 + 1] AND count_value >= 150 * i"),
+    (lambda i: f"p10_value BETWEEN {20 * i} AND {20 * i + 1500}", "p10_value BETWEEN 20 * i AND 20 * i + 1500"),
+    (lambda i: f"stratum_1 IN ('F', 'NATION_{i % 25}') AND avg_value < {100 * i}",
+     "stratum_1 IN ('F', 'NATION_' || (i % 25)) AND avg_value < 100 * i"),
+    (lambda i: f"stratum_1 = 'O' AND {90 * i}.5 < p90_value AND analysis_id = 104",
+     "stratum_1 = 'O' AND 90 * i + 0.5 < p90_value AND analysis_id = 104"),
+    (lambda i: f"median_value > {i * 40} AND max_value <= {i * 160} AND min_value = 0",
+     "median_value > i * 40 AND max_value <= i * 160 AND min_value = 0"),
+    (lambda i: f"analysis_id IN (0, 2000000, {i}) AND count_value < {i * 100}",
+     "analysis_id IN (0, 2000000, i) AND count_value < i * 100"),
+]
+MANY_FILTERS = [fanout.FilterSpec(i, MANY_KINDS[i % 6][0](i), (), (i % 5,)) for i in range(MANY)]
+# One filter the index can't hold.
+MANY_FILTERS.append(fanout.FilterSpec(MANY, "analysis_id = 0 OR p10_value IS NULL", (), (0,)))
+VIEWS["many_filters"] = (
+    "SELECT filter_id, upload_id, count_value, hit FROM (SELECT i AS filter_id, upload_id, count_value, CASE i % 6 "
+    + " ".join(f"WHEN {k} THEN {sql}" for k, (_, sql) in enumerate(MANY_KINDS))
+    + f" END AS hit FROM uploaded, range({MANY}) AS t(i)) UNION ALL SELECT {MANY}, upload_id, count_value,"
+    + " analysis_id = 0 OR p10_value IS NULL FROM uploaded"
+)
+
+
+@query(
+    "many_filters_counted",
+    with_views("uploaded", "many_filters")
+    + """SELECT filter_id, count(*) FILTER (WHERE hit) AS matched, count(*) FILTER (WHERE NOT hit) AS unmatched,
+       count(*) FILTER (WHERE hit IS NULL) AS unknown FROM many_filters GROUP BY 1""",
+)
+def _many_counted(t):
+    """Thousands of filters counted in one scan, through the index over their conditions."""
+    counted = fanout.count_matches(t.uploaded, ["upload_id", "database_identifier"], MANY_FILTERS)
+    return counted.groupBy("filter_id").agg(*[F.sum(c).alias(c) for c in ("matched", "unmatched", "unknown")])
+
+
+@query(
+    "many_filters_fanout",
+    with_views("uploaded", "many_filters")
+    + "SELECT filter_id, upload_id, count(*) AS \"rows\", sum(count_value)::BIGINT AS total FROM many_filters WHERE hit GROUP BY ALL",
+)
+def _many_fanout(t):
+    """Every row once for each of the thousands of filters it matches."""
+    output = fanout.fan_out(t.uploaded, MANY_FILTERS)
+    return output.groupBy("filter_id", "upload_id").agg(F.count(F.lit(1)).alias("rows"), F.sum("count_value").alias("total"))
