@@ -80,13 +80,18 @@ def search(fingerprints: DataFrame, answers: DataFrame, queries: dict[int, objec
     the questions in use; the boolean structure is evaluated on the flags.
     """
     predicates = list(dict.fromkeys(m for q in queries.values() for m in matches_of(q)))
-    names = {m: f"_match_{i}" for i, m in enumerate(predicates)}
     used = answers.where(F.col("question").isin(*sorted({m.question for m in predicates})))
-    flagged = used.groupBy("fingerprint").agg(*[F.max(m.column()).alias(n) for m, n in names.items()])
+    return combined_hits(fingerprints, used, queries, {m: F.max(m.column()) for m in predicates})
+
+
+def combined_hits(fingerprints: DataFrame, answers: DataFrame, queries: dict[int, object], flags: dict[Match, Column]) -> DataFrame:
+    """Hits of all queries from the aggregated flags of their predicates."""
+    names = {m: f"_match_{i}" for i, m in enumerate(flags)}
+    flagged = answers.groupBy("fingerprint").agg(*[flags[m].alias(n) for m, n in names.items()])
     joined = fingerprints.select("fingerprint").join(flagged, "fingerprint", "left")
-    flags = {m: F.coalesce(F.col(n), F.lit(False)) for m, n in names.items()}
+    told = {m: F.coalesce(F.col(n), F.lit(False)) for m, n in names.items()}
     hits = F.array_compact(
-        F.array(*[F.when(_combine(q, flags), F.lit(i).cast("int")) for i, q in queries.items()])
+        F.array(*[F.when(_combine(q, told), F.lit(i).cast("int")) for i, q in queries.items()])
     )
     return joined.select("fingerprint", F.explode(hits).alias("search_id"))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,8 +12,9 @@ from strataflow.functions.text import html_escape
 from strataflow.functions.typed_values import EMAIL, URL, join_choices, split_choices
 from strataflow.operators import access, answers, search, submissions
 from strataflow.plans.publication import publish
-from strataflow.plans.searching import run_searches
-from strataflow.session import cut_lineage
+from strataflow.operators.answerindex import index_answers, search_indexed
+from strataflow.plans.searching import maintain_index, run_indexed_searches, run_searches
+from strataflow.session import cut_lineage, stage_dir
 from workload.base import VIEWS, query, with_views
 
 QUESTIONS = [
@@ -542,6 +545,46 @@ def _search(t):
     return searches(t).hits
 
 
+@query("search_indexed", with_views("stored_permissions", "search_hits") + "SELECT * FROM search_hits")
+def _search_indexed(t):
+    """The same searches from an index over the answers."""
+    path = f"{stage_dir(t.spark, 'jobs')}/index-{uuid.uuid4().hex}"
+    maintain_index(document_answers(t), questions(t), stored_permissions(t), path, 0)
+    return run_indexed_searches(t.spark, fingerprints(t), path, SEARCHES).hits
+
+
+TEXT_SEARCHES = {
+    1: search.Match("description", "contains", "changed to"),
+    2: search.All((search.Match("description", "contains", "tion"), search.Not(search.Match("language", "equals", "en")))),
+    3: search.Match("description", "contains", "é"),
+    4: search.Any((search.Match("size", "at_least", 9000), search.Match("size", "at_most", 20))),
+    5: search.All((search.Match("homepage", "contains", "/es/"), search.Match("homepage", "contains", "ht"))),
+}
+
+
+@query(
+    "search_indexed_batches",
+    """WITH texts AS (SELECT doc_id, lang, n_chars, CASE WHEN doc_id % 7 = 0 THEN 'Changed to ' || doc_id WHEN doc_id % 7 <> 1
+       THEN lower(text) END AS text FROM documents)
+SELECT doc_id AS fingerprint, 1::INT AS search_id FROM texts WHERE doc_id % 7 = 0
+UNION ALL SELECT doc_id, 2 FROM texts WHERE contains(text, 'tion') AND lang IS DISTINCT FROM 'en'
+UNION ALL SELECT doc_id, 3 FROM texts WHERE contains(text, 'é')
+UNION ALL SELECT doc_id, 4 FROM texts WHERE n_chars >= 9000 OR n_chars <= 20
+UNION ALL SELECT page_id + 1000000000000, 5 FROM pages WHERE contains(lower(url), '/es/') AND contains(lower(url), 'ht')""",
+)
+def _search_batches(t):
+    """Answers replaced and taken away by a second batch, which is written twice."""
+    path = f"{stage_dir(t.spark, 'jobs')}/index-{uuid.uuid4().hex}"
+    written = document_answers(t).select("fingerprint", "question", "value")
+    index_answers(written, path, 0)
+    texts = t.read("documents").where(F.col("doc_id") % 7 <= 1)
+    changed = F.when(F.col("doc_id") % 7 == 0, F.concat(F.lit("Changed to "), F.col("doc_id").cast("string")))
+    later = texts.select(F.col("doc_id").alias("fingerprint"), F.lit("description").alias("question"), changed.alias("value"))
+    for _ in range(2):
+        index_answers(later, path, 1)
+    return search_indexed(t.spark, fingerprints(t), path, TEXT_SEARCHES)
+
+
 @query(
     "search_hit_counts",
     with_views("stored_permissions", "search_hits")
