@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from strataflow.operators.nearindex import build_index, near_neighbours
 from strataflow.operators.similar import similar_funnel, top_neighbours
+from strataflow.session import stage
 from workload.base import VIEWS, query, with_views
 
 VIEWS["pairs"] = """
@@ -46,3 +48,19 @@ UNION ALL SELECT 2, 'filter_2', count(*) FROM second WHERE item_label < 7 AND it
 def _funnel(t):
     title, abstract = F.col("label") < 7, F.col("label") != 3
     return similar_funnel(items(t), F.col("label") == 0, [(20, [title]), (5, [title, abstract])])
+
+
+@query(
+    "similar_approximate",
+    """SELECT count(*) AS queries, (20 * count(*))::BIGINT AS neighbours, TRUE AS recalled FROM embeddings""",
+)
+def _approximate(t):
+    """Neighbours from the index: all there, and at least nine of ten of the exact ones among them."""
+    rows = items(t)
+    near = stage(near_neighbours(rows, build_index(rows, 20)).select("query_id", "item_id"))
+    exact = top_neighbours(rows, rows, 20).select("query_id", "item_id")
+    same = exact.join(near, ["query_id", "item_id"], "left_semi").agg(F.count(F.lit(1)).alias("same"))
+    counted = near.agg(F.count_distinct("query_id").alias("queries"), F.count(F.lit(1)).alias("neighbours"))
+    # Two tables of one row.
+    both = counted.withColumn("one", F.lit(1)).join(same.withColumn("one", F.lit(1)), "one")
+    return both.select("queries", "neighbours", (F.col("same") >= 0.9 * F.col("neighbours")).alias("recalled"))
