@@ -41,13 +41,20 @@ def answer_changes(writes: DataFrame) -> DataFrame:
     )
 
 
-def upsert_answers(current: DataFrame, changes: DataFrame, keys: Sequence[str] = ("fingerprint", "question")) -> DataFrame:
-    """Put single answers: a change replaces the answer of its question, an empty one removes it."""
-    keys = list(keys)
-    stacked = current.select(*keys, "value", F.lit(0).alias("_rank")).unionByName(
-        changes.select(*keys, "value", F.lit(1).alias("_rank"))
+def upsert_answers(
+    current: DataFrame, changes: DataFrame, keys: Sequence[str] = ("fingerprint", "question"), sequence: str = "seq"
+) -> DataFrame:
+    """Put single answers: the last change of a question replaces its answer, an empty one removes it.
+
+    Changes are in the order of ``sequence``; where that is equal or absent the greatest value counts, so the result
+    never depends on the order of the rows.
+    """
+    keys, number = list(keys), F.col(sequence) if sequence in changes.columns else F.lit(0)
+    stacked = current.select(*keys, "value", F.lit(None).cast("long").alias("_seq"), F.lit(0).alias("_rank")).unionByName(
+        changes.select(*keys, "value", number.cast("long").alias("_seq"), F.lit(1).alias("_rank"))
     )
-    return latest_record(stacked, keys, ["_rank"]).where(F.trim("value") != "").drop("_rank")
+    newest = latest_record(stacked, keys, ["_rank", "_seq", "value"])
+    return newest.where(F.trim("value") != "").drop("_rank", "_seq")
 
 
 def notifications(changes: DataFrame, subscriptions: DataFrame) -> DataFrame:

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from strataflow.functions.sheet_cells import parse_dependency
 from strataflow.functions.text import html_escape
 from strataflow.functions.typed_values import EMAIL, URL, join_choices, split_choices
-from strataflow.operators import access, answers, search, submissions
+from strataflow.operators import access, answers, search, sketches, submissions
 from strataflow.plans.publication import publish
+from strataflow.operators.answerstore import AnswerStore
 from strataflow.operators.answerindex import index_answers, search_indexed
 from strataflow.plans.searching import maintain_index, run_indexed_searches, run_searches
 from strataflow.session import cut_lineage, stage_dir
@@ -463,6 +464,53 @@ def _upsert(t):
     return submissions.upsert_answers(given, changed)
 
 
+# Three changes of one question, in an order that their values don't have; every third document's last one is empty.
+PUTS = """SELECT d.doc_id AS fingerprint, 'language' AS question,
+       CASE WHEN l.doc_id IS NULL THEN lang WHEN l.doc_id % 2 = 0 THEN 'b second' ELSE 'a third' END AS value
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id WHERE l.doc_id IS NULL OR l.doc_id % 3 <> 0
+UNION ALL SELECT doc_id, 'source', source FROM documents"""
+
+
+def _puts(t) -> DataFrame:
+    even, empty = F.col("doc_id") % 2 == 0, F.col("doc_id") % 3 == 0
+    changes = F.array(
+        F.struct(F.lit(5).alias("seq"), F.lit("c first").alias("value")),
+        F.struct(F.lit(7).alias("seq"), F.lit("b second").alias("value")),
+        F.struct(F.when(even, 6).otherwise(8).alias("seq"), F.lit("a third").alias("value")),
+        F.struct(F.when(empty, 9).otherwise(1).alias("seq"), F.lit(" ").alias("value")),
+    )
+    rows = t.read("labels").select(F.col("doc_id").alias("fingerprint"), F.lit("language").alias("question"), F.inline(changes))
+    return rows.select("fingerprint", "question", "value", F.col("seq").cast("long").alias("seq"))
+
+
+@query("answer_upsert_sequence", PUTS)
+def _upsert_sequence(t):
+    """Several changes of one question: the last by sequence counts."""
+    given = answers.unpivot_answers(
+        t.read("documents"), "doc_id", F.lit(1), {"language": F.col("lang"), "source": F.col("source")}
+    )
+    return submissions.upsert_answers(given, _puts(t))
+
+
+@query("answer_store", PUTS)
+def _answer_store(t):
+    """The same from the store: a base, deltas that come out of order, one written twice, a merge in between."""
+    store = AnswerStore(t.spark, f"{stage_dir(t.spark, 'jobs')}/store-{uuid.uuid4().hex}", 8)
+    given = answers.unpivot_answers(
+        t.read("documents"), "doc_id", F.lit(1), {"language": F.col("lang"), "source": F.col("source")}
+    )
+    store.put(given.select("fingerprint", "question", "value", F.lit(0).alias("sequence")), 0)
+    store.merge()
+    puts = _puts(t).withColumnRenamed("seq", "sequence")
+    for batch_id, later in ((1, True), (1, True), (2, False)):
+        store.put(puts.where((F.col("sequence") >= 7) == later), batch_id)
+        if not later:
+            store.merge()
+    if store.merge():
+        raise AssertionError("a merge without deltas wrote buckets")
+    return store.current()
+
+
 @query(
     "non_empty_answers",
     with_views("saves") + "SELECT fingerprint, seq, question, value FROM saves WHERE trim(value) <> ''",
@@ -606,6 +654,38 @@ def _unique_views(t):
     return search.view_counts(views)
 
 
+PERIODS = ("2024-01-16",)  # the first day of the second period
+
+
+@query(
+    "viewers_by_period",
+    f"""WITH views AS (SELECT CAST(json_extract(props, '$.k') AS BIGINT) AS fingerprint, user_id, ts >= TIMESTAMP '{PERIODS[0]}' AS late
+    FROM events WHERE event_type = 'view'),
+early AS (SELECT DISTINCT fingerprint, user_id FROM views WHERE NOT late),
+later AS (SELECT DISTINCT fingerprint, user_id FROM views WHERE late),
+shared AS (SELECT fingerprint, count(*) AS n FROM early JOIN later USING (fingerprint, user_id) GROUP BY 1)
+SELECT fingerprint, count(DISTINCT user_id) AS unique_views, count(DISTINCT user_id) FILTER (WHERE NOT late) AS early_views,
+    count(DISTINCT user_id) FILTER (WHERE late) AS late_views, coalesce(any_value(n), 0) AS shared
+FROM views LEFT JOIN shared USING (fingerprint) GROUP BY 1""",
+)
+def _viewers_by_period(t):
+    """Viewers of two periods and of both, from states per fingerprint and day that were stored in batches."""
+    path = f"{stage_dir(t.spark, 'jobs')}/viewers-{uuid.uuid4().hex}"
+    views = t.read("events").where(F.col("event_type") == "view").select(
+        "user_id", "event_id", F.to_date("ts").alias("day"), F.get_json_object("props", "$.k").cast("long").alias("fingerprint")
+    )
+    for batch_id in (0, 1, 0):
+        own = views.where(F.col("event_id") % 2 == batch_id)
+        sketches.add_states(sketches.user_states(own, ["fingerprint", "day"]), path, batch_id)
+    days, late = sketches.stored_states(t.spark, path), F.col("day") >= F.lit(PERIODS[0]).cast("date")
+    whole, early, later = (sketches.merged_users(d, ["fingerprint"]) for d in (days, days.where(~late), days.where(late)))
+    counted = [sketches.counted_users(s, ["fingerprint"]) for s in (whole, early, later)]
+    named = [c.withColumnRenamed("unique_views", n) for c, n in zip(counted, ("unique_views", "early_views", "late_views"))]
+    joined = named[0].join(named[1], "fingerprint", "left").join(named[2], "fingerprint", "left")
+    joined = joined.join(sketches.shared_users(early, later, ["fingerprint"]), "fingerprint", "left")
+    return joined.select("fingerprint", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("unique_views", "early_views", "late_views", "shared")])
+
+
 VIEWS["exportable"] = """
 SELECT a.fingerprint, a.question, a.value FROM answers a JOIN questions q ON a.questionnaire = q.questionnaire AND a.question = q.question
 WHERE NOT EXISTS (SELECT 1 FROM stored_permissions p WHERE p.fingerprint = a.fingerprint

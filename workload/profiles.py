@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from strataflow.operators import profile
+from strataflow.operators import profile, sketches
 from strataflow.schema import CATALOGUE_COLUMNS
+from strataflow.session import stage, stage_dir
 from workload.base import SEGMENT_CONCEPTS, VIEWS, query, with_views
 
 
@@ -170,3 +173,35 @@ def _vocab_lookup(t):
     vocabulary = t.values(SEGMENT_CONCEPTS, "code string, concept_id int, concept_name string")
     mapped = profile.to_standard_concepts(t.persons, "segment", vocabulary)
     return mapped.groupBy("database_id", "segment", "concept_id", "concept_name").agg(F.count(F.lit(1)).alias("persons"))
+
+
+@query(
+    "profile_from_states",
+    with_views("persons")
+    + """SELECT database_id, 103::BIGINT AS analysis_id, count(balance) AS count_value, min(balance) AS min_value,
+       max(balance) AS max_value, round(avg(balance) * count(balance), 2) / count(balance) AS avg_value,
+       round(stddev_samp(balance), 2) AS stdev_value, TRUE AS median_near, TRUE AS p10_near, TRUE AS p90_near
+FROM persons GROUP BY database_id""",
+)
+def _from_states(t):
+    """Totals of databases merged from the stored states of strata, three batches, one written twice; ranks within the error."""
+    path = f"{stage_dir(t.spark, 'jobs')}/states-{uuid.uuid4().hex}"
+    for batch_id in (0, 1, 2, 1):
+        own = t.persons.where(F.col("person_id") % 3 == batch_id)
+        sketches.add_states(sketches.quantile_states(own, ["database_id", "segment"], "balance"), path, batch_id)
+    merged = sketches.merged_quantiles(sketches.stored_states(t.spark, path), ["database_id"])
+    made = stage(sketches.distribution_of(merged, ["database_id"]))
+    cuts = {"median_value": 0.5, "p10_value": 0.1, "p90_value": 0.9}
+    joined = t.persons.join(made.select("database_id", "count_value", *cuts), "database_id")
+    near = []
+    for name, fraction in cuts.items():
+        below, upto = F.count_if(F.col("balance") < F.col(name)), F.count_if(F.col("balance") <= F.col(name))
+        slack = F.any_value("count_value") * sketches.RANK_ERROR + 1
+        rank = F.any_value("count_value") * fraction
+        near.append(((below - slack <= rank) & (rank <= upto + slack)).alias(f"{name.split('_')[0]}_near"))
+    checked = joined.groupBy("database_id").agg(*near)
+    shown = made.withColumn("analysis_id", F.lit(103).cast("long")).join(checked, "database_id")
+    return shown.select(
+        "database_id", "analysis_id", "count_value", "min_value", "max_value", _mean("avg_value", "count_value"),
+        F.round("stdev_value", 2).alias("stdev_value"), "median_near", "p10_near", "p90_near",
+    )
