@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from strataflow.operators import fanout, registry, routing
 from strataflow.plans.delivery import route
 from strataflow.plans.filtering import run_filters
 from strataflow.schema import CATALOGUE_COLUMNS
-from strataflow.session import cut_lineage
+from strataflow.session import cut_lineage, stage, stage_dir
+from strataflow.streaming import registry as registry_stream
 from workload.base import APPLICATIONS, FILTERS, VIEWS, query, with_views
 from workload.filters import slices
 from workload.profiles import profile_results
@@ -315,3 +318,31 @@ def _request_from_profile(t):
     announced = rows.groupBy("upload_id", "database_identifier").agg(F.count(F.lit(1)).alias("rows"))
     filtered = run_filters(rows, announced, t.databases, FILTERS)
     return route(filtered.ready, filtered.output, t.communities, APPLICATIONS)
+
+
+@query("registry_stream", with_views("applications") + "SELECT * FROM applications")
+def _stream(t):
+    """Messages folded by a stream that comes in three parts, out of order; a second query begins with what the first one left."""
+    events = t.management.where(F.col("channel") == "click")
+    fields = ["filter_id", "community_id", "request_template"]
+    messages = registry_stream.messages_of(events, "application_id", fields, "event_id")
+    root = f"{stage_dir(t.spark, 'jobs')}/registry-{uuid.uuid4().hex}"
+
+    def run(name: str, part: int, snapshot=None) -> None:
+        messages.where(F.col("seq") % 3 == part).write.mode("append").parquet(f"{root}/in-{name}")
+        for _ in range(2):  # the second time there is nothing new
+            arriving = t.spark.readStream.schema(messages.schema).parquet(f"{root}/in-{name}")
+            started = registry_stream.fold_registry(arriving, f"{root}/{name}", f"{root}/at-{name}", snapshot)
+            started.awaitTermination()
+            if started.exception() is not None:
+                raise started.exception()
+
+    run("first", 1)
+    first = t.spark.read.schema(f"{registry_stream.CHANGES}, batch_id long").parquet(f"{root}/first")
+    snapshot = stage(registry_stream.snapshot_of(first))
+    run("second", 2, snapshot)
+    run("second", 0, snapshot)
+    # Entities that the second query heard nothing of are still as the snapshot has them.
+    snapshot.withColumn("batch_id", F.lit(-1).cast("long")).drop("batch_id").write.parquet(f"{root}/second/batch_id=-1")
+    ddl = "filter_id long, community_id int, request_template string"
+    return registry_stream.registry_at(t.spark, f"{root}/second", "application_id", ddl)
