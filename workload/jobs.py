@@ -17,6 +17,7 @@ from strataflow.plans.filtering import run_filters
 from strataflow.plans.history import submissions
 from strataflow.plans.ingest import RESULTS, UPLOADS, ingest, read_table
 from strataflow.plans.questionnaires import import_questionnaires
+from strataflow.operators.pageindex import build_pages
 from strataflow.plans.recording import log_deliveries, record, report
 from strataflow.plans.registration import current_registry
 from strataflow.plans.validation import validate_answers
@@ -472,6 +473,28 @@ def _ordered_pages(t):
     return shown
 
 
+@query(
+    "pages_from_index",
+    with_views("uploads")
+    + """, ranked AS (SELECT event_id, row_number() OVER (ORDER BY time DESC, event_id) - 1 AS place, count(*) OVER () AS n FROM uploads)
+SELECT 'first' AS page, event_id, place FROM ranked WHERE place < 50
+UNION ALL SELECT 'middle', event_id, place FROM ranked WHERE place BETWEEN n // 2 AND n // 2 + 49
+UNION ALL SELECT 'last', event_id, place FROM ranked WHERE place >= n // 50 * 50""",
+)
+def _pages_from_index(t):
+    """Pages of the newest uploads from stored ranges: the first, rows in the middle and the last."""
+    rows = t.uploads.select("event_id", "time")
+    index = build_pages(rows, [("time", True), ("event_id", False)], folder(t, "pages"), range_rows=300)
+    total = index.ranges().agg(F.sum("rows")).first()[0]
+    parts = {
+        "first": index.page(1, 50),
+        "middle": index.between(total // 2, total // 2 + 50),
+        "last": index.page(total // 50 + 1, 50),
+    }
+    shown = [df.select(F.lit(name).alias("page"), "event_id", "place") for name, df in parts.items()]
+    return shown[0].unionByName(shown[1]).unionByName(shown[2])
+
+
 @query(
     "job_import_sheets",
     with_views("sectioned")
