@@ -18,6 +18,7 @@ from strataflow.session import hot_rows as configured_hot_rows
 from strataflow.session import stage
 
 RANGE, PLACE = "_range", "_place"
+SEARCH = "search"
 # Places of written rows: the range above, the row within it below.
 ROW_BITS = 33
 
@@ -40,13 +41,24 @@ def with_previous(
     columns: dict[str, str],
     ties: Sequence[str] = (),
     limit: int | None = None,
+    hot: DataFrame | None | str = SEARCH,
 ) -> DataFrame:
     """Add the value of the preceding row of the key; ``columns`` maps new name to source column.
 
     ``position`` is an integer column that leads the order, ``ties`` follow it.
     """
     steps = {name: ("previous", F.col(source)) for name, source in columns.items()}
-    return with_running(df, keys, position, steps, ties, limit)
+    return with_running(df, keys, position, steps, ties, limit, hot=hot)
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> DataFrame | None:
+    """Keys with more rows than one task should order, for several scans over the same keys."""
+    keyed = df.select(_key_of(keys).alias("_key"))
+    return hot_groups(keyed, ["_key"], {}, limit or configured_hot_rows(df.sparkSession))
+
+
+def _key_of(keys: Sequence[str]) -> Column:
+    return F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
 
 
 def with_running(
@@ -56,21 +68,19 @@ def with_running(
     columns: dict[str, tuple[str, Column]],
     ties: Sequence[str] = (),
     limit: int | None = None,
-    measured: DataFrame | None = None,
+    hot: DataFrame | None | str = SEARCH,
 ) -> DataFrame:
     """Add running values up to the current row: ``{name: (kind, column)}``.
 
     Kinds: ``sum``, ``max``, ``last`` (latest value that is not NULL) and ``previous``
-    (value of the row before, NULL or not). ``measured`` is a table with the same keys and
-    positions that is cheaper to read, to look for hot keys there.
+    (value of the row before, NULL or not). ``hot`` is what :func:`hot_keys` found for these
+    keys, or for the first of them with none hot; by default it is looked for here.
     """
     limit = limit or configured_hot_rows(df.sparkSession)
-    measured = df if measured is None else measured
     names = df.columns
-    df = df.withColumn("_key", F.struct(*keys) if keys else F.struct(F.lit(0).alias("all")))
-    measured = measured.withColumn("_key", F.struct(*keys) if keys else F.struct(F.lit(0).alias("all")))
+    hot = hot_keys(df, keys, limit) if isinstance(hot, str) else hot
+    df = df.withColumn("_key", _key_of(keys))
     order = [position, *ties]
-    hot = hot_groups(measured, ["_key"], {}, limit)
     if hot is None:
         values = _local_values(Window.partitionBy("_key").orderBy(*order), columns)
         return df.withColumns({n: _unwrap(columns[n][0], v) for n, v in values.items()}).drop("_key")

@@ -64,27 +64,51 @@ def _rank(fraction: float, count: Column) -> Column:
     return F.greatest(F.lit(1), whole.cast("long"))
 
 
-def _small_group_percentiles(rows: DataFrame, keys: list[str], fractions: dict[str, float]) -> DataFrame:
-    """Percentiles of groups that fit a task, from counts per value: equal values are combined before the shuffle."""
+def _weighed_moments() -> dict[str, Column]:
+    """Moments from values with their numbers; squares are about the mean, which stands beside each value."""
+    n, off = F.sum("_n"), F.col("_v") - F.col("_mean")
+    return {
+        "count_value": n,
+        "min_value": F.min("_v"),
+        "max_value": F.max("_v"),
+        "avg_value": F.any_value("_mean"),
+        "stdev_value": F.when(n > 1, F.sqrt(F.sum(off * off * F.col("_n")) / (n - 1))),
+    }
+
+
+def _small_groups(values: DataFrame, keys: list[str], fractions: dict[str, float]) -> DataFrame:
+    """Moments and percentiles of groups whose values fit a task, from one pass over the counted values."""
     group = Window.partitionBy(*keys).orderBy("_v")
     whole = group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     upto = group.rowsBetween(Window.unboundedPreceding, 0)
-    values = rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    mean = F.sum(F.col("_v") * F.col("_n")).over(whole) / F.sum("_n").over(whole)
     placed = values.select(
-        *keys, "_v", "_n", F.sum("_n").over(upto).alias("_upto"), F.sum("_n").over(whole).alias("_total")
+        *keys, "_v", "_n", F.sum("_n").over(upto).alias("_upto"), F.sum("_n").over(whole).alias("_total"), mean.alias("_mean")
     )
 
     def holds(fraction: float) -> Column:
         rank = _rank(fraction, F.col("_total"))
         return (F.col("_upto") >= rank) & (F.col("_upto") - F.col("_n") < rank)
 
-    return placed.groupBy(*keys).agg(*[F.max(F.when(holds(p), F.col("_v"))).alias(n) for n, p in fractions.items()])
+    cuts = [F.max(F.when(holds(p), F.col("_v"))).alias(n) for n, p in fractions.items()]
+    return placed.groupBy(*keys).agg(*[m.alias(c) for c, m in _weighed_moments().items()], *cuts)
+
+
+def _large_groups(
+    values: DataFrame, hot: DataFrame, keys: list[str], fractions: dict[str, float], limit: int
+) -> DataFrame:
+    """The same for groups with too many values for one task."""
+    own = values.join(hot.select(*keys), keys, "left_semi")
+    means = own.groupBy(*keys).agg((F.sum(F.col("_v") * F.col("_n")) / F.sum("_n")).alias("_mean"))
+    moments = own.join(cut_lineage(means), keys).groupBy(*keys).agg(*[m.alias(c) for c, m in _weighed_moments().items()])
+    moments = cut_lineage(moments)
+    return moments.join(_large_group_percentiles(own, moments, keys, fractions, limit), keys)
 
 
 def _large_group_percentiles(
-    rows: DataFrame, hot: DataFrame, keys: list[str], fractions: dict[str, float], limit: int
+    values: DataFrame, hot: DataFrame, keys: list[str], fractions: dict[str, float], limit: int
 ) -> DataFrame:
-    """Percentiles of groups too big for one task.
+    """Percentiles of groups too big for one task, from their counted values.
 
     Each wanted rank is followed through histograms: the cell that holds it becomes the
     next interval, until an interval has few rows; only those are ordered. A histogram is
@@ -104,12 +128,12 @@ def _large_group_percentiles(
     span = [*keys, "_low", "_high"]
 
     def within(intervals: DataFrame) -> DataFrame:
-        spans = F.broadcast(intervals.select(*span).distinct())
-        return rows.join(spans, keys).where(F.col("_v").between(F.col("_low"), F.col("_high")))
+        # A few rows per hot group; their size is known where they were stored.
+        return values.join(intervals.select(*span).distinct(), keys).where(F.col("_v").between(F.col("_low"), F.col("_high")))
 
     def follow(steps: DataFrame, order: str) -> DataFrame:
         upto = Window.partitionBy(*span).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-        reached = steps.withColumn("_upto", F.sum("_step_n").over(upto)).join(F.broadcast(sought), span)
+        reached = steps.withColumn("_upto", F.sum("_step_n").over(upto)).join(sought, span)
         before = F.col("_upto") - F.col("_step_n")
         return reached.where((F.col("_upto") >= F.col("_rank")) & (before < F.col("_rank"))).withColumn(
             "_rank", F.col("_rank") - before
@@ -117,15 +141,15 @@ def _large_group_percentiles(
 
     while not sought.where((F.col("_n") > limit) & (F.col("_low") < F.col("_high"))).isEmpty():
         cells = within(sought).groupBy(*span, _cell(F.col("_v"), F.col("_low"), F.col("_high")).alias("_cell")).agg(
-            F.count(F.lit(1)).alias("_step_n"), F.min("_v").alias("_from"), F.max("_v").alias("_to")
+            F.sum("_n").alias("_step_n"), F.min("_v").alias("_from"), F.max("_v").alias("_to")
         )
         sought = cut_lineage(
             follow(cells, "_cell").select(
                 *keys, F.col("_from").alias("_low"), F.col("_to").alias("_high"), F.col("_step_n").alias("_n"), "_name", "_rank"
             )
         )
-    values = within(sought).groupBy(*span, "_v").agg(F.count(F.lit(1)).alias("_step_n"))
-    return follow(values, "_v").groupBy(*keys).pivot("_name", list(fractions)).agg(F.max("_v"))
+    found = within(sought).groupBy(*span, "_v").agg(F.sum("_n").alias("_step_n"))
+    return follow(found, "_v").groupBy(*keys).pivot("_name", list(fractions)).agg(F.max("_v"))
 
 
 def distribution(
@@ -138,6 +162,7 @@ def distribution(
 ) -> DataFrame:
     """Count, extremes, mean, deviation and discrete percentiles of ``value`` per group.
 
+    The facts are read once: equal values are counted before the shuffle and stored, the rest comes from there.
     ``approximate`` swaps the exact percentiles for mergeable sketches.
     """
     limit = limit or configured_hot_rows(df.sparkSession)
@@ -149,16 +174,15 @@ def distribution(
         sketches = [F.percentile_approx("_v", p, 10_000).alias(n) for n, p in fractions.items()]
         found = rows.groupBy("_key").agg(*moments, *sketches)
     else:
-        groups = cut_lineage(rows.groupBy("_key").agg(*moments))
-        hot = groups.where(F.col("count_value") > limit)
+        values = cut_lineage(rows.groupBy("_key", "_v").agg(F.count(F.lit(1)).alias("_n")))
+        hot = values.groupBy("_key").agg(F.count(F.lit(1)).alias("_values")).where(F.col("_values") > limit)
         if hot.isEmpty():
-            percentiles = _small_group_percentiles(rows, ["_key"], fractions)
+            found = _small_groups(values, ["_key"], fractions)
         else:
-            # At most (rows / limit) groups are hot, which bounds every broadcast here and below.
-            others = rows.join(F.broadcast(hot.select("_key")), "_key", "left_anti")
-            percentiles = _small_group_percentiles(others, ["_key"], fractions).unionByName(
-                _large_group_percentiles(rows, hot, ["_key"], fractions, limit)
+            hot = cut_lineage(hot)
+            others = values.join(hot.select("_key"), "_key", "left_anti")
+            found = _small_groups(others, ["_key"], fractions).unionByName(
+                _large_groups(values, hot, ["_key"], fractions, limit)
             )
-        found = groups.join(percentiles, "_key")
     columns = [F.col(f"_key.{k}").alias(k) for k in keys]
     return found.select(*columns, *_moments(F.col("_v")), *fractions)

@@ -13,7 +13,7 @@ from strataflow.functions.sheet_cells import (
     SECTION_ROWS,
     parse_dependency,
 )
-from strataflow.operators.ordered import with_running
+from strataflow.operators.ordered import SEARCH, hot_keys, with_running
 
 # Rows that detail a question, and the row type each of them belongs to.
 OWNERS = {
@@ -29,13 +29,13 @@ OWNERS = {
 LEVELS_PER_PASS = 16
 
 
-def number_sections(sheet: DataFrame) -> DataFrame:
+def number_sections(sheet: DataFrame, hot: DataFrame | None | str = SEARCH) -> DataFrame:
     """Number each row's section by its place in the sheet; zero before the first."""
     starts = F.col("type").isin(*SECTION_ROWS).cast("long")
-    return with_running(sheet, ["sheet_id"], "line", {"section": ("sum", starts)})
+    return with_running(sheet, ["sheet_id"], "line", {"section": ("sum", starts)}, hot=hot)
 
 
-def carry_owners(sheet: DataFrame) -> DataFrame:
+def carry_owners(sheet: DataFrame, hot: DataFrame | None | str = SEARCH) -> DataFrame:
     """Line of the question, choice or column that a detail row belongs to."""
     wanted = sorted(set(OWNERS.values()))
     carried = with_running(
@@ -43,6 +43,7 @@ def carry_owners(sheet: DataFrame) -> DataFrame:
         ["sheet_id"],
         "line",
         {f"_last_{t}": ("last", F.when(F.col("type") == t, F.col("line"))) for t in wanted},
+        hot=hot,
     )
     owner = F.lit(None).cast("long")
     for detail, target in OWNERS.items():
@@ -56,16 +57,21 @@ def nest_levels(sheet: DataFrame) -> DataFrame:
     A row below a question needs a group without text, ``implicit_group`` marks it. The
     nearest row of each level is a running maximum, so no row looks at the rows above it.
     """
-    rows = number_sections(sheet).where(F.col("type").isin("Group", "Question"))
+    hot = hot_keys(sheet, ["sheet_id"])
+    # No section is hot where no sheet is.
+    inner = SEARCH if hot is not None else None
+    rows = number_sections(sheet, hot).where(F.col("type").isin("Group", "Question"))
     rows = rows.withColumn("level", F.col("level").try_cast("int"))
-    levels = [r["level"] for r in rows.where(F.col("level").isNotNull()).select("level").distinct().toLocalIterator()]
+    # Levels don't depend on the sections.
+    found = sheet.where(F.col("type").isin("Group", "Question")).select(F.col("level").try_cast("int").alias("level"))
+    levels = [r["level"] for r in found.where(F.col("level").isNotNull()).distinct().toLocalIterator()]
     nothing = F.lit(None).cast("struct<line:long,type:string>")
     here = F.struct(F.col("line").cast("long").alias("line"), F.col("type"))
     rows = rows.withColumn("_parent", nothing)
     for some in batched(sorted(levels)[:-1], LEVELS_PER_PASS):
         nearest = {f"_nearest_{i}": ("max", F.when(F.col("level") == n, here)) for i, n in enumerate(some)}
         above = [F.when(F.col("level") > n, F.col(f"_nearest_{i}")) for i, n in enumerate(some)]
-        rows = with_running(rows, ["sheet_id", "section"], "line", nearest)
+        rows = with_running(rows, ["sheet_id", "section"], "line", nearest, hot=inner)
         rows = rows.withColumn("_parent", F.greatest("_parent", *above, nothing)).drop(*nearest)
     return rows.withColumns(
         {
@@ -77,7 +83,8 @@ def nest_levels(sheet: DataFrame) -> DataFrame:
 
 def check_sheet(sheet: DataFrame) -> DataFrame:
     """Errors and warnings of each line that has some, as arrays in a fixed order."""
-    rows = carry_owners(number_sections(sheet))
+    hot = hot_keys(sheet, ["sheet_id"])
+    rows = carry_owners(number_sections(sheet, hot), hot)
     slugs = sheet.where(F.col("slug").isNotNull()).groupBy("sheet_id", "slug").agg(
         F.count(F.lit(1)).alias("_slug_uses")
     )

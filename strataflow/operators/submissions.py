@@ -7,15 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.operators.ordered import with_previous, with_running
+from strataflow.operators.ordered import hot_keys, with_previous, with_running
 from strataflow.operators.stats import latest_record
 
 
 def open_submissions(saves: DataFrame, key: str = "fingerprint", position: str = "seq") -> DataFrame:
     """Number submissions: a save whose token is absent or differs from the current one opens a new one."""
-    tagged = with_previous(saves, [key], position, {"_last_token": "token"})
+    hot = hot_keys(saves, [key])  # looked for once, for both scans
+    tagged = with_previous(saves, [key], position, {"_last_token": "token"}, hot=hot)
     opens = F.col("token").isNull() | ~F.col("token").eqNullSafe(F.col("_last_token"))
-    numbered = with_running(tagged, [key], position, {"submission": ("sum", opens.cast("long"))}, measured=saves)
+    numbered = with_running(tagged, [key], position, {"submission": ("sum", opens.cast("long"))}, hot=hot)
     return numbered.drop("_last_token")
 
 
