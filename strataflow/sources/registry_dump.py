@@ -11,9 +11,12 @@ DUMP_SCHEMA = (
 )
 
 
-def read_dump(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """Tables ``communities, databases, filters, selections, applications``."""
-    dump = spark.read.schema(DUMP_SCHEMA).option("multiLine", True).json(path)
+def read_dump(spark: SparkSession, path: str, lines: bool = False) -> dict[str, DataFrame]:
+    """Tables ``communities, databases, filters, selections, applications``.
+
+    A dump is one array, which one task reads, or with ``lines`` a model in each line, of any number of files.
+    """
+    dump = spark.read.schema(DUMP_SCHEMA).option("multiLine", not lines).json(path)
     kind = F.element_at(F.split("model", r"\."), -1)
 
     def rows(model: str, **columns: str) -> DataFrame:

@@ -244,7 +244,7 @@ def _decoded(t):
 FROM databases d JOIN communities c ON d.community_id = c.community_id""",
 )
 def _dump(t):
-    """The registry written as a dump of models and loaded from it."""
+    """The registry written as a dump, a model in each line, and loaded from it."""
     path = folder(t, "dump")
     models = t.communities.select(
         F.lit("models.community").alias("model"),
@@ -262,10 +262,8 @@ def _dump(t):
             ).alias("value")
         )
     )
-    # A dump is one array; a registry has a few thousand models at most.
-    whole = F.concat(F.lit("["), F.concat_ws(",", F.collect_list("value")), F.lit("]"))
-    models.agg(whole.alias("value")).write.text(path)
-    tables = read_dump(t.spark, path)
+    models.write.text(path)
+    tables = read_dump(t.spark, path, lines=True)
     return tables["databases"].join(tables["communities"], "community_id").select(
         "database_id", "database_identifier", "database_name", "community_name"
     )
