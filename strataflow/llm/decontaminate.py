@@ -1,6 +1,7 @@
 """Benchmark decontamination by spaced-seed hashing.
 
-Texts are read as lower-case tokens without ASCII punctuation. Each benchmark item is hashed
+Texts are read as tokens: runs of letters and digits of any script, case folded, and single characters of scripts
+that put no spaces between words. Each benchmark item is hashed
 at every position under fixed masks that ignore some token positions, so a hash meets its
 copy although a token at an ignored position was replaced. The masks go by the length of the
 item: whatever tokens of a run of that length are replaced within the share, one mask fits
@@ -14,15 +15,18 @@ The benchmark is a stated query set: it is cut into blocks of at most ``BLOCK_TO
 each block is sent to the tasks and meets all documents; a longer item is a block of its
 own. Documents are never shuffled.
 
-Defined cases: null and empty texts meet nothing; items of exactly
-``LEAST_TOKENS`` tokens are met unbroken only; items of fewer than ``LEAST_TOKENS`` tokens say too little and meet nothing; of equal overlaps
+Defined cases: null and empty texts, and items without a token, meet nothing; items of fewer than five tokens
+are met whole and unbroken; texts of any length are read whole, in pieces; of equal overlaps
 the one with the smallest document position counts; repeated rows are judged each; empty tables give
 no overlap and keep all documents.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+import unicodedata
+from collections.abc import Iterator, Sequence
+from itertools import batched
 
 import numpy as np
 import pandas as pd
@@ -35,13 +39,17 @@ from strataflow.session import stage
 
 # The masks, from this many tokens of an item on. A one is a compared position, a zero an ignored one.
 MASKS = {
-    5: ("11111",),
+    1: ("1",),
+    2: ("11",),
+    3: ("111",),
+    4: ("1111",),
+    5: ("1111", "10111", "11011", "11101"),
     6: ("1111", "11011"),
     7: ("11111", "111011", "110111", "11010011"),
     12: ("1111011", "110010111", "1110100011", "1011111"),
 }
 SPAN = max(len(mask) for masks in MASKS.values() for mask in masks)
-LEAST_TOKENS = 5
+LEAST_TOKENS = 1
 MIN_OVERLAP, MIN_SHARE = 12, 0.8
 BLOCK_TOKENS = 1 << 21
 # A run has the share if its equal tokens are at least this many times the replaced ones.
@@ -50,20 +58,31 @@ CELLS = 1 << 18
 HITS = 1 << 17
 FILTER_BITS = 24
 
-_PLAIN = bytes(
-    c if chr(c).isalnum() or c > 127 else 32 for c in (ord(chr(c).lower()) if c < 128 else c for c in range(256))
+# ASCII letters and digits in lower case, all else spaces; for texts that have no other characters.
+_PLAIN = bytes(ord(chr(c).lower()) if c < 128 and chr(c).isalnum() else 32 for c in range(256))
+# Scripts without spaces between words (Thai, Lao, Burmese, Khmer, kana, Han).
+_SPACELESS = (
+    "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9d\U00020000-\U0003ffff"
 )
+_TOKEN = re.compile(f"[{_SPACELESS}]|[^\\W_{_SPACELESS}]+")
+LONG_TEXT = 1 << 20
 _FACTORS = np.array([xxhash.xxh64_intdigest(str(i).encode()) | 1 for i in range(SPAN)], dtype=np.uint64)
 
 
+def words(data: bytes) -> Iterator[Sequence[bytes]]:
+    """Tokens of a text in order, in lists of bounded size."""
+    if data.isascii():
+        yield from word_pieces(data.translate(_PLAIN))
+        return
+    text = unicodedata.normalize("NFC", data.decode("utf-8", "replace").casefold())
+    found = _TOKEN.findall(text) if len(text) < LONG_TEXT else (m.group() for m in _TOKEN.finditer(text))
+    for some in batched(found, LONG_TEXT):
+        yield [w.encode() for w in some]
+
+
 def tokens(data: bytes | None) -> np.ndarray:
     """64-bit hashes of the tokens of a text, in order."""
-    if not data:
-        return np.zeros(0, np.uint64)
-    pieces = [
-        np.fromiter((xxhash.xxh64_intdigest(w) for w in piece), np.uint64, len(piece))
-        for piece in word_pieces(data.translate(_PLAIN))
-    ]
+    pieces = [np.fromiter((xxhash.xxh64_intdigest(w) for w in piece), np.uint64, len(piece)) for piece in words(data or b"")]
     return np.concatenate(pieces) if pieces else np.zeros(0, np.uint64)
 
 
