@@ -37,13 +37,24 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document of the mix with its shard and its slot there."""
-    own = [c for c in docs.columns if c not in ("doc_id", *SHARD_COLUMNS)]
-    return sharding.assign(docs, workload.SHARDS, keep=own)
+    """Every document of the mix with its shard and its slot there.
+
+    Columns of the input that are named like one that is added here, in any case, stay under a free name: ``_size``.
+    """
+    taken = {c.lower() for c in (*docs.columns, *SHARD_COLUMNS)}
+    for name in docs.columns:
+        if name.lower() in SHARD_COLUMNS:
+            free = f"_{name}"
+            while free.lower() in taken:
+                free = f"_{free}"
+            taken.add(free.lower())
+            docs = docs.withColumnRenamed(name, free)
+    return sharding.assign(docs, workload.SHARDS, keep=[c for c in docs.columns if c != "doc_id"])
 
 
 SHARD_COLUMNS = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
+
 def _with_scratch(apply: Stage) -> Stage:
     """A stage that first removes what the stage before kept on its way: its result is written by now."""
 

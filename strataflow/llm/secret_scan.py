@@ -178,9 +178,11 @@ def scan(
 
 
 def redacted(df: DataFrame, scanner: Scanner, mark: str = "[secret]", key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Key and text of all rows with the values that are secrets replaced; ``key`` must be unique."""
-    found = scanner.judge(candidates(df, key, text)).where("secret").select(key, "value").distinct()
-    values = found.groupBy(key).agg(F.sort_array(F.collect_set("value"), False).alias("values"))
-    joined = df.select(key, text).join(values, key, "left")
-    clean = F.aggregate(F.col("values"), F.col(text), lambda t, v: F.replace(t, v, F.lit(mark)))
-    return joined.select(key, F.when(F.col("values").isNull(), F.col(text)).otherwise(clean).alias(text))
+    """Key and text of all rows with the values that are secrets replaced, whatever their keys."""
+    # Rows are told apart by a number of their own: keys may be null or repeated.
+    rows = stage(df.select(F.col(key).alias("own_key"), F.col(text).alias("text"), F.monotonically_increasing_id().alias("row")))
+    found = scanner.judge(candidates(rows, "row", "text")).where("secret").select("row", "value").distinct()
+    values = found.groupBy("row").agg(F.sort_array(F.collect_set("value"), False).alias("values"))
+    joined = rows.join(values, "row", "left")
+    clean = F.aggregate(F.col("values"), F.col("text"), lambda t, v: F.replace(t, v, F.lit(mark)))
+    return joined.select(F.col("own_key").alias(key), F.when(F.col("values").isNull(), F.col("text")).otherwise(clean).alias(text))

@@ -95,6 +95,30 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"), quality.PRODUCTION)
 
 
+def _ablations_sql() -> str:
+    """Policies and rules as rows of masks, met with the bit patterns of the ledger that SQL computes for op4."""
+    ledger = ORACLES["op4_quality"].rpartition("\nSELECT *")[0]
+    rows = ", ".join(
+        f"({v}, '{name}', {quality.mask(names)}::BIGINT, {quality.mask([name])}::BIGINT)"
+        for v, names in quality.POLICIES.items()
+        for name in names
+    )
+    return f"""{ledger}, masks(policy, rule, all_rules, own) AS (VALUES {rows}),
+patterns AS (SELECT failed, count(*) AS n FROM judged GROUP BY 1)
+SELECT policy::INT AS policy, rule, coalesce(sum(n), 0)::BIGINT AS documents,
+    coalesce(sum(n) FILTER (WHERE failed & all_rules = 0), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (WHERE failed & own <> 0), 0)::BIGINT AS failed_rule,
+    coalesce(sum(n) FILTER (WHERE failed & all_rules <> 0 AND failed & (all_rules - own) = 0), 0)::BIGINT AS removed_alone,
+    coalesce(sum(n) FILTER (WHERE failed & (all_rules - own) = 0), 0)::BIGINT AS kept_without
+FROM masks LEFT JOIN patterns ON true GROUP BY 1, 2"""
+
+
+@query("quality_ablations", _ablations_sql())
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every rule of every policy removes, from the ledger of all documents."""
+    return quality.ablations(quality.ledger(table(spark, sf_dir, "documents")))
+
+
 @query("op5_secrets")
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")

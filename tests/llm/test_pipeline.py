@@ -28,8 +28,8 @@ def test_query(spark, con, name):
 
 
 def test_registered():
-    numbers = sorted(int(re.match(r"op(\d+)_", n)[1]) for n in workload.QUERIES)
-    assert numbers == list(range(1, 11))
+    numbers = sorted(int(m[1]) for n in workload.QUERIES if (m := re.match(r"op(\d+)_", n)))
+    assert numbers == list(range(1, 14))
     assert {*workload.QUERIES, "pipeline"} <= set(__spark_entry__.queries())
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "near_duplicates", "decontamination", "mixture", "shards"]
 
@@ -84,3 +84,11 @@ def test_stage_on_odd_rows(spark, name, rows):
     assert found.count() <= 2 * df.count()
     assert {r.doc_id for r in found.collect()} <= {r[0] for r in helpers.odd_rows()}
 
+
+def test_clashing_names_are_kept_and_can_be_written(spark, tmp_path):
+    df = helpers.documents(spark, [(i, helpers.PLAIN, "en", "a") for i in range(5)])
+    df = df.selectExpr("*", "doc_id * 7 as Size", "doc_id as _size", "doc_id + 1 as SLOT")
+    dict(corpus_pipeline.STAGES)["shards"](spark, df, SF_DIR).write.parquet(str(tmp_path / "out"))
+    rows = spark.read.parquet(str(tmp_path / "out"))
+    assert {c.lower() for c in rows.columns} >= {"size", "slot", "_size", "__size", "_slot"}
+    assert {(r["_size"], r["__Size"], r["_SLOT"]) for r in rows.collect()} == {(i, 7 * i, i + 1) for i in range(5)}

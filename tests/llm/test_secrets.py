@@ -81,6 +81,17 @@ def test_redacted(spark):
             assert texts[i] == before[i]
 
 
+def test_redacted_without_keys(spark):
+    df = documents(spark, _rows(60))
+    scanner = secret_scan.fit(workload.labelled_findings(df), secret_scan.fit_dictionary(df))
+    expected = sorted(r.text for r in secret_scan.redacted(df, scanner).collect())
+    assert sum("[secret]" in t for t in expected) == 30
+    for key in (None, 5):
+        keyless = df.withColumn("doc_id", F.lit(key).cast("long"))
+        found = secret_scan.redacted(keyless, scanner).collect()
+        assert sorted(r.text for r in found) == expected and {r.doc_id for r in found} == {key}
+
+
 def _triple_words(first, last):
     letters = "abcdefghijklmnopqrstuvwxyz"
     return [letters[i // 676] + letters[i // 26 % 26] + letters[i % 26] for i in range(first, last)]
