@@ -15,7 +15,7 @@ SCRATCH, RESULTS = "pipeline", "pipeline-results-{}"
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that could be learned; null texts and texts without letters go."""
+    """Documents in a language that could be learned; null texts, texts without letters, noise and other languages go."""
     return langid.in_a_language(docs)
 
 

@@ -7,8 +7,12 @@ is the share of distinct followers (method C), and the next shorter context is a
 order 0 all 256 bytes are alike. The language with the shortest code for the whole text wins.
 
 Counting, sampling and scoring run in Spark; the tables of a fitted model are bounded by the
-sample: ``MOST_TEXTS`` texts of at most ``LONGEST_TEXT`` bytes and ``SAMPLE_BYTES`` bytes in all per
-language, and travel as one broadcast.
+sample: ``MOST_TEXTS`` texts and ``SAMPLE_BYTES`` bytes in all per language, of a text longer than ``LONGEST_TEXT`` bytes
+a piece of that length at a place its hash tells, and travel as one broadcast.
+
+A text is in none of the languages if the shortest code is longer than the text itself by more than ``SLACK_BITS``: then the
+statistics say less than plain bytes do. Noise and languages that were not learned are told by this. It is not
+asked as long as some language was learned from less than ``LEAST_LEARNED`` bytes.
 
 Defined cases: a null text or one without letters is ``und`` with score 0; if nothing can be
 learned every text is; ties go to the first language in code point order; repeated rows get
@@ -31,6 +35,7 @@ from strataflow.session import stage
 ORDER = 4
 MOST_TEXTS, LONGEST_TEXT, SAMPLE_BYTES = 1000, 1 << 16, 1 << 21
 UNDETERMINED = "und"
+SLACK_BITS, LEAST_LEARNED = 64, 1 << 16
 
 
 def byte_grams(data: bytes, at: int = 0, size: int | None = None) -> np.ndarray:
@@ -148,6 +153,8 @@ class Model:
     trees: list[Tree]
     places: Places
     bits: np.ndarray
+    # Bytes that the language with the least of them was learned from.
+    learned: int = 0
 
     @classmethod
     def of_counts(cls, counts: pd.DataFrame) -> Model:
@@ -159,7 +166,8 @@ class Model:
         known = np.unique(counts["gram"].to_numpy(np.int64).view(np.uint64))
         # The last row stands for codes that no tree has seen whole.
         bits = [np.append(t.code_lengths(known), 0.0) for t in trees]
-        return cls(languages, trees, Places.of(known), np.column_stack(bits) if bits else np.zeros((1, 0)))
+        learned = int(counts.groupby("lang")["times"].sum().min()) if languages else 0
+        return cls(languages, trees, Places.of(known), np.column_stack(bits) if bits else np.zeros((1, 0)), learned)
 
     def code_lengths(self, texts: list[bytes]) -> np.ndarray:
         """Bits of each whole text under each language."""
@@ -188,14 +196,15 @@ class Model:
         starts = np.cumsum([0, *(len(c) for _, c in rare[:-1])])
         np.add.at(total, [row for row, _ in rare], np.add.reduceat(bits, starts, axis=0))
 
-    def predict(self, texts: list[bytes | None]) -> list[tuple[str, float]]:
-        """For each text the language with the shortest code, and its share of the probability of all."""
-        answers = [(UNDETERMINED, 0.0)] * len(texts)
+    def predict(self, texts: list[bytes | None]) -> list[tuple[str, float, bool]]:
+        """For each text the language with the shortest code, its share of the probability of all, and whether it fits."""
+        answers = [(UNDETERMINED, 0.0, False)] * len(texts)
         asked = [i for i, t in enumerate(texts) if t is not None] if self.languages else []
         lengths = self.code_lengths([texts[i] for i in asked])
         for i, bits in zip(asked, lengths):
             share = 1.0 / np.exp2(np.maximum(bits.min() - bits, -1000.0)).sum()
-            answers[i] = (self.languages[int(bits.argmin())], float(share))
+            fits = self.learned < LEAST_LEARNED or bool(bits.min() <= 8 * len(texts[i]) + SLACK_BITS)
+            answers[i] = (self.languages[int(bits.argmin())], float(share), fits)
         return answers
 
 
@@ -224,7 +233,10 @@ def sampled(labelled: DataFrame, key: str, text: str, lang: str) -> DataFrame:
     """
     data = F.col(text).cast("binary")
     rows = labelled.select(F.xxhash64(F.col(key), data).alias("hash"), F.col(lang).alias("lang"), data.alias("data"))
-    rows = rows.where(F.col("lang").isNotNull() & F.octet_length("data").between(1, LONGEST_TEXT))
+    rows = rows.where(F.col("lang").isNotNull() & (F.octet_length("data") > 0))
+    over = F.octet_length("data") - LONGEST_TEXT
+    piece = F.substring("data", (F.pmod(F.col("hash"), over + 1) + 1).cast("int"), F.lit(LONGEST_TEXT))
+    rows = rows.withColumn("data", F.when(over > 0, piece).otherwise(F.col("data")))
     hashes = rows.select("lang", "hash", F.octet_length("data").alias("bytes"))
     first = hashes.mapInPandas(_smallest, hashes.schema).groupBy("lang", "hash").agg(F.min("bytes").alias("bytes"))
     by_hash = Window.partitionBy("lang").orderBy("hash")
@@ -240,24 +252,21 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str
     return Model.of_counts(counts.groupBy("lang", "gram").agg(F.sum("times").alias("times")).toPandas())
 
 
-def identified(df: DataFrame, model: Model, text: str, predicted: str, score: str) -> DataFrame:
-    """All rows with the predicted language and its score."""
+def identified(df: DataFrame, model: Model, text: str, predicted: str, score: str, fits: str | None = None) -> DataFrame:
+    """All rows with the predicted language, its score and, if it is named, whether the text fits that language."""
     sent = shipped(df.sparkSession, model)
 
-    @F.pandas_udf("lang string, score double")
+    @F.pandas_udf("lang string, score double, fits boolean")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         frozen = unpacked(sent)
         for texts in batches:
-            yield pd.DataFrame(frozen.predict(list(texts)), columns=["lang", "score"])
+            yield pd.DataFrame(frozen.predict(list(texts)), columns=["lang", "score", "fits"])
 
     lettered = F.when(has_letter(F.col(text)), F.col(text).cast("binary"))
     (answer,) = fresh(df, "answer")
-    return (
-        df.withColumn(answer, predict(lettered))
-        .withColumn(predicted, F.col(answer)["lang"])
-        .withColumn(score, F.col(answer)["score"])
-        .drop(answer)
-    )
+    told = df.withColumn(answer, predict(lettered))
+    told = told.withColumn(predicted, F.col(answer)["lang"]).withColumn(score, F.col(answer)["score"])
+    return (told if fits is None else told.withColumn(fits, F.col(answer)["fits"])).drop(answer)
 
 
 def has_letter(text: Column) -> Column:
@@ -277,8 +286,11 @@ def predict_all(df: DataFrame, key: str = "doc_id", text: str = "text", lang: st
 
 
 def in_a_language(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """Rows in one of the learned languages, with the columns they had."""
+    """Rows in one of the learned languages, with the columns they had.
+
+    Null texts, texts without letters and texts that fit no learned language go.
+    """
     model = fit(df.where(~held_out(F.col(key))), key, text, lang)
-    predicted, score = fresh(df, "predicted", "score")
-    kept = identified(df, model, text, predicted, score).where(F.col(predicted) != UNDETERMINED)
+    predicted, score, fits = fresh(df, "predicted", "score", "fits")
+    kept = identified(df, model, text, predicted, score, fits).where((F.col(predicted) != UNDETERMINED) & F.col(fits))
     return kept.select(*df.columns)

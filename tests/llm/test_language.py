@@ -101,3 +101,36 @@ def test_stage_keeps_columns(spark):
     kept = langid.in_a_language(df)
     assert kept.columns == df.columns
     assert kept.count() == len(odd_rows()) - 5
+
+
+FINNISH = "t\u00e4m\u00e4 on pitk\u00e4 teksti jossa kerrotaan kuinka talvi tuli kyl\u00e4\u00e4n ja j\u00e4rvet j\u00e4\u00e4tyiv\u00e4t ".split()
+SPANISH = "este es un texto largo sobre la manera en que el invierno lleg\u00f3 al pueblo y los lagos se helaron ".split()
+
+
+def _long(words, seed, n=15_000):
+    rng = random.Random(seed)
+    return " ".join(rng.choice(words) for _ in range(n))
+
+
+def test_a_language_of_long_texts_only_is_learned(spark):
+    rows = [(i, _long(FINNISH, i), "fi", "s") for i in range(12)] + [(100 + i, _long(SPANISH, i, 80), "es", "s") for i in range(200)]
+    found = {r.doc_id: r.lang_pred for r in langid.predict_all(documents(spark, rows)).collect()}
+    assert all(found[i] == ("fi" if i < 100 else "es") for i in found)
+
+
+def test_stage_rejects_noise_and_other_languages(spark):
+    rows = [(i, _long(w, i, 90), lang, "s") for lang, w, first in (("fi", FINNISH, 0), ("es", SPANISH, 1000)) for i in range(first, first + 400)]
+    noise = random.Random(1)
+    other = [
+        "\u65e5\u672c\u8a9e\u306e\u30c6\u30ad\u30b9\u30c8\u3067\u3059\u3002" * 9, "\u041f\u0440\u0438\u0432\u0435\u0442 \u043a\u0430\u043a \u0434\u0435\u043b\u0430 " * 9, "x 0 1 0 1 " * 60, "we went through thick fog with quick brown foxes why not " * 9,
+        "".join(noise.choice("qwzxcvbj0123456789") for _ in range(900)),
+    ]
+    odd = [(5000 + i, t, None, "s") for i, t in enumerate(other)] + [(6000, None, "fi", "s"), (6001, "12 34", "es", "s")]
+    few = [(7000, "talvi", None, "s"), (7001, "A.", "es", "s"), (7002, _long(FINNISH, 9, 30) + " 4111 1111 1111 1111 9dd3c0aa", None, "s")]
+    kept = {r.doc_id for r in langid.in_a_language(documents(spark, rows + odd + few)).collect()}
+    assert kept == {r[0] for r in rows + few}
+
+
+def test_nothing_is_rejected_by_a_small_sample(spark):
+    rows = [(i, "one small text", "en", "s") for i in range(20)] + [(50, "\u65e5\u672c\u8a9e" * 50, None, "s")]
+    assert langid.in_a_language(documents(spark, rows)).count() == 21
