@@ -23,10 +23,9 @@ no overlap and keep all documents.
 
 from __future__ import annotations
 
-import re
 import unicodedata
-from collections.abc import Iterator, Sequence
-from itertools import batched
+from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -62,22 +61,43 @@ FILTER_BITS = 24
 _PLAIN = bytes(ord(chr(c).lower()) if c < 128 and chr(c).isalnum() else 32 for c in range(256))
 # Scripts without spaces between words (Thai, Lao, Burmese, Khmer, kana, Han).
 _SPACELESS = (
-    "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9d\U00020000-\U0003ffff"
-)
-_TOKEN = re.compile(f"[{_SPACELESS}]|[^\\W_{_SPACELESS}]+")
-LONG_TEXT = 1 << 20
+    (0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x4DBF),
+    (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF66, 0xFF9D), (0x20000, 0x3FFFF),
+)
+CHUNK_CHARS = 1 << 18
 _FACTORS = np.array([xxhash.xxh64_intdigest(str(i).encode()) | 1 for i in range(SPAN)], dtype=np.uint64)
 
 
-def words(data: bytes) -> Iterator[Sequence[bytes]]:
+@cache
+def kinds() -> np.ndarray:
+    """For every character: 0 ends a token, 1 goes on with one, 2 is one by itself."""
+    found = np.fromiter((chr(c).isalnum() for c in range(0x110000)), np.uint8, 0x110000)
+    for low, high in _SPACELESS:
+        found[low : high + 1] = 2
+    return found
+
+
+def spaced(text: str) -> bytes:
+    """The tokens of a folded text between spaces."""
+    codes = np.frombuffer(text.encode("utf-32-le", "replace"), dtype="<u4")
+    kind = kinds()[codes]
+    codes = np.where(kind == 0, np.uint32(32), codes)
+    alone = kind == 2
+    if alone.any():
+        # Three places for a character by itself, a space before and after it.
+        ends = np.cumsum(np.where(alone, 3, 1))
+        wide = np.full(ends[-1], 32, dtype="<u4")
+        wide[ends - np.where(alone, 2, 1)] = codes
+        codes = wide
+    return codes.tobytes().decode("utf-32-le").encode()
+
+
+def words(data: bytes) -> Iterator[list[bytes]]:
     """Tokens of a text in order, in lists of bounded size."""
     if data.isascii():
-        yield from word_pieces(data.translate(_PLAIN))
-        return
+        return word_pieces(data.translate(_PLAIN))
     text = unicodedata.normalize("NFC", data.decode("utf-8", "replace").casefold())
-    found = _TOKEN.findall(text) if len(text) < LONG_TEXT else (m.group() for m in _TOKEN.finditer(text))
-    for some in batched(found, LONG_TEXT):
-        yield [w.encode() for w in some]
+    return word_pieces(b"".join(spaced(text[at : at + CHUNK_CHARS]) for at in range(0, len(text), CHUNK_CHARS)))
 
 
 def tokens(data: bytes | None) -> np.ndarray:

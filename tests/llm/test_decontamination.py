@@ -133,7 +133,7 @@ def test_replaced_characters_of_a_script_without_spaces(spark):
 def test_long_texts_of_other_scripts(monkeypatch):
     text = " ".join([TALK, *ITEMS]) * 5
     whole = decontaminate.tokens(text.encode())
-    monkeypatch.setattr(decontaminate, "LONG_TEXT", 10)
+    monkeypatch.setattr(decontaminate, "CHUNK_CHARS", 10)
     assert (decontaminate.tokens(text.encode()) == whole).all() and len(whole) == len(_tokens(text))
     ascii_text = "It's a Test_case, No. 5!"
     assert (decontaminate.tokens(ascii_text.encode()) == decontaminate.tokens((ascii_text + " \u2014").encode())).all()
