@@ -4,12 +4,12 @@ This is the exact form, for sets of items that may be compared with all others i
 bound skips cells where vectors form groups; on vectors without groups it skips nothing, and the
 work grows with queries times items.
 
-Items are placed in cells around a bounded set of pivots. For a query, the distances to
+Items and queries are placed in cells around a bounded set of pivots. For a query, the distances to
 the pivots, the radius and the size of each cell give a bound on the distance of its k-th
-neighbour; cells that lie wholly beyond it are skipped. A query is sent to the cells that
-remain, an item stays in its own. Cells with many items or queries are cut into blocks,
-each (item block, query block) is one small matrix product that keeps k rows per query. Equal
-vectors are searched once, so a large group of copies costs what one item costs.
+neighbour; cells that lie wholly beyond it are skipped. The others are met in tiles, a strip of queries
+against a slab of items; in a tile, small matrix products keep k items per query, so what a query
+sends on grows with the slabs and not with the cells. Equal vectors are searched once, so a large group of
+copies costs what one item costs. Null vectors have no neighbours.
 """
 
 from __future__ import annotations
@@ -17,19 +17,29 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataflow.session import cut_lineage, local_table
+from strataflow.operators.grid import chained, tiles
+from strataflow.session import cut_lineage, local_table, stage
 
 MOST_PIVOTS = 1024
+# Items of one product; a strip has four times as many queries, a slab eight times as many items.
 BLOCK_ROWS = 4096
+QUERY_ROWS = 1024
 SLACK = 1e-6
+# Decimals that are compared, so that copies tie exactly wherever they are multiplied.
+DIGITS = 12
 
+FOUND = pa.schema([("query_id", pa.int64()), ("item_id", pa.int64()), ("similarity", pa.float64())])
 
-def _matrix(vectors: pd.Series) -> np.ndarray:
-    matrix = np.vstack(vectors.to_numpy()).astype(np.float64)
+
+def _matrix(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    vectors = vectors.combine_chunks() if isinstance(vectors, pa.ChunkedArray) else vectors
+    if not len(vectors):
+        return np.zeros((0, 1))
+    matrix = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(vectors), -1)
     norms = np.linalg.norm(matrix, axis=1, keepdims=True)
     return matrix / np.where(norms == 0, 1.0, norms)
 
@@ -39,75 +49,75 @@ def _distances(unit: np.ndarray, pivots: np.ndarray) -> np.ndarray:
 
 
 def _place(pivots: np.ndarray):
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if len(pdf):
-                far = _distances(_matrix(pdf["vector"]), pivots)
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                far = _distances(_matrix(batch.column("vector")), pivots)
                 cell = far.argmin(axis=1)
-                yield pdf.assign(cell=cell.astype("int32"), far=far[np.arange(len(pdf)), cell])
+                columns = [pa.array(cell.astype(np.int32)), *batch.columns, pa.array(far[np.arange(len(far)), cell])]
+                yield pa.RecordBatch.from_arrays(columns, ["cell", *batch.schema.names, "far"])
 
     return place
 
 
-def _send(pivots: np.ndarray, radius: np.ndarray, size: np.ndarray, k: int):
+def _wanted(pivots: np.ndarray, radius: np.ndarray, size: np.ndarray, k: int):
     """Cells that can hold one of the k nearest items of each query."""
 
-    def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            far = _distances(_matrix(pdf["vector"]), pivots)
-            reach = far + radius
-            order = np.argsort(reach, axis=1)
-            held = np.cumsum(size[order], axis=1)
-            enough = np.minimum((held < k).sum(axis=1), len(size) - 1)
-            bound = np.take_along_axis(reach, order, axis=1)[np.arange(len(pdf)), enough]
-            row, cell = np.nonzero((far - radius <= bound[:, None] + SLACK) & (size > 0))
-            sent = pdf.iloc[row].copy()
-            sent["cell"] = cell.astype("int32")
-            yield sent
-
-    return send
-
-
-def _nearest(k: int):
-    def nearest(queries: pd.DataFrame, items: pd.DataFrame) -> pd.DataFrame:
-        columns = ["query_id", "item_id", "similarity"]
-        if not len(queries) or not len(items):
-            return pd.DataFrame({"query_id": [], "item_id": [], "similarity": []}, columns=columns)
-        items = items.sort_values("id", ignore_index=True)
-        # Rounded, so that copies tie exactly wherever they are multiplied.
-        likeness = np.round(_matrix(queries["vector"]) @ _matrix(items["vector"]).T, 12)
-        query, item = queries["id"].to_numpy(), items["id"].to_numpy()
-        keep = min(k, len(item))
-        best = np.argsort(-likeness, axis=1, kind="stable")[:, :keep]
-        return pd.DataFrame(
-            {
-                "query_id": np.repeat(query, keep),
-                "item_id": item[best].ravel(),
-                "similarity": np.take_along_axis(likeness, best, axis=1).ravel(),
-            }
-        )
+    def wanted(vectors: pa.Array) -> np.ndarray:
+        far = _distances(_matrix(vectors), pivots)
+        reach = far + radius
+        order = np.argsort(reach, axis=1)
+        held = np.cumsum(size[order], axis=1)
+        enough = np.minimum((held < k).sum(axis=1), len(size) - 1)
+        bound = np.take_along_axis(reach, order, axis=1)[np.arange(len(far)), enough]
+        # Not farther: a vector that is no number wants all cells.
+        return ~(far - radius > bound[:, None] + SLACK) & (size > 0)
+
+    return wanted
+
+
+def _best(rows: np.ndarray, items: np.ndarray, ids: np.ndarray, k: int, block: int):
+    """Row, place and similarity of the k most similar items of each row, the lower id first; what is no number comes last."""
+    row, place, value = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0)
+    least = np.full(len(rows), -np.inf)
+    odd_rows, odd = (~np.isfinite(m).all(axis=1) for m in (rows, items))
+    for start in range(0, len(items), block):
+        likeness = rows @ items[start : start + block].T
+        if odd_rows.any() or odd.any():
+            likeness[odd_rows] = likeness[:, odd[start : start + block]] = -2.0
+        edge = least
+        if likeness.shape[1] > k and np.isinf(least).any():
+            edge = np.maximum(least, np.partition(likeness, -k, axis=1)[:, -k])
+        # Those that may tie once they are rounded are looked at, too.
+        r, c = np.nonzero(likeness >= edge[:, None] - 10.0 ** (1 - DIGITS))
+        row, place = np.concatenate([row, r]), np.concatenate([place, start + c])
+        value = np.concatenate([value, np.round(likeness[r, c], DIGITS)])
+        order = np.lexsort((ids[place], -value, row))
+        row, place, value = row[order], place[order], value[order]
+        rank = np.arange(len(row)) - np.searchsorted(row, row)
+        keep = rank < k
+        row, place, value, rank = row[keep], place[keep], value[keep], rank[keep]
+        full = rank == k - 1
+        least[row[full]] = value[full]
+    return row, place, np.where(value == -2.0, np.nan, value)
+
+
+def _nearest(k: int, block: int, wanted):
+    def nearest(queries: pa.Table, items: pa.Table) -> pa.Table:
+        parts = [FOUND.empty_table()]
+        if queries.num_rows and items.num_rows:
+            rows, unit = _matrix(queries.column("vector")), _matrix(items.column("vector"))
+            own, ids, cell = (c.to_numpy() for c in (queries.column("id"), items.column("id"), items.column("cell")))
+            vectors = queries.column("vector").combine_chunks()
+            for at in range(0, len(rows), QUERY_ROWS):
+                there = np.nonzero(wanted(vectors.slice(at, QUERY_ROWS)).any(axis=0)[cell])[0]
+                row, place, value = _best(rows[at : at + QUERY_ROWS], unit[there], ids[there], k, block)
+                parts.append(pa.table([own[at + row], ids[there[place]], value], schema=FOUND))
+        return pa.concat_tables(parts)
 
     return nearest
 
 
-def _cells(
-    queries: DataFrame, items: DataFrame, k: int, pivots: int
-) -> tuple[DataFrame, DataFrame, dict[int, int]]:
-    """Items in their cells, queries in the cells they need, and the size of each cell."""
-    picked = items.orderBy(F.xxhash64("id"), "id").limit(pivots).toPandas()
-    centres = _matrix(picked["vector"])
-    schema = f"{items.schema.simpleString()[7:-1]}, cell int"
-    placed = items.mapInPandas(_place(centres), schema + ", far double")
-    measured = placed.groupBy("cell").agg(F.max("far").alias("radius"), F.count(F.lit(1)).alias("n")).collect()
-    radius, size = np.zeros(len(centres)), np.zeros(len(centres), dtype=np.int64)
-    for c in measured:
-        radius[c.cell], size[c.cell] = c.radius, c.n
-    sent = queries.mapInPandas(_send(centres, radius, size, k), schema)
-    return placed.drop("far"), sent, {c.cell: c.n for c in measured}
-
-
 def top_neighbours(
     queries: DataFrame, items: DataFrame, k: int, vector: str = "vector", block: int = BLOCK_ROWS
 ) -> DataFrame:
@@ -117,15 +127,17 @@ def top_neighbours(
     searched once: equal queries share their result, and of equal items only the k + 1
     with the lowest ids can be in anybody's list.
     """
-    items = items.select(F.col("id").alias("id"), F.col(vector).alias("vector"))
-    queries = queries.select(F.col("id").alias("id"), F.col(vector).alias("vector"))
+    items, queries = (
+        d.select(F.col("id").cast("long").alias("id"), F.col(vector).alias("vector")).where("id IS NOT NULL AND vector IS NOT NULL")
+        for d in (items, queries)
+    )
     copy = F.row_number().over(Window.partitionBy("vector").orderBy("id"))
     few = cut_lineage(items.withColumn("_copy", copy).where(F.col("_copy") <= k + 1).drop("_copy"))
     asked = cut_lineage(queries.groupBy("vector").agg(F.min("id").alias("id")).select("id", "vector"))
 
     found = _search(asked, few, k + 1, block)
     near = F.sort_array(F.collect_list(F.struct((-F.col("similarity")).alias("less"), "item_id")))
-    listed = found.groupBy("query_id").agg(near.alias("_near")).withColumnRenamed("query_id", "id")
+    listed = found.groupBy("query_id").agg(F.slice(near, 1, k + 1).alias("_near")).withColumnRenamed("query_id", "id")
     shared = asked.join(listed, "id").select("vector", "_near")
     others = F.slice(F.filter("_near", lambda n: n["item_id"] != F.col("id")), 1, k)
     return queries.join(shared, "vector").select(F.col("id").alias("query_id"), F.posexplode(others)).select(
@@ -137,41 +149,25 @@ def top_neighbours(
 
 
 def _search(queries: DataFrame, items: DataFrame, k: int, block: int) -> DataFrame:
-    """The ``k`` nearest items of each query, which may be among them."""
-    spark = items.sparkSession
+    """The ``k`` nearest items of each query, which may be among them, from each slab of items."""
     total = items.count()
-    if total <= block:  # one cell holds what fits one block
-        placed, sent = items.withColumn("cell", F.lit(0)), queries.withColumn("cell", F.lit(0))
-        size, loads = {0: total}, {0: queries.count()}
-    else:
-        placed, sent, size = _cells(queries, items, k, min(MOST_PIVOTS, int(total**0.5)))
-        loads = {c.cell: c.n for c in sent.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
-    # One row per pivot: how many blocks each cell's items and queries are cut into.
-    cuts = local_table(
-        spark,
-        [(c, -(-n // block) or 1, -(-loads.get(c, 0) // block) or 1) for c, n in size.items()],
-        "cell int, item_blocks int, query_blocks int",
-    )
-    own = F.pmod(F.xxhash64("id"), F.col("item_blocks")).cast("int")
-    asked = F.pmod(F.xxhash64("id"), F.col("query_blocks")).cast("int")
-    item_side = (
-        placed.join(F.broadcast(cuts), "cell")
-        .withColumn("item_block", own)
-        .withColumn("query_block", F.explode(F.sequence(F.lit(0), F.col("query_blocks") - 1)))
-        .select("cell", "item_block", "query_block", "id", "vector")
-    )
-    query_side = (
-        sent.join(F.broadcast(cuts), "cell")
-        .withColumn("query_block", asked)
-        .withColumn("item_block", F.explode(F.sequence(F.lit(0), F.col("item_blocks") - 1)))
-        .select("cell", "item_block", "query_block", "id", "vector")
-    )
-    blocks = ["cell", "item_block", "query_block"]
-    found = query_side.groupBy(*blocks).cogroup(item_side.groupBy(*blocks)).applyInPandas(
-        _nearest(k), "query_id long, item_id long, similarity double"
+    schema = "query_id long, item_id long, similarity double"
+    if not total:
+        return items.sparkSession.createDataFrame([], schema)
+    pivots = 1 if total <= block else min(MOST_PIVOTS, int(total**0.5))
+    centres = _matrix(items.orderBy(F.xxhash64("id"), "id").limit(pivots).select("vector").toArrow().column("vector"))
+    # A pivot that is no number would be nearest to everything.
+    centres = np.nan_to_num(centres, nan=0.0, posinf=0.0, neginf=0.0)
+    ddl = f"cell int, {items.schema.simpleString()[7:-1]}, far double"
+    placed = stage(items.mapInArrow(_place(centres), ddl))
+    asked = stage(queries.mapInArrow(_place(centres), f"cell int, {queries.schema.simpleString()[7:-1]}, far double").drop("far"))
+    radius, size = np.zeros(len(centres)), np.zeros(len(centres), dtype=np.int64)
+    for c in placed.groupBy("cell").agg(F.max("far").alias("radius"), F.count(F.lit(1)).alias("n")).collect():
+        radius[c.cell], size[c.cell] = c.radius, c.n
+    wanted = _wanted(centres, radius, size, k)
+    return tiles(
+        asked, placed.drop("far"), chained(centres), (4 * block, 8 * block), wanted, _nearest(k, block, wanted), schema
     )
-    best = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "item_id")
-    return found.withColumn("_place", F.row_number().over(best)).where(F.col("_place") <= k).drop("_place")
 
 
 def similar_funnel(

@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
+from strataflow.operators import similar
+from strataflow.operators.grid import dealt
 from strataflow.operators.similar import top_neighbours
 
 
@@ -44,3 +46,26 @@ def test_ties_go_to_lower_ids(spark):
     for query, found in got.items():
         want = [i for i in range(query % 2, 40, 2) if i != query][:3]
         assert [found[p] for p in (1, 2, 3)] == want
+
+
+def test_null_vectors_and_what_is_no_number(spark):
+    vectors = [[1.0, 0.0], None, [1.0, 0.1], [0.0, 1.0], [float("nan"), 1.0], [1.0, 0.2], [0.1, 1.0]]
+    rows = spark.createDataFrame(list(enumerate(vectors)), "id long, vector array<double>")
+    got: dict = {}
+    for r in top_neighbours(rows, rows, 2, block=2).collect():
+        got.setdefault(r.query_id, {})[r.place] = r.item_id
+    assert 1 not in got
+    assert got[0] == {1: 2, 2: 5} and got[3] == {1: 6, 2: 5}
+
+
+def test_rows_of_a_query_do_not_grow_with_the_cells(spark):
+    vectors = np.random.default_rng(8).normal(size=(400, 8))
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "id long, vector array<double>").cache()
+    found = similar._search(rows, rows, 3, 25)  # 20 cells in slabs of 200
+    per_query = {r.query_id: r["count"] for r in found.groupBy("query_id").count().collect()}
+    assert len(per_query) == 400 and max(per_query.values()) <= 3 * 4
+
+
+def test_cells_are_dealt_to_groups():
+    found = dealt({0: 3, 1: 4, 2: 25, 3: 1, 5: 9}, [1, 0, 2, 3, 4, 5], 10)
+    assert found == [(1, 0, 1), (0, 0, 1), (2, 1, 3), (3, 4, 1), (4, 4, 1), (5, 4, 1)]
