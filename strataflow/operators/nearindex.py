@@ -4,8 +4,9 @@ Unit vectors are placed in the nearest of about sqrt(items) cells; what is left
 a codebook. A query opens a few cells, estimates the distance of every item in them from its codes, and
 the best estimates are compared exactly. Cells and codebooks are fitted on a sample of bounded size, taken by a
 hash of the id; how many cells a query opens, and how many estimates it keeps, are the smallest numbers that reach
-the wanted recall on that sample. Every item is indexed. A cell with many items or queries is stored in
-blocks, which meet each other and are searched apart.
+the wanted recall on that sample. Every item is indexed. A cell is stored in blocks that hold codes and vectors;
+strips of queries meet slabs of blocks with a cell that one of them opens. The best estimates of a slab are compared
+there and then, so that only the k best of each slab leave it, and no vector travels for each pair.
 
 Where vectors form groups, a query opens a number of cells that does not grow, and its work grows with the square root
 of the items. Vectors without groups make it open a share of all cells; then codes save only on each comparison.
@@ -21,24 +22,33 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strataflow.operators.grid import chained, tiles
 from strataflow.session import stage
 
 SAMPLE, MOST_CELLS, ENTRIES, PART_DIMS = 32_768, 2048, 256, 4
-ITEM_ROWS, QUERY_ROWS, SALTS = 4096, 512, 16
+ITEM_ROWS, QUERY_ROWS, SALTS = 4096, 256, 16
+# Queries of a strip, items of a slab, and pairs that are compared exactly at once.
+STRIP_ROWS, SLAB_ROWS, PAIRS = 16_384, 32_768, 1 << 16
 WANTED_RECALL, TRIED_QUERIES = 0.975, 256
 
-ITEM_BLOCK = "cell int, ids array<long>, codes binary"
-QUERY_BLOCK = "cell int, query_ids array<long>, vectors binary"
+ITEM_BLOCK = "cell int, ids array<long>, codes binary, vectors binary"
+FOUND = pa.schema([("query_id", pa.int64()), ("item_id", pa.int64()), ("similarity", pa.float64())])
 
 
-def unit_rows(vectors: pa.Array) -> np.ndarray:
+def _rows(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
     vectors = vectors.combine_chunks() if isinstance(vectors, pa.ChunkedArray) else vectors
-    flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float32)
-    rows = flat.reshape(len(vectors), -1)
+    return vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), -1)
+
+
+def _units(rows: np.ndarray) -> np.ndarray:
     norms = np.linalg.norm(rows, axis=1, keepdims=True)
     return rows / np.where(norms == 0, 1, norms)
 
 
+def unit_rows(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    return _units(_rows(vectors).astype(np.float32))
+
+
 def _squares(rows: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return (rows**2).sum(1)[:, None] - 2 * rows @ centres.T + (centres**2).sum(1)[None, :]
 
@@ -68,18 +78,16 @@ class Codes:
         parts = np.split(rest, np.cumsum([b.shape[1] for b in self.books])[:-1], axis=1)
         return cell, np.stack([_squares(p, b).argmin(1) for p, b in zip(parts, self.books)], axis=1).astype(np.uint8)
 
-    def estimates(self, queries: np.ndarray, cell: int, codes: np.ndarray) -> np.ndarray:
-        """Estimated squared distance of each query to each coded item of a cell."""
-        rest = queries - self.cells[cell]
-        parts = np.split(rest, np.cumsum([b.shape[1] for b in self.books])[:-1], axis=1)
-        total = np.zeros((len(queries), len(codes)), dtype=np.float32)
-        for i, (p, b) in enumerate(zip(parts, self.books)):
-            total += _squares(p, b)[:, codes[:, i]]
-        return total
+    def decoded(self, cell: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """What the codes of items in their cells stand for."""
+        return self.cells[cell] + np.concatenate([b[codes[:, i]] for i, b in enumerate(self.books)], axis=1)
 
     def opened(self, queries: np.ndarray, probes: int) -> np.ndarray:
+        """Whether each query opens each cell."""
         probes = min(probes, len(self.cells))
-        return np.argpartition(_squares(queries, self.cells), probes - 1, axis=1)[:, :probes]
+        found = np.zeros((len(queries), len(self.cells)), dtype=bool)
+        np.put_along_axis(found, np.argpartition(_squares(queries, self.cells), probes - 1, axis=1)[:, :probes], True, axis=1)
+        return found
 
 
 def fit_codes(sample: np.ndarray, cells: int) -> Codes:
@@ -96,9 +104,7 @@ def tuned(codes: Codes, sample: np.ndarray, k: int, wanted: float = WANTED_RECAL
     k = min(k, len(sample))
     best = np.argsort(-(queries @ sample.T), axis=1, kind="stable")[:, :k]
     cell, coded = codes.encode(sample)
-    estimated = np.empty((len(queries), len(sample)), dtype=np.float32)
-    for c in np.unique(cell):
-        estimated[:, cell == c] = codes.estimates(queries, int(c), coded[cell == c])
+    estimated = _squares(queries, codes.decoded(cell, coded))
     order = np.argsort(_squares(queries, codes.cells), axis=1)
     rank = np.empty_like(order)
     np.put_along_axis(rank, order, np.arange(order.shape[1])[None, :], axis=1)
@@ -120,37 +126,37 @@ def tuned(codes: Codes, sample: np.ndarray, k: int, wanted: float = WANTED_RECAL
 class NearIndex:
     codes: Codes
     blocks: DataFrame
-    items: DataFrame
+    kind: np.dtype
     probes: int
     kept: int
     k: int
 
 
-def _packed(rows: DataFrame, schema: str, most: int, payload: str) -> DataFrame:
-    """Rows (cell, id, payload) as blocks of one cell each; a large cell has blocks in several tasks."""
-    name = schema.split(", ")[1].split()[0]
-    last = schema.split(", ")[2].split()[0]
+def _packed(rows: DataFrame, most: int) -> DataFrame:
+    """Rows (cell, id, code, vector) as blocks of one cell each; a large cell has blocks in several tasks."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, ids, parts = None, [], []
+        held, ids, codes, vectors = None, [], [], []
 
         def block() -> pa.RecordBatch:
-            columns = [pa.array([held], pa.int32()), pa.array([ids], pa.list_(pa.int64())), pa.array([b"".join(parts)], pa.binary())]
-            return pa.RecordBatch.from_arrays(columns, ["cell", name, last])
+            columns = [pa.array([held], pa.int32()), pa.array([ids], pa.list_(pa.int64()))]
+            columns += [pa.array([b"".join(parts)], pa.binary()) for parts in (codes, vectors)]
+            return pa.RecordBatch.from_arrays(columns, ["cell", "ids", "codes", "vectors"])
 
         for batch in batches:
-            for cell, key, part in zip(*(batch.column(c).to_pylist() for c in ("cell", "id", payload))):
+            for cell, key, code, vector in zip(*(batch.column(c).to_pylist() for c in ("cell", "id", "code", "vector"))):
                 if ids and (cell != held or len(ids) == most):
                     yield block()
-                    ids, parts = [], []
+                    ids, codes, vectors = [], [], []
                 held = cell
                 ids.append(key)
-                parts.append(part)
+                codes.append(code)
+                vectors.append(vector)
         if ids:
             yield block()
 
     salt = F.pmod(F.xxhash64("id"), F.lit(SALTS))
-    return rows.repartition("cell", salt).sortWithinPartitions("cell").mapInArrow(pack, schema)
+    return rows.repartition("cell", salt).sortWithinPartitions("cell").mapInArrow(pack, ITEM_BLOCK)
 
 
 def build_index(items: DataFrame, k: int, vector: str = "vector", wanted: float = WANTED_RECALL) -> NearIndex:
@@ -164,60 +170,68 @@ def build_index(items: DataFrame, k: int, vector: str = "vector", wanted: float
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                cell, coded = codes.encode(unit_rows(batch.column("vector")))
-                parts = pa.array([c.tobytes() for c in coded], pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), batch.column("id"), parts], ["cell", "id", "code"])
+                plain = _rows(batch.column("vector"))
+                cell, coded = codes.encode(_units(plain.astype(np.float32)))
+                parts = [pa.array([r.tobytes() for r in rows], pa.binary()) for rows in (coded, plain)]
+                yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), batch.column("id"), *parts], ["cell", "id", "code", "vector"])
 
-    coded = rows.mapInArrow(encode, "cell int, id long, code binary")
-    return NearIndex(codes, stage(_packed(coded, ITEM_BLOCK, ITEM_ROWS, "code")), rows, probes, kept, k)
+    coded = rows.mapInArrow(encode, "cell int, id long, code binary, vector binary")
+    kind = np.dtype(np.float32 if "float" in rows.schema["vector"].dataType.simpleString() else np.float64)
+    return NearIndex(codes, stage(_packed(coded, ITEM_ROWS)), kind, probes, kept, k)
 
 
 def near_neighbours(queries: DataFrame, index: NearIndex, vector: str = "vector") -> DataFrame:
     """``query_id, item_id, similarity, place``: up to k other items of each query, nearly the most similar."""
     if index.blocks.isEmpty():
         return queries.sparkSession.createDataFrame([], "query_id long, item_id long, similarity double, place int")
-    codes, probes, kept, k = index.codes, index.probes, index.kept, index.k
+    codes, probes, kept, k, kind = index.codes, index.probes, index.kept, index.k, index.kind
     asked = queries.select(F.col("id").cast("long").alias("id"), F.col(vector).alias("vector")).where("vector IS NOT NULL AND id IS NOT NULL")
 
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                rows = unit_rows(batch.column("vector"))
-                cells = codes.opened(rows, probes)
-                sent = np.repeat(np.arange(len(rows)), cells.shape[1])
-                parts = pa.array([rows[i].tobytes() for i in sent], pa.binary())
-                columns = [pa.array(cells.ravel().astype(np.int32)), batch.column("id").take(pa.array(sent)), parts]
-                yield pa.RecordBatch.from_arrays(columns, ["cell", "id", "unit"])
-
-    sent = stage(_packed(asked.mapInArrow(send, "cell int, id long, unit binary"), QUERY_BLOCK, QUERY_ROWS, "unit"))
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                ids, own = np.array(row["ids"]), np.array(row["query_ids"])
-                rows = np.frombuffer(row["vectors"], dtype=np.float32).reshape(len(own), -1)
-                coded = np.frombuffer(row["codes"], dtype=np.uint8).reshape(len(ids), -1)
-                far = codes.estimates(rows, row["cell"], coded)
-                far[own[:, None] == ids[None, :]] = np.inf
-                n = min(kept, len(ids))
-                near = np.argpartition(far, n - 1, axis=1)[:, :n]
-                value = np.take_along_axis(far, near, 1)
-                there = np.isfinite(value)
-                columns = [np.repeat(own, n)[there.ravel()], ids[near][there], value[there]]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["query_id", "item_id", "far"])
-
-    found = sent.join(index.blocks, "cell").mapInArrow(scan, "query_id long, item_id long, far float")
-    nearest = Window.partitionBy("query_id").orderBy("far", "item_id")
-    few = stage(found.withColumn("n", F.row_number().over(nearest)).where(F.col("n") <= kept).select("query_id", "item_id"))
-
-    @F.arrow_udf("double")
-    def cosine(a: pa.Array, b: pa.Array) -> pa.Array:
-        pairs = [np.asarray(v.flatten().to_numpy(zero_copy_only=False), dtype=np.float64).reshape(len(v), -1) for v in (a, b)]
-        norms = np.linalg.norm(pairs[0], axis=1) * np.linalg.norm(pairs[1], axis=1)
-        return pa.array((pairs[0] * pairs[1]).sum(1) / np.where(norms == 0, 1, norms))
-
-    exact = few.join(index.items.select(F.col("id").alias("item_id"), F.col("vector").alias("_item")), "item_id")
-    exact = exact.join(asked.select(F.col("id").alias("query_id"), F.col("vector").alias("_query")), "query_id")
-    scored = exact.select("query_id", "item_id", cosine("_query", "_item").alias("similarity"))
+                cell = _squares(unit_rows(batch.column("vector")), codes.cells).argmin(1)
+                yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), *batch.columns], ["cell", *batch.schema.names])
+
+    def scan(asked: pa.Table, held: pa.Table) -> pa.Table:
+        parts = [FOUND.empty_table()]
+        if not asked.num_rows or not held.num_rows:
+            return parts[0]
+        own, plain = asked.column("id").to_numpy(), _rows(asked.column("vector"))
+        blocks = held.select(["cell", "ids", "codes", "vectors"]).to_pylist()
+        ids = np.concatenate([b["ids"] for b in blocks])
+        cell = np.repeat([b["cell"] for b in blocks], [len(b["ids"]) for b in blocks])
+        coded = np.frombuffer(b"".join(b["codes"] for b in blocks), dtype=np.uint8).reshape(len(ids), -1)
+        exact = _units(np.frombuffer(b"".join(b["vectors"] for b in blocks), dtype=kind).reshape(len(ids), -1).astype(np.float64))
+        told = codes.decoded(cell, coded)
+        for at in range(0, len(own), QUERY_ROWS):
+            rows, key = _units(plain[at : at + QUERY_ROWS].astype(np.float64)), own[at : at + QUERY_ROWS]
+            small = _units(plain[at : at + QUERY_ROWS].astype(np.float32))
+            opened = codes.opened(small, probes)
+            there = np.nonzero(opened.any(axis=0)[cell])[0]
+            if not len(there):
+                continue
+            far = _squares(small, told[there])
+            far[~opened[:, cell[there]] | (key[:, None] == ids[there][None, :])] = np.inf
+            n = min(kept, len(there))
+            near = np.argpartition(far, n - 1, axis=1)[:, :n]
+            open_ = np.isfinite(np.take_along_axis(far, near, 1))
+            near = there[near]
+            step = max(1, PAIRS // n)
+            for i in range(0, len(rows), step):
+                part, able = near[i : i + step], open_[i : i + step]
+                likeness = np.where(able, np.einsum("qd,qnd->qn", rows[i : i + step], exact[part]), -np.inf)
+                best = np.lexsort((ids[part], -likeness), axis=-1)[:, :k]
+                able = np.take_along_axis(able, best, 1)
+                found = ids[np.take_along_axis(part, best, 1)][able]
+                parts.append(pa.table([np.repeat(key[i : i + step], able.sum(1)), found, np.take_along_axis(likeness, best, 1)[able]], schema=FOUND))
+        return pa.concat_tables(parts)
+
+    placed = stage(asked.mapInArrow(place, f"cell int, {asked.schema.simpleString()[7:-1]}"))
+    wanted = lambda vectors: codes.opened(unit_rows(vectors), probes)
+    scored = tiles(
+        placed, index.blocks, chained(codes.cells), (STRIP_ROWS, SLAB_ROWS), wanted, scan,
+        "query_id long, item_id long, similarity double", F.size("ids"), "ids",
+    )
     best = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "item_id")
     return scored.withColumn("place", F.row_number().over(best)).where(F.col("place") <= k)

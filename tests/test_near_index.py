@@ -70,3 +70,16 @@ def test_numbers_are_fitted_to_the_sample():
     codes = fit_codes(sample, 40)
     low, high = tuned(codes, sample, 10, 0.5), tuned(codes, sample, 10, 0.99)
     assert low[0] <= high[0] <= 40 and low[1] <= high[1]
+
+
+def test_only_the_best_of_a_slab_leave_it(spark, monkeypatch):
+    from strataflow.operators import nearindex
+
+    made, whole = [], nearindex.tiles
+    monkeypatch.setattr(nearindex, "SLAB_ROWS", 400)
+    monkeypatch.setattr(nearindex, "STRIP_ROWS", 90)
+    monkeypatch.setattr(nearindex, "tiles", lambda *a: made.append(whole(*a)) or made[-1])
+    recall, index = _recall(spark, _vectors("even", 1200))
+    assert recall >= 0.9 and index.kept > 20
+    per_query = [r["count"] for r in made[0].groupBy("query_id").count().collect()]
+    assert max(per_query) <= 20 * 5
