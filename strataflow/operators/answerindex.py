@@ -1,7 +1,8 @@
 """An index over answers, so that searches read lists of fingerprints instead of all answers.
 
 Every answer goes under its trigrams, its whole text and, if it is a number, an order-keeping bin of it. A
-list is kept as bitmaps, one for each bucket of fingerprints, and a batch of answers is a folder of its own.
+list is kept as bitmaps, one for each bucket of fingerprints, and a batch of answers is a folder of its own. The tasks
+set the bits of trigrams as they read the texts, in a table of bounded size; no row is made for each trigram.
 The lists of a predicate are combined as bitmaps: all trigrams of a searched text, any bin of a range. What is
 left are candidates; their answers are read from the buckets they lie in, the latest batch of each
 question counts, and the predicate itself decides. So lists may hold answers that were replaced meanwhile.
@@ -11,9 +12,11 @@ A searched text of fewer than three characters is looked for in the trigrams and
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +27,10 @@ from strataflow.session import local_table, stage
 GRAM = 3
 # Fingerprints of a bitmap, fixed by the bitmap functions, and buckets stored together.
 BUCKET, SLAB_BUCKETS = 1 << 15, 1 << 6
+# Bitmaps of trigrams that a task holds, rows of a batch it sends, and characters it takes at once.
+HELD, SENT, CHARS = 1 << 14, 1 << 11, 1 << 20
+# Bits of a code point, and a value that is none, for texts shorter than a trigram.
+POINT, NO_POINT = 21, (1 << 21) - 1
 # Bins for each doubling of a number; larger ones share the last bin.
 BINS, LAST_BIN = 8, 20_000
 
@@ -34,13 +41,71 @@ def _bin(number: Column) -> Column:
     return F.when(F.isnan(number), LAST_BIN).otherwise(F.floor(scaled)).cast("long")
 
 
-def _grams(text: Column) -> Column:
-    @F.arrow_udf("array<string>")
-    def grams(texts: pa.Array) -> pa.Array:
-        cut = (None if t is None else {t[i : i + GRAM] for i in range(max(1, len(t) - GRAM + 1))} for t in texts.to_pylist())
-        return pa.array([None if c is None else sorted(c) for c in cut], pa.list_(pa.string()))
-
-    return grams(text)
+def _keys(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Trigrams of some texts as numbers, and the ends of each text's; a shorter text has one, padded."""
+    padded = [t + "\0" * (GRAM - len(t)) if len(t) < GRAM else t for t in texts]
+    points = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
+    lengths = np.array([len(t) for t in padded])
+    begins = np.cumsum(lengths) - lengths
+    for i, t in enumerate(texts):
+        if len(t) < GRAM:
+            points[begins[i] + len(t) : begins[i] + GRAM] = NO_POINT
+    ends = np.cumsum(lengths - GRAM + 1)
+    at = np.arange(ends[-1]) + np.repeat(begins - (ends - (lengths - GRAM + 1)), lengths - GRAM + 1)
+    keys = points[at]
+    for i in range(1, GRAM):
+        keys = keys << POINT | points[at + i]
+    return keys, ends
+
+
+def _gram(key: int) -> str:
+    points = [key >> POINT * i & NO_POINT for i in reversed(range(GRAM))]
+    return "".join(chr(p) for p in points if p != NO_POINT)
+
+
+GRAMS = pa.schema([("question", pa.string()), ("bucket", pa.int64()), ("entry", pa.string()), ("bits", pa.binary())])
+
+
+def _gram_bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bitmaps of trigrams from ``question, bucket, place, text``; one may come in several parts."""
+    rows, bits, of = {}, np.zeros((1 << 8, BUCKET // 8), dtype=np.uint8), None
+
+    def sent() -> Iterator[pa.RecordBatch]:
+        keys = list(rows)
+        for i in range(0, len(keys), SENT):
+            own = keys[i : i + SENT]
+            columns = [[of[0]] * len(own), [of[1]] * len(own), [_gram(k) for k in own], [bits[j].tobytes() for j in range(i, i + len(own))]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, GRAMS)], schema=GRAMS)
+
+    for batch in batches:
+        asked = list(zip(*(batch.column(c).to_pylist() for c in ("question", "bucket", "place", "text"))))
+        start = 0
+        while start < len(asked):
+            # Texts of one list of bitmaps, and no more characters than are taken at once but for a longer text.
+            stop, chars = start, 0
+            while stop < len(asked) and asked[stop][:2] == asked[start][:2] and (stop == start or chars + len(asked[stop][3]) <= CHARS):
+                chars += len(asked[stop][3])
+                stop += 1
+            part, start = asked[start:stop], stop
+            keys, ends = _keys([r[3] for r in part])
+            codes, found = pd.factorize(keys)
+            spans = list(zip([r[2] for r in part], np.append(0, ends[:-1]).tolist(), ends.tolist()))
+            # One pass, unless these texts alone have more trigrams than a task holds.
+            for first in range(0, len(found), HELD):
+                taken = found[first : first + HELD].tolist()
+                if of != part[0][:2] or len(rows) + len(taken) > HELD:
+                    yield from sent()
+                    rows, of = {}, part[0][:2]
+                    bits[:] = 0
+                own = np.array([rows.setdefault(k, len(rows)) for k in taken], dtype=np.int64)
+                if len(rows) > len(bits):
+                    bits = np.concatenate([bits, np.zeros((max(len(bits), len(rows) - len(bits)), bits.shape[1]), dtype=np.uint8)])
+                for place, low, high in spans:
+                    code = codes[low:high] - first
+                    if len(found) > HELD:
+                        code = code[(code >= 0) & (code < HELD)]
+                    bits[own[code], place >> 3] |= np.uint8(1 << (place & 7))
+    yield from sent()
 
 
 def _members(bits: Column) -> Column:
@@ -58,19 +123,24 @@ def _slab(fingerprint: Column) -> Column:
     return F.floor(F.bitmap_bucket_number(fingerprint) / SLAB_BUCKETS)
 
 
-def _entries(answers: DataFrame) -> DataFrame:
-    """Rows (question, kind, entry, number, fingerprint) under which an answer is found."""
+def _lists(answers: DataFrame) -> DataFrame:
+    """Bitmaps ``question, kind, entry, number, bucket, bits`` under which answers are found."""
     text, number = F.lower("value"), F.col("value").try_cast("double")
     none = F.lit(None)
-    grams = answers.select("question", "fingerprint", F.explode(_grams(text)).alias("entry"))
-    whole = answers.select("question", "fingerprint", F.md5(text).alias("entry"))
-    bins = answers.where(number.isNotNull()).select("question", "fingerprint", _bin(number).alias("number"))
-    parts = [
-        grams.select("question", F.lit("gram").alias("kind"), "entry", none.cast("long").alias("number"), "fingerprint"),
-        whole.select("question", F.lit("whole"), "entry", none.cast("long"), "fingerprint"),
-        bins.select("question", F.lit("bin"), none.cast("string"), "number", "fingerprint"),
-    ]
-    return reduce(DataFrame.union, parts)
+    bucket, place = F.bitmap_bucket_number("fingerprint"), F.bitmap_bit_position("fingerprint")
+    # Ranges of fingerprints: a task meets few buckets, so most bits of a bitmap are set before the shuffle.
+    near = answers.where(F.col("value").isNotNull()).repartitionByRange("fingerprint")
+    texts = near.where(F.col("fingerprint").isNotNull() & F.col("question").isNotNull()).sortWithinPartitions("question", "fingerprint")
+    grams = texts.select("question", bucket.alias("bucket"), place.alias("place"), text.alias("text")).mapInArrow(
+        _gram_bitmaps, "question string, bucket long, entry string, bits binary"
+    )
+    grams = grams.groupBy("question", "entry", "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+    whole = near.select("question", "fingerprint", F.lit("whole").alias("kind"), F.md5(text).alias("entry"), none.cast("long").alias("number"))
+    bins = near.where(number.isNotNull()).select("question", "fingerprint", F.lit("bin"), none.cast("string"), _bin(number))
+    others = whole.union(bins).groupBy("question", "kind", "entry", "number", bucket.alias("bucket")).agg(
+        F.bitmap_construct_agg(place).alias("bits")
+    )
+    return others.unionByName(grams.select("question", F.lit("gram").alias("kind"), "entry", none.cast("long").alias("number"), "bucket", "bits"))
 
 
 def index_answers(answers: DataFrame, path: str, batch_id: int) -> None:
@@ -82,11 +152,7 @@ def index_answers(answers: DataFrame, path: str, batch_id: int) -> None:
     values = kept.withColumn("slab", _slab(F.col("fingerprint")))
     dealt = values.repartitionByRange("question", "slab", "fingerprint").sortWithinPartitions("question", "slab", "fingerprint")
     dealt.write.mode("overwrite").partitionBy("question", "slab").parquet(f"{path}/values/batch_id={batch_id}")
-    # Ranges of fingerprints: a task meets few buckets, so most bits of a bitmap are set before the shuffle.
-    near = kept.where(F.col("value").isNotNull()).repartitionByRange("fingerprint")
-    lists = _entries(near).groupBy(
-        "question", "kind", "entry", "number", F.bitmap_bucket_number("fingerprint").alias("bucket")
-    ).agg(F.bitmap_construct_agg(F.bitmap_bit_position("fingerprint")).alias("bits"))
+    lists = _lists(kept)
     ordered = lists.repartitionByRange("question", "kind", "entry", "number").sortWithinPartitions("question", "kind", "entry", "number", "bucket")
     ordered.write.mode("overwrite").partitionBy("question", "kind").parquet(f"{path}/lists/batch_id={batch_id}")
 

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from strataflow.operators import answerindex
 from strataflow.operators.answerindex import candidates, index_answers, search_indexed
 from strataflow.operators.search import All, Any, Match, Not, search
 
@@ -76,3 +79,20 @@ def test_answers_without_candidates_are_not_read(spark, tmp_path):
     fingerprints = rows.select("fingerprint")
     found = search_indexed(spark, fingerprints, path, {5: Match("q", "contains", "lue 7123000")})
     assert [tuple(r) for r in found.collect()] == [(7_123_000, 5)]
+
+
+@pytest.mark.parametrize("held, chars", [(1 << 14, 1 << 20), (5, 30)])
+def test_bitmaps_of_trigrams_in_a_small_table(monkeypatch, held, chars):
+    monkeypatch.setattr(answerindex, "HELD", held)
+    monkeypatch.setattr(answerindex, "CHARS", chars)
+    texts = [v.lower() for v in VALUES if v is not None]
+    rows = [(q, b, i * 31 + b, t) for q in ("n", "q") for b in (0, 1, 7) for i, t in enumerate(texts)]
+    batches = [pa.RecordBatch.from_pylist([dict(zip(("question", "bucket", "place", "text"), r)) for r in rows[i : i + 50]]) for i in range(0, len(rows), 50)]
+    got = set()
+    for batch in answerindex._gram_bitmaps(iter(batches)):
+        assert batch.num_rows
+        for r in batch.to_pylist():
+            set_bits = np.nonzero(np.unpackbits(np.frombuffer(r["bits"], dtype=np.uint8), bitorder="little"))[0]
+            assert len(r["bits"]) == answerindex.BUCKET // 8
+            got |= {(r["question"], r["bucket"], r["entry"], int(p)) for p in set_bits}
+    assert got == {(q, b, t[i : i + 3], p) for q, b, p, t in rows for i in range(max(1, len(t) - 2))}
