@@ -25,8 +25,10 @@ from pyspark.sql import functions as F
 from strataflow.functions.atoms import WHOLE, Atom
 from strataflow.schema import STRING_COLUMNS
 
-# Candidates that are counted at once.
-PAIRS = 1 << 20
+# Candidates that are counted at once, and rows whose filters are looked for at once.
+PAIRS, ROWS = 1 << 18, 1024
+# Parts of counts that are held before they are added up.
+MOST_PARTS = 8
 
 
 def _expanded(starts: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -210,25 +212,37 @@ class FilterIndex:
                 yield np.nonzero(nulls == bits)[0], self.way(bits).unknown
 
 
+def _matched(index: FilterIndex, rows_: pa.StructArray) -> pa.ListArray:
+    """Ids of the filters that each of a few rows matches."""
+    table = pa.Table.from_arrays(rows_.flatten(), names=index.columns)
+    rows, owners = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+    for row, owner, matches, _ in index.found(table):
+        rows.append(row[matches])
+        owners.append(owner[matches])
+    row, owner = np.concatenate(rows), np.concatenate(owners)
+    order = np.argsort(row, kind="stable")
+    limits = np.searchsorted(row[order], np.arange(len(rows_) + 1))
+    return pa.ListArray.from_arrays(pa.array(limits, pa.int32()), pa.array(index.ids[owner[order]]))
+
+
 def matching(index: FilterIndex) -> Column:
     """Ids of the filters that each row matches."""
 
     @F.arrow_udf("array<long>")
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for rows_ in batches:
-            table = pa.Table.from_arrays(rows_.flatten(), names=index.columns)
-            rows, owners = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
-            for row, owner, matches, _ in index.found(table):
-                rows.append(row[matches])
-                owners.append(owner[matches])
-            row, owner = np.concatenate(rows), np.concatenate(owners)
-            order = np.argsort(row, kind="stable")
-            limits = np.searchsorted(row[order], np.arange(len(rows_) + 1))
-            yield pa.ListArray.from_arrays(pa.array(limits, pa.int32()), pa.array(index.ids[owner[order]]))
+            found = [_matched(index, rows_.slice(at, ROWS)) for at in range(0, len(rows_), ROWS)]
+            yield pa.concat_arrays(found) if found else pa.array([], pa.list_(pa.int64()))
 
     return ids(F.struct(*[F.col(c) for c in index.columns]))
 
 
+def _added(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """Counts of the same pair, from several parts, in one."""
+    pair, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    return pair, *(np.bincount(at, np.concatenate([p[i] for p in parts]), len(pair)).astype(np.int64) for i in (1, 2))
+
+
 def indexed_counts(rows: DataFrame, keys: Sequence[str], index: FilterIndex) -> DataFrame:
     """``keys, filter_id, matched, unknown`` with the rows of each key that a filter matches or can't tell; no zeros."""
     keys = list(keys)
@@ -254,12 +268,13 @@ def indexed_counts(rows: DataFrame, keys: Sequence[str], index: FilterIndex) ->
                 pair, at = np.unique(group[row[told]] * n + owner[told], return_inverse=True)
                 yes = np.bincount(at, matches[told], len(pair)).astype(np.int64)
                 parts.append((pair, yes, np.bincount(at, minlength=len(pair)) - yes))
+                if len(parts) > MOST_PARTS:
+                    parts = [_added(parts)]
             for rows_, owners in index.unknown_rows(table):
                 own, each = np.unique(group[rows_], return_counts=True)
                 pair = (own[:, None] * n + owners).ravel()
                 parts.append((pair, np.zeros(len(pair), dtype=np.int64), np.repeat(each, len(owners))))
-            pair, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-            sums = [np.bincount(at, np.concatenate([p[i] for p in parts]), len(pair)).astype(np.int64) for i in (1, 2)]
+            pair, *sums = _added(parts)
             columns = [grouped.column(k).combine_chunks().take(pa.array(pair // n)) for k in names]
             columns += [pa.array(index.ids[pair % n]), pa.array(sums[0]), pa.array(sums[1])]
             yield pa.RecordBatch.from_arrays(columns, [*names, "filter_id", "matched", "unknown"])

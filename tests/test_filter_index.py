@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -118,3 +119,12 @@ def test_no_rows_and_null_keys(spark, monkeypatch):
     odd = rows.withColumn("db", F.when(F.col("upload_id") > 0, F.col("db")))
     counted = fanout.count_matches(odd, ["db"], specs).collect()
     assert {r.db for r in counted} == {None, "d0", "d1"} and len(counted) == 6
+
+
+def test_pairs_come_in_small_lists():
+    index = filterindex.FilterIndex(list(range(300)), [conjunction(f"count_value >= {-i} AND analysis_id = 5") for i in range(300)])
+    table = pa.table({"analysis_id": pa.array([5] * 4000, pa.int64()), "count_value": pa.array(range(4000), pa.int64())})
+    sizes = [len(row) for row, _, matches, _ in index.found(table) if matches.all()]
+    assert sum(sizes) == 4000 * 300 and max(sizes) <= (1 << 18) + 300
+    rows = pa.StructArray.from_arrays([c.combine_chunks() for c in table.columns], names=table.column_names)
+    assert all(sorted(ids) == list(range(300)) for ids in filterindex._matched(index, rows.slice(7, 20)).to_pylist())
