@@ -25,7 +25,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 NAME = "file_lines"
-SPLIT_BYTES, RANGES_PER_TASK, CHUNK_BYTES = 32 << 20, 16, 4 << 20
+SPLIT_BYTES, RANGES_PER_TASK, CHUNK_BYTES = 8 << 20, 16, 4 << 20
+# Tasks that a table is dealt to before one of them takes more than one range.
+LEAST_TASKS = 256
 EARLIEST, LATEST = "earliest", "latest"
 
 ENTRY = ("file_path", "file_time", "length", "database_identifier", "name", "upload_id")
@@ -91,15 +93,16 @@ class Part(InputPartition):
 
 
 def _parts(folder: str, per_task: int) -> list[Part]:
+    """Parts of the table: a range each if there are few, else up to ``per_task`` of them."""
     system, path = fs.FileSystem.from_uri(folder)
-    found = []
+    files = []
     for info in system.get_file_info(fs.FileSelector(path, recursive=True)):
         if info.type == fs.FileType.File and info.path.endswith(".parquet"):
             with system.open_input_file(info.path) as file:
                 rows = pq.read_metadata(file).num_rows
-            name = f"{folder.rstrip('/')}/{info.path[len(path.rstrip('/')) + 1 :]}"
-            found += [Part(name, i, min(i + per_task, rows)) for i in range(0, rows, per_task)]
-    return found
+            files.append((f"{folder.rstrip('/')}/{info.path[len(path.rstrip('/')) + 1 :]}", rows))
+    taken = min(per_task, max(1, sum(rows for _, rows in files) // LEAST_TASKS))
+    return [Part(name, i, min(i + taken, rows)) for name, rows in files for i in range(0, rows, taken)]
 
 
 def _unchanged(info: fs.FileInfo, length: int, time: datetime) -> bool:

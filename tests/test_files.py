@@ -5,6 +5,8 @@ from __future__ import annotations
 import io
 import random
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -121,3 +123,12 @@ def test_cleanup_in_tasks(spark, tmp_path, policy):
     kept = sorted(p.parent.name for p in (tmp_path / "inbox").rglob("*-*.csv"))
     assert kept == (["failed"] * 3 + ["succeed"] * 2 if policy == "move" else [])
     files.unpersist()
+
+
+def test_few_ranges_go_to_a_task_each(tmp_path):
+    for n, name in ((5, "few"), (6000, "many")):
+        (tmp_path / name).mkdir()
+        pq.write_table(pa.table({"file_path": [f"file:/{i}" for i in range(n)]}), tmp_path / name / "part-0.parquet")
+    few, many = (source._parts(f"file://{tmp_path}/{name}", 16) for name in ("few", "many"))
+    assert [(p.begin, p.end) for p in few] == [(i, i + 1) for i in range(5)]
+    assert len(many) == 375 and sum(p.end - p.begin for p in many) == 6000
