@@ -336,7 +336,8 @@ def index(df: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataF
     counted = texts.select("text").mapInArrow(_counts, "docs long, terms long")
     with rows_per_batch(df.sparkSession, TEXTS):
         sums = counted.agg(F.sum("docs").alias("docs"), F.sum("terms").alias("terms")).first()
-        return stage(texts.mapInArrow(_index(sums["docs"] or 0, sums["terms"] or 0), INDEX)), sums["docs"] or 0
+        # A row is a block of some megabytes.
+        return stage(texts.mapInArrow(_index(sums["docs"] or 0, sums["terms"] or 0), INDEX), group_rows=1), sums["docs"] or 0
 
 
 def _item_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

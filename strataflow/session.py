@@ -67,19 +67,22 @@ def stage_dir(spark: SparkSession, area: str | None = None) -> str:
     return root if area is None else f"{root}/{area}"
 
 
-def stage(df: DataFrame) -> DataFrame:
+def stage(df: DataFrame, group_rows: int | None = None) -> DataFrame:
     """Write the rows to the shared folder and read them back.
 
     Lineage ends here: a lost executor costs no recomputation, nondeterministic columns
-    are fixed, and the optimizer knows the size and columns of the rows.
+    are fixed, and the optimizer knows the size and columns of the rows. ``group_rows`` is for rows that
+    are large blocks: so many at most are held at once by the task that writes or reads them.
     """
-    return df.sparkSession.read.schema(df.schema).parquet(stage_path(df))
+    return df.sparkSession.read.schema(df.schema).parquet(stage_path(df, group_rows))
 
 
-def stage_path(df: DataFrame) -> str:
+def stage_path(df: DataFrame, group_rows: int | None = None) -> str:
     """Write the rows to the shared folder; returns where they are."""
     path = f"{stage_dir(df.sparkSession, _AREA.get())}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    # A reader holds a whole row group, of which Parquet checks the size only every 100 rows.
+    options = {} if group_rows is None else {"parquet.block.row.count.limit": str(group_rows)}
+    df.write.options(**options).parquet(path)
     return path
 
 

@@ -4,6 +4,7 @@ import math
 import re
 from collections import Counter
 
+import pyarrow.parquet as pq
 import pytest
 
 from strataflow.llm import lexical, workload
@@ -94,6 +95,15 @@ def test_long_text_and_empty_tables(spark):
     assert lexical.ranked(documents(spark, docs), asked.limit(0)).count() == 0
 
 
+def test_a_row_group_of_the_index_holds_one_block(spark, monkeypatch):
+    monkeypatch.setattr(lexical, "BLOCK_DOCS", 1)
+    docs = documents(spark, [(i, f"word {i}", "en", "a") for i in range(7)]).coalesce(1)
+    blocks, n_docs = lexical.index(docs)
+    files = [pq.ParquetFile(name.removeprefix("file://")).metadata for name in blocks.inputFiles()]
+    assert n_docs == 7 and sum(m.num_rows for m in files) == 7
+    assert all(m.row_group(i).num_rows == 1 for m in files for i in range(m.num_row_groups))
+
+
 def test_clashing_names(spark):
     items = spark.createDataFrame(ASKED[:6], ITEMS)
     plain = _rows(lexical.ranked(odd_documents(spark), items))
