@@ -5,8 +5,8 @@ a codebook. A query opens a few cells, estimates the distance of every item in t
 the best estimates are compared exactly. Cells and codebooks are fitted on a sample of bounded size, taken by a
 hash of the id; how many cells a query opens, and how many estimates it keeps, are the smallest numbers that reach
 the wanted recall on that sample. Every item is indexed. A cell is stored in blocks that hold codes and vectors;
-strips of queries meet slabs of blocks with a cell that one of them opens. The best estimates of a slab are compared
-there and then, so that only the k best of each slab leave it, and no vector travels for each pair.
+strips of queries meet slabs of blocks with a cell that one of them opens, and there the items of a cell meet the queries
+that open it. The best estimates of a slab are compared there and then, so that only the k best of each slab leave it, and no vector travels for each pair.
 
 Where vectors form groups, a query opens a number of cells that does not grow, and its work grows with the square root
 of the items. Vectors without groups make it open a share of all cells; then codes save only on each comparison.
@@ -26,10 +26,14 @@ from strataflow.operators.grid import chained, tiles
 from strataflow.session import stage
 
 SAMPLE, MOST_CELLS, ENTRIES, PART_DIMS = 32_768, 2048, 256, 4
-ITEM_ROWS, QUERY_ROWS, SALTS = 4096, 256, 16
+ITEM_ROWS, QUERY_ROWS, SALTS = 4096, 512, 16
 # Queries of a strip, items of a slab, and pairs that are compared exactly at once.
 STRIP_ROWS, SLAB_ROWS, PAIRS = 16_384, 32_768, 1 << 16
 WANTED_RECALL, TRIED_QUERIES = 0.975, 256
+# Every so many items one is looked at to tell which estimates of a query may be among the best.
+STEP = 16
+# Items of a cell that queries meet at once, and estimates that a block of queries holds at most.
+CELL_ROWS, CROWD = 2048, 1 << 20
 
 ITEM_BLOCK = "cell int, ids array<long>, codes binary, vectors binary"
 FOUND = pa.schema([("query_id", pa.int64()), ("item_id", pa.int64()), ("similarity", pa.float64())])
@@ -180,6 +184,63 @@ def build_index(items: DataFrame, k: int, vector: str = "vector", wanted: float
     return NearIndex(codes, stage(_packed(coded, ITEM_ROWS)), kind, probes, kept, k)
 
 
+def _nearest_estimates(
+    asked: np.ndarray, told: np.ndarray, opened: np.ndarray, cell: np.ndarray, key: np.ndarray, ids: np.ndarray, n: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """For each query the places of the n other items in the cells it opens that score highest, and which of them are there.
+
+    Items lie by cell; only queries that open a cell meet its items. A score is a product of ``asked`` and ``told``.
+    """
+    edge = np.full(len(asked), -np.inf, dtype=np.float32)
+    rank = 3 * n // (2 * STEP) + 8
+    if len(told) >= 2 * STEP * rank:
+        some = np.where(opened[:, cell[::STEP]], asked @ told[::STEP].T, np.float32(-np.inf))
+        edge = np.partition(some, -rank, axis=1)[:, -rank]
+    sampled = edge != -np.inf
+
+    def held(parts: list) -> list[np.ndarray]:
+        return [np.concatenate(x) for x in zip((np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.float32)), *parts)]
+
+    found, size = [], 0
+    ends = np.append(np.nonzero(np.diff(cell))[0] + 1, len(cell))
+    for first, last in zip(np.append(0, ends[:-1]).tolist(), ends.tolist()):
+        own = np.nonzero(opened[:, cell[first]])[0].astype(np.int32)
+        for start in range(first, last if len(own) else first, CELL_ROWS):
+            score = asked[own] @ told[start : min(last, start + CELL_ROWS)].T
+            row, place = np.divmod(np.flatnonzero(score >= edge[own, None]).astype(np.int32), score.shape[1])
+            value, row, place = score[row, place], own[row], place + np.int32(start)
+            others = key[row] != ids[place]
+            found.append((row[others], place[others], value[others]))
+            size += len(row)
+            if size > CROWD:  # many like items: the n best so far
+                row, place, value = held(found)
+                order = np.lexsort((-value, row))
+                row, place, value = row[order], place[order], value[order]
+                at = np.arange(len(row)) - np.searchsorted(row, row)
+                edge[row[at == n - 1]] = value[at == n - 1]
+                found = [(row[at < n], place[at < n], value[at < n])]
+                size = int((at < n).sum())
+    row, place, value = held(found)
+    # The few that the sample told too little of are looked at whole.
+    short = np.nonzero((np.bincount(row, minlength=len(asked)) < n) & sampled)[0]
+    if len(short):
+        score = np.where(opened[short][:, cell] & (key[short][:, None] != ids[None, :]), asked[short] @ told.T, np.float32(-np.inf))
+        least = np.fmax(np.partition(score, -n, axis=1)[:, -n], np.finfo(np.float32).min)
+        rest, (again, where) = ~np.isin(row, short), np.nonzero(score >= least[:, None])
+        row, place = np.concatenate([row[rest], short[again]]), np.concatenate([place[rest], where])
+        value = np.concatenate([value[rest], score[again, where]])
+    order = np.argsort(row.astype(np.int16), kind="stable")
+    row, place, value = row[order], place[order], value[order]
+    counts = np.bincount(row, minlength=len(asked))
+    at = np.arange(len(row)) - (np.cumsum(counts) - counts)[row]
+    shape = len(asked), max(1, int(counts.max(initial=0)))
+    places, values = np.zeros(shape, dtype=np.int32), np.full(shape, -np.inf, dtype=np.float32)
+    places[row, at], values[row, at] = place, value
+    n = min(n, shape[1])
+    best = np.argpartition(values, -n, axis=1)[:, -n:]
+    return np.take_along_axis(places, best, 1), np.isfinite(np.take_along_axis(values, best, 1))
+
+
 def near_neighbours(queries: DataFrame, index: NearIndex, vector: str = "vector") -> DataFrame:
     """``query_id, item_id, similarity, place``: up to k other items of each query, nearly the most similar."""
     if index.blocks.isEmpty():
@@ -203,28 +264,34 @@ def near_neighbours(queries: DataFrame, index: NearIndex, vector: str = "vector"
         cell = np.repeat([b["cell"] for b in blocks], [len(b["ids"]) for b in blocks])
         coded = np.frombuffer(b"".join(b["codes"] for b in blocks), dtype=np.uint8).reshape(len(ids), -1)
         exact = _units(np.frombuffer(b"".join(b["vectors"] for b in blocks), dtype=kind).reshape(len(ids), -1).astype(np.float64))
-        told = codes.decoded(cell, coded)
+        by_cell = np.argsort(cell, kind="stable")
+        ids, cell, exact = ids[by_cell], cell[by_cell], exact[by_cell]
+        told = codes.decoded(cell, coded[by_cell])
+        # A product with a query is then its square less the square of the distance.
+        told = np.column_stack([2 * told, -(told**2).sum(1)]).astype(np.float32)
+        # Queries of one cell open the same cells.
+        order = np.argsort(_squares(unit_rows(asked.column("vector")), codes.cells).argmin(1), kind="stable")
+        own, plain = own[order], plain[order]
         for at in range(0, len(own), QUERY_ROWS):
             rows, key = _units(plain[at : at + QUERY_ROWS].astype(np.float64)), own[at : at + QUERY_ROWS]
             small = _units(plain[at : at + QUERY_ROWS].astype(np.float32))
             opened = codes.opened(small, probes)
-            there = np.nonzero(opened.any(axis=0)[cell])[0]
-            if not len(there):
+            if not opened.any(axis=0)[cell].any():
                 continue
-            far = _squares(small, told[there])
-            far[~opened[:, cell[there]] | (key[:, None] == ids[there][None, :])] = np.inf
-            n = min(kept, len(there))
-            near = np.argpartition(far, n - 1, axis=1)[:, :n]
-            open_ = np.isfinite(np.take_along_axis(far, near, 1))
-            near = there[near]
-            step = max(1, PAIRS // n)
+            small = np.column_stack([small, np.ones(len(small), np.float32)])
+            near, able = _nearest_estimates(small, told, opened, cell, key, ids, kept)
+            step = max(1, PAIRS // near.shape[1])
             for i in range(0, len(rows), step):
-                part, able = near[i : i + step], open_[i : i + step]
-                likeness = np.where(able, np.einsum("qd,qnd->qn", rows[i : i + step], exact[part]), -np.inf)
-                best = np.lexsort((ids[part], -likeness), axis=-1)[:, :k]
-                able = np.take_along_axis(able, best, 1)
-                found = ids[np.take_along_axis(part, best, 1)][able]
-                parts.append(pa.table([np.repeat(key[i : i + step], able.sum(1)), found, np.take_along_axis(likeness, best, 1)[able]], schema=FOUND))
+                part = near[i : i + step]
+                likeness = np.where(able[i : i + step], np.einsum("qd,qnd->qn", rows[i : i + step], exact[part]), -np.inf)
+                last = min(k, likeness.shape[1])
+                least = np.partition(likeness, -last, axis=1)[:, -last]
+                row, place = np.nonzero((likeness >= least[:, None]) & (likeness > -np.inf))
+                found, value = ids[part[row, place]], likeness[row, place]
+                best = np.lexsort((found, -value, row))
+                row, found, value = row[best], found[best], value[best]
+                first = np.arange(len(row)) - np.searchsorted(row, row) < k
+                parts.append(pa.table([key[i + row[first]], found[first], value[first]], schema=FOUND))
         return pa.concat_tables(parts)
 
     placed = stage(asked.mapInArrow(place, f"cell int, {asked.schema.simpleString()[7:-1]}"))

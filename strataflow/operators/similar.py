@@ -7,8 +7,8 @@ work grows with queries times items.
 Items and queries are placed in cells around a bounded set of pivots. For a query, the distances to
 the pivots, the radius and the size of each cell give a bound on the distance of its k-th
 neighbour; cells that lie wholly beyond it are skipped. The others are met in tiles, a strip of queries
-against a slab of items; in a tile, small matrix products keep k items per query, so what a query
-sends on grows with the slabs and not with the cells. Equal vectors are searched once, so a large group of
+against a slab of items; in a tile, small matrix products in single precision tell the few pairs that are compared in
+double precision, and k items per query are kept, so what a query sends on grows with the slabs and not with the cells. Equal vectors are searched once, so a large group of
 copies costs what one item costs. Null vectors have no neighbours.
 """
 
@@ -25,9 +25,11 @@ from strataflow.operators.grid import chained, tiles
 from strataflow.session import cut_lineage, local_table, stage
 
 MOST_PIVOTS = 1024
-# Items of one product; a strip has four times as many queries, a slab eight times as many items.
+# Items of one product; a strip has four times as many queries, a slab sixteen times as many items.
 BLOCK_ROWS = 4096
 QUERY_ROWS = 1024
+# Pairs that are compared in double precision at once, and pairs for each wanted one that are held at most.
+PAIRS, CROWD = 1 << 15, 4
 SLACK = 1e-6
 # Decimals that are compared, so that copies tie exactly wherever they are multiplied.
 DIGITS = 12
@@ -76,30 +78,60 @@ def _wanted(pivots: np.ndarray, radius: np.ndarray, size: np.ndarray, k: int):
     return wanted
 
 
-def _best(rows: np.ndarray, items: np.ndarray, ids: np.ndarray, k: int, block: int):
-    """Row, place and similarity of the k most similar items of each row, the lower id first; what is no number comes last."""
-    row, place, value = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0)
-    least = np.full(len(rows), -np.inf)
-    odd_rows, odd = (~np.isfinite(m).all(axis=1) for m in (rows, items))
+def _exact(rows: np.ndarray, items: np.ndarray, row: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Similarity of each pair, -2 where one of the vectors is no number."""
+    parts = [
+        np.einsum("nd,nd->n", rows[row[at : at + PAIRS]], items[place[at : at + PAIRS]])
+        for at in range(0, len(row), PAIRS)
+    ]
+    value = np.round(np.concatenate(parts), DIGITS) if parts else np.zeros(0)
+    return np.where(np.isfinite(value), value, -2.0)
+
+
+def _best(rows: np.ndarray, items: np.ndarray, small: np.ndarray, ids: np.ndarray, k: int, block: int):
+    """Row, place and similarity of the k most similar items of each row, the lower id first; what is no number comes last.
+
+    ``small`` has the items in single precision. Products in single precision pass over what is too far from being among
+    the k best, by more than their error; the others are compared in double precision.
+    """
+    row, place, near = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0)
+    edge = np.full(len(rows), -np.inf)
+    # Twice what a product of unit vectors in single precision may be off, and what may tie once it is rounded.
+    slack = 2 * (rows.shape[1] + 4) * float(np.finfo(np.float32).eps) + 10.0 ** (1 - DIGITS)
+    asked = rows.astype(np.float32)
+    odd_rows, odd = (~np.isfinite(m).all(axis=1) for m in (asked, small))
+    any_odd = odd_rows.any() or odd.any()
+    room = np.empty(len(rows) * min(block, len(items)), dtype=np.float32)
+
+    def kept(value: np.ndarray, rank: np.ndarray, own: np.ndarray, limit: float) -> None:
+        full = rank == k - 1
+        edge[own[full]] = np.maximum(edge[own[full]], value[full] - limit)
+
     for start in range(0, len(items), block):
-        likeness = rows @ items[start : start + block].T
-        if odd_rows.any() or odd.any():
+        part = small[start : start + block]
+        likeness = np.matmul(asked, part.T, out=room[: len(rows) * len(part)].reshape(len(rows), -1))
+        if any_odd:
             likeness[odd_rows] = likeness[:, odd[start : start + block]] = -2.0
-        edge = least
-        if likeness.shape[1] > k and np.isinf(least).any():
-            edge = np.maximum(least, np.partition(likeness, -k, axis=1)[:, -k])
-        # Those that may tie once they are rounded are looked at, too.
-        r, c = np.nonzero(likeness >= edge[:, None] - 10.0 ** (1 - DIGITS))
-        row, place = np.concatenate([row, r]), np.concatenate([place, start + c])
-        value = np.concatenate([value, np.round(likeness[r, c], DIGITS)])
-        order = np.lexsort((ids[place], -value, row))
-        row, place, value = row[order], place[order], value[order]
-        rank = np.arange(len(row)) - np.searchsorted(row, row)
-        keep = rank < k
-        row, place, value, rank = row[keep], place[keep], value[keep], rank[keep]
-        full = rank == k - 1
-        least[row[full]] = value[full]
-    return row, place, np.where(value == -2.0, np.nan, value)
+        first = likeness[:, : max(k, block // 4)]
+        if first.shape[1] >= k and np.isinf(edge).any():
+            edge = np.maximum(edge, np.partition(first, -k, axis=1)[:, -k] - slack)
+        r, c = np.divmod(np.flatnonzero(likeness >= edge.astype(np.float32)[:, None]), len(part))
+        row, place, near = np.concatenate([row, r]), np.concatenate([place, start + c]), np.concatenate([near, likeness[r, c]])
+        # Rows apart, in a row the nearest first.
+        order = np.argsort(8.0 * row - near)
+        row, place, near = row[order], place[order], near[order]
+        kept(near, np.arange(len(row)) - np.searchsorted(row, row), row, slack)
+        there = near >= edge[row]
+        row, place, near = row[there], place[there], near[there]
+        if len(row) > CROWD * k * len(rows) or start + block >= len(items):
+            # A crowd of like items, or the end.
+            near = _exact(rows, items, row, place)
+            order = np.lexsort((ids[place], -near, row))
+            row, place, near = row[order], place[order], near[order]
+            rank = np.arange(len(row)) - np.searchsorted(row, row)
+            kept(near, rank, row, slack)
+            row, place, near = (x[rank < k] for x in (row, place, near))
+    return row, place, np.where(near == -2.0, np.nan, near)
 
 
 def _nearest(k: int, block: int, wanted):
@@ -107,12 +139,15 @@ def _nearest(k: int, block: int, wanted):
         parts = [FOUND.empty_table()]
         if queries.num_rows and items.num_rows:
             rows, unit = _matrix(queries.column("vector")), _matrix(items.column("vector"))
+            small = unit.astype(np.float32)
             own, ids, cell = (c.to_numpy() for c in (queries.column("id"), items.column("id"), items.column("cell")))
             vectors = queries.column("vector").combine_chunks()
             for at in range(0, len(rows), QUERY_ROWS):
                 there = np.nonzero(wanted(vectors.slice(at, QUERY_ROWS)).any(axis=0)[cell])[0]
-                row, place, value = _best(rows[at : at + QUERY_ROWS], unit[there], ids[there], k, block)
-                parts.append(pa.table([own[at + row], ids[there[place]], value], schema=FOUND))
+                there = slice(None) if len(there) == len(ids) else there
+                met = ids[there]
+                row, place, value = _best(rows[at : at + QUERY_ROWS], unit[there], small[there], met, k, block)
+                parts.append(pa.table([own[at + row], met[place], value], schema=FOUND))
         return pa.concat_tables(parts)
 
     return nearest
@@ -166,7 +201,7 @@ def _search(queries: DataFrame, items: DataFrame, k: int, block: int) -> DataFra
         radius[c.cell], size[c.cell] = c.radius, c.n
     wanted = _wanted(centres, radius, size, k)
     return tiles(
-        asked, placed.drop("far"), chained(centres), (4 * block, 8 * block), wanted, _nearest(k, block, wanted), schema
+        asked, placed.drop("far"), chained(centres), (4 * block, 16 * block), wanted, _nearest(k, block, wanted), schema
     )
 
 

@@ -83,3 +83,28 @@ def test_only_the_best_of_a_slab_leave_it(spark, monkeypatch):
     assert recall >= 0.9 and index.kept > 20
     per_query = [r["count"] for r in made[0].groupBy("query_id").count().collect()]
     assert max(per_query) <= 20 * 5
+
+
+@pytest.mark.parametrize("crowd", [1 << 20, 300])
+def test_estimates_of_the_opened_cells(monkeypatch, crowd):
+    """The best among the opened cells, though a query meets no item of another cell."""
+    from strataflow.operators import nearindex
+
+    monkeypatch.setattr(nearindex, "CROWD", crowd)
+    monkeypatch.setattr(nearindex, "CELL_ROWS", 70)
+    rng = np.random.default_rng(2)
+    asked, told = rng.normal(size=(40, 9)).astype(np.float32), rng.normal(size=(3000, 9)).astype(np.float32)
+    told[500:900] = told[500]  # copies
+    cell, ids = np.sort(rng.integers(0, 30, 3000)), rng.permutation(3000)
+    opened = rng.random((40, 30)) < 0.4
+    opened[3] = False
+    opened[4] = np.arange(30) == cell[0]  # few items
+    key = ids[rng.integers(0, 3000, 40)]
+    near, able = nearindex._nearest_estimates(asked, told, opened, cell, key, ids, 25)
+    score = asked @ told.T
+    score[~opened[:, cell] | (key[:, None] == ids[None, :])] = -np.inf
+    for q in range(40):
+        best = np.sort(score[q][np.isfinite(score[q])])[::-1][:25]
+        found = near[q][able[q]]
+        assert len(set(found.tolist())) == len(found)
+        assert np.allclose(np.sort(score[q, found])[::-1], best, rtol=1e-5)

@@ -69,3 +69,26 @@ def test_rows_of_a_query_do_not_grow_with_the_cells(spark):
 def test_cells_are_dealt_to_groups():
     found = dealt({0: 3, 1: 4, 2: 25, 3: 1, 5: 9}, [1, 0, 2, 3, 4, 5], 10)
     assert found == [(1, 0, 1), (0, 0, 1), (2, 1, 3), (3, 4, 1), (4, 4, 1), (5, 4, 1)]
+
+
+@pytest.mark.parametrize("kind", ["even", "crowd", "odd"])
+def test_few_pairs_are_compared_in_double_precision(monkeypatch, kind):
+    rng = np.random.default_rng(4)
+    items = rng.normal(size=(1500, 16))
+    if kind == "crowd":  # nearer to each other than single precision tells
+        items[100:900] = items[100] + rng.normal(scale=1e-6, size=(800, 16))
+    items /= np.linalg.norm(items, axis=1, keepdims=True)
+    if kind == "odd":
+        items[[5, 700]] = np.nan
+    ids, rows, compared = rng.permutation(1500), items[:200], []
+    exact = similar._exact
+    monkeypatch.setattr(similar, "_exact", lambda r, i, row, place: compared.append(len(row)) or exact(r, i, row, place))
+    row, place, value = similar._best(rows, items, items.astype(np.float32), ids, 6, 128)
+    likeness = np.round(np.einsum("qd,nd->qn", rows, items), similar.DIGITS)
+    likeness[np.isnan(likeness)] = -2.0
+    for q in range(200):
+        best = np.lexsort((ids, -likeness[q]))[:6]
+        assert place[row == q].tolist() == best.tolist()
+        assert np.allclose(value[row == q], np.where(likeness[q, best] == -2, np.nan, likeness[q, best]), equal_nan=True)
+    if kind == "even":
+        assert sum(compared) < 200 * 1500 / 50
