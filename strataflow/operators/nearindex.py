@@ -6,7 +6,8 @@ the best estimates are compared exactly. Cells and codebooks are fitted on a sam
 hash of the id; how many cells a query opens, and how many estimates it keeps, are the smallest numbers that reach
 the wanted recall on that sample. Every item is indexed. A cell is stored in blocks that hold codes and vectors;
 strips of queries meet slabs of blocks with a cell that one of them opens, and there the items of a cell meet the queries
-that open it. The best estimates of a slab are compared there and then, so that only the k best of each slab leave it, and no vector travels for each pair.
+that open it. The best estimates of a slab are compared there and then, so that only the k best of each slab leave it,
+and no vector travels for each pair.
 
 Where vectors form groups, a query opens a number of cells that does not grow, and its work grows with the square root
 of the items. Vectors without groups make it open a share of all cells; then codes save only on each comparison.

@@ -8,8 +8,8 @@ Items and queries are placed in cells around a bounded set of pivots. For a quer
 the pivots, the radius and the size of each cell give a bound on the distance of its k-th
 neighbour; cells that lie wholly beyond it are skipped. The others are met in tiles, a strip of queries
 against a slab of items; in a tile, small matrix products in single precision tell the few pairs that are compared in
-double precision, and k items per query are kept, so what a query sends on grows with the slabs and not with the cells. Equal vectors are searched once, so a large group of
-copies costs what one item costs. Null vectors have no neighbours.
+double precision, and k items per query are kept, so what a query sends on grows with the slabs and not with the cells.
+Equal vectors are searched once, so a large group of copies costs what one item costs. Null vectors have no neighbours.
 """
 
 from __future__ import annotations
